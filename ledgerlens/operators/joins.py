@@ -1,0 +1,33 @@
+"""Join helpers: broadcast a dimension only when its size is proven small.
+
+``bounded_broadcast`` counts at most ``max_rows + 1`` rows of the (pruned)
+dimension; the count reads no columns and stops each task at the bound. If
+the bound holds the side is broadcast, otherwise the join is left to the
+planner: a shuffle join that AQE may still turn into a broadcast from
+runtime sizes, and whose skewed partitions AQE splits.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows of a pruned dimension (a key plus a few short strings) that are cheap
+# to ship to every executor: about 100 bytes a row, tens of MB at the bound.
+DIM_BROADCAST_ROWS = 500_000
+
+
+def fits(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
+    return df.select(F.lit(1).alias("one")).limit(max_rows + 1).count() <= max_rows
+
+
+def bounded_broadcast(dim: DataFrame, max_rows: int = DIM_BROADCAST_ROWS) -> DataFrame:
+    """``dim`` with a broadcast hint if it is proven to hold at most ``max_rows`` rows."""
+    return F.broadcast(dim) if fits(dim, max_rows) else dim
+
+
+def lookup_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner",
+                max_rows: int = DIM_BROADCAST_ROWS) -> DataFrame:
+    """Join a (large) fact to a dimension keyed by ``key``; see module doc."""
+    return fact.join(bounded_broadcast(dim, max_rows), key, how)
