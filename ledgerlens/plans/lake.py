@@ -38,6 +38,7 @@ class Lake:
 
     spark: SparkSession
     root: str
+    fact_granularity: str = "day"
     zones: Zones = field(init=False)
 
     def __post_init__(self):
@@ -49,7 +50,8 @@ class Lake:
 
     @property
     def fact(self) -> FactTable:
-        return FactTable(self.spark, self.zones.warehouse("fact_transactions"))
+        return FactTable(self.spark, self.zones.warehouse("fact_transactions"),
+                         self.fact_granularity)
 
     def validated(self, dataset: str, batch_date: str) -> DataFrame:
         return self.spark.read.parquet(self.zones.validated(dataset, batch_date))

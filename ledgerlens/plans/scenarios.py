@@ -37,8 +37,13 @@ BATCH_A, BATCH_B = BATCH_DATE, "2026-04-26"
 COMMIT_A_TS, COMMIT_B_TS = "2026-04-25 06:00:00", "2026-04-26 06:00:00"
 ASOF_TS = "2026-04-25 10:00:00"
 
-# Types of the tie-break columns the derived transaction feed carries.
-TXN_EXTRAS = {"l_suppkey": "long", "l_partkey": "long", "l_quantity": "double",
+# The derived batches hold about seven years of dates each, where a daily
+# feed holds one; month partitions keep their files from being tiny.
+FACT_GRANULARITY = "month"
+
+# Types of the tie-break columns the derived transaction feed carries, in
+# the order they follow the contract columns in the feed file.
+TXN_EXTRAS = {"l_partkey": "long", "l_suppkey": "long", "l_quantity": "double",
               "l_discount": "double", "l_tax": "double", "l_returnflag": "string",
               "l_linestatus": "string"}
 
@@ -75,7 +80,7 @@ def land_feed(spark: SparkSession, lake: Lake, sf_dir: str, batch_date: str,
 def lake_for(spark: SparkSession, sf_dir: str) -> Lake:
     """The lake holding one full daily batch of the test data (built once)."""
     def build() -> Lake:
-        lake = Lake(spark, f"{work_root(spark)}/lake-{_fingerprint(sf_dir)}")
+        lake = Lake(spark, f"{work_root(spark)}/lake-{_fingerprint(sf_dir)}", FACT_GRANULARITY)
         if not lake.is_built():
             land_feed(spark, lake, sf_dir, BATCH_DATE)
             lake.run_batch(BATCH_DATE, orders={"transactions": TXN_ORDER},
@@ -108,7 +113,8 @@ def two_batch_fact(spark: SparkSession, sf_dir: str, repeat_b: bool = False) ->
     """A fact table after upserting batch A, then B (then B again if ``repeat_b``)."""
     def build() -> FactTable:
         lake = lake_for(spark, sf_dir)
-        table = FactTable(spark, f"{lake.root}/scenario/fact{'_repeat' if repeat_b else ''}")
+        table = FactTable(spark, f"{lake.root}/scenario/fact{'_repeat' if repeat_b else ''}",
+                          FACT_GRANULARITY)
         a = staged_events(spark, sf_dir, lake, "A")
         b = staged_events(spark, sf_dir, lake, "B")
         if table.head() is None:
@@ -129,7 +135,7 @@ def streamed_fact(spark: SparkSession, sf_dir: str) -> FactTable:
         root = f"{lake.root}/stream"
         ingest = TransactionIngest(spark, landing=f"{root}/landing/transactions",
                                    checkpoint=f"{root}/checkpoint",
-                                   fact=FactTable(spark, f"{root}/fact"),
+                                   fact=FactTable(spark, f"{root}/fact", FACT_GRANULARITY),
                                    merchants=lambda: lake.table("dim_merchants").read(),
                                    order=TXN_ORDER, extras=TXN_EXTRAS)
         if ingest.fact.head() is None:

@@ -121,11 +121,28 @@ def _part_name(value) -> str:
     return NULL_PART if value is None else value.isoformat()
 
 
+# Physical partition spec of the fact: the reference partitions by day; a
+# coarser transform (as Iceberg's months()/years()) suits data whose batches
+# span years of dates. Rows, keys and results do not depend on it.
+GRANULARITY = {"day": None, "month": "MM", "year": "YYYY"}
+
+
 class FactTable(_Versioned):
     """The transaction fact: keyed upsert, date partitions, time travel."""
 
     key = FACT_KEY
-    part = FACT_PARTITION
+
+    def __init__(self, spark: SparkSession, path: str, granularity: str = "day"):
+        super().__init__(spark, path)
+        if granularity not in GRANULARITY:
+            raise ValueError(f"granularity must be one of {sorted(GRANULARITY)}")
+        self.granularity = granularity
+        self.part = FACT_PARTITION if granularity == "day" else f"transaction_{granularity}"
+
+    def _part_expr(self):
+        unit = GRANULARITY[self.granularity]
+        date = F.col(FACT_PARTITION)
+        return date if unit is None else F.trunc(date, unit)
 
     def _live(self, upto: Commit | None) -> dict[str, int]:
         """Partition name -> version holding it, as of commit ``upto``."""
@@ -142,12 +159,38 @@ class FactTable(_Versioned):
         return live
 
     def _read_live(self, live: dict[str, int]) -> DataFrame:
+        """Union over versions of that version's live partitions.
+
+        Each version folder is listed once and pruned to its live dates by a
+        partition filter, rather than listing every partition path.
+        """
         if not live:
             return self.spark.createDataFrame([], FACT_SCHEMA)
-        base = f"{self.path}/data"
-        paths = [f"{self._data(v)}/{self.part}={name}" for name, v in sorted(live.items())]
-        df = self.spark.read.option("basePath", base).parquet(*paths)
-        return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in FACT_SCHEMA])
+        by_version: dict[int, list[str]] = {}
+        for name, v in live.items():
+            by_version.setdefault(v, []).append(name)
+        parts = []
+        for v, names in sorted(by_version.items()):
+            dates = [_dt.date.fromisoformat(n) for n in names if n != NULL_PART]
+            keep = F.col(self.part).isin(dates)
+            if NULL_PART in names:
+                keep = keep | F.col(self.part).isNull()
+            df = self.spark.read.parquet(self._data(v)).filter(keep)
+            parts.append(df.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
+                                     for f in FACT_SCHEMA]))
+        out = parts[0]
+        for df in parts[1:]:
+            out = out.unionByName(df)
+        return out
+
+    def _written(self, version: int) -> set[str]:
+        """Partitions a version wrote, from its file listing (no data read)."""
+        names = set()
+        for path in self.spark.read.parquet(self._data(version)).inputFiles():
+            for piece in path.split("/"):
+                if piece.startswith(f"{self.part}="):
+                    names.add(piece.split("=", 1)[1])
+        return names
 
     def read(self, at=None) -> DataFrame:
         """Current rows, or the rows as of timestamp ``at`` (empty before the first commit)."""
@@ -161,20 +204,22 @@ class FactTable(_Versioned):
         an error.
         """
         source = source.select(*FACT_COLUMNS)
-        head = self.head()
-        if source_id is not None and any(c.source_id == source_id for c in self.commits()):
+        commits = self.commits()
+        head = commits[-1] if commits else None
+        if source_id is not None and any(c.source_id == source_id for c in commits):
             return head
         assert_unique(source, self.key)
         version = head.version + 1 if head else 1
         live = self._live(head)
-        src_parts = {_part_name(r[0]) for r in source.select(self.part).distinct().collect()}
+        src_parts = {_part_name(r[0]) for r in
+                     source.select(self._part_expr().alias("p")).distinct().collect()}
         if not src_parts:
             return head
         if live:
             target = self._read_live(live)
             keys = bounded_broadcast(source.select(self.key))
             hit = {_part_name(r[0]) for r in target.join(keys, self.key, "left_semi")
-                   .select(self.part).distinct().collect()}
+                   .select(self._part_expr().alias("p")).distinct().collect()}
             touched = src_parts | hit
             old_parts = {p: live[p] for p in touched if p in live}
             new_rows = source
@@ -183,9 +228,13 @@ class FactTable(_Versioned):
                 new_rows = kept.unionByName(source)
         else:
             touched, new_rows = src_parts, source
-        new_rows.write.mode("errorifexists").partitionBy(self.part).parquet(self._data(version))
-        written = {_part_name(r[0]) for r in self.spark.read.parquet(self._data(version))
-                   .select(self.part).distinct().collect()}
+        # REBALANCE by date: AQE packs small dates together and splits a hot
+        # date over several tasks, so files are neither tiny nor one per task.
+        if self.part != FACT_PARTITION:
+            new_rows = new_rows.withColumn(self.part, self._part_expr())
+        (new_rows.hint("rebalance", self.part).write.mode("errorifexists")
+         .partitionBy(self.part).parquet(self._data(version)))
+        written = self._written(version)
         return self._commit(version, commit_ts, source_id, sorted(touched), sorted(written))
 
     def history(self) -> DataFrame:

@@ -25,6 +25,9 @@ SESSION_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "static",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Listing a table with thousands of date partitions runs as a Spark job;
+    # one task per folder costs more than the listing itself.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
 }
 
 
