@@ -40,6 +40,7 @@ ASOF_TS = "2026-04-25 10:00:00"
 # The derived batches hold about seven years of dates each, where a daily
 # feed holds one; month partitions keep their files from being tiny.
 FACT_GRANULARITY = "month"
+LAYOUT = "l2"   # bump when the lake's on-disk layout changes
 
 # Types of the tie-break columns the derived transaction feed carries, in
 # the order they follow the contract columns in the feed file.
@@ -80,7 +81,8 @@ def land_feed(spark: SparkSession, lake: Lake, sf_dir: str, batch_date: str,
 def lake_for(spark: SparkSession, sf_dir: str) -> Lake:
     """The lake holding one full daily batch of the test data (built once)."""
     def build() -> Lake:
-        lake = Lake(spark, f"{work_root(spark)}/lake-{_fingerprint(sf_dir)}", FACT_GRANULARITY)
+        lake = Lake(spark, f"{work_root(spark)}/lake-{_fingerprint(sf_dir)}-{LAYOUT}",
+                    FACT_GRANULARITY)
         if not lake.is_built():
             land_feed(spark, lake, sf_dir, BATCH_DATE)
             lake.run_batch(BATCH_DATE, orders={"transactions": TXN_ORDER},

@@ -40,6 +40,7 @@ RECORD_SCHEMA = T.StructType([
     T.StructField("source_id", T.StringType()),
     T.StructField("touched", T.ArrayType(T.StringType())),
     T.StructField("written", T.ArrayType(T.StringType())),
+    T.StructField("spec", T.StringType()),
 ])
 
 
@@ -50,6 +51,7 @@ class Commit:
     source_id: str | None
     touched: tuple[str, ...]
     written: tuple[str, ...]
+    spec: str | None = None
 
 
 def _ts_text(ts) -> str:
@@ -76,8 +78,13 @@ class _Versioned:
         except AnalysisException:
             return []
         out = [Commit(r.version, r.commit_ts, r.source_id,
-                      tuple(r.touched or ()), tuple(r.written or ())) for r in rows]
-        return sorted(out, key=lambda c: c.version)
+                      tuple(r.touched or ()), tuple(r.written or ()), r.spec) for r in rows]
+        out = sorted(out, key=lambda c: c.version)
+        self._adopt(out)
+        return out
+
+    def _adopt(self, commits: list[Commit]) -> None:
+        """Take layout settings from the stored records (tables describe themselves)."""
 
     def head(self, at=None) -> Commit | None:
         commits = self.commits()
@@ -86,10 +93,12 @@ class _Versioned:
             commits = [c for c in commits if c.commit_ts <= limit]
         return commits[-1] if commits else None
 
-    def _commit(self, version: int, commit_ts, source_id, touched=(), written=()) -> Commit:
-        rec = Commit(version, _ts_text(commit_ts), source_id, tuple(touched), tuple(written))
+    def _commit(self, version: int, commit_ts, source_id, touched=(), written=(),
+                spec: str | None = None) -> Commit:
+        rec = Commit(version, _ts_text(commit_ts), source_id, tuple(touched), tuple(written), spec)
         (self.spark.createDataFrame([(rec.version, rec.commit_ts, rec.source_id,
-                                      list(rec.touched), list(rec.written))], RECORD_SCHEMA)
+                                      list(rec.touched), list(rec.written), rec.spec)],
+                                    RECORD_SCHEMA)
          .coalesce(1).write.mode("errorifexists").json(f"{self._records}/v={version:06d}"))
         return rec
 
@@ -136,9 +145,17 @@ class FactTable(_Versioned):
         super().__init__(spark, path)
         if granularity not in GRANULARITY:
             raise ValueError(f"granularity must be one of {sorted(GRANULARITY)}")
+        self._set_granularity(granularity)
+
+    def _set_granularity(self, granularity: str) -> None:
         self.granularity = granularity
         self.part = FACT_PARTITION if granularity == "day" else f"transaction_{granularity}"
 
+    def _adopt(self, commits: list[Commit]) -> None:
+        """An existing table keeps the spec it was created with (older records: day)."""
+        if commits:
+            self._set_granularity(commits[0].spec or "day")
+
     def _part_expr(self):
         unit = GRANULARITY[self.granularity]
         date = F.col(FACT_PARTITION)
@@ -235,7 +252,8 @@ class FactTable(_Versioned):
         (new_rows.hint("rebalance", self.part).write.mode("errorifexists")
          .partitionBy(self.part).parquet(self._data(version)))
         written = self._written(version)
-        return self._commit(version, commit_ts, source_id, sorted(touched), sorted(written))
+        return self._commit(version, commit_ts, source_id, sorted(touched), sorted(written),
+                            self.granularity)
 
     def history(self) -> DataFrame:
         """One row per commit: version, commit time, source id, partitions touched."""
