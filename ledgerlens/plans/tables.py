@@ -86,8 +86,8 @@ class _Versioned:
     def _adopt(self, commits: list[Commit]) -> None:
         """Take layout settings from the stored records (tables describe themselves)."""
 
-    def head(self, at=None) -> Commit | None:
-        commits = self.commits()
+    def head(self, at=None, commits: list[Commit] | None = None) -> Commit | None:
+        commits = self.commits() if commits is None else commits
         if at is not None:
             limit = _ts_text(at)
             commits = [c for c in commits if c.commit_ts <= limit]
@@ -161,12 +161,12 @@ class FactTable(_Versioned):
         date = F.col(FACT_PARTITION)
         return date if unit is None else F.trunc(date, unit)
 
-    def _live(self, upto: Commit | None) -> dict[str, int]:
+    def _live(self, upto: Commit | None, commits: list[Commit]) -> dict[str, int]:
         """Partition name -> version holding it, as of commit ``upto``."""
         live: dict[str, int] = {}
         if upto is None:
             return live
-        for c in self.commits():
+        for c in commits:
             if c.version > upto.version:
                 break
             for name in c.touched:
@@ -211,7 +211,8 @@ class FactTable(_Versioned):
 
     def read(self, at=None) -> DataFrame:
         """Current rows, or the rows as of timestamp ``at`` (empty before the first commit)."""
-        return self._read_live(self._live(self.head(at)))
+        commits = self.commits()
+        return self._read_live(self._live(self.head(at, commits), commits))
 
     def merge(self, source: DataFrame, commit_ts=None, source_id: str | None = None) -> Commit | None:
         """Upsert ``source`` on ``transaction_id``: matched rows replaced, others inserted.
@@ -227,7 +228,7 @@ class FactTable(_Versioned):
             return head
         assert_unique(source, self.key)
         version = head.version + 1 if head else 1
-        live = self._live(head)
+        live = self._live(head, commits)
         src_parts = {_part_name(r[0]) for r in
                      source.select(self._part_expr().alias("p")).distinct().collect()}
         if not src_parts:

@@ -33,7 +33,18 @@ TXN_ORDER = (Sort("transaction_ts", descending=True),) + tuple(Sort(c) for c in
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core on an input that scans as fewer splits than the cluster has.
+
+    A small single-row-group file scans as one task, and everything fused
+    into that stage runs single-threaded. Large inputs scan as many splits
+    and are returned untouched (no extra shuffle).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def _padded(prefix: str, key: Column, width: int) -> Column:
