@@ -207,4 +207,5 @@ union all select 'loan_applications', true, count(*) from raw_loan_applications"
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: with_views(body) for name, body in BODIES.items()}
+    from ..sources.synth import SQL as SYNTH_SQL
+    return {**{name: with_views(body) for name, body in BODIES.items()}, **SYNTH_SQL}
