@@ -16,11 +16,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import curate, summaries
 from ..operators.quality import validate
-from ..sources.contracts import CONTRACTS, DATASETS, Sort
-from ..sources.zones import Zones, read_raw_csv, write_parquet
+from ..sources.contracts import ACCOUNT_MASTER, CONTRACTS, CUSTOMER_PROFILE, DATASETS, Sort
+from ..sources.zones import Zones, read_raw_csv, require_columns, write_parquet
 from .tables import FactTable, ReplaceTable
 
 DIMENSIONS = ("dim_customers", "dim_accounts", "dim_merchants", "dim_branches")
+# Declared columns of each dimension; a refresh must carry all of them.
+DIM_COLUMNS = {
+    "dim_customers": CUSTOMER_PROFILE,
+    "dim_accounts": ACCOUNT_MASTER,
+    "dim_merchants": tuple(CONTRACTS["merchants"].names) + ("batch_date", "validated_at"),
+    "dim_branches": tuple(CONTRACTS["branches"].names) + ("batch_date", "validated_at"),
+}
 
 
 def run_parallel(jobs: dict, workers: int = 8) -> dict:
@@ -97,8 +104,8 @@ class Lake:
             "dim_merchants": lambda: self.validated("merchants", batch_date),
             "dim_branches": lambda: self.validated("branches", batch_date),
         }
-        run_parallel({name: (lambda name=name, src=src: self.table(name).replace(src()))
-                      for name, src in sources.items()})
+        run_parallel({name: (lambda name=name, src=src: self.table(name).replace(
+            require_columns(src(), DIM_COLUMNS[name], name))) for name, src in sources.items()})
 
     def merge_fact(self, batch_date: str, commit_ts=None) -> None:
         """Upsert the batch's transaction events into the fact (S12); replay-safe."""

@@ -64,6 +64,19 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def export_result(df: DataFrame, path: str) -> None:
+    """A query result as CSV with a header at an output location (S15)."""
+    df.write.mode("overwrite").option("header", True).csv(path)
+
+
+def require_columns(df: DataFrame, columns, table: str) -> DataFrame:
+    """Fail before writing when ``df`` lacks a column the table declares (S9)."""
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"{table}: missing declared columns {missing}")
+    return df
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

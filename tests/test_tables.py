@@ -83,3 +83,13 @@ def test_replace_table_versions(spark, scratch):
     t.replace(spark.createDataFrame([(2,), (3,)], "x int"), commit_ts="2026-01-02 00:00:00")
     assert sorted(r.x for r in t.read().collect()) == [2, 3]
     assert [r.x for r in t.read("2026-01-01 12:00:00").collect()] == [1]
+
+
+def test_export_and_dimension_contract(spark, scratch):
+    from ledgerlens.sources.zones import export_result, require_columns
+    df = spark.createDataFrame([("R", 2)], "region string, transaction_count long")
+    export_result(df, f"{scratch}/out")
+    back = spark.read.option("header", True).csv(f"{scratch}/out")
+    assert [tuple(r) for r in back.collect()] == [("R", "2")]
+    with pytest.raises(ValueError):
+        require_columns(df, ["region", "city"], "dim_branches")
