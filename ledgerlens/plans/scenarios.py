@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import os
 import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +28,7 @@ from ..sources.testbridge import (BATCH_DATE, TEST_TABLES, TXN_ORDER, raw_datase
                                   raw_transactions)
 from ..sources.zones import write_parquet, write_raw_csv
 from .lake import Lake, run_parallel
-from .tables import FactTable
+from .tables import FactTable, ReplaceTable
 
 # Fixed scenario values: the split between the two batches, their batch
 # dates and commit times, and the time-travel instant (the reference's own
@@ -48,6 +49,7 @@ TXN_EXTRAS = {"l_partkey": "long", "l_suppkey": "long", "l_quantity": "double",
               "l_discount": "double", "l_tax": "double", "l_returnflag": "string",
               "l_linestatus": "string"}
 
+RUN_ID = uuid.uuid4().hex[:12]
 _LOCK = threading.RLock()
 _BUILT: dict[tuple[str, str], object] = {}
 
@@ -79,18 +81,34 @@ def land_feed(spark: SparkSession, lake: Lake, sf_dir: str, batch_date: str,
 
 
 def lake_for(spark: SparkSession, sf_dir: str) -> Lake:
-    """The lake holding one full daily batch of the test data (built once)."""
+    """The lake holding one full daily batch of the test data (built once).
+
+    Each process builds into a private folder and then publishes it through a
+    one-row pointer table; the first publisher wins and later processes read
+    its lake. Concurrent builders never write to the same folder.
+    """
     def build() -> Lake:
-        lake = Lake(spark, f"{work_root(spark)}/lake-{_fingerprint(sf_dir)}-{LAYOUT}",
-                    FACT_GRANULARITY)
-        if not lake.is_built():
-            land_feed(spark, lake, sf_dir, BATCH_DATE)
-            lake.run_batch(BATCH_DATE, orders={"transactions": TXN_ORDER},
-                           extra_types={"transactions": TXN_EXTRAS}, commit_ts=COMMIT_A_TS)
+        base = f"{work_root(spark)}/lake-{_fingerprint(sf_dir)}-{LAYOUT}"
+        pointer = ReplaceTable(spark, f"{base}/_current")
+        if pointer.head() is not None:
+            return Lake(spark, pointer.read().first().root, FACT_GRANULARITY)
+        lake = Lake(spark, f"{base}/build-{RUN_ID}", FACT_GRANULARITY)
+        land_feed(spark, lake, sf_dir, BATCH_DATE)
+        lake.run_batch(BATCH_DATE, orders={"transactions": TXN_ORDER},
+                       extra_types={"transactions": TXN_EXTRAS}, commit_ts=COMMIT_A_TS)
+        try:
+            pointer.replace(spark.createDataFrame([(lake.root,)], "root string"))
+        except Exception:  # another process published first; this lake is complete too
+            pass
         return lake
     return _once(spark, sf_dir, "lake", build)
 
 
+def _private(lake: Lake) -> str:
+    """Scenario tables of this process (never shared with a concurrent one)."""
+    return f"{lake.root}/run-{RUN_ID}"
+
+
 def batch_events(spark: SparkSession, sf_dir: str, lake: Lake, which: str) -> DataFrame:
     """Curated transaction events of batch A (before the cutoff) or B (from it)."""
     raw = raw_transactions(spark, sf_dir)
@@ -105,7 +123,7 @@ def staged_events(spark: SparkSession, sf_dir: str, lake: Lake, which: str) -> D
     """Batch events written once to the staging zone, then read from there."""
     def build() -> str:
         batch = BATCH_A if which == "A" else BATCH_B
-        path = lake.zones.staging(f"scenario_events_{which}", batch)
+        path = f"{_private(lake)}/staging/scenario_events_{which}/batch_date={batch}"
         write_parquet(batch_events(spark, sf_dir, lake, which), path)
         return path
     return spark.read.parquet(_once(spark, sf_dir, f"events-{which}", build))
@@ -115,7 +133,7 @@ def two_batch_fact(spark: SparkSession, sf_dir: str, repeat_b: bool = False) ->
     """A fact table after upserting batch A, then B (then B again if ``repeat_b``)."""
     def build() -> FactTable:
         lake = lake_for(spark, sf_dir)
-        table = FactTable(spark, f"{lake.root}/scenario/fact{'_repeat' if repeat_b else ''}",
+        table = FactTable(spark, f"{_private(lake)}/fact{'_repeat' if repeat_b else ''}",
                           FACT_GRANULARITY)
         a = staged_events(spark, sf_dir, lake, "A")
         b = staged_events(spark, sf_dir, lake, "B")
@@ -134,7 +152,7 @@ def streamed_fact(spark: SparkSession, sf_dir: str) -> FactTable:
 
     def build() -> FactTable:
         lake = lake_for(spark, sf_dir)
-        root = f"{lake.root}/stream"
+        root = f"{_private(lake)}/stream"
         ingest = TransactionIngest(spark, landing=f"{root}/landing/transactions",
                                    checkpoint=f"{root}/checkpoint",
                                    fact=FactTable(spark, f"{root}/fact", FACT_GRANULARITY),
