@@ -22,7 +22,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .testbridge import read_table
+from .testbridge import read_table, spread
 
 SEED = 42
 BATCH = "2026-04-25"
@@ -203,7 +203,7 @@ def synth_transactions(spark, sf_dir):
     n_accounts = _count(spark, sf_dir, "accounts")
     n_customers = _count(spark, sf_dir, "customers")
     n_merchants = _count(spark, sf_dir, "merchants")
-    rows = read_table(spark, sf_dir, "lineitem").select(
+    rows = spread(read_table(spark, sf_dir, "lineitem")).select(
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("i"))
     i = F.col("i")
     acct = h(i, 31) % n_accounts + 1

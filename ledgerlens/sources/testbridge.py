@@ -33,7 +33,7 @@ TXN_ORDER = (Sort("transaction_ts", descending=True),) + tuple(Sort(c) for c in
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -147,7 +147,7 @@ def raw_loan_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = read_table(spark, sf_dir, "lineitem")
+    lineitem = spread(read_table(spark, sf_dir, "lineitem"))
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     ok, ln, pk = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
     status = (F.when(F.col("o_orderstatus") == "F", "FAILED")
