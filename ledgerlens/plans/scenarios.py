@@ -41,7 +41,7 @@ ASOF_TS = "2026-04-25 10:00:00"
 # The derived batches hold about seven years of dates each, where a daily
 # feed holds one; month partitions keep their files from being tiny.
 FACT_GRANULARITY = "month"
-LAYOUT = "l2"   # bump when the lake's on-disk layout changes
+LAYOUT = "l3"   # bump when the lake's on-disk layout changes
 
 # Types of the tie-break columns the derived transaction feed carries, in
 # the order they follow the contract columns in the feed file.

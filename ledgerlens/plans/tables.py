@@ -21,6 +21,7 @@ second writer of the same version fails on the existing record path.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -41,6 +42,7 @@ RECORD_SCHEMA = T.StructType([
     T.StructField("touched", T.ArrayType(T.StringType())),
     T.StructField("written", T.ArrayType(T.StringType())),
     T.StructField("spec", T.StringType()),
+    T.StructField("data", T.StringType()),
 ])
 
 
@@ -52,6 +54,7 @@ class Commit:
     touched: tuple[str, ...]
     written: tuple[str, ...]
     spec: str | None = None
+    data: str | None = None      # data folder of this version, relative to data/
 
 
 def _ts_text(ts) -> str:
@@ -78,7 +81,8 @@ class _Versioned:
         except AnalysisException:
             return []
         out = [Commit(r.version, r.commit_ts, r.source_id,
-                      tuple(r.touched or ()), tuple(r.written or ()), r.spec) for r in rows]
+                      tuple(r.touched or ()), tuple(r.written or ()), r.spec, r.data)
+               for r in rows]
         out = sorted(out, key=lambda c: c.version)
         self._adopt(out)
         return out
@@ -94,16 +98,23 @@ class _Versioned:
         return commits[-1] if commits else None
 
     def _commit(self, version: int, commit_ts, source_id, touched=(), written=(),
-                spec: str | None = None) -> Commit:
-        rec = Commit(version, _ts_text(commit_ts), source_id, tuple(touched), tuple(written), spec)
+                spec: str | None = None, data: str | None = None) -> Commit:
+        rec = Commit(version, _ts_text(commit_ts), source_id, tuple(touched), tuple(written), spec,
+                     data)
         (self.spark.createDataFrame([(rec.version, rec.commit_ts, rec.source_id,
-                                      list(rec.touched), list(rec.written), rec.spec)],
+                                      list(rec.touched), list(rec.written), rec.spec, rec.data)],
                                     RECORD_SCHEMA)
          .coalesce(1).write.mode("errorifexists").json(f"{self._records}/v={version:06d}"))
         return rec
 
-    def _data(self, version: int) -> str:
-        return f"{self.path}/data/v={version:06d}"
+    @staticmethod
+    def _new_data_name(version: int) -> str:
+        """A fresh folder per attempt: a retry after a crash never meets the
+        half-written folder of the attempt that died."""
+        return f"v={version:06d}-{uuid.uuid4().hex[:8]}"
+
+    def _data_of(self, commit: Commit) -> str:
+        return f"{self.path}/data/{commit.data or f'v={commit.version:06d}'}"
 
 
 class ReplaceTable(_Versioned):
@@ -112,15 +123,16 @@ class ReplaceTable(_Versioned):
     def replace(self, df: DataFrame, commit_ts=None) -> Commit:
         head = self.head()
         version = head.version + 1 if head else 1
-        df.write.mode("errorifexists").parquet(self._data(version))
-        return self._commit(version, commit_ts, None)
+        name = self._new_data_name(version)
+        df.write.mode("errorifexists").parquet(f"{self.path}/data/{name}")
+        return self._commit(version, commit_ts, None, data=name)
 
     def read(self, at=None) -> DataFrame:
         head = self.head(at)
         if head is None:
             raise LookupError(f"table {self.path} has no version"
                               + ("" if at is None else f" at {at}"))
-        return self.spark.read.parquet(self._data(head.version))
+        return self.spark.read.parquet(self._data_of(head))
 
     def exists(self) -> bool:
         return self.head() is not None
@@ -175,7 +187,7 @@ class FactTable(_Versioned):
                 live[name] = c.version
         return live
 
-    def _read_live(self, live: dict[str, int]) -> DataFrame:
+    def _read_live(self, live: dict[str, int], commits: list[Commit]) -> DataFrame:
         """Union over versions of that version's live partitions.
 
         Each version folder is listed once and pruned to its live dates by a
@@ -183,6 +195,7 @@ class FactTable(_Versioned):
         """
         if not live:
             return self.spark.createDataFrame([], FACT_SCHEMA)
+        by_number = {c.version: c for c in commits}
         by_version: dict[int, list[str]] = {}
         for name, v in live.items():
             by_version.setdefault(v, []).append(name)
@@ -192,7 +205,7 @@ class FactTable(_Versioned):
             keep = F.col(self.part).isin(dates)
             if NULL_PART in names:
                 keep = keep | F.col(self.part).isNull()
-            df = self.spark.read.parquet(self._data(v)).filter(keep)
+            df = self.spark.read.parquet(self._data_of(by_number[v])).filter(keep)
             parts.append(df.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
                                      for f in FACT_SCHEMA]))
         out = parts[0]
@@ -200,10 +213,10 @@ class FactTable(_Versioned):
             out = out.unionByName(df)
         return out
 
-    def _written(self, version: int) -> set[str]:
+    def _written(self, folder: str) -> set[str]:
         """Partitions a version wrote, from its file listing (no data read)."""
         names = set()
-        for path in self.spark.read.parquet(self._data(version)).inputFiles():
+        for path in self.spark.read.parquet(folder).inputFiles():
             for piece in path.split("/"):
                 if piece.startswith(f"{self.part}="):
                     names.add(piece.split("=", 1)[1])
@@ -212,7 +225,7 @@ class FactTable(_Versioned):
     def read(self, at=None) -> DataFrame:
         """Current rows, or the rows as of timestamp ``at`` (empty before the first commit)."""
         commits = self.commits()
-        return self._read_live(self._live(self.head(at, commits), commits))
+        return self._read_live(self._live(self.head(at, commits), commits), commits)
 
     def merge(self, source: DataFrame, commit_ts=None, source_id: str | None = None) -> Commit | None:
         """Upsert ``source`` on ``transaction_id``: matched rows replaced, others inserted.
@@ -234,7 +247,7 @@ class FactTable(_Versioned):
         if not src_parts:
             return head
         if live:
-            target = self._read_live(live)
+            target = self._read_live(live, commits)
             keys = bounded_broadcast(source.select(self.key))
             hit = {_part_name(r[0]) for r in target.join(keys, self.key, "left_semi")
                    .select(self._part_expr().alias("p")).distinct().collect()}
@@ -242,7 +255,7 @@ class FactTable(_Versioned):
             old_parts = {p: live[p] for p in touched if p in live}
             new_rows = source
             if old_parts:
-                kept = self._read_live(old_parts).join(keys, self.key, "left_anti")
+                kept = self._read_live(old_parts, commits).join(keys, self.key, "left_anti")
                 new_rows = kept.unionByName(source)
         else:
             touched, new_rows = src_parts, source
@@ -250,11 +263,13 @@ class FactTable(_Versioned):
         # date over several tasks, so files are neither tiny nor one per task.
         if self.part != FACT_PARTITION:
             new_rows = new_rows.withColumn(self.part, self._part_expr())
+        name = self._new_data_name(version)
+        folder = f"{self.path}/data/{name}"
         (new_rows.hint("rebalance", self.part).write.mode("errorifexists")
-         .partitionBy(self.part).parquet(self._data(version)))
-        written = self._written(version)
+         .partitionBy(self.part).parquet(folder))
+        written = self._written(folder)
         return self._commit(version, commit_ts, source_id, sorted(touched), sorted(written),
-                            self.granularity)
+                            self.granularity, name)
 
     def history(self) -> DataFrame:
         """One row per commit: version, commit time, source id, partitions touched."""

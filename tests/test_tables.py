@@ -93,3 +93,12 @@ def test_export_and_dimension_contract(spark, scratch):
     assert [tuple(r) for r in back.collect()] == [("R", "2")]
     with pytest.raises(ValueError):
         require_columns(df, ["region", "city"], "dim_branches")
+
+
+def test_retry_after_crashed_write(spark, scratch):
+    """A write that died before its commit record leaves a folder nobody reads."""
+    t = FactTable(spark, f"{scratch}/fact4")
+    _rows(spark, [("TX", 9, 99.0)], "dead").write.parquet(f"{scratch}/fact4/data/v=000001-crashed")
+    t.merge(_rows(spark, [("T1", 1, 10.0)], "b1"))
+    assert _state(t) == [("T1", 1, 10.0, "b1")]
+    assert t.head().version == 1
