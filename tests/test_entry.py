@@ -14,8 +14,8 @@ needs_data = pytest.mark.skipif(not os.path.exists(SF), reason="test tables not
 def test_registry_and_oracle_keys():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    missing = set(q) - set(o)
-    assert all(k.startswith("synth_") or k in {"quality_report"} for k in missing) or not missing
+    missing = set(E.QUERIES) - set(o)
+    assert not missing
 
 
 @needs_data
@@ -35,7 +35,8 @@ def _norm(rows):
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_oracle_parity(spark, name):
     con = duckdb.connect()
-    for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem"):
+    for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
+              "documents", "benchmark", "labels", "conversations"):
         con.execute(f"create view {t} as select * from read_parquet('{SF}/{t}.parquet')")
     df = E.queries()[name](spark, SF)
     res = con.execute(E.oracle_sql()[name])
