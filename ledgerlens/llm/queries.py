@@ -2,10 +2,23 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import near_dedup
-from ledgerlens.llm.common import documents, ship
+from ledgerlens.llm import bpe, classifier, decontaminate, near_dedup
+from ledgerlens.llm.common import documents, remainder, ship
+
+
+def op3_quality_classifier(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    model = classifier.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return classifier.score(docs, model).select(
+        "doc_id", (remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op7_bpe_automaton(spark, sf_dir):
+    return bpe.encode(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), tokens=False)
 
 
 def op8_simhash_near_dedup(spark, sf_dir):
@@ -20,5 +33,10 @@ def _shipped(fn):
     return run
 
 
-QUERIES = {fn.__name__: _shipped(fn) for fn in (op8_simhash_near_dedup,)}
+def op9_benchmark_decontamination(spark, sf_dir):
+    return decontaminate.find_items(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+QUERIES = {fn.__name__: _shipped(fn) for fn in (
+    op3_quality_classifier, op7_bpe_automaton, op8_simhash_near_dedup, op9_benchmark_decontamination)}
 ORACLE_SQL: dict[str, str] = {}
