@@ -1,23 +1,58 @@
 """The corpus pipeline: documents through five operators, each stage stored and reread.
 
 Every function takes (spark, docs, sf_dir) and returns a DataFrame; all but
-the last return the columns of ``documents``.
+the last return the columns of ``documents``. A stage works on all rows of
+``docs`` that the one before kept; null and empty texts, ties and repeated rows
+are treated as the operator's docstring says.
 """
 
 from __future__ import annotations
 
-from ledgerlens.llm import near_dedup
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from ledgerlens.llm import bpe, classifier, decontaminate, line_dedup, near_dedup
 from ledgerlens.llm.common import cut, documents, ship
 
 
+def quality_classifier(spark, docs, sf_dir):
+    """Documents that the classifier scores under 0.5 go; it learns from labelled rows that are not held out."""
+    ship(spark)
+    model = classifier.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return classifier.keep_accepted(docs, model)
+
+
+def fuzzy_line_dedup(spark, docs, sf_dir):
+    """Lines that an earlier place has go; a document that loses all its lines stays with an empty rest."""
+    ship(spark)
+    kind = docs.schema["n_chars"].dataType
+    return line_dedup.dedup_lines(docs).withColumn("n_chars", F.length("text").cast(kind))
+
+
 def simhash_near_dedup(spark, docs, sf_dir):
     """One document of each group of near-duplicates stays."""
     ship(spark)
     return near_dedup.drop_near_duplicates(docs)
 
 
+def benchmark_decontamination(spark, docs, sf_dir):
+    """Documents that hold a benchmark item go."""
+    ship(spark)
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def bpe_encoding(spark, docs, sf_dir):
+    """Token ids of each document, with the digests of the ids and of the text decoded from them."""
+    ship(spark)
+    return bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("line_dedup", fuzzy_line_dedup),
     ("simhash_near_dedup", simhash_near_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("bpe_encoding", bpe_encoding),
 ]
 
 # Classifier scores, edit distances and tokenizer output are not SQL.

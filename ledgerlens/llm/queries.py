@@ -5,10 +5,15 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import bpe, classifier, decontaminate, near_dedup
+from ledgerlens.llm import bpe, classifier, decontaminate, line_dedup, near_dedup
 from ledgerlens.llm.common import documents, remainder, ship
 
 
+def op1_line_dedup(spark, sf_dir):
+    return line_dedup.dedup_lines(documents(spark, sf_dir), lines_col="n_lines", kept_col="n_kept").select(
+        "doc_id", "n_lines", "n_kept", "text")
+
+
 def op3_quality_classifier(spark, sf_dir):
     docs = documents(spark, sf_dir)
     model = classifier.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -38,5 +43,6 @@ def op9_benchmark_decontamination(spark, sf_dir):
 
 
 QUERIES = {fn.__name__: _shipped(fn) for fn in (
-    op3_quality_classifier, op7_bpe_automaton, op8_simhash_near_dedup, op9_benchmark_decontamination)}
+    op1_line_dedup, op3_quality_classifier, op7_bpe_automaton, op8_simhash_near_dedup,
+    op9_benchmark_decontamination)}
 ORACLE_SQL: dict[str, str] = {}
