@@ -88,11 +88,12 @@ def links(fps: DataFrame, max_bits: int = 3, cell_rows: int = 4096) -> DataFrame
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3,
                     max_bits: int = 3) -> DataFrame:
-    """(doc_id, text_hash, fp, component_id), one row per input row.
+    """(doc_id, text_hash, fp, root, component_id), one row per input row.
 
     ``component_id`` is the smallest id reachable over links of ``max_bits`` or
     fewer differing bits. Null and empty texts share fingerprint 0 and so one
-    component; a null id is never a component's name unless all are null.
+    component; a null id is never a component's name unless all are null (then
+    ``root``, the component's smallest fingerprint, still tells them apart).
     Rows that repeat are copies of one another. Other columns are not read.
     """
     prints = cut(fingerprints(docs, id_col, text_col, width), "fingerprints")
@@ -102,8 +103,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = first.join(closed.select(F.col("node").alias("fp"), "root"), "fp", "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root"))
     smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    by_print = cut(named.join(smallest, "root").select("fp", "component_id"), "classes")
-    return prints.join(by_print, "fp").select("doc_id", "text_hash", "fp", "component_id")
+    by_print = cut(named.join(smallest, "root").select("fp", "root", "component_id"), "classes")
+    return prints.join(by_print, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3,
@@ -113,15 +114,16 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     All columns are kept. Of rows equal in id and text one stays.
     """
     found = near_duplicates(docs, id_col, text_col, width, max_bits)
-    best = F.min(F.struct("doc_id", "text_hash")).alias("best")
-    keep = cut(found.groupBy("component_id").agg(best).select("best.doc_id", "best.text_hash"), "kept")
-    copies = found.groupBy("doc_id", "text_hash").count().where("count > 1").select("doc_id", "text_hash")
-    mark = free_name(docs, "text_hash")
+    rows = found.groupBy("root", "doc_id", "text_hash").agg(F.count("*").alias("n"))
+    best = F.min(F.struct("doc_id", "text_hash", "n")).alias("best")
+    keep = cut(rows.groupBy("root").agg(best).select("best.*"), "kept")
+    mark, key, digest = (free_name(docs, n) for n in ("text_hash", "kept_id", "kept_hash"))
     rows = docs.withColumn(mark, F.xxhash64(text_col))
-    match = lambda t: F.col(id_col).eqNullSafe(t["doc_id"]) & (F.col(mark) == t["text_hash"])
-    stay = rows.join(keep, match(keep), "left_semi")
-    again = cut(copies.join(keep, ["doc_id", "text_hash"], "left_semi"), "copies")
+    named = lambda t: t.select(F.col("doc_id").alias(key), F.col("text_hash").alias(digest))
+    match = F.col(id_col).eqNullSafe(F.col(key)) & (F.col(mark) == F.col(digest))
+    stay = rows.join(named(keep), match, "left_semi")
+    again = named(keep.where("n > 1"))
     if again.isEmpty():
         return stay.drop(mark)
-    return (stay.join(again, match(again), "left_anti")
-            .unionByName(stay.join(again, match(again), "left_semi").dropDuplicates([id_col, mark])).drop(mark))
+    return (stay.join(again, match, "left_anti")
+            .unionByName(stay.join(again, match, "left_semi").dropDuplicates([id_col, mark])).drop(mark))
