@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import bpe, classifier, decontaminate, line_dedup, near_dedup
+from ledgerlens.llm import bpe, classifier, decontaminate, line_dedup, near_dedup, quality_rules, sharding, token_counts
 from ledgerlens.llm.common import documents, remainder, ship
 
 
@@ -22,6 +22,15 @@ def op3_quality_classifier(spark, sf_dir):
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op4_quality_rules(spark, sf_dir):
+    return quality_rules.judge(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op6_token_counts(spark, sf_dir):
+    return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 def op7_bpe_automaton(spark, sf_dir):
     return bpe.encode(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), tokens=False)
 
@@ -42,7 +51,17 @@ def op9_benchmark_decontamination(spark, sf_dir):
     return decontaminate.find_items(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+SHARDS = [f"shard-{i:02d}" for i in range(32)]
+SLOTS = 4099
+
+
+def op10_sharding(spark, sf_dir):
+    return sharding.place(documents(spark, sf_dir).select("doc_id"), ["doc_id"], SHARDS, SLOTS)
+
+
 QUERIES = {fn.__name__: _shipped(fn) for fn in (
-    op1_line_dedup, op3_quality_classifier, op7_bpe_automaton, op8_simhash_near_dedup,
-    op9_benchmark_decontamination)}
-ORACLE_SQL: dict[str, str] = {}
+    op1_line_dedup, op3_quality_classifier, op4_quality_rules, op6_token_counts, op7_bpe_automaton,
+    op8_simhash_near_dedup,
+    op9_benchmark_decontamination, op10_sharding)}
+ORACLE_SQL: dict[str, str] = {"op4_quality_rules": quality_rules.oracle_sql(),
+                              "op10_sharding": sharding.oracle_sql(SHARDS, SLOTS)}
