@@ -5,7 +5,18 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import bpe, classifier, decontaminate, line_dedup, near_dedup, quality_rules, sharding, token_counts
+from ledgerlens.llm import (
+    bpe,
+    chat,
+    classifier,
+    decontaminate,
+    line_dedup,
+    lm_scoring,
+    near_dedup,
+    quality_rules,
+    sharding,
+    token_counts,
+)
 from ledgerlens.llm.common import documents, remainder, ship
 
 
@@ -14,6 +25,10 @@ def op1_line_dedup(spark, sf_dir):
         "doc_id", "n_lines", "n_kept", "text")
 
 
+def op2_chat_formatting(spark, sf_dir):
+    return chat.repair(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op3_quality_classifier(spark, sf_dir):
     docs = documents(spark, sf_dir)
     model = classifier.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -27,6 +42,10 @@ def op4_quality_rules(spark, sf_dir):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op5_lm_scoring(spark, sf_dir):
+    return lm_scoring.score(documents(spark, sf_dir))
+
+
 def op6_token_counts(spark, sf_dir):
     return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
@@ -60,8 +79,7 @@ def op10_sharding(spark, sf_dir):
 
 
 QUERIES = {fn.__name__: _shipped(fn) for fn in (
-    op1_line_dedup, op3_quality_classifier, op4_quality_rules, op6_token_counts, op7_bpe_automaton,
-    op8_simhash_near_dedup,
-    op9_benchmark_decontamination, op10_sharding)}
+    op1_line_dedup, op2_chat_formatting, op3_quality_classifier, op4_quality_rules, op5_lm_scoring, op6_token_counts,
+    op7_bpe_automaton, op8_simhash_near_dedup, op9_benchmark_decontamination, op10_sharding)}
 ORACLE_SQL: dict[str, str] = {"op4_quality_rules": quality_rules.oracle_sql(),
                               "op10_sharding": sharding.oracle_sql(SHARDS, SLOTS)}
