@@ -121,6 +121,15 @@ def bucket_edges(rows: DataFrame, heavy: DataFrame, max_bits: int) -> DataFrame:
     rows meet PROBE and BOTH rows. ``heavy(key, ways)`` names the buckets to
     be cut into ``ways`` chunks.
     """
+    spread = rows.select("key", F.lit(0).cast("long").alias("cell"), "role", "fp")
+    if not heavy.isEmpty():
+        spread = _cut_up(rows, heavy)
+    return (spread.repartition("key", "cell").sortWithinPartitions("key", "cell", "role")
+            .mapInArrow(_sorted_cells(max_bits), EDGE))
+
+
+def _cut_up(rows: DataFrame, heavy: DataFrame) -> DataFrame:
+    """(key, cell, role, fp) with the rows of heavy buckets copied to the cells of their chunk."""
     chunk = F.pmod(F.xxhash64("fp"), F.col("ways"))
     span = F.sequence(F.lit(0).cast("long"), F.col("ways") - 1)
     one = F.array(F.struct(F.lit(0).cast("long").alias("cell"), F.col("role").cast("int").alias("role")))
@@ -132,8 +141,6 @@ def bucket_edges(rows: DataFrame, heavy: DataFrame, max_bits: int) -> DataFrame:
               .when(F.col("role") == PROBE, as_probe)
               .when(F.col("role") == TABLE, as_table)
               .otherwise(F.concat(as_probe, as_table)))
-    spread = (rows.join(heavy, "key", "left")
-              .select("key", "fp", F.explode(placed).alias("p"))
-              .select("key", "p.cell", "p.role", "fp"))
-    return (spread.repartition("key", "cell").sortWithinPartitions("key", "cell", "role")
-            .mapInArrow(_sorted_cells(max_bits), EDGE))
+    return (rows.join(heavy, "key", "left")
+            .select("key", "fp", F.explode(placed).alias("p"))
+            .select("key", "p.cell", "p.role", "fp"))

@@ -31,6 +31,7 @@ from ledgerlens.llm.cells import BOTH, PROBE, TABLE, bucket_edges
 from ledgerlens.llm.common import cut, free_name, raw, spans
 from ledgerlens.llm.components import components
 from ledgerlens.llm.simhash import majority
+from ledgerlens.llm.words import hashed_words, mixed
 
 _FOLD = bytes(32 if chr(b) in string.punctuation else 48 if 48 <= b <= 57 else b | 32 if 65 <= b <= 90 else b
               for b in range(256))
@@ -43,14 +44,20 @@ def normal_line(line: bytes) -> bytes:
     return b" ".join(line.translate(_FOLD).split()) or b"\0".join(line.split())
 
 
-class _Hashes(dict):
-    """XXH64 of a word, remembered up to a bound."""
-
-    def __missing__(self, word):
-        h = xxhash.xxh64_intdigest(word, 1)
-        if len(self) < 300_000:
-            self[word] = h
-        return h
+def line_prints(forms: list[bytes]) -> np.ndarray:
+    """SimHash of each normal form (none empty) over its set of words."""
+    out = np.empty(len(forms), np.uint64)
+    for s, e in spans([len(f) + 1 for f in forms], 1 << 20):
+        data = np.frombuffer(b"\n".join(forms[s:e]), np.uint8)
+        breaks = data == 10
+        hashes, starts = hashed_words(data, breaks | (data == 32))
+        line = np.searchsorted(np.flatnonzero(breaks), starts).astype(np.uint64)
+        # (line, word) pairs, each once; the word as 40 bits of its hash
+        pairs = np.sort(line << np.uint64(40) | mixed(hashes) >> np.uint64(24))
+        pairs = pairs[np.append(True, pairs[1:] != pairs[:-1])]
+        counts = np.bincount((pairs >> np.uint64(40)).astype(np.int64), minlength=e - s)
+        out[s:e] = majority(mixed(pairs & np.uint64((1 << 40) - 1)), counts)
+    return out
 
 
 def edit_distance(a: str, b: str) -> int:
@@ -111,26 +118,23 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text_hash, line_no, k1, k2, fp) of each line with a word; k1, k2: 128-bit hash of its normal form."""
     def run(batches):
-        hashes = _Hashes()
         for batch in batches:
             texts = raw(batch.column(2))
             for s, e in spans([len(t) for t in texts], 4 << 20):
-                rows, numbers, keys, sets = [], [], [], []
+                rows, numbers, forms = [], [], []
                 for i in range(s, e):
                     for n, line in enumerate(texts[i].split(b"\n")):
                         form = normal_line(line)
                         if form:
                             rows.append(i)
                             numbers.append(n)
-                            keys.append(xxhash.xxh3_128_digest(form))
-                            sets.append([hashes[w] for w in set(form.split())])
-                counts = np.fromiter(map(len, sets), np.int64, len(sets))
-                flat = np.fromiter((h for x in sets for h in x), np.uint64, int(counts.sum()))
-                halves = np.frombuffer(b"".join(keys), "<i8").reshape(-1, 2)
+                            forms.append(form)
+                keys = b"".join([xxhash.xxh3_128_digest(f) for f in forms])
+                halves = np.frombuffer(keys, "<i8").reshape(-1, 2)
                 at = pa.array(rows, pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(at), batch.column(1).take(at), pa.array(numbers, pa.int32()),
-                     pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(majority(flat, counts).view(np.int64))],
+                     pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(line_prints(forms).view(np.int64))],
                     ["doc_id", "text_hash", "line_no", "k1", "k2", "fp"])
     kind = docs.schema[id_col].dataType.simpleString()
     return _keyed(docs, id_col, text_col).mapInArrow(
@@ -196,7 +200,7 @@ def _verify(max_bits: int, similarity: float):
 
 
 def verified_links(docs: DataFrame, lines: DataFrame, id_col: str, text_col: str, max_bits: int, similarity: float,
-                   cell_rows: int = 1024) -> DataFrame:
+                   cell_rows: int = 256) -> DataFrame:
     """Edges (a, b) between line keys (struct k1, k2) whose components are those of all verified links."""
     fps = cut(lines.groupBy("fp").agg(F.count("*").alias("n")), "line-prints")
     closed = components(block_links(fps.select("fp"), max_bits))
