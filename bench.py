@@ -41,7 +41,7 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", max(8, cpus))
     times: dict[str, float] = {}
 
-    lake = Lake(spark, fresh_dir(spark, "bench-lake"), scenarios.FACT_GRANULARITY)
+    lake = Lake(spark, fresh_dir(spark, "bench-lake"), scenarios.FACT_PARTS)
     times["land_feed"] = timed(lambda: scenarios.land_feed(spark, lake, sf_dir, BATCH_DATE))
     times["pipeline"] = timed(lambda: lake.run_batch(
         BATCH_DATE, orders={"transactions": TXN_ORDER},
@@ -72,7 +72,7 @@ def main() -> None:
         path = lake.zones.staging(f"bench_events_{w}", BATCH_DATE)
         df.write.mode("overwrite").parquet(path)
         staged[w] = spark.read.parquet(path)
-    table = FactTable(spark, fresh_dir(spark, "bench-fact"), scenarios.FACT_GRANULARITY)
+    table = FactTable(spark, fresh_dir(spark, "bench-fact"), scenarios.FACT_PARTS)
     times["two_batch_merge"] = timed(lambda: (table.merge(staged["A"]), table.merge(staged["B"])))
 
     print(json.dumps({"metric": "total_sec", "value": round(sum(times.values()), 3),

@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 
 from ..functions.bands import balance_band, customer_risk_band, transaction_risk_band
 from ..sources.contracts import ACCOUNT_MASTER, CUSTOMER_PROFILE, FACT_COLUMNS
-from .joins import lookup_join
 
 
 def curate_customers(validated: DataFrame) -> DataFrame:
@@ -40,11 +39,11 @@ def _as_timestamp(df: DataFrame, name: str):
 def curate_transactions(validated: DataFrame, merchants: DataFrame) -> DataFrame:
     """Transaction events: merchant risk looked up (unknown merchant kept), date, band.
 
-    The merchant dimension is pruned to (merchant_id, risk_level) and
-    broadcast when its size is proven small; otherwise a shuffle join.
+    The merchant dimension is pruned to (merchant_id, risk_level); whether it is
+    broadcast is left to AQE, which knows its size in bytes when the join runs.
     """
     risk = merchants.select("merchant_id", "risk_level")
-    return (lookup_join(validated, risk, "merchant_id", "left")
+    return (validated.join(risk, "merchant_id", "left")
             .withColumn("transaction_ts", _as_timestamp(validated, "transaction_ts"))
             .withColumn("transaction_date", F.to_date("transaction_ts"))
             .withColumn("amount", F.col("amount").try_cast("double"))

@@ -1,22 +1,21 @@
 """Validation: required-column filter, typed parsing, one row per key.
 
-``keep_first`` is the dedupe. It is an aggregate (``min_by`` over a struct
-of the sort keys), not a ``row_number`` window: an aggregate is combined
-map-side, so a key holding a third of all rows is reduced inside every
-input task before the shuffle instead of being sorted in one task.
+``keep_first`` is the dedupe: the first row of a ``row_number`` window. Spark
+puts a group limit under the shuffle of such a window, so every input task
+sends at most one row of a key and a key holding a third of all rows is
+reduced before it meets in one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..sources.contracts import Contract, Sort
 
-_KEPT = "__kept"
+_RANK = "__rank"
 
 
 def require_not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -31,48 +30,21 @@ def require_not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def parse_column(df: DataFrame, name: str, target: str) -> Column:
     """``name`` as ``target`` type; unparsable text becomes NULL, never an error."""
     source = df.schema[name].dataType
-    wanted = T._parse_datatype_string(target)
-    if source == wanted:
-        return F.col(name)
-    return F.col(name).try_cast(target)
-
-
-def _descending(c: Column, dtype: T.DataType) -> Column:
-    """A value whose ascending order is ``c``'s descending order."""
-    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return F.bitwise_not(c.cast("long"))
-    if isinstance(dtype, (T.FloatType, T.DoubleType, T.DecimalType)):
-        return -c
-    if isinstance(dtype, T.BooleanType):
-        return ~c
-    if isinstance(dtype, T.DateType):
-        return F.bitwise_not(F.unix_date(c).cast("long"))
-    if isinstance(dtype, T.TimestampType):
-        return F.bitwise_not(F.unix_micros(c))
-    if isinstance(dtype, T.TimestampNTZType):
-        # the session zone is UTC (session.SESSION_CONF), so this is exact
-        return F.bitwise_not(F.unix_micros(c.cast("timestamp")))
-    raise NotImplementedError(f"descending tie-break on {dtype.simpleString()}")
-
-
-def sort_key(df: DataFrame, order: Sequence[Sort]) -> Column:
-    """One struct whose ascending order is ``order``, NULL placement included."""
-    parts = []
-    for i, s in enumerate(order):
-        c = F.col(s.column)
-        parts.append((c.isNull() if s.nulls_go_last else c.isNotNull()).alias(f"n{i}"))
-        value = _descending(c, df.schema[s.column].dataType) if s.descending else c
-        parts.append(value.alias(f"v{i}"))
-    return F.struct(*parts)
+    return F.col(name) if source.simpleString() == target else F.col(name).try_cast(target)
+
+
+def _ordering(s: Sort) -> Column:
+    c = F.col(s.column)
+    if s.descending:
+        return c.desc_nulls_last() if s.nulls_go_last else c.desc_nulls_first()
+    return c.asc_nulls_last() if s.nulls_go_last else c.asc_nulls_first()
 
 
 def keep_first(df: DataFrame, key: str | Sequence[str], order: Sequence[Sort]) -> DataFrame:
     """One row per key: the first under ``order``. Columns and their order are kept."""
     keys = [key] if isinstance(key, str) else list(key)
-    cols = df.columns
-    kept = (df.groupBy(*keys)
-            .agg(F.min_by(F.struct(*cols), sort_key(df, order)).alias(_KEPT)))
-    return kept.select(*[F.col(f"{_KEPT}.{c}").alias(c) for c in cols])
+    first = Window.partitionBy(*keys).orderBy(*([_ordering(s) for s in order] or [F.lit(1)]))
+    return df.withColumn(_RANK, F.row_number().over(first)).where(F.col(_RANK) == 1).drop(_RANK)
 
 
 def validate(raw: DataFrame, contract: Contract, batch_date: str,

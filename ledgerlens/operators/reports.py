@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.bands import HIGH
-from ..functions.money import as_double, exact_sum, partial_sum
-from .joins import bounded_broadcast
-from .summaries import _fact_by, account_branches
+from ..functions.money import exact_sum, sum_of_partials
+from .summaries import _fact_by, account_places
 
 
 def daily_channel_volume(fact: DataFrame) -> DataFrame:
@@ -22,24 +21,21 @@ def daily_channel_volume(fact: DataFrame) -> DataFrame:
 def high_risk_merchants(fact: DataFrame, merchants: DataFrame) -> DataFrame:
     """HIGH-band spend per merchant category and risk level (known merchants only)."""
     per_merchant = _fact_by(fact.filter(F.col("transaction_risk_band") == HIGH), "merchant_id")
-    dims = bounded_broadcast(merchants.select("merchant_id", "merchant_category", "risk_level"))
+    dims = merchants.select("merchant_id", "merchant_category", "risk_level")
     return (per_merchant.join(dims, "merchant_id")
             .groupBy("merchant_category", "risk_level")
             .agg(F.sum("n").cast("long").alias("transaction_count"),
-                 as_double(partial_sum("amt")).alias("total_amount"))
+                 sum_of_partials("amt").alias("total_amount"))
             .orderBy(F.col("total_amount").desc()))
 
 
 def top_branch_regions(fact: DataFrame, accounts: DataFrame, branches: DataFrame,
                        k: int = 20) -> DataFrame:
     """The k branch places with the largest transaction value (ties by place)."""
-    per_account = (fact.groupBy("account_id")
-                   .agg(F.count(F.lit(1)).alias("n"),
-                        F.sum(F.col("amount").cast("decimal(18,2)")).alias("amt")))
-    return (per_account.join(account_branches(accounts, branches), "account_id")
+    return (fact.select("account_id", "amount").join(account_places(accounts, branches), "account_id")
             .groupBy("region", "state", "city")
-            .agg(F.sum("n").cast("long").alias("transaction_count"),
-                 as_double(partial_sum("amt")).alias("total_amount"))
+            .agg(F.count(F.lit(1)).alias("transaction_count"),
+                 exact_sum("amount").alias("total_amount"))
             .orderBy(F.col("total_amount").desc_nulls_last(), F.col("region").asc_nulls_last(),
                      F.col("state").asc_nulls_last(), F.col("city").asc_nulls_last())
             .limit(k))

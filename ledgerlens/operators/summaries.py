@@ -1,11 +1,10 @@
 """The four summary tables.
 
-The fact is reduced before it meets a dimension: per (account, date), per
-customer or per merchant. Counts and exact DECIMAL partial sums re-add to
-the same totals, so the result equals joining raw fact rows, but the join
-shuffles one row per key instead of one per transaction, and a key holding
-a third of all transactions collapses map-side instead of landing in one
-join task.
+Branch places hang on accounts, so the fact is joined to its account's place
+and aggregated once: counts and sums are combined map-side, and AQE broadcasts
+the places by their size or splits an account that holds many transactions.
+Customers and merchants are the left side of theirs, so there the fact is
+reduced to a row for each key before it meets them.
 """
 
 from __future__ import annotations
@@ -14,22 +13,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.bands import HIGH
-from ..functions.money import as_double, exact_avg, exact_sum, money_sum, partial_sum
-from .joins import bounded_broadcast
+from ..functions.money import exact_avg, exact_sum, partial_sums, sum_of_partials
 
 
-def fact_by_account_day(fact: DataFrame) -> DataFrame:
-    """Per (account, date): rows, exact amount, HIGH-band rows."""
-    return (fact.groupBy("account_id", "transaction_date")
-            .agg(F.count(F.lit(1)).alias("n"),
-                 money_sum("amount").alias("amt"),
-                 F.sum(F.when(F.col("transaction_risk_band") == HIGH, 1).otherwise(0))
-                 .cast("long").alias("high")))
-
-
-def account_branches(accounts: DataFrame, branches: DataFrame) -> DataFrame:
+def account_places(accounts: DataFrame, branches: DataFrame) -> DataFrame:
     """account_id -> (region, state, city); accounts with an unknown branch drop out."""
-    place = bounded_broadcast(branches.select("branch_id", "region", "state", "city"))
+    place = branches.select("branch_id", "region", "state", "city")
     return accounts.select("account_id", "branch_id").join(place, "branch_id").drop("branch_id")
 
 
@@ -38,17 +27,18 @@ def daily_branch_summary(fact: DataFrame, accounts: DataFrame, branches: DataFra
 
     Inner joins: a transaction whose account or branch is unknown is left out.
     """
-    per_account = fact_by_account_day(fact).join(account_branches(accounts, branches),
-                                                  "account_id")
-    return (per_account.groupBy("transaction_date", "region", "state", "city")
-            .agg(F.sum("n").cast("long").alias("transaction_count"),
-                 as_double(partial_sum("amt")).alias("total_amount"),
-                 F.sum("high").cast("long").alias("high_risk_count")))
+    rows = fact.select("account_id", "transaction_date", "amount", "transaction_risk_band")
+    return (rows.join(account_places(accounts, branches), "account_id")
+            .groupBy("transaction_date", "region", "state", "city")
+            .agg(F.count(F.lit(1)).alias("transaction_count"),
+                 exact_sum("amount").alias("total_amount"),
+                 F.sum(F.when(F.col("transaction_risk_band") == HIGH, 1).otherwise(0))
+                 .cast("long").alias("high_risk_count")))
 
 
 def _fact_by(fact: DataFrame, key: str) -> DataFrame:
     return (fact.groupBy(key)
-            .agg(F.count("transaction_id").alias("n"), money_sum("amount").alias("amt")))
+            .agg(F.count("transaction_id").alias("n"), *partial_sums("amount", "amt")))
 
 
 def customer_risk_summary(customers: DataFrame, fact: DataFrame) -> DataFrame:
@@ -58,7 +48,7 @@ def customer_risk_summary(customers: DataFrame, fact: DataFrame) -> DataFrame:
     return (joined.groupBy("customer_segment", "customer_risk_band")
             .agg(F.count_distinct("customer_id").alias("customer_count"),
                  F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("transaction_count"),
-                 as_double(partial_sum("amt")).alias("total_transaction_amount")))
+                 sum_of_partials("amt").alias("total_transaction_amount")))
 
 
 def merchant_spend_summary(merchants: DataFrame, fact: DataFrame) -> DataFrame:
@@ -67,7 +57,7 @@ def merchant_spend_summary(merchants: DataFrame, fact: DataFrame) -> DataFrame:
               .join(_fact_by(fact, "merchant_id"), "merchant_id", "left"))
     return (joined.groupBy("merchant_category", "risk_level")
             .agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("transaction_count"),
-                 as_double(partial_sum("amt")).alias("total_amount")))
+                 sum_of_partials("amt").alias("total_amount")))
 
 
 def account_balance_snapshot(accounts: DataFrame) -> DataFrame:

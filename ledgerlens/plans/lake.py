@@ -16,18 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import curate, summaries
 from ..operators.quality import validate
-from ..sources.contracts import ACCOUNT_MASTER, CONTRACTS, CUSTOMER_PROFILE, DATASETS, Sort
-from ..sources.zones import Zones, read_raw_csv, require_columns, write_parquet
+from ..sources.contracts import CONTRACTS, DATASETS, DIM_SCHEMAS, Sort
+from ..sources.zones import Zones, read_raw_csv, require_schema, write_parquet
 from .tables import FactTable, ReplaceTable
 
-DIMENSIONS = ("dim_customers", "dim_accounts", "dim_merchants", "dim_branches")
-# Declared columns of each dimension; a refresh must carry all of them.
-DIM_COLUMNS = {
-    "dim_customers": CUSTOMER_PROFILE,
-    "dim_accounts": ACCOUNT_MASTER,
-    "dim_merchants": tuple(CONTRACTS["merchants"].names) + ("batch_date", "validated_at"),
-    "dim_branches": tuple(CONTRACTS["branches"].names) + ("batch_date", "validated_at"),
-}
+DIMENSIONS = tuple(DIM_SCHEMAS)
+CURATED = ("customer_profile", "account_master", "transaction_events")
 
 
 def run_parallel(jobs: dict, workers: int = 8) -> dict:
@@ -45,7 +39,7 @@ class Lake:
 
     spark: SparkSession
     root: str
-    fact_granularity: str = "day"
+    fact_part_format: str = "yyyy-MM-dd"
     zones: Zones = field(init=False)
 
     def __post_init__(self):
@@ -58,7 +52,7 @@ class Lake:
     @property
     def fact(self) -> FactTable:
         return FactTable(self.spark, self.zones.warehouse("fact_transactions"),
-                         self.fact_granularity)
+                         self.fact_part_format)
 
     def validated(self, dataset: str, batch_date: str) -> DataFrame:
         return self.spark.read.parquet(self.zones.validated(dataset, batch_date))
@@ -84,8 +78,8 @@ class Lake:
 
         run_parallel({d: (lambda d=d: job(d)) for d in datasets})
 
-    def curate(self, batch_date: str) -> None:
-        """Validated -> customer_profile, account_master, transaction_events."""
+    def curate(self, batch_date: str, names=CURATED) -> None:
+        """Validated -> customer_profile, account_master, transaction_events (one or all)."""
         v = lambda d: self.validated(d, batch_date)
         jobs = {
             "customer_profile": lambda: curate.curate_customers(v("customers")),
@@ -93,8 +87,8 @@ class Lake:
             "transaction_events": lambda: curate.curate_transactions(v("transactions"),
                                                                      v("merchants")),
         }
-        run_parallel({name: (lambda name=name, build=build: write_parquet(
-            build(), self.zones.staging(name, batch_date))) for name, build in jobs.items()})
+        run_parallel({name: (lambda name=name: write_parquet(
+            jobs[name](), self.zones.staging(name, batch_date))) for name in names})
 
     def load_dimensions(self, batch_date: str) -> None:
         """Full refresh of the four dimensions from the latest batch (S10)."""
@@ -105,23 +99,21 @@ class Lake:
             "dim_branches": lambda: self.validated("branches", batch_date),
         }
         run_parallel({name: (lambda name=name, src=src: self.table(name).replace(
-            require_columns(src(), DIM_COLUMNS[name], name))) for name, src in sources.items()})
+            require_schema(src(), DIM_SCHEMAS[name], name))) for name, src in sources.items()})
 
     def merge_fact(self, batch_date: str, commit_ts=None) -> None:
-        """Upsert the batch's transaction events into the fact (S12); replay-safe."""
-        self.fact.merge(self.staged("transaction_events", batch_date), commit_ts=commit_ts,
-                        source_id=f"batch:{batch_date}")
+        """Upsert the batch's transaction events into the fact (S12); a corrected day replaces its rows."""
+        self.fact.merge(self.staged("transaction_events", batch_date), commit_ts=commit_ts)
 
     def summary(self, name: str) -> DataFrame:
         """A summary computed from the current fact and dimensions."""
-        fact = self.fact.read()
         dim = lambda n: self.table(n).read()
         if name == "daily_branch_summary":
-            return summaries.daily_branch_summary(fact, dim("dim_accounts"), dim("dim_branches"))
+            return summaries.daily_branch_summary(self.fact.read(), dim("dim_accounts"), dim("dim_branches"))
         if name == "customer_risk_summary":
-            return summaries.customer_risk_summary(dim("dim_customers"), fact)
+            return summaries.customer_risk_summary(dim("dim_customers"), self.fact.read())
         if name == "merchant_spend_summary":
-            return summaries.merchant_spend_summary(dim("dim_merchants"), fact)
+            return summaries.merchant_spend_summary(dim("dim_merchants"), self.fact.read())
         if name == "account_balance_snapshot":
             return summaries.account_balance_snapshot(dim("dim_accounts"))
         raise KeyError(name)
@@ -138,5 +130,17 @@ class Lake:
         self.merge_fact(batch_date, commit_ts)
         self.build_summaries()
 
-    def is_built(self) -> bool:
-        return self.table(summaries.SUMMARIES[-1]).exists()
+    def register(self, database: str = "ledgerlens") -> str:
+        """SQL access (S6, S7, S14): the database is created if absent, every built table becomes a temp view.
+
+        Views have the tables' names and show the rows as they are now; the
+        fact's view stays one scan with its partition filter.
+        """
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        if self.fact.exists():
+            self.fact.read().createOrReplaceTempView("fact_transactions")
+        for name in (*DIMENSIONS, *summaries.SUMMARIES):
+            table = self.table(name)
+            if table.exists():
+                table.read().createOrReplaceTempView(name)
+        return database

@@ -2,7 +2,7 @@
 
 The prefix re-derives the banking tables from the test tables (the views of
 FIXTURES.md section 3, which ran unchanged in both engines); each query then
-states the reference's SQL over them. Money sums are cents-exact in both
+states the reference's SQL over them. Money sums are exact in both
 engines (DECIMAL sum cast to DOUBLE), integer sums are cast to BIGINT, and
 sorted queries with a limit carry key tie-breaks.
 """
@@ -10,24 +10,24 @@ sorted queries with a limit carry key tie-breaks.
 from __future__ import annotations
 
 from ..sources.testbridge import BATCH_DATE
-from .scenarios import BATCH_A, BATCH_B, CUTOFF
+from .scenarios import ASOF_FORMS, BATCH_A, BATCH_B, CUTOFF
 
 RAW_VIEWS = [
-    ("raw_branches", """select 'BR'||lpad(cast(n_nationkey as string),5,'0') branch_id, n_name||' Main Branch' branch_name, case when n_nationkey=24 then null else n_name end city, 'ST'||cast(n_nationkey%7 as string) state, r_name region
+    ("raw_branches", """select 'BR'||printf('%05d', n_nationkey) branch_id, n_name||' Main Branch' branch_name, case when n_nationkey=24 then null else n_name end city, 'ST'||cast(n_nationkey%7 as string) state, r_name region
 from nation join region on n_regionkey=r_regionkey"""),
-    ("raw_merchants", """select 'M'||lpad(cast(s_suppkey as string),6,'0') merchant_id, s_name merchant_name, case s_suppkey%8 when 0 then 'GROCERY' when 1 then 'TRAVEL' when 2 then 'FUEL' when 3 then 'DINING' when 4 then 'SHOPPING' when 5 then 'UTILITIES' when 6 then 'CASH' else 'SALARY' end merchant_category, case when s_suppkey%20=19 then null else case s_suppkey%4 when 0 then 'LOW' when 1 then 'LOW' when 2 then 'MEDIUM' else 'HIGH' end end risk_level
+    ("raw_merchants", """select 'M'||printf('%06d', s_suppkey) merchant_id, s_name merchant_name, case s_suppkey%8 when 0 then 'GROCERY' when 1 then 'TRAVEL' when 2 then 'FUEL' when 3 then 'DINING' when 4 then 'SHOPPING' when 5 then 'UTILITIES' when 6 then 'CASH' else 'SALARY' end merchant_category, case when s_suppkey%20=19 then null else case s_suppkey%4 when 0 then 'LOW' when 1 then 'LOW' when 2 then 'MEDIUM' else 'HIGH' end end risk_level
 from supplier
 union all select 'M999999', 'Idle', 'IDLE', 'LOW'"""),
-    ("raw_customers", """select 'C'||lpad(cast(c_custkey as string),8,'0') customer_id, c_name first_name, case when c_custkey%17=0 then null else c_mktsegment end last_name, 'CITY'||cast(c_custkey%8 as string) city, 'ST'||cast(c_custkey%7 as string) state, case when c_custkey%50=0 then null else case c_custkey%3 when 0 then 'REJECTED' when 1 then 'PENDING' else 'VERIFIED' end end kyc_status, c_mktsegment customer_segment, 'BR'||lpad(cast(c_nationkey as string),5,'0') home_branch_id, cast(date '2016-01-01' + cast(c_custkey%3651 as int) as date) created_at
+    ("raw_customers", """select 'C'||printf('%08d', c_custkey) customer_id, c_name first_name, case when c_custkey%17=0 then null else c_mktsegment end last_name, 'CITY'||cast(c_custkey%8 as string) city, 'ST'||cast(c_custkey%7 as string) state, case when c_custkey%50=0 then null else case c_custkey%3 when 0 then 'REJECTED' when 1 then 'PENDING' else 'VERIFIED' end end kyc_status, c_mktsegment customer_segment, 'BR'||printf('%05d', c_nationkey) home_branch_id, cast(date '2016-01-01' + cast(c_custkey%3651 as int) as date) created_at
 from customer
 union all select 'C99999999', 'Idle', null, 'CITY0', 'ST0', 'VERIFIED', 'IDLE', 'BR00001', date '2016-01-01'"""),
-    ("raw_accounts", """select 'A'||lpad(cast(c_custkey as string),9,'0') account_id, 'C'||lpad(cast(c_custkey as string),8,'0') customer_id, case when c_custkey%101=0 then null else 'BR'||lpad(cast((c_custkey*7)%27 as string),5,'0') end branch_id, c_mktsegment account_type, case c_custkey%5 when 0 then 'ACTIVE' when 1 then 'ACTIVE' when 2 then 'ACTIVE' when 3 then 'DORMANT' else 'CLOSED' end account_status, cast(date '2017-01-01' + cast(c_custkey%3201 as int) as date) open_date, case when c_custkey%67=0 then null else c_acctbal*150 end current_balance
+    ("raw_accounts", """select 'A'||printf('%09d', c_custkey) account_id, 'C'||printf('%08d', c_custkey) customer_id, case when c_custkey%101=0 then null else 'BR'||printf('%05d', (c_custkey*7)%27) end branch_id, c_mktsegment account_type, case c_custkey%5 when 0 then 'ACTIVE' when 1 then 'ACTIVE' when 2 then 'ACTIVE' when 3 then 'DORMANT' else 'CLOSED' end account_status, cast(date '2017-01-01' + cast(c_custkey%3201 as int) as date) open_date, case when c_custkey%67=0 then null else c_acctbal*150 end current_balance
 from customer"""),
-    ("raw_cards", """select 'CARD'||lpad(cast(c_custkey - c_custkey%2 as string),9,'0') card_id, 'A'||lpad(cast(c_custkey as string),9,'0') account_id, case c_custkey%3 when 0 then 'DEBIT' when 1 then 'CREDIT' else 'PREPAID' end card_type, case when c_custkey%13=0 then null when c_custkey%3=2 then 'BLOCKED' else 'ACTIVE' end card_status, cast(date '2017-01-01' + cast(c_custkey%3201 as int) as date) issued_date
+    ("raw_cards", """select 'CARD'||printf('%09d', c_custkey - c_custkey%2) card_id, 'A'||printf('%09d', c_custkey) account_id, case c_custkey%3 when 0 then 'DEBIT' when 1 then 'CREDIT' else 'PREPAID' end card_type, case when c_custkey%13=0 then null when c_custkey%3=2 then 'BLOCKED' else 'ACTIVE' end card_status, cast(date '2017-01-01' + cast(c_custkey%3201 as int) as date) issued_date
 from customer where c_custkey%10<7"""),
-    ("raw_loan_applications", """select 'L'||lpad(cast(o_orderkey as string),8,'0') application_id, 'C'||lpad(cast(o_custkey as string),8,'0') customer_id, cast(o_orderdate as date) application_date, case o_orderkey%4 when 0 then 'HOME' when 1 then 'AUTO' when 2 then 'PERSONAL' else 'BUSINESS' end loan_type, case when o_orderkey%29=0 then null else o_totalprice*20 end requested_amount, case o_orderstatus when 'F' then 'REJECTED' when 'O' then 'APPROVED' else 'SUBMITTED' end application_status
-from orders where o_orderpriority='1-URGENT'"""),
-    ("raw_transactions", """select 'T'||lpad(cast(l_orderkey as string),10,'0')||cast(l_linenumber as string) transaction_id, 'A'||lpad(cast(o_custkey as string),9,'0') account_id, 'C'||lpad(cast(o_custkey as string),8,'0') customer_id, 'M'||lpad(cast(l_suppkey as string),6,'0') merchant_id, l_shipdate transaction_ts, case when l_returnflag='R' then 'CREDIT' else 'DEBIT' end transaction_type, case l_linenumber%6 when 0 then 'ATM' when 1 then 'UPI' when 2 then 'POS' when 3 then 'NETBANKING' when 4 then 'MOBILE' else 'BRANCH' end channel, case l_partkey%8 when 0 then 'GROCERY' when 1 then 'TRAVEL' when 2 then 'FUEL' when 3 then 'DINING' when 4 then 'SHOPPING' when 5 then 'UTILITIES' when 6 then 'CASH' else 'SALARY' end category, case when l_partkey%97=0 then null else l_extendedprice*2 end amount, 'INR' currency, case o_orderstatus when 'F' then 'FAILED' when 'O' then 'SUCCESS' else 'REVERSED' end status, case when l_orderkey%11=0 then null else (l_orderkey+l_linenumber)%5=0 end is_suspected_fraud, l_partkey, l_suppkey, l_quantity, l_discount, l_tax, l_returnflag, l_linestatus
+    ("raw_loan_applications", """select 'L'||printf('%08d', o_orderkey) application_id, 'C'||printf('%08d', o_custkey) customer_id, cast(o_orderdate as date) application_date, case o_orderkey%4 when 0 then 'HOME' when 1 then 'AUTO' when 2 then 'PERSONAL' else 'BUSINESS' end loan_type, case when o_orderkey%29=0 then null else o_totalprice*20 end requested_amount, case o_orderstatus when 'F' then 'REJECTED' when 'O' then 'APPROVED' else 'SUBMITTED' end application_status
+from orders"""),
+    ("raw_transactions", """select 'T'||printf('%010d', l_orderkey)||cast(l_linenumber as string) transaction_id, 'A'||printf('%09d', o_custkey) account_id, 'C'||printf('%08d', o_custkey) customer_id, 'M'||printf('%06d', l_suppkey) merchant_id, l_shipdate transaction_ts, case when l_returnflag='R' then 'CREDIT' else 'DEBIT' end transaction_type, case l_linenumber%6 when 0 then 'ATM' when 1 then 'UPI' when 2 then 'POS' when 3 then 'NETBANKING' when 4 then 'MOBILE' else 'BRANCH' end channel, case l_partkey%8 when 0 then 'GROCERY' when 1 then 'TRAVEL' when 2 then 'FUEL' when 3 then 'DINING' when 4 then 'SHOPPING' when 5 then 'UTILITIES' when 6 then 'CASH' else 'SALARY' end category, case when l_partkey%97=0 then null else l_extendedprice*2 end amount, 'INR' currency, case o_orderstatus when 'F' then 'FAILED' when 'O' then 'SUCCESS' else 'REVERSED' end status, case when l_orderkey%11=0 then null else (l_orderkey+l_linenumber)%5=0 end is_suspected_fraud, l_partkey, l_suppkey, l_quantity, l_discount, l_tax, l_returnflag, l_linestatus
 from lineitem join orders on l_orderkey=o_orderkey"""),
 ]
 
@@ -93,6 +93,14 @@ SCENARIO_VIEWS = [
          f"{TXN_REQUIRED} and transaction_ts >= {CUT}", f"'{BATCH_B}'"),
     _fact("fact_a", "val_txn_a"),
     _fact("fact_b", "val_txn_b"),
+    ("raw_low", """select * replace (amount - 1 as amount) from raw_transactions"""),
+    _val("val_low", TXN_COLS, "transaction_id", TXN_ORDER, "raw_low", TXN_REQUIRED),
+    _val("val_corrected", TXN_COLS, "transaction_id", TXN_ORDER, "raw_transactions",
+         f"{TXN_REQUIRED} and l_partkey % 3 <> 0"),
+    _fact("fact_low", "val_low"),
+    _fact("fact_corrected", "val_corrected"),
+    ("fact_rerun", """select * from fact_low a where not exists (select 1 from fact_corrected b where b.transaction_id = a.transaction_id)
+union all select * from fact_corrected"""),
     ("fact_merged", """select * from fact_a a where not exists (select 1 from fact_b b where b.transaction_id = a.transaction_id)
 union all select * from fact_b"""),
 ]
@@ -106,7 +114,7 @@ def with_views(body: str) -> str:
     return f"with {ctes}\n{body}"
 
 
-MONEY = "cast(sum(cast({} as decimal(18,2))) as double)"
+MONEY = "cast(sum(cast({} as decimal(28,6))) as double)"
 
 
 def _m(col: str) -> str:
@@ -136,8 +144,13 @@ from val_transactions v join (select transaction_id, count(*) as copies from raw
     "merge_idempotent": f"select {FACT_SELECT} from fact_merged",
     "merge_partition_move": """select transaction_date, count(*) as transaction_count
 from fact_merged group by transaction_date""",
+    "merge_corrected_rerun": f"select {FACT_SELECT} from fact_rerun",
     "incremental_upsert": f"select {FACT_SELECT} from fact_merged",
     "asof_fact": f"select {FACT_SELECT} from fact_a",
+    "asof_forms": "\nunion all ".join(
+        f"select '{at}' as as_of, " + (f"(select count(*) from {table})" if table else "cast(0 as bigint)")
+        + " as transaction_count" for at, table in zip(ASOF_FORMS, (
+            None, None, "fact_a", None, "fact_a", "fact_a", "fact_a", "fact_merged"))),
     "asof_count": "select count(*) as transaction_count from fact_a",
     "daily_branch_summary": f"""select f.transaction_date, b.region, b.state, b.city,
   count(*) as transaction_count, {_m('f.amount')} as total_amount,
@@ -204,6 +217,15 @@ union all select 'cards', true, count(*) from raw_cards
 union all select 'transactions', true, count(*) from raw_transactions
 union all select 'loan_applications', true, count(*) from raw_loan_applications""",
 }
+BODIES["sql_daily_channel_volume"] = BODIES["daily_channel_volume"]
+BODIES["export_roundtrip"] = BODIES["customer_risk_ranked"]
+BODIES["partial_batch_completeness"] = """select 'branches' as dataset, true as file_present, count(*) as row_count from raw_branches
+union all select 'merchants', false, 0
+union all select 'customers', true, count(*) from raw_customers
+union all select 'accounts', false, 0
+union all select 'cards', true, 0
+union all select 'transactions', false, 0
+union all select 'loan_applications', false, 0"""
 
 
 def oracle_sql() -> dict[str, str]:

@@ -19,7 +19,10 @@ from ..operators.quality import duplicate_keys, require_not_null, validate
 from ..sources.contracts import CONTRACTS, DATASETS, FACT_COLUMNS
 from ..sources.testbridge import BATCH_DATE, dedupe_order, raw_dataset
 from ..sources import landing, synth
+from ..sources.zones import export_result, write_raw_csv
+from ..session import fresh_dir
 from . import scenarios
+from .lake import Lake
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -104,6 +107,47 @@ def asof_count(spark, sf_dir):
     return reports.row_count(asof_fact(spark, sf_dir), "transaction_count")
 
 
+def merge_corrected_rerun(spark, sf_dir):
+    return scenarios.corrected_fact(spark, sf_dir).read().select(*FACT_COLUMNS)
+
+
+def asof_forms(spark, sf_dir):
+    """Rows of the two-batch fact as of timestamps written in several forms."""
+    table = scenarios.two_batch_fact(spark, sf_dir)
+    out = None
+    for at in scenarios.ASOF_FORMS:
+        one = table.read(at=at).agg(F.count(F.lit(1)).alias("transaction_count")).select(
+            F.lit(at).alias("as_of"), "transaction_count")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def sql_daily_channel_volume(spark, sf_dir):
+    """The channel report as SQL over the registered tables."""
+    scenarios.lake_for(spark, sf_dir).register()
+    return spark.sql("""
+        SELECT transaction_date, channel, count(*) AS transaction_count,
+               CAST(sum(CAST(amount AS DECIMAL(28,6))) AS DOUBLE) AS total_amount
+        FROM fact_transactions GROUP BY transaction_date, channel
+        ORDER BY transaction_date DESC, total_amount DESC""")
+
+
+def export_roundtrip(spark, sf_dir):
+    """The customer risk report as exported to CSV and read back."""
+    report = customer_risk_ranked(spark, sf_dir)
+    path = fresh_dir(spark, "export")
+    export_result(report, path)
+    return spark.read.schema(report.schema).option("header", True).option("enforceSchema", False).csv(path)
+
+
+def partial_batch_completeness(spark, sf_dir):
+    """Arrival check of a batch folder with one file without rows and all other datasets missing but two."""
+    lake = Lake(spark, fresh_dir(spark, "partial"))
+    scenarios.land_feed(spark, lake, sf_dir, BATCH_DATE, ("branches", "customers"))
+    write_raw_csv(raw_dataset(spark, sf_dir, "cards").limit(0), lake.zones.raw("cards", BATCH_DATE))
+    return landing.batch_completeness(spark, lake.zones.raw_batch(BATCH_DATE))
+
+
 def incremental_upsert(spark, sf_dir):
     return scenarios.streamed_fact(spark, sf_dir).read().select(*FACT_COLUMNS)
 
@@ -177,9 +221,11 @@ QUERIES: dict[str, Query] = {
     "merge_transactions": merge_transactions,
     "merge_idempotent": merge_idempotent,
     "merge_partition_move": merge_partition_move,
+    "merge_corrected_rerun": merge_corrected_rerun,
     "incremental_upsert": incremental_upsert,
     "asof_fact": asof_fact,
     "asof_count": asof_count,
+    "asof_forms": asof_forms,
     **{name: _summary(name) for name in summaries.SUMMARIES},
     "daily_channel_volume": daily_channel_volume,
     "high_risk_merchants": high_risk_merchants,
@@ -194,5 +240,8 @@ QUERIES: dict[str, Query] = {
     "check_account_count": check_account_count,
     "quality_report": quality_report,
     "batch_completeness": batch_completeness,
+    "partial_batch_completeness": partial_batch_completeness,
+    "sql_daily_channel_volume": sql_daily_channel_volume,
+    "export_roundtrip": export_roundtrip,
     **synth.QUERIES,
 }

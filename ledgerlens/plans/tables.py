@@ -1,21 +1,18 @@
 """Warehouse tables on plain Parquet: full-refresh tables and the upserted fact.
 
-Data files are immutable. A table is a series of commits; each commit is a
-one-row JSON record under ``_commits/v=N`` written after its data, so a
-version exists only once its record does (a job that dies mid-write leaves
-no record and is simply redone). Readers take the highest version, or for
-time travel the highest version committed at or before a timestamp.
-
-* ``ReplaceTable`` -- full refresh: every version is a complete copy.
-* ``FactTable`` -- keyed upsert, partitioned by ``transaction_date``. A merge
-  rewrites only the date partitions it touches (dates of the source rows and
-  dates where a matched target row lived, so a row that changes date leaves
-  its old partition); all other partitions stay where earlier versions wrote
-  them. Each record stores the dates it touched and the dates it wrote, so
-  the live partition set of any version is a fold over the records.
-
-One writer at a time is assumed (the batch runs one at a time as well); a
-second writer of the same version fails on the existing record path.
+Data files are immutable. A write goes to a folder of its own and becomes
+visible with its one-row commit record, written last; what a job that died left
+behind is named by no record. Readers take the newest commit, or for time travel
+the newest one at or before a timestamp.
+
+* ``ReplaceTable``: every commit is a complete copy.
+* ``FactTable``: keyed upsert. A merge rewrites the date partitions it touches,
+  those of the source rows and those a matched target row leaves; the others
+  stay where earlier commits wrote them. Reading is one scan with a filter on
+  the partition columns ``written_by`` and ``part``.
+
+One writer at a time, as the daily batch runs; merging a source again gives the
+same rows, so a replay needs no guard.
 """
 
 from __future__ import annotations
@@ -29,251 +26,152 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.joins import bounded_broadcast
-from ..operators.upsert import assert_unique
+from ..operators.upsert import DuplicateSourceKey
+from ..session import fresh_dir
 from ..sources.contracts import FACT_COLUMNS, FACT_KEY, FACT_PARTITION, FACT_SCHEMA
 
-NULL_PART = "__HIVE_DEFAULT_PARTITION__"
-
 RECORD_SCHEMA = T.StructType([
     T.StructField("version", T.LongType()),
-    T.StructField("commit_ts", T.StringType()),
-    T.StructField("source_id", T.StringType()),
+    T.StructField("commit_ts", T.TimestampType()),
+    T.StructField("folder", T.StringType()),
     T.StructField("touched", T.ArrayType(T.StringType())),
-    T.StructField("written", T.ArrayType(T.StringType())),
-    T.StructField("spec", T.StringType()),
-    T.StructField("data", T.StringType()),
 ])
 
 
+def as_utc(at) -> _dt.datetime:
+    """A timestamp argument in UTC: a date (its midnight), a datetime, or their ISO text, with or without a zone."""
+    if isinstance(at, str):
+        at = _dt.datetime.fromisoformat(at.strip())
+    elif not isinstance(at, _dt.datetime):
+        at = _dt.datetime(at.year, at.month, at.day)
+    return at.replace(tzinfo=_dt.timezone.utc) if at.tzinfo is None else at.astimezone(_dt.timezone.utc)
+
+
 @dataclass(frozen=True)
 class Commit:
     version: int
-    commit_ts: str
-    source_id: str | None
+    commit_ts: _dt.datetime
+    folder: str
     touched: tuple[str, ...]
-    written: tuple[str, ...]
-    spec: str | None = None
-    data: str | None = None      # data folder of this version, relative to data/
 
 
-def _ts_text(ts) -> str:
-    if ts is None:
-        ts = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    if isinstance(ts, _dt.datetime):
-        return ts.strftime("%Y-%m-%d %H:%M:%S.%f")
-    text = str(ts).replace("T", " ")
-    return text if "." in text else text + ".000000"
-
-
-class _Versioned:
+class _Committed:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
 
     @property
-    def _records(self) -> str:
-        return f"{self.path}/_commits"
+    def data(self) -> str:
+        return f"{self.path}/data"
 
     def commits(self) -> list[Commit]:
+        """All commits, oldest first (one small record a batch)."""
         try:
-            rows = self.spark.read.schema(RECORD_SCHEMA).json(self._records).collect()
-        except AnalysisException:
+            rows = self.spark.read.schema(RECORD_SCHEMA).json(f"{self.path}/_commits").select(
+                "version", F.unix_micros("commit_ts").alias("micros"), "folder", "touched").collect()
+        except AnalysisException as err:
+            if err.getCondition() != "PATH_NOT_FOUND":
+                raise
             return []
-        out = [Commit(r.version, r.commit_ts, r.source_id,
-                      tuple(r.touched or ()), tuple(r.written or ()), r.spec, r.data)
-               for r in rows]
-        out = sorted(out, key=lambda c: c.version)
-        self._adopt(out)
-        return out
-
-    def _adopt(self, commits: list[Commit]) -> None:
-        """Take layout settings from the stored records (tables describe themselves)."""
-
-    def head(self, at=None, commits: list[Commit] | None = None) -> Commit | None:
-        commits = self.commits() if commits is None else commits
-        if at is not None:
-            limit = _ts_text(at)
-            commits = [c for c in commits if c.commit_ts <= limit]
-        return commits[-1] if commits else None
-
-    def _commit(self, version: int, commit_ts, source_id, touched=(), written=(),
-                spec: str | None = None, data: str | None = None) -> Commit:
-        rec = Commit(version, _ts_text(commit_ts), source_id, tuple(touched), tuple(written), spec,
-                     data)
-        (self.spark.createDataFrame([(rec.version, rec.commit_ts, rec.source_id,
-                                      list(rec.touched), list(rec.written), rec.spec, rec.data)],
-                                    RECORD_SCHEMA)
-         .coalesce(1).write.mode("errorifexists").json(f"{self._records}/v={version:06d}"))
-        return rec
-
-    @staticmethod
-    def _new_data_name(version: int) -> str:
-        """A fresh folder per attempt: a retry after a crash never meets the
-        half-written folder of the attempt that died."""
-        return f"v={version:06d}-{uuid.uuid4().hex[:8]}"
-
-    def _data_of(self, commit: Commit) -> str:
-        return f"{self.path}/data/{commit.data or f'v={commit.version:06d}'}"
-
-
-class ReplaceTable(_Versioned):
-    """Full refresh: ``replace(df)`` writes a complete new version."""
-
-    def replace(self, df: DataFrame, commit_ts=None) -> Commit:
-        head = self.head()
-        version = head.version + 1 if head else 1
-        name = self._new_data_name(version)
-        df.write.mode("errorifexists").parquet(f"{self.path}/data/{name}")
-        return self._commit(version, commit_ts, None, data=name)
+        epoch = _dt.datetime(1970, 1, 1, tzinfo=_dt.timezone.utc)
+        return sorted((Commit(r.version, epoch + _dt.timedelta(microseconds=r.micros), r.folder,
+                              tuple(r.touched or ())) for r in rows), key=lambda c: c.version)
 
-    def read(self, at=None) -> DataFrame:
-        head = self.head(at)
-        if head is None:
-            raise LookupError(f"table {self.path} has no version"
-                              + ("" if at is None else f" at {at}"))
-        return self.spark.read.parquet(self._data_of(head))
+    def _upto(self, at) -> list[Commit]:
+        commits = self.commits()
+        return commits if at is None else [c for c in commits if c.commit_ts <= as_utc(at)]
 
     def exists(self) -> bool:
-        return self.head() is not None
+        return bool(self.commits())
+
+    def _next(self, commits: list[Commit], commit_ts) -> tuple[int, _dt.datetime]:
+        """Number and time of a new commit; commit times never go back."""
+        ts = _dt.datetime.now(_dt.timezone.utc) if commit_ts is None else as_utc(commit_ts)
+        if commits and ts < commits[-1].commit_ts:
+            raise ValueError(f"commit time {ts} is before the last commit's {commits[-1].commit_ts}")
+        return (commits[-1].version + 1 if commits else 1), ts
+
+    def _record(self, version: int, ts: _dt.datetime, folder: str, touched=()) -> None:
+        row = self.spark.createDataFrame([(version, ts.isoformat(), folder, list(touched))],
+                                         "version long, commit_ts string, folder string, touched array<string>")
+        (row.withColumn("commit_ts", F.col("commit_ts").cast("timestamp")).coalesce(1)
+         .write.mode("errorifexists").json(f"{self.path}/_commits/v={version:06d}"))
 
 
-def _part_name(value) -> str:
-    return NULL_PART if value is None else value.isoformat()
+class ReplaceTable(_Committed):
+    """Full refresh: ``replace(df)`` writes a complete new copy."""
 
+    def replace(self, df: DataFrame, commit_ts=None) -> None:
+        version, ts = self._next(self.commits(), commit_ts)
+        folder = f"v{version:06d}-{uuid.uuid4().hex[:8]}"
+        df.write.mode("errorifexists").parquet(f"{self.data}/{folder}")
+        self._record(version, ts, folder)
 
-# Physical partition spec of the fact: the reference partitions by day; a
-# coarser transform (as Iceberg's months()/years()) suits data whose batches
-# span years of dates. Rows, keys and results do not depend on it.
-GRANULARITY = {"day": None, "month": "MM", "year": "YYYY"}
+    def read(self, at=None) -> DataFrame:
+        commits = self._upto(at)
+        if not commits:
+            raise LookupError(f"table {self.path} has no version" + ("" if at is None else f" at {at}"))
+        return self.spark.read.parquet(f"{self.data}/{commits[-1].folder}")
 
 
-class FactTable(_Versioned):
-    """The transaction fact: keyed upsert, date partitions, time travel."""
+class FactTable(_Committed):
+    """The transaction fact. ``part_format`` is the date pattern of its partitions, days unless given."""
 
     key = FACT_KEY
 
-    def __init__(self, spark: SparkSession, path: str, granularity: str = "day"):
+    def __init__(self, spark: SparkSession, path: str, part_format: str = "yyyy-MM-dd"):
         super().__init__(spark, path)
-        if granularity not in GRANULARITY:
-            raise ValueError(f"granularity must be one of {sorted(GRANULARITY)}")
-        self._set_granularity(granularity)
-
-    def _set_granularity(self, granularity: str) -> None:
-        self.granularity = granularity
-        self.part = FACT_PARTITION if granularity == "day" else f"transaction_{granularity}"
-
-    def _adopt(self, commits: list[Commit]) -> None:
-        """An existing table keeps the spec it was created with (older records: day)."""
-        if commits:
-            self._set_granularity(commits[0].spec or "day")
-
-    def _part_expr(self):
-        unit = GRANULARITY[self.granularity]
-        date = F.col(FACT_PARTITION)
-        return date if unit is None else F.trunc(date, unit)
-
-    def _live(self, upto: Commit | None, commits: list[Commit]) -> dict[str, int]:
-        """Partition name -> version holding it, as of commit ``upto``."""
-        live: dict[str, int] = {}
-        if upto is None:
-            return live
-        for c in commits:
-            if c.version > upto.version:
-                break
-            for name in c.touched:
-                live.pop(name, None)
-            for name in c.written:
-                live[name] = c.version
-        return live
-
-    def _read_live(self, live: dict[str, int], commits: list[Commit]) -> DataFrame:
-        """Union over versions of that version's live partitions.
-
-        Each version folder is listed once and pruned to its live dates by a
-        partition filter, rather than listing every partition path.
-        """
-        if not live:
-            return self.spark.createDataFrame([], FACT_SCHEMA)
-        by_number = {c.version: c for c in commits}
-        by_version: dict[int, list[str]] = {}
-        for name, v in live.items():
-            by_version.setdefault(v, []).append(name)
-        parts = []
-        for v, names in sorted(by_version.items()):
-            dates = [_dt.date.fromisoformat(n) for n in names if n != NULL_PART]
-            keep = F.col(self.part).isin(dates)
-            if NULL_PART in names:
-                keep = keep | F.col(self.part).isNull()
-            df = self.spark.read.parquet(self._data_of(by_number[v])).filter(keep)
-            parts.append(df.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
-                                     for f in FACT_SCHEMA]))
-        out = parts[0]
-        for df in parts[1:]:
-            out = out.unionByName(df)
-        return out
-
-    def _written(self, folder: str) -> set[str]:
-        """Partitions a version wrote, from its file listing (no data read)."""
-        names = set()
-        for path in self.spark.read.parquet(folder).inputFiles():
-            for piece in path.split("/"):
-                if piece.startswith(f"{self.part}="):
-                    names.add(piece.split("=", 1)[1])
-        return names
+        self.part_format = part_format
+
+    def _part(self):
+        return F.coalesce(F.date_format(FACT_PARTITION, self.part_format), F.lit("none"))
+
+    def _scan(self, commits: list[Commit], only: set[str] | None = None) -> DataFrame:
+        """The live rows of ``commits`` with their partition column, of the partitions ``only`` if given."""
+        owner = {part: c.folder for c in commits for part in c.touched}
+        by_folder: dict[str, list[str]] = {}
+        for part, folder in owner.items():
+            if only is None or part in only:
+                by_folder.setdefault(folder, []).append(part)
+        schema = T.StructType([*FACT_SCHEMA, T.StructField("written_by", T.StringType()),
+                               T.StructField("part", T.StringType())])
+        if not by_folder:
+            return self.spark.createDataFrame([], schema).drop("written_by")
+        live = F.lit(False)
+        for folder, parts in by_folder.items():
+            live = live | ((F.col("written_by") == folder) & F.col("part").isin(parts))
+        return self.spark.read.schema(schema).parquet(self.data).where(live).drop("written_by")
 
     def read(self, at=None) -> DataFrame:
         """Current rows, or the rows as of timestamp ``at`` (empty before the first commit)."""
-        commits = self.commits()
-        return self._read_live(self._live(self.head(at, commits), commits), commits)
+        return self._scan(self._upto(at)).drop("part")
 
-    def merge(self, source: DataFrame, commit_ts=None, source_id: str | None = None) -> Commit | None:
-        """Upsert ``source`` on ``transaction_id``: matched rows replaced, others inserted.
+    def merge(self, source: DataFrame, commit_ts=None) -> None:
+        """Upsert ``source`` on the key: matched rows are replaced, others inserted. A key that repeats is an error.
 
-        ``source_id`` makes a replay of the same source a no-op (stream
-        batches are delivered at least once). A source key that repeats is
-        an error.
+        The source is read twice: for its keys and partitions, joined to those
+        of the target and stored, and to be written.
         """
-        source = source.select(*FACT_COLUMNS)
+        source = source.select(*FACT_COLUMNS).withColumn("part", self._part())
         commits = self.commits()
-        head = commits[-1] if commits else None
-        if source_id is not None and any(c.source_id == source_id for c in commits):
-            return head
-        assert_unique(source, self.key)
-        version = head.version + 1 if head else 1
-        live = self._live(head, commits)
-        src_parts = {_part_name(r[0]) for r in
-                     source.select(self._part_expr().alias("p")).distinct().collect()}
-        if not src_parts:
-            return head
-        if live:
-            target = self._read_live(live, commits)
-            keys = bounded_broadcast(source.select(self.key))
-            hit = {_part_name(r[0]) for r in target.join(keys, self.key, "left_semi")
-                   .select(self._part_expr().alias("p")).distinct().collect()}
-            touched = src_parts | hit
-            old_parts = {p: live[p] for p in touched if p in live}
-            new_rows = source
-            if old_parts:
-                kept = self._read_live(old_parts, commits).join(keys, self.key, "left_anti")
-                new_rows = kept.unionByName(source)
-        else:
-            touched, new_rows = src_parts, source
-        # REBALANCE by date: AQE packs small dates together and splits a hot
-        # date over several tasks, so files are neither tiny nor one per task.
-        if self.part != FACT_PARTITION:
-            new_rows = new_rows.withColumn(self.part, self._part_expr())
-        name = self._new_data_name(version)
-        folder = f"{self.path}/data/{name}"
-        (new_rows.hint("rebalance", self.part).write.mode("errorifexists")
-         .partitionBy(self.part).parquet(folder))
-        written = self._written(folder)
-        return self._commit(version, commit_ts, source_id, sorted(touched), sorted(written),
-                            self.granularity, name)
-
-    def history(self) -> DataFrame:
-        """One row per commit: version, commit time, source id, partitions touched."""
-        return self.spark.createDataFrame(
-            [(c.version, c.commit_ts, c.source_id, len(c.touched), len(c.written))
-             for c in self.commits()],
-            "version long, commit_ts string, source_id string, touched int, written int")
+        version, ts = self._next(commits, commit_ts)
+        target = self._scan(commits)
+        keys = source.groupBy(self.key).agg(F.count(F.lit(1)).alias("copies"), F.min("part").alias("part"))
+        met = keys.join(target.select(self.key, F.col("part").alias("was")), self.key, "left")
+        path = fresh_dir(self.spark, "merge-keys")
+        met.write.parquet(path)
+        met = self.spark.read.schema(met.schema).parquet(path)
+        pairs = met.groupBy("part", "was").agg(F.max("copies").alias("copies"),
+                                               F.max_by(self.key, "copies").alias("example")).collect()
+        for r in pairs:
+            if r.copies > 1:
+                raise DuplicateSourceKey(f"upsert source repeats {self.key}={r.example!r} ({r.copies} rows)")
+        touched = {r.part for r in pairs} | {r.was for r in pairs if r.was is not None}
+        if not touched:
+            return
+        kept = self._scan(commits, touched).join(met.where("was IS NOT NULL").select(self.key), self.key, "left_anti")
+        # REBALANCE packs small partitions together and splits a hot one over several tasks.
+        folder = f"v{version:06d}-{uuid.uuid4().hex[:8]}"
+        (kept.unionByName(source).hint("rebalance", "part").write.mode("errorifexists")
+         .partitionBy("part").parquet(f"{self.data}/written_by={folder}"))
+        self._record(version, ts, folder, sorted(touched))

@@ -25,20 +25,21 @@ SESSION_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "static",
     "spark.sql.parquet.compression.codec": "zstd",
-    # Listing a table with thousands of date partitions runs as a Spark job;
-    # one task per folder costs more than the listing itself.
-    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str = "local[*]", shuffle_partitions: int | None = None,
                   app_name: str = "ledgerlens", extra: dict | None = None) -> SparkSession:
-    """Session for local runs and tests; on a cluster pass the cluster's master."""
+    """Session for local runs and tests; on a cluster pass the cluster's master.
+
+    The number of shuffle partitions stays Spark's own unless it is given.
+    """
     builder = (SparkSession.builder.master(master).appName(app_name)
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
-               .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", os.environ.get("LEDGERLENS_DRIVER_MEMORY", "8g")))
+    if shuffle_partitions is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in {**SESSION_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

@@ -40,14 +40,6 @@ class Contract:
     def names(self) -> list[str]:
         return [c for c, _ in self.columns]
 
-    def type_of(self, column: str) -> str:
-        return dict(self.columns)[column]
-
-    @property
-    def raw_schema(self) -> T.StructType:
-        """Every column as STRING: the raw file's text, parsed later with try-casts."""
-        return T.StructType([T.StructField(c, T.StringType()) for c in self.names])
-
     @property
     def total_order(self) -> tuple[Sort, ...]:
         """``order`` followed by every other column, so ties are broken."""
@@ -57,14 +49,8 @@ class Contract:
 
 S, D, TS, DT, BOOL = "string", "double", "timestamp_ntz", "date", "boolean"
 
-# The required columns per dataset, first one = unique key.
-#   customers         customer_id, kyc_status, home_branch_id
-#   accounts          account_id, customer_id, branch_id
-#   transactions      transaction_id, account_id, customer_id, amount
-#   merchants         merchant_id, merchant_category, risk_level
-#   branches          branch_id, city, region
-#   cards             card_id, account_id, card_status
-#   loan_applications application_id, customer_id, requested_amount
+# Columns and types of each dataset, then its required columns,
+# the first of them the unique key.
 CONTRACTS: dict[str, Contract] = {
     "branches": Contract(
         "branches",
@@ -112,33 +98,39 @@ CONTRACTS: dict[str, Contract] = {
 
 DATASETS = tuple(CONTRACTS)
 
-# Curated and warehouse column lists, in order.
-CUSTOMER_PROFILE = ("customer_id", "customer_name", "city", "state", "kyc_status",
-                    "customer_segment", "home_branch_id", "created_at", "batch_date",
-                    "customer_risk_band")
-ACCOUNT_MASTER = ("account_id", "customer_id", "branch_id", "account_type", "account_status",
-                  "open_date", "current_balance", "batch_date", "balance_band")
-FACT_COLUMNS = ("transaction_id", "account_id", "customer_id", "merchant_id", "transaction_ts",
-                "transaction_date", "transaction_type", "channel", "category", "amount",
-                "currency", "status", "is_suspected_fraud", "transaction_risk_band",
-                "batch_date")
+_TYPES = {"string": T.StringType(), "double": T.DoubleType(), "boolean": T.BooleanType(), "date": T.DateType(),
+          "timestamp": T.TimestampType(), "timestamp_ntz": T.TimestampNTZType()}
+
+
+def _struct(columns: str) -> T.StructType:
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in
+                         (c.split() for c in columns.split(","))])
+
+
+# Curated and warehouse columns with their types, in order.
+CUSTOMER_SCHEMA = _struct(
+    "customer_id string, customer_name string, city string, state string, kyc_status string, "
+    "customer_segment string, home_branch_id string, created_at date, batch_date string, "
+    "customer_risk_band string")
+ACCOUNT_SCHEMA = _struct(
+    "account_id string, customer_id string, branch_id string, account_type string, "
+    "account_status string, open_date date, current_balance double, batch_date string, "
+    "balance_band string")
+MERCHANT_SCHEMA = _struct(
+    "merchant_id string, merchant_name string, merchant_category string, risk_level string, "
+    "batch_date string, validated_at timestamp")
+BRANCH_SCHEMA = _struct(
+    "branch_id string, branch_name string, city string, state string, region string, "
+    "batch_date string, validated_at timestamp")
+FACT_SCHEMA = _struct(
+    "transaction_id string, account_id string, customer_id string, merchant_id string, "
+    "transaction_ts timestamp_ntz, transaction_date date, transaction_type string, channel string, "
+    "category string, amount double, currency string, status string, is_suspected_fraud boolean, "
+    "transaction_risk_band string, batch_date string")
+DIM_SCHEMAS = {"dim_customers": CUSTOMER_SCHEMA, "dim_accounts": ACCOUNT_SCHEMA,
+               "dim_merchants": MERCHANT_SCHEMA, "dim_branches": BRANCH_SCHEMA}
+CUSTOMER_PROFILE = tuple(CUSTOMER_SCHEMA.names)
+ACCOUNT_MASTER = tuple(ACCOUNT_SCHEMA.names)
+FACT_COLUMNS = tuple(FACT_SCHEMA.names)
 FACT_KEY = "transaction_id"
 FACT_PARTITION = "transaction_date"
-
-FACT_SCHEMA = T.StructType([
-    T.StructField("transaction_id", T.StringType()),
-    T.StructField("account_id", T.StringType()),
-    T.StructField("customer_id", T.StringType()),
-    T.StructField("merchant_id", T.StringType()),
-    T.StructField("transaction_ts", T.TimestampNTZType()),
-    T.StructField("transaction_date", T.DateType()),
-    T.StructField("transaction_type", T.StringType()),
-    T.StructField("channel", T.StringType()),
-    T.StructField("category", T.StringType()),
-    T.StructField("amount", T.DoubleType()),
-    T.StructField("currency", T.StringType()),
-    T.StructField("status", T.StringType()),
-    T.StructField("is_suspected_fraud", T.BooleanType()),
-    T.StructField("transaction_risk_band", T.StringType()),
-    T.StructField("batch_date", T.StringType()),
-])

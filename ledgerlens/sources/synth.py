@@ -2,17 +2,17 @@
 
 The feed's generator is one process drawing from a seeded random stream, so
 its output cannot be split across machines. Here every value is a pure
-function of (seed, row number, column): an integer hash computed with BIGINT
-arithmetic that never overflows, so any partition of any table can be
-generated independently, on any number of executors, with the same result.
-References (an account's customer, a transaction's account and merchant)
-are hashes of the referring row, and a transaction's customer is re-derived
-from its account's hash instead of joining the accounts table.
-
-Row numbers come from the driver's test tables (supplier -> branches, part
--> merchants, customer -> customers, orders -> accounts and loan
-applications, lineitem -> transactions), so the generated volume grows with
-them. ``SQL`` mirrors every expression for the DuckDB oracle.
+function of (seed, row number, column): a hash over a prime field in BIGINT
+arithmetic that never overflows, so any partition of any table can be generated
+independently, on any number of executors, with the same result. References
+are drawn from the row numbers that exist, 0 to n - 1, and a transaction's
+customer is re-derived from its account's hash instead of joining the accounts.
+
+``synthesize`` lands a batch of any size as CSV. The registered ``synth_*``
+queries take their row numbers from the driver's test tables (supplier ->
+branches, part -> merchants, customer -> customers, orders -> accounts and loan
+applications, four transactions an order), so the volume grows with them;
+``SQL`` mirrors every expression for the DuckDB oracle.
 """
 
 from __future__ import annotations
@@ -22,57 +22,51 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .testbridge import read_table, spread
+from .contracts import DATASETS
+from .domains import (ACCOUNT_STATUS, ACCOUNT_TYPES, CARD_SHARE, CARD_STATUS, CARD_TYPES, CATEGORIES, CHANNELS, CITIES,
+                      FIRST_NAMES, FRAUD_ONE_IN, KYC_STATUS, LAST_NAMES, LOAN_STATUS, LOAN_TYPES, REGIONS, RISK_LEVELS,
+                      SEGMENTS, STATES, TXN_STATUS, TXN_TYPES)
+from .testbridge import read_table
+from .zones import Zones, write_raw_csv
 
 SEED = 42
 BATCH = "2026-04-25"
-M31 = 2147483648          # 2**31
-
-# Fixed values of the generator's domains (list order matters; repeated
-# entries give the weights of a weighted choice).
-FIRST_NAMES = ["Aarav", "Vivaan", "Aditya", "Isha", "Anaya", "Diya", "Rohan", "Neha", "Kabir", "Mira"]
-LAST_NAMES = ["Sharma", "Patel", "Gupta", "Singh", "Reddy", "Iyer", "Khan", "Mehta", "Joshi", "Nair"]
-CITIES = ["Mumbai", "Delhi", "Bengaluru", "Hyderabad", "Chennai", "Pune", "Kolkata", "Ahmedabad"]
-STATES = ["MH", "DL", "KA", "TG", "TN", "WB", "GJ"]
-CHANNELS = ["ATM", "UPI", "POS", "NETBANKING", "MOBILE", "BRANCH"]
-TXN_TYPES = ["DEBIT", "CREDIT"]
-CATEGORIES = ["GROCERY", "TRAVEL", "FUEL", "DINING", "SHOPPING", "UTILITIES", "CASH", "SALARY"]
-ACCOUNT_TYPES = ["SAVINGS", "CURRENT", "SALARY", "NRI"]
-KYC_STATUS = ["VERIFIED", "PENDING", "REJECTED"]
-REGIONS = ["WEST", "NORTH", "SOUTH", "EAST"]
-SEGMENTS = ["RETAIL", "PREMIUM", "WEALTH", "SME"]
-RISK_LEVELS = ["LOW", "LOW", "MEDIUM", "HIGH"]
-ACCOUNT_STATUS = ["ACTIVE", "ACTIVE", "ACTIVE", "DORMANT", "CLOSED"]
-CARD_TYPES = ["DEBIT", "CREDIT", "PREPAID"]
-CARD_STATUS = ["ACTIVE", "ACTIVE", "BLOCKED"]
-TXN_STATUS = ["SUCCESS", "SUCCESS", "SUCCESS", "FAILED", "REVERSED"]
-LOAN_TYPES = ["HOME", "AUTO", "PERSONAL", "BUSINESS"]
-LOAN_STATUS = ["SUBMITTED", "APPROVED", "REJECTED", "UNDER_REVIEW"]
-CARD_SHARE = 7            # of 10 accounts hold a card
-FRAUD_ONE_IN = 5
+P = 2147483647            # the prime 2**31 - 1
+LINES = 4                 # transactions an order in the registered queries
+# Rows of a batch unless told otherwise.
+SIZES = {"branches": 1_000, "merchants": 10_000, "customers": 100_000, "accounts": 150_000,
+         "transactions": 1_000_000, "loan_applications": 50_000}
 
 
 # --- the hash, as a Spark Column and as SQL text ----------------------------
+# x -> x^5 permutes the field, and fifth powers of x and x + d have nothing in
+# common, so columns of a row and neighbouring rows come out independent.
 
-def h(row: Column, salt: int) -> Column:
-    """Uniform integer in [0, 2**31) from (SEED, row, salt)."""
-    lo = row % M31
-    hi = ((row - lo) / M31).cast("long")        # exact: a multiple of 2**31 below 2**53
-    x = ((lo * 2654435761) % M31 + hi * 40503 + SEED * 97 + salt * 7919) % M31
-    x = (x * 1103515245 + 12345) % M31
-    return (x * 1103515245 + 12345) % M31
+def _point(salt: int, seed: int) -> int:
+    return (seed * 1_000_003 + salt * 7_368_787 + 12_345) % P
+
+
+def h(row: Column, salt: int, seed: int = SEED) -> Column:
+    """Uniform integer in [0, 2**31 - 1) from (seed, row, salt)."""
+    lo, hi = row % P, F.floor(row / P).cast("long")
+    x = (lo * 1_103_515_245 + hi * 40_503 + _point(salt, seed)) % P
+    square = x * x % P
+    return square * square % P * x % P
 
 
 def h_sql(row: str, salt: int) -> str:
-    lo, hi = f"(({row}) % {M31})", f"(({row}) // {M31})"
-    x = f"((({lo} * 2654435761) % {M31} + {hi} * 40503 + {SEED * 97} + {salt * 7919}) % {M31})"
-    x = f"((({x}) * 1103515245 + 12345) % {M31})"
-    return f"((({x}) * 1103515245 + 12345) % {M31})"
+    x = f"((({row}) % {P} * 1103515245 + ({row}) // {P} * 40503 + {_point(salt, SEED)}) % {P})"
+    square = f"({x} * {x} % {P})"
+    return f"({square} * {square} % {P} * {x} % {P})"
+
 
+def below(n, row: Column, salt: int, seed: int = SEED) -> Column:
+    """Uniform integer in [0, n), for n up to 2**62."""
+    return (h(row, salt, seed) * P + h(row, salt + 500, seed)) % n
 
-def pick(values: list[str], row: Column, salt: int) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]),
-                        (h(row, salt) % len(values) + 1).cast("int"))
+
+def below_sql(n: str, row: str, salt: int) -> str:
+    return f"(({h_sql(row, salt)} * {P} + {h_sql(row, salt + 500)}) % {n})"
 
 
 def pick_sql(values: list[str], row: str, salt: int) -> str:
@@ -80,19 +74,10 @@ def pick_sql(values: list[str], row: str, salt: int) -> str:
     return f"list_extract({arr}, cast({h_sql(row, salt)} % {len(values)} + 1 as integer))"
 
 
-def between(lo: int, hi: int, row: Column, salt: int) -> Column:
-    return h(row, salt) % (hi - lo + 1) + lo
-
-
 def between_sql(lo: int, hi: int, row: str, salt: int) -> str:
     return f"({h_sql(row, salt)} % {hi - lo + 1} + {lo})"
 
 
-def money(lo: int, hi: int, row: Column, salt: int) -> Column:
-    """Uniform amount in [lo, hi] with two decimals (whole cents, exact)."""
-    return (h(row, salt) % ((hi - lo) * 100 + 1) + lo * 100).cast("double") / 100
-
-
 def money_sql(lo: int, hi: int, row: str, salt: int) -> str:
     return f"(cast({h_sql(row, salt)} % {(hi - lo) * 100 + 1} + {lo * 100} as double) / 100)"
 
@@ -113,7 +98,116 @@ def days_after_sql(start: str, n: str) -> str:
     return f"cast(date '{start}' + cast({n} as integer) as date)"
 
 
-# --- row sources ------------------------------------------------------------
+class Generator:
+    """The datasets over given row numbers: ``rows[dataset]`` has a column ``i``, ``sizes`` counts them."""
+
+    def __init__(self, rows: Callable[[str], DataFrame], sizes: dict[str, int], seed: int = SEED, batch: str = BATCH):
+        self.rows, self.sizes, self.seed, self.batch = rows, sizes, seed, batch
+        self.digits = batch.replace("-", "")
+
+    def _pick(self, values: list[str], row: Column, salt: int) -> Column:
+        index = (h(row, salt, self.seed) % len(values) + 1).cast("int")
+        return F.element_at(F.array(*[F.lit(v) for v in values]), index)
+
+    def _between(self, lo: int, hi: int, row: Column, salt: int) -> Column:
+        return h(row, salt, self.seed) % (hi - lo + 1) + lo
+
+    def _money(self, lo: int, hi: int, row: Column, salt: int) -> Column:
+        """Uniform amount in [lo, hi] with two decimals (whole cents, exact)."""
+        return (h(row, salt, self.seed) % ((hi - lo) * 100 + 1) + lo * 100).cast("double") / 100
+
+    def _ref(self, dataset: str, row: Column, salt: int) -> Column:
+        return below(self.sizes[dataset], row, salt, self.seed)
+
+    def branches(self) -> DataFrame:
+        i = F.col("i")
+        return self.rows("branches").select(
+            padded("BR", 5, i).alias("branch_id"),
+            F.concat(self._pick(CITIES, i, 1), F.lit(" Main Branch "), i.cast("string")).alias("branch_name"),
+            self._pick(CITIES, i, 2).alias("city"), self._pick(STATES, i, 3).alias("state"),
+            self._pick(REGIONS, i, 4).alias("region"))
+
+    def merchants(self) -> DataFrame:
+        i = F.col("i")
+        return self.rows("merchants").select(
+            padded("M", 6, i).alias("merchant_id"),
+            F.concat(F.lit("Merchant "), i.cast("string")).alias("merchant_name"),
+            self._pick(CATEGORIES, i, 5).alias("merchant_category"),
+            self._pick(RISK_LEVELS, i, 6).alias("risk_level"))
+
+    def customers(self) -> DataFrame:
+        i = F.col("i")
+        return self.rows("customers").select(
+            padded("C", 8, i).alias("customer_id"),
+            self._pick(FIRST_NAMES, i, 51).alias("first_name"), self._pick(LAST_NAMES, i, 52).alias("last_name"),
+            self._pick(CITIES, i, 53).alias("city"), self._pick(STATES, i, 54).alias("state"),
+            self._pick(KYC_STATUS, i, 55).alias("kyc_status"), self._pick(SEGMENTS, i, 56).alias("customer_segment"),
+            padded("BR", 5, self._ref("branches", i, 57)).alias("home_branch_id"),
+            days_after("2016-01-01", self._between(0, 3650, i, 58)).alias("created_at"))
+
+    def _account_customer(self, account: Column) -> Column:
+        return padded("C", 8, self._ref("customers", account, 11))
+
+    def _accounts(self) -> DataFrame:
+        i = F.col("i")
+        return self.rows("accounts").select(
+            "i", padded("A", 9, i).alias("account_id"), self._account_customer(i).alias("customer_id"),
+            padded("BR", 5, self._ref("branches", i, 12)).alias("branch_id"),
+            self._pick(ACCOUNT_TYPES, i, 13).alias("account_type"),
+            self._pick(ACCOUNT_STATUS, i, 14).alias("account_status"),
+            days_after("2017-01-01", self._between(0, 3200, i, 15)).alias("open_date"),
+            self._money(500, 2_000_000, i, 16).alias("current_balance"))
+
+    def accounts(self) -> DataFrame:
+        return self._accounts().drop("i")
+
+    def cards(self) -> DataFrame:
+        i = F.col("i")
+        return (self._accounts().filter(h(i, 21, self.seed) % 10 < CARD_SHARE)
+                .select(padded("CARD", 9, i).alias("card_id"), "account_id",
+                        self._pick(CARD_TYPES, i, 22).alias("card_type"),
+                        self._pick(CARD_STATUS, i, 23).alias("card_status"),
+                        F.col("open_date").alias("issued_date")))
+
+    def transactions(self) -> DataFrame:
+        i = F.col("i")
+        account = self._ref("accounts", i, 31)
+        start = F.lit(f"{self.batch} 00:00:00").cast("timestamp_ntz")
+        return self.rows("transactions").select(
+            F.concat(F.lit("T" + self.digits), F.format_string("%010d", i)).alias("transaction_id"),
+            padded("A", 9, account).alias("account_id"), self._account_customer(account).alias("customer_id"),
+            padded("M", 6, self._ref("merchants", i, 32)).alias("merchant_id"),
+            F.timestamp_add("SECOND", self._between(0, 86399, i, 33), start).alias("transaction_ts"),
+            self._pick(TXN_TYPES, i, 34).alias("transaction_type"), self._pick(CHANNELS, i, 35).alias("channel"),
+            self._pick(CATEGORIES, i, 36).alias("category"), self._money(10, 250_000, i, 37).alias("amount"),
+            F.lit("INR").alias("currency"), self._pick(TXN_STATUS, i, 38).alias("status"),
+            (h(i, 39, self.seed) % FRAUD_ONE_IN == FRAUD_ONE_IN - 1).alias("is_suspected_fraud"))
+
+    def loan_applications(self) -> DataFrame:
+        i = F.col("i")
+        return self.rows("loan_applications").select(
+            F.concat(F.lit("L" + self.digits), F.format_string("%08d", i)).alias("application_id"),
+            padded("C", 8, self._ref("customers", i, 41)).alias("customer_id"),
+            F.lit(self.batch).cast("date").alias("application_date"),
+            self._pick(LOAN_TYPES, i, 42).alias("loan_type"),
+            self._money(50_000, 10_000_000, i, 43).alias("requested_amount"),
+            self._pick(LOAN_STATUS, i, 44).alias("application_status"))
+
+
+def synthesize(spark: SparkSession, root: str, sizes: dict[str, int] | None = None, seed: int = SEED,
+               batch_date: str = BATCH) -> None:
+    """Land a batch of all seven datasets as CSV in the raw zone under ``root``.
+
+    ``sizes`` overrides rows per dataset (cards follow from the accounts).
+    """
+    sizes = {**SIZES, **(sizes or {})}
+    made = Generator(lambda d: spark.range(sizes[d]).withColumnRenamed("id", "i"), sizes, seed, batch_date)
+    zones = Zones(root)
+    for dataset in DATASETS:
+        write_raw_csv(getattr(made, dataset)(), zones.raw(dataset, batch_date))
+
+
+# --- the registered queries: row numbers of the test tables -------------------
 
 DRIVERS = {                      # dataset -> (test table, key column)
     "branches": ("supplier", "s_suppkey"),
@@ -121,142 +215,54 @@ DRIVERS = {                      # dataset -> (test table, key column)
     "customers": ("customer", "c_custkey"),
     "accounts": ("orders", "o_orderkey"),
     "loan_applications": ("orders", "o_orderkey"),
+    "transactions": ("orders", "o_orderkey"),
 }
 BATCH_DIGITS = BATCH.replace("-", "")
+REFERRED = ("branches", "merchants", "customers", "accounts")
+
+
+def _of_tables(spark: SparkSession, sf_dir: str, needs: tuple[str, ...]) -> Generator:
+    def rows(dataset: str) -> DataFrame:
+        table, key = DRIVERS[dataset]
+        df = read_table(spark, sf_dir, table).select(F.col(key).alias("i"))
+        if dataset == "transactions":
+            lines = F.array(*[F.col("i") * LINES + k for k in range(LINES)])
+            df = df.select(F.explode(lines).alias("i"))
+        return df
+    # how many rows the referred datasets have: a few numbers, sent with the plan
+    sizes = {d: read_table(spark, sf_dir, DRIVERS[d][0]).count() for d in needs}
+    return Generator(rows, sizes)
 
 
-def _rows(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
-    table, key = DRIVERS[dataset]
-    return read_table(spark, sf_dir, table).select(F.col(key).alias("i"))
-
-
-def _count(spark: SparkSession, sf_dir: str, dataset: str) -> int:
-    """How many rows the referenced dataset has (a scalar, sent with the plan)."""
-    table, _ = DRIVERS[dataset]
-    return read_table(spark, sf_dir, table).count()
-
-
-def _count_sql(dataset: str) -> str:
-    return f"(select count(*) from {DRIVERS[dataset][0]})"
-
-
-def _account_customer(acct: Column, n_customers) -> Column:
-    return h(acct, 11) % n_customers + 1
-
-
-def synth_branches(spark, sf_dir):
-    i = F.col("i")
-    return _rows(spark, sf_dir, "branches").select(
-        padded("BR", 5, i).alias("branch_id"),
-        F.concat(pick(CITIES, i, 1), F.lit(" Main Branch "), i.cast("string")).alias("branch_name"),
-        pick(CITIES, i, 2).alias("city"), pick(STATES, i, 3).alias("state"),
-        pick(REGIONS, i, 4).alias("region"))
-
-
-def synth_merchants(spark, sf_dir):
-    i = F.col("i")
-    return _rows(spark, sf_dir, "merchants").select(
-        padded("M", 6, i).alias("merchant_id"),
-        F.concat(F.lit("Merchant "), i.cast("string")).alias("merchant_name"),
-        pick(CATEGORIES, i, 1).alias("merchant_category"), pick(RISK_LEVELS, i, 2).alias("risk_level"))
-
-
-def synth_customers(spark, sf_dir):
-    i, n_branches = F.col("i"), _count(spark, sf_dir, "branches")
-    return _rows(spark, sf_dir, "customers").select(
-        padded("C", 8, i).alias("customer_id"),
-        pick(FIRST_NAMES, i, 1).alias("first_name"), pick(LAST_NAMES, i, 2).alias("last_name"),
-        pick(CITIES, i, 3).alias("city"), pick(STATES, i, 4).alias("state"),
-        pick(KYC_STATUS, i, 5).alias("kyc_status"), pick(SEGMENTS, i, 6).alias("customer_segment"),
-        padded("BR", 5, h(i, 7) % n_branches + 1).alias("home_branch_id"),
-        days_after("2016-01-01", between(0, 3650, i, 8)).alias("created_at"))
-
-
-def _accounts(spark, sf_dir) -> DataFrame:
-    i = F.col("i")
-    n_customers, n_branches = _count(spark, sf_dir, "customers"), _count(spark, sf_dir, "branches")
-    return _rows(spark, sf_dir, "accounts").select(
-        "i",
-        padded("A", 9, i).alias("account_id"),
-        padded("C", 8, _account_customer(i, n_customers)).alias("customer_id"),
-        padded("BR", 5, h(i, 12) % n_branches + 1).alias("branch_id"),
-        pick(ACCOUNT_TYPES, i, 13).alias("account_type"),
-        pick(ACCOUNT_STATUS, i, 14).alias("account_status"),
-        days_after("2017-01-01", between(0, 3200, i, 15)).alias("open_date"),
-        money(500, 2_000_000, i, 16).alias("current_balance"))
-
-
-def synth_accounts(spark, sf_dir):
-    return _accounts(spark, sf_dir).drop("i")
-
-
-def synth_cards(spark, sf_dir):
-    i = F.col("i")
-    return (_accounts(spark, sf_dir).filter(h(i, 21) % 10 < CARD_SHARE)
-            .select(padded("CARD", 9, i).alias("card_id"), "account_id",
-                    pick(CARD_TYPES, i, 22).alias("card_type"),
-                    pick(CARD_STATUS, i, 23).alias("card_status"),
-                    F.col("open_date").alias("issued_date")))
-
-
-def synth_transactions(spark, sf_dir):
-    n_accounts = _count(spark, sf_dir, "accounts")
-    n_customers = _count(spark, sf_dir, "customers")
-    n_merchants = _count(spark, sf_dir, "merchants")
-    rows = spread(read_table(spark, sf_dir, "lineitem")).select(
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("i"))
-    i = F.col("i")
-    acct = h(i, 31) % n_accounts + 1
-    start = F.lit(f"{BATCH} 00:00:00").cast("timestamp_ntz")
-    return rows.select(
-        F.concat(F.lit("T" + BATCH_DIGITS), F.format_string("%010d", i)).alias("transaction_id"),
-        padded("A", 9, acct).alias("account_id"),
-        padded("C", 8, _account_customer(acct, n_customers)).alias("customer_id"),
-        padded("M", 6, h(i, 32) % n_merchants + 1).alias("merchant_id"),
-        F.timestamp_add("SECOND", between(0, 86399, i, 33), start).alias("transaction_ts"),
-        pick(TXN_TYPES, i, 34).alias("transaction_type"), pick(CHANNELS, i, 35).alias("channel"),
-        pick(CATEGORIES, i, 36).alias("category"), money(10, 250_000, i, 37).alias("amount"),
-        F.lit("INR").alias("currency"), pick(TXN_STATUS, i, 38).alias("status"),
-        (h(i, 39) % FRAUD_ONE_IN == FRAUD_ONE_IN - 1).alias("is_suspected_fraud"))
-
-
-def synth_loan_applications(spark, sf_dir):
-    i, n_customers = F.col("i"), _count(spark, sf_dir, "customers")
-    return _rows(spark, sf_dir, "loan_applications").select(
-        F.concat(F.lit("L" + BATCH_DIGITS), F.format_string("%08d", i)).alias("application_id"),
-        padded("C", 8, h(i, 41) % n_customers + 1).alias("customer_id"),
-        F.lit(BATCH).cast("date").alias("application_date"),
-        pick(LOAN_TYPES, i, 42).alias("loan_type"),
-        money(50_000, 10_000_000, i, 43).alias("requested_amount"),
-        pick(LOAN_STATUS, i, 44).alias("application_status"))
+def _query(dataset: str, needs: tuple[str, ...]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: getattr(_of_tables(spark, sf_dir, needs), dataset)()
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "synth_branches": synth_branches,
-    "synth_merchants": synth_merchants,
-    "synth_customers": synth_customers,
-    "synth_accounts": synth_accounts,
-    "synth_cards": synth_cards,
-    "synth_transactions": synth_transactions,
-    "synth_loan_applications": synth_loan_applications,
+    "synth_branches": _query("branches", ()),
+    "synth_merchants": _query("merchants", ()),
+    "synth_customers": _query("customers", ("branches",)),
+    "synth_accounts": _query("accounts", ("branches", "customers")),
+    "synth_cards": _query("cards", ("branches", "customers")),
+    "synth_transactions": _query("transactions", ("accounts", "customers", "merchants")),
+    "synth_loan_applications": _query("loan_applications", ("customers",)),
 }
 
 
 # --- the same, as DuckDB SQL -------------------------------------------------
 
 def _sql() -> dict[str, str]:
-    n_b, n_c, n_a, n_m = (_count_sql(d) for d in ("branches", "customers", "accounts",
-                                                   "merchants"))
-    acct_cust = lambda a: f"({h_sql(a, 11)} % {n_c} + 1)"
+    n_b, n_c, n_a, n_m = (f"(select count(*) from {DRIVERS[d][0]})" for d in (
+        "branches", "customers", "accounts", "merchants"))
+    acct_cust = lambda a: below_sql(n_c, a, 11)
     accounts = f"""select i, {padded_sql('A', 9, 'i')} as account_id,
   {padded_sql('C', 8, acct_cust('i'))} as customer_id,
-  {padded_sql('BR', 5, f"({h_sql('i', 12)} % {n_b} + 1)")} as branch_id,
+  {padded_sql('BR', 5, below_sql(n_b, 'i', 12))} as branch_id,
   {pick_sql(ACCOUNT_TYPES, 'i', 13)} as account_type,
   {pick_sql(ACCOUNT_STATUS, 'i', 14)} as account_status,
   {days_after_sql('2017-01-01', between_sql(0, 3200, 'i', 15))} as open_date,
   {money_sql(500, 2_000_000, 'i', 16)} as current_balance
 from (select o_orderkey as i from orders) r"""
-    acct = f"({h_sql('i', 31)} % {n_a} + 1)"
     return {
         "synth_branches": f"""select {padded_sql('BR', 5, 'i')} as branch_id,
   {pick_sql(CITIES, 'i', 1)} || ' Main Branch ' || cast(i as varchar) as branch_name,
@@ -265,14 +271,14 @@ from (select o_orderkey as i from orders) r"""
 from (select s_suppkey as i from supplier) r""",
         "synth_merchants": f"""select {padded_sql('M', 6, 'i')} as merchant_id,
   'Merchant ' || cast(i as varchar) as merchant_name,
-  {pick_sql(CATEGORIES, 'i', 1)} as merchant_category, {pick_sql(RISK_LEVELS, 'i', 2)} as risk_level
+  {pick_sql(CATEGORIES, 'i', 5)} as merchant_category, {pick_sql(RISK_LEVELS, 'i', 6)} as risk_level
 from (select p_partkey as i from part) r""",
         "synth_customers": f"""select {padded_sql('C', 8, 'i')} as customer_id,
-  {pick_sql(FIRST_NAMES, 'i', 1)} as first_name, {pick_sql(LAST_NAMES, 'i', 2)} as last_name,
-  {pick_sql(CITIES, 'i', 3)} as city, {pick_sql(STATES, 'i', 4)} as state,
-  {pick_sql(KYC_STATUS, 'i', 5)} as kyc_status, {pick_sql(SEGMENTS, 'i', 6)} as customer_segment,
-  {padded_sql('BR', 5, f"({h_sql('i', 7)} % {n_b} + 1)")} as home_branch_id,
-  {days_after_sql('2016-01-01', between_sql(0, 3650, 'i', 8))} as created_at
+  {pick_sql(FIRST_NAMES, 'i', 51)} as first_name, {pick_sql(LAST_NAMES, 'i', 52)} as last_name,
+  {pick_sql(CITIES, 'i', 53)} as city, {pick_sql(STATES, 'i', 54)} as state,
+  {pick_sql(KYC_STATUS, 'i', 55)} as kyc_status, {pick_sql(SEGMENTS, 'i', 56)} as customer_segment,
+  {padded_sql('BR', 5, below_sql(n_b, 'i', 57))} as home_branch_id,
+  {days_after_sql('2016-01-01', between_sql(0, 3650, 'i', 58))} as created_at
 from (select c_custkey as i from customer) r""",
         "synth_accounts": f"""select account_id, customer_id, branch_id, account_type, account_status,
   open_date, current_balance from ({accounts}) a""",
@@ -281,17 +287,18 @@ from (select c_custkey as i from customer) r""",
   open_date as issued_date
 from ({accounts}) a where {h_sql('i', 21)} % 10 < {CARD_SHARE}""",
         "synth_transactions": f"""select 'T{BATCH_DIGITS}' || printf('%010d', i) as transaction_id,
-  {padded_sql('A', 9, acct)} as account_id,
-  {padded_sql('C', 8, acct_cust(acct))} as customer_id,
-  {padded_sql('M', 6, f"({h_sql('i', 32)} % {n_m} + 1)")} as merchant_id,
+  {padded_sql('A', 9, 'acct')} as account_id,
+  {padded_sql('C', 8, acct_cust('acct'))} as customer_id,
+  {padded_sql('M', 6, below_sql(n_m, 'i', 32))} as merchant_id,
   timestamp '{BATCH} 00:00:00' + to_seconds({between_sql(0, 86399, 'i', 33)}) as transaction_ts,
   {pick_sql(TXN_TYPES, 'i', 34)} as transaction_type, {pick_sql(CHANNELS, 'i', 35)} as channel,
   {pick_sql(CATEGORIES, 'i', 36)} as category, {money_sql(10, 250_000, 'i', 37)} as amount,
   'INR' as currency, {pick_sql(TXN_STATUS, 'i', 38)} as status,
   ({h_sql('i', 39)} % {FRAUD_ONE_IN} = {FRAUD_ONE_IN - 1}) as is_suspected_fraud
-from (select l_orderkey * 8 + l_linenumber as i from lineitem) r""",
+from (select *, {below_sql(n_a, 'i', 31)} as acct from (select o_orderkey * {LINES} + k as i
+  from orders, (select unnest(range({LINES})) as k) l) n) r""",
         "synth_loan_applications": f"""select 'L{BATCH_DIGITS}' || printf('%08d', i) as application_id,
-  {padded_sql('C', 8, f"({h_sql('i', 41)} % {n_c} + 1)")} as customer_id,
+  {padded_sql('C', 8, below_sql(n_c, 'i', 41))} as customer_id,
   date '{BATCH}' as application_date, {pick_sql(LOAN_TYPES, 'i', 42)} as loan_type,
   {money_sql(50_000, 10_000_000, 'i', 43)} as requested_amount,
   {pick_sql(LOAN_STATUS, 'i', 44)} as application_status

@@ -2,8 +2,7 @@
 
 The banking feed has no public sample, so each raw dataset is a projection
 of a test table (customer -> customers and accounts, supplier -> merchants,
-nation -> branches, lineitem x orders -> transactions, urgent orders -> loan
-applications). The derivation deliberately injects what real feeds carry and
+nation -> branches, lineitem x orders -> transactions, orders -> loan applications). The derivation deliberately injects what real feeds carry and
 the test tables lack: NULLs in required and optional columns, duplicate keys,
 orphan references and idle dimension rows. The same derivation, written as
 SQL, is the prefix of every oracle query (``plans/oracle.py``).
@@ -17,13 +16,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .contracts import Sort
+from .domains import (ACCOUNT_STATUS, CARD_TYPES, CATEGORIES, CHANNELS, FEED_KYC_STATUS, LOAN_TYPES,
+                      RISK_LEVELS)
 
 TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
-# Fixed values of the derivation: category names in index order, channel
-# names in index order, and the batch date the single-batch lake is loaded as.
-CATEGORIES = ["GROCERY", "TRAVEL", "FUEL", "DINING", "SHOPPING", "UTILITIES", "CASH", "SALARY"]
-CHANNELS = ["ATM", "UPI", "POS", "NETBANKING", "MOBILE", "BRANCH"]
+# Fixed value: the batch date the single-batch lake is loaded as.
 BATCH_DATE = "2026-04-25"
 
 # Extra raw transaction columns kept only to break dedupe ties.
@@ -36,19 +34,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core on an input that scans as fewer splits than the cluster has.
-
-    A small single-row-group file scans as one task, and everything fused
-    into that stage runs single-threaded. Large inputs scan as many splits
-    and are returned untouched (no extra shuffle).
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def _padded(prefix: str, key: Column, width: int) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(key.cast("string"), width, "0"))
+    """At least ``width`` digits; a longer key keeps all of its own."""
+    return F.concat(F.lit(prefix), F.format_string(f"%0{width}d", key))
 
 
 def _pick(values: list[str], index: Column) -> Column:
@@ -75,7 +63,7 @@ def raw_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("s_suppkey")
     risk = (F.when(k % 20 == 19, F.lit(None).cast("string"))
-            .otherwise(_pick(["LOW", "LOW", "MEDIUM", "HIGH"], k % 4)))
+            .otherwise(_pick(RISK_LEVELS, k % 4)))
     merchants = read_table(spark, sf_dir, "supplier").select(
         _padded("M", k, 6).alias("merchant_id"),
         F.col("s_name").alias("merchant_name"),
@@ -88,7 +76,7 @@ def raw_merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
     kyc = (F.when(k % 50 == 0, F.lit(None).cast("string"))
-           .otherwise(_pick(["REJECTED", "PENDING", "VERIFIED"], k % 3)))
+           .otherwise(_pick(FEED_KYC_STATUS, k % 3)))
     customers = read_table(spark, sf_dir, "customer").select(
         _padded("C", k, 8).alias("customer_id"),
         F.col("c_name").alias("first_name"),
@@ -114,7 +102,7 @@ def raw_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 101 == 0, F.lit(None).cast("string"))
         .otherwise(_padded("BR", (k * 7) % 27, 5)).alias("branch_id"),
         F.col("c_mktsegment").alias("account_type"),
-        _pick(["ACTIVE", "ACTIVE", "ACTIVE", "DORMANT", "CLOSED"], k % 5).alias("account_status"),
+        _pick(ACCOUNT_STATUS, k % 5).alias("account_status"),
         _days_after("2017-01-01", k % 3201).alias("open_date"),
         F.when(k % 67 == 0, F.lit(None).cast("double"))
         .otherwise(F.col("c_acctbal") * 150).alias("current_balance"))
@@ -126,7 +114,7 @@ def raw_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (read_table(spark, sf_dir, "customer").filter(k % 10 < 7).select(
         _padded("CARD", k - k % 2, 9).alias("card_id"),
         _padded("A", k, 9).alias("account_id"),
-        _pick(["DEBIT", "CREDIT", "PREPAID"], k % 3).alias("card_type"),
+        _pick(CARD_TYPES, k % 3).alias("card_type"),
         F.when(k % 13 == 0, F.lit(None).cast("string"))
         .when(k % 3 == 2, "BLOCKED").otherwise("ACTIVE").alias("card_status"),
         _days_after("2017-01-01", k % 3201).alias("issued_date")))
@@ -136,18 +124,18 @@ def raw_loan_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
     status = (F.when(F.col("o_orderstatus") == "F", "REJECTED")
               .when(F.col("o_orderstatus") == "O", "APPROVED").otherwise("SUBMITTED"))
-    return (read_table(spark, sf_dir, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
+    return (read_table(spark, sf_dir, "orders")
             .select(_padded("L", k, 8).alias("application_id"),
                     _padded("C", F.col("o_custkey"), 8).alias("customer_id"),
                     F.col("o_orderdate").cast("date").alias("application_date"),
-                    _pick(["HOME", "AUTO", "PERSONAL", "BUSINESS"], k % 4).alias("loan_type"),
+                    _pick(LOAN_TYPES, k % 4).alias("loan_type"),
                     F.when(k % 29 == 0, F.lit(None).cast("double"))
                     .otherwise(F.col("o_totalprice") * 20).alias("requested_amount"),
                     status.alias("application_status")))
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = spread(read_table(spark, sf_dir, "lineitem"))
+    lineitem = read_table(spark, sf_dir, "lineitem")
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     ok, ln, pk = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
     status = (F.when(F.col("o_orderstatus") == "F", "FAILED")
@@ -190,10 +178,3 @@ def raw_dataset(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
 def dedupe_order(dataset: str):
     """Tie-break order for the derived data (None: the contract's own order)."""
     return TXN_ORDER if dataset == "transactions" else None
-
-
-def feed_columns(dataset: str, df: DataFrame) -> DataFrame:
-    """The raw dataset as a feed file would carry it (no tie-break helpers)."""
-    if dataset == "transactions":
-        return df.drop(*[c for c in TXN_TIE_BREAKS if c != "amount"])
-    return df

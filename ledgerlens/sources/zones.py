@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .contracts import CONTRACTS, Contract
+from .contracts import Contract
 
 
 class Zones:
@@ -41,10 +42,11 @@ def read_raw_csv(spark: SparkSession, path: str, contract: Contract,
     No type inference (it costs a pass over the file and turns a column with
     one bad value into text anyway): columns are matched by header name and
     parsed later. Empty fields read as NULL, spaces-only fields do not; a
-    short row is NULL-padded. A file missing a contract column is an error.
+    short row is NULL-padded. A file missing a contract column is an error, and
+    so is a part file whose header differs from the first one's.
     ``extras`` keeps further columns (name -> type), e.g. tie-breaks.
     """
-    df = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    df = spark.read.option("header", True).option("enforceSchema", False).csv(path)
     wanted = contract.names + list(extras or {})
     missing = [c for c in wanted if c not in df.columns]
     if missing:
@@ -69,21 +71,11 @@ def export_result(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def require_columns(df: DataFrame, columns, table: str) -> DataFrame:
-    """Fail before writing when ``df`` lacks a column the table declares (S9)."""
-    missing = [c for c in columns if c not in df.columns]
-    if missing:
-        raise ValueError(f"{table}: missing declared columns {missing}")
+def require_schema(df: DataFrame, schema: T.StructType, table: str) -> DataFrame:
+    """Fail before writing when ``df`` lacks a column the table declares or has it in another type (S9)."""
+    have = {f.name: f.dataType for f in df.schema}
+    wrong = [f"{f.name}: {have[f.name].simpleString() if f.name in have else 'missing'}, "
+             f"declared {f.dataType.simpleString()}" for f in schema if have.get(f.name) != f.dataType]
+    if wrong:
+        raise ValueError(f"{table} does not match its declared columns: {'; '.join(wrong)}")
     return df
-
-
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
-def read_validated(spark: SparkSession, zones: Zones, dataset: str, batch_date: str) -> DataFrame:
-    return spark.read.parquet(zones.validated(dataset, batch_date))
-
-
-__all__ = ["Zones", "read_raw_csv", "write_raw_csv", "write_parquet", "read_parquet",
-           "read_validated", "CONTRACTS"]

@@ -29,8 +29,14 @@ def test_matches_row_number(spark):
     assert got == want
 
 
-def test_plan_is_an_aggregate_not_a_window(spark):
+def test_descending_nan_and_strings(spark):
+    df = spark.createDataFrame([("a", 1.0, "x"), ("a", float("nan"), "y"), ("b", 1.0, "p"), ("b", 1.0, "q")],
+                               "k string, v double, s string")
+    got = keep_first(df, "k", (Sort("v", descending=True), Sort("s", descending=True)))
+    assert sorted((r.k, r.s) for r in got.collect()) == [("a", "y"), ("b", "q")]
+
+
+def test_tasks_send_one_row_a_key(spark):
     df = spark.createDataFrame(_rows(100), "k string, ts long, s string, x double, id long")
-    plan = keep_first(df, "k", (Sort("ts", descending=True),))._jdf.queryExecution() \
-        .executedPlan().toString()
-    assert "Window" not in plan and "Aggregate" in plan
+    plan = keep_first(df, "k", (Sort("ts", descending=True),))._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")

@@ -51,3 +51,25 @@ def test_money_sum_is_exact(spark):
     df = spark.createDataFrame([(0.1,), (0.2,), (0.3,)] * 1000, "amount double")
     from ledgerlens.functions.money import exact_sum
     assert df.agg(exact_sum("amount").alias("s")).first().s == 600.0
+
+
+def test_money_loses_no_amount(spark):
+    from ledgerlens.functions.money import exact_avg, exact_sum
+    total = lambda xs: spark.createDataFrame([(x,) for x in xs], "a double").agg(
+        exact_sum("a").alias("s"), exact_avg("a").alias("m")).first()
+    assert total([0.004] * 1000).s == 4.0
+    assert total([1e17, 0.5]).s == 1e17 + 0.5
+    assert total([1e30, 1.0]).s == 1e30 + 1.0
+    assert total([float("nan"), 1.0]).s != total([float("nan"), 1.0]).s
+    assert total([None, None]).s is None and total([None, 3.0]).m == 3.0
+
+
+def test_summary_survives_one_absurd_amount(spark):
+    import math
+
+    fact = _fact(spark).unionByName(_fact(spark).limit(1).selectExpr(
+        *[c for c in FACT_SCHEMA.names if c != "amount"], "double('NaN') AS amount").select(*FACT_SCHEMA.names))
+    merchants = spark.createDataFrame([("M1", "FUEL", "LOW"), ("M2", "FOOD", "LOW")],
+                                      "merchant_id string, merchant_category string, risk_level string")
+    got = {r.merchant_category: r.total_amount for r in summaries.merchant_spend_summary(merchants, fact).collect()}
+    assert math.isnan(got["FUEL"]) and got["FOOD"] == 5.5

@@ -24,19 +24,19 @@ def _state(table, at=None):
                   for r in table.read(at).collect())
 
 
-@pytest.mark.parametrize("granularity", ["day", "month"])
-def test_upsert_move_and_replay(spark, scratch, granularity):
-    t = FactTable(spark, f"{scratch}/fact", granularity)
+@pytest.mark.parametrize("part_format", ["yyyy-MM-dd", "yyyy-MM"])
+def test_upsert_move_and_replay(spark, scratch, part_format):
+    t = FactTable(spark, f"{scratch}/fact", part_format)
     t.merge(_rows(spark, [("T1", 1, 10.0), ("T2", 1, 20.0), ("T3", 2, 30.0)], "b1"),
-            commit_ts="2026-04-01 06:00:00", source_id="b1")
+            commit_ts="2026-04-01 06:00:00")
     # T1 moves from day 1 to day 3; T4 is new
     t.merge(_rows(spark, [("T1", 3, 11.0), ("T4", 3, 40.0)], "b2"),
-            commit_ts="2026-04-02 06:00:00", source_id="b2")
+            commit_ts="2026-04-02 06:00:00")
     want = [("T1", 3, 11.0, "b2"), ("T2", 1, 20.0, "b1"), ("T3", 2, 30.0, "b1"),
             ("T4", 3, 40.0, "b2")]
     assert _state(t) == want
-    # the same source id again is a no-op; the same rows again change nothing
-    t.merge(_rows(spark, [("T1", 3, 11.0), ("T4", 3, 40.0)], "b2"), source_id="b2")
+    # the same rows again change nothing
+    t.merge(_rows(spark, [("T1", 3, 11.0), ("T4", 3, 40.0)], "b2"))
     t.merge(_rows(spark, [("T1", 3, 11.0), ("T4", 3, 40.0)], "b2"))
     assert _state(t) == want
     assert t.read().groupBy("transaction_id").count().filter("count > 1").count() == 0
@@ -86,19 +86,45 @@ def test_replace_table_versions(spark, scratch):
 
 
 def test_export_and_dimension_contract(spark, scratch):
-    from ledgerlens.sources.zones import export_result, require_columns
+    from ledgerlens.sources.contracts import BRANCH_SCHEMA
+    from ledgerlens.sources.zones import export_result, require_schema
     df = spark.createDataFrame([("R", 2)], "region string, transaction_count long")
     export_result(df, f"{scratch}/out")
     back = spark.read.option("header", True).csv(f"{scratch}/out")
     assert [tuple(r) for r in back.collect()] == [("R", "2")]
-    with pytest.raises(ValueError):
-        require_columns(df, ["region", "city"], "dim_branches")
+    with pytest.raises(ValueError, match="city: missing"):
+        require_schema(df, BRANCH_SCHEMA, "dim_branches")
+    wrong = spark.createDataFrame([], BRANCH_SCHEMA).withColumn("city", F.lit(1))
+    with pytest.raises(ValueError, match="city: int, declared string"):
+        require_schema(wrong, BRANCH_SCHEMA, "dim_branches")
 
 
 def test_retry_after_crashed_write(spark, scratch):
     """A write that died before its commit record leaves a folder nobody reads."""
     t = FactTable(spark, f"{scratch}/fact4")
-    _rows(spark, [("TX", 9, 99.0)], "dead").write.parquet(f"{scratch}/fact4/data/v=000001-crashed")
+    _rows(spark, [("TX", 9, 99.0)], "dead").write.parquet(
+        f"{scratch}/fact4/data/written_by=v000001-crashed/part=2026-04-09")
     t.merge(_rows(spark, [("T1", 1, 10.0)], "b1"))
     assert _state(t) == [("T1", 1, 10.0, "b1")]
-    assert t.head().version == 1
+    assert [c.version for c in t.commits()] == [1]
+
+
+def test_one_scan_after_many_merges(spark, scratch):
+    t = FactTable(spark, f"{scratch}/fact5")
+    for day in range(1, 9):
+        t.merge(_rows(spark, [(f"T{day}", day, 1.0)], f"b{day}"))
+    plan = t.read()._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and t.read().count() == 8
+
+
+def test_as_of_forms_and_backdated_commit(spark, scratch):
+    t = FactTable(spark, f"{scratch}/fact6")
+    t.merge(_rows(spark, [("T1", 1, 1.0)], "b1"), commit_ts="2026-04-25 06:00")
+    t.merge(_rows(spark, [("T2", 2, 2.0)], "b2"), commit_ts="2026-04-28T06:00:00Z")
+    n = lambda at: t.read(at).count()
+    assert [n(at) for at in ("2026-04-25", "2026-04-25 05:59", "2026-04-25 06:00", "2026-04-25 06:00:00")] == [0, 0, 1, 1]
+    assert n("2026-04-25T11:30:00+05:30") == 1 and n("2026-04-25T11:29:59+05:30") == 0
+    assert n(dt.date(2026, 4, 27)) == 1 and n(dt.datetime(2026, 4, 28, 6)) == 2
+    with pytest.raises(ValueError, match="before the last commit"):
+        t.merge(_rows(spark, [("T3", 3, 3.0)], "b3"), commit_ts="2026-04-26 06:00")
+    assert n("2026-04-27") == 1
