@@ -152,23 +152,40 @@ class Scorer:
     def __init__(self, p: dict[str, np.ndarray], size: int, start: int, step_tokens: int = 1 << 16):
         self.p, self.size, self.start, self.step_tokens = p, size, start, step_tokens
         self.gates = p["embed"] @ p["wx"] + p["bx"]
+        # states lie in (-1, 1), which bounds every score; float32 holds exp up to 88
+        highest = max((np.abs(p["wc"]).sum(0) + p["bc"]).max(), (np.abs(p["wo"]).sum(1) + p["bo"]).max())
+        self.small = bool(highest < 80)
 
     def _outputs(self, states: np.ndarray, want: np.ndarray) -> np.ndarray:
         p, size, n = self.p, self.size, self.p["u"].shape[0]
         cls = want // size
-        rows = np.arange(len(want))
-        x = states @ p["wc"] + p["bc"]
-        out = x[rows, cls]
-        out -= _log_sum(x)
+        x = states @ p["wc"]
+        x += p["bc"]
+        out = x[np.arange(len(want)), cls]
+        out -= self._log_sum(x)
         wo, bo = p["wo"].reshape(-1, size, n), p["bo"].reshape(-1, size)
         order = np.argsort(cls, kind="stable")
         present, first = np.unique(cls[order], return_index=True)
-        for c, own in zip(present, np.split(order, first[1:])):
-            x = states[own] @ wo[c].T + bo[c]
-            hit = x[np.arange(len(own)), want[own] - c * size]
-            out[own] += hit - _log_sum(x)
+        states, at = states[order], (want - cls * size)[order]
+        part = np.empty(len(want), np.float32)
+        for c, s, e in zip(present, first, [*first[1:], len(want)]):
+            x = states[s:e] @ wo[c].T
+            x += bo[c]
+            part[s:e] = x[np.arange(e - s), at[s:e]]
+            part[s:e] -= self._log_sum(x)
+        out[order] += part
         return out
 
+    def _log_sum(self, x: np.ndarray) -> np.ndarray:
+        """log of the sum of exp over each row; overwrites ``x``."""
+        if self.small:
+            np.exp(x, out=x)
+            return np.log(x @ np.ones(x.shape[1], np.float32))
+        top = x.max(1)
+        x -= top[:, None]
+        np.exp(x, out=x)
+        return np.log(x.sum(1)) + top
+
     def score(self, sequences: list[np.ndarray]) -> np.ndarray:
         """One sum for each sequence of units; the state passes through its whole length."""
         total = np.zeros(len(sequences))
@@ -202,8 +219,8 @@ class Scorer:
             own = np.nonzero(valid)
             logs = np.empty(len(own[0]))
             states, want = hs[own], targets[own]
-            for s in range(0, len(want), 1 << 15):
-                logs[s:s + (1 << 15)] = self._outputs(states[s:s + (1 << 15)], want[s:s + (1 << 15)])
+            for s in range(0, len(want), 1 << 14):
+                logs[s:s + (1 << 14)] = self._outputs(states[s:s + (1 << 14)], want[s:s + (1 << 14)])
             sums[:live] += np.bincount(own[1], logs, live)
             h[:live] = state
             last[:live] = targets[-1]
@@ -212,10 +229,3 @@ class Scorer:
         total[order] = sums
         return total
 
-
-def _log_sum(x: np.ndarray) -> np.ndarray:
-    """log of the sum of exp over each row; overwrites ``x``."""
-    top = x.max(1)
-    x -= top[:, None]
-    np.exp(x, out=x)
-    return np.log(x.sum(1)) + top

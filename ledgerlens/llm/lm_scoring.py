@@ -142,22 +142,22 @@ def lexicon(counts: DataFrame) -> tuple[Lexicon, np.ndarray]:
     return Lexicon({w: i for i, w in enumerate(words)}, base, unit, within, known, np.log10(bucket_mass), n, v), mass
 
 
-def _segments(texts, hashes, lex: Lexicon, wanted: int, share: int):
-    """The unit sequences of the texts' segments whose hash falls on ``wanted``; each is led by the unit before it."""
-    for text, key in zip(texts, hashes):
-        words = None
-        for j in range(len(text) // (SEGMENT * 2) + 1):
-            if xxhash.xxh64_intdigest(b"%d:%d" % (key, j), 7) % share != wanted:
-                continue
-            words = tokens(text) if words is None else words
-            part = words[max(0, j * SEGMENT - 1):(j + 1) * SEGMENT]
-            if j and len(part) < 2:
-                continue
-            closes = len(words) < (j + 1) * SEGMENT
-            rows = lex.rows(part)
-            units = lex.units(rows, [w for w, r in zip(part, rows) if r == len(lex.index)])
-            units = units if closes else units[:-1]
-            yield units if j else np.concatenate([[0], units])
+def _segments(text: bytes, key: int, lex: Lexicon):
+    """(share, units) of the text's segments of a used share; each is led by the unit before it."""
+    words = None
+    for j in range(len(text) // (SEGMENT * 2) + 1):
+        share = xxhash.xxh64_intdigest(b"%d:%d" % (key, j), 7) % SHARE
+        if share > ROUNDS:
+            continue
+        words = tokens(text) if words is None else words
+        part = words[max(0, j * SEGMENT - 1):(j + 1) * SEGMENT]
+        if j and len(part) < 2:
+            continue
+        closes = len(words) < (j + 1) * SEGMENT
+        rows = lex.rows(part)
+        units = lex.units(rows, [w for w, r in zip(part, rows) if r == len(lex.index)])
+        units = units if closes else units[:-1]
+        yield share, units if j else np.concatenate([[0], units])
 
 
 def _pack(p, state, tokens_: int) -> bytes:
@@ -180,17 +180,20 @@ def train(docs: DataFrame, lex: Lexicon, mass: np.ndarray) -> dict[str, np.ndarr
     shared_lex = spark.sparkContext.broadcast(lex)
     p = gru.initial(mass, CLASS_SIZE, HIDDEN)
     state = gru.fresh_state(p)
-    # the start: the first START_SEGMENTS of a share of all segments, in the order of their hash
+
     def pick(batches):
         for batch in batches:
-            found = list(_segments(raw(batch.column(1)), batch.column(0).to_pylist(), shared_lex.value, ROUNDS, SHARE))
+            found = [x for text, key in zip(raw(batch.column(1)), batch.column(0).to_pylist())
+                     for x in _segments(text, key, shared_lex.value)]
             if found:
-                data = [s.astype("<i4").tobytes() for s in found]
-                yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh64_intdigest(d) >> 1 for d in data], pa.int64()),
-                                                  pa.array(data, pa.binary())], ["h", "units"])
-    plain = docs.select("text_hash", "text")
-    first = (plain.mapInArrow(pick, "h long, units binary").orderBy("h", "units").limit(START_SEGMENTS)
-             .toArrow()["units"].to_pylist())
+                data = [units.astype("<i4").tobytes() for _, units in found]
+                yield pa.RecordBatch.from_arrays([pa.array([share for share, _ in found], pa.int32()),
+                                                  pa.array([xxhash.xxh64_intdigest(d) >> 1 for d in data], pa.int64()),
+                                                  pa.array(data, pa.binary())], ["share", "h", "units"])
+    picked = cut(docs.select("text_hash", "text").mapInArrow(pick, "share int, h long, units binary"), "lm-segments")
+    # the start: the first START_SEGMENTS of a share of their own, in the order of their hash
+    first = (picked.where(F.col("share") == ROUNDS).orderBy("h", "units").limit(START_SEGMENTS)
+             .select("units").toArrow()["units"].to_pylist())
     segments = sorted((np.frombuffer(x, "<i4").astype(np.int64) for x in first), key=len)
     rng = np.random.default_rng(5)
     for _ in range(2):
@@ -204,7 +207,7 @@ def train(docs: DataFrame, lex: Lexicon, mass: np.ndarray) -> dict[str, np.ndarr
             own, sums = ({k: v.copy() for k, v in x.items()} for x in begin.value)
             seen = 0
             for batch in batches:
-                found = list(_segments(raw(batch.column(1)), batch.column(0).to_pylist(), shared_lex.value, r, SHARE))
+                found = [np.frombuffer(x, "<i4").astype(np.int64) for x in batch.column(0).to_pylist()]
                 found.sort(key=len)
                 for g in np.random.default_rng(r).permutation(-(-len(found) // 32)):
                     seen += gru.train_segments(own, sums, CLASS_SIZE, found[32 * g:32 * g + 32], 0.05)[1]
@@ -224,7 +227,8 @@ def train(docs: DataFrame, lex: Lexicon, mass: np.ndarray) -> dict[str, np.ndarr
                     [pa.array([weight], pa.int64()), pa.array([(total / weight).astype("<f4").tobytes()])],
                     ["seen", "data"])
         # at most 8 sums of one model's size each come to the driver
-        parts = (plain.mapInArrow(learn, "seen long, data binary").repartition(8)
+        parts = (picked.where(F.col("share") == r).select("units").mapInArrow(learn, "seen long, data binary")
+                 .repartition(8)
                  .mapInArrow(add, "seen long, data binary").collect())
         weight = sum(x["seen"] for x in parts)
         if weight:
