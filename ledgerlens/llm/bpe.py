@@ -25,7 +25,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+from array import array
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -36,7 +38,7 @@ from ledgerlens.llm.common import raw, spans
 # Fixed value: the pre-token pattern of byte-level BPE vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _NEVER = 1 << 62
-_CACHE_ROWS = 400_000
+_CACHE_ROWS = 160_000
 _CACHE_BYTES = 64
 
 
@@ -66,9 +68,11 @@ class BpeAutomaton:
             self.removed[a, b] = time
         # Tokens on no path (no merge makes them, or none that can apply) label no arc.
         self.tokens = {label: i for label, i in ids.items() if i not in inert and (len(label) == 1 or i in self.born)}
+        # the longest token by its first five bytes; anything else begins with a token of up to four
         self.longest = {}
         for label in self.tokens:
-            self.longest[label[:2]] = max(self.longest.get(label[:2], 0), len(label))
+            self.longest[label[:5]] = max(self.longest.get(label[:5], 0), len(label))
+        self.text = {i: str(i) for i in labels}
 
     @classmethod
     def from_json(cls, text: str) -> BpeAutomaton:
@@ -104,7 +108,7 @@ class BpeAutomaton:
         key = state << 20 | token
         known = self.arcs.get(key)
         if known is None:
-            if len(self.arcs) > 2_000_000:
+            if len(self.arcs) > 400_000:
                 self.arcs.clear()
             known = self.arcs[key] = self._arc(state, token)
         return known
@@ -113,27 +117,32 @@ class BpeAutomaton:
         whole = self.tokens.get(word)
         if whole is not None:
             return [whole]
-        tokens, longest, arc, n = self.tokens, self.longest, self.arc, len(word)
+        tokens, longest, known, n = self.tokens, self.longest, self.arcs, len(word)
         path: list[int] = []
         places = [0]
-        lengths = [min(longest.get(word[:2], 1), n) + 1]
+        sizes = [longest.get(word[:5], 4) + 1]
         dead = set()
         while places[-1] < n:
-            at, size = places[-1], lengths[-1] - 1
+            at, size = places[-1], sizes[-1] - 1
             while size:
                 token = tokens.get(word[at:at + size])
-                if token is not None and at + size not in dead and (not path or arc(path[-1], token)):
-                    break
+                if token is not None and at + size <= n and at + size not in dead:
+                    if not path:
+                        break
+                    free = known.get(path[-1] << 20 | token)
+                    if self.arc(path[-1], token) if free is None else free:
+                        break
                 size -= 1
-            lengths[-1] = size
+            sizes[-1] = size
             if size:
                 path.append(token)
-                places.append(at + size)
-                lengths.append(min(longest.get(word[at + size:at + size + 2], 1), n - at - size) + 1)
+                at += size
+                places.append(at)
+                sizes.append(longest.get(word[at:at + 5], 4) + 1)
             else:
                 dead.add(at)
                 places.pop()
-                lengths.pop()
+                sizes.pop()
                 path.pop()
         return path
 
@@ -149,16 +158,23 @@ class Codec:
         self.automaton = automaton
         self.pieces = regex.compile(PATTERN).findall
         self.known: dict[str, tuple] = {}
+        self.aged: dict[str, tuple] = {}
         names = sorted(automaton.special, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, names)) + ")").split if names else None
 
     def _word(self, word: str) -> tuple:
-        """(ids, their decimal text, decoded bytes) of one pre-token."""
-        data = word.encode()
-        ids = self.automaton.encode(data)
-        out = ids, ",".join(map(str, ids)), self.automaton.decode(ids)
-        if len(data) <= _CACHE_BYTES and len(self.known) < _CACHE_ROWS:
-            self.known[word] = out
+        """(ids packed as int32, their decimal text, decoded bytes) of one pre-token."""
+        out = self.aged.get(word)
+        if out is None:
+            data = word.encode()
+            ids, text = self.automaton.encode(data), self.automaton.text
+            out = array("i", ids).tobytes(), ",".join([text[i] for i in ids]), self.automaton.decode(ids)
+            if len(data) > _CACHE_BYTES:
+                return out
+        if len(self.known) >= _CACHE_ROWS:  # what is not asked for again soon is forgotten
+            self.aged = dict(self.known)
+            self.known.clear()
+        self.known[word] = out
         return out
 
     def words(self, text: str) -> list[tuple]:
@@ -166,7 +182,7 @@ class Codec:
         out = []
         for part in self.cut(text) if self.cut and "<" in text else (text,):
             if part in special:
-                out.append(([special[part]], str(special[part]), part.encode()))
+                out.append((array("i", [special[part]]).tobytes(), str(special[part]), part.encode()))
             else:
                 out += [known.get(w) or self._word(w) for w in self.pieces(part)]
         return out
@@ -210,16 +226,20 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
                 counts, digests, decoded, ids = [], [], [], []
                 for text in texts[s:e]:
                     words = own.words(text.decode())
-                    counts.append(sum([len(w[0]) for w in words]))
+                    packed = b"".join([w[0] for w in words])
+                    counts.append(len(packed) // 4)
                     digests.append(hashlib.sha256(",".join([w[1] for w in words]).encode()).hexdigest())
                     back = b"".join([w[2] for w in words]).decode("utf-8", "replace")
                     decoded.append(hashlib.sha256(back.encode()).hexdigest())
                     if tokens:
-                        ids.append([i for w in words for i in w[0]])
+                        ids.append(packed)
                 cols = [batch.column(0)[s:e], pa.array(counts, pa.int64()), pa.array(digests, pa.string()),
                         pa.array(decoded, pa.string())]
-                yield pa.RecordBatch.from_arrays(cols + [pa.array(ids, pa.list_(pa.int32()))] * tokens,
-                                                 names[:len(cols) + tokens])
+                if tokens:
+                    flat = np.frombuffer(b"".join(ids), np.int32)
+                    bounds = np.cumsum([0, *counts], dtype=np.int32)
+                    cols.append(pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat)))
+                yield pa.RecordBatch.from_arrays(cols, names[:len(cols)])
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"]
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * tokens

@@ -22,26 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import raw, remainder, spans
+from ledgerlens.llm.words import hashed_words
 
 _MULT = np.uint32(0x9E3779B1)
 _SPACE = 32
-_STEP = np.uint64(0x100000001B3)
-
-
-def _inverse_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    back = np.uint64(pow(int(_STEP), -1, 1 << 64))
-    up, down = np.full(n, _STEP), np.full(n, back)
-    up[0] = down[0] = 1
-    return np.cumprod(up), np.cumprod(down)
-
-
-_POWERS: list[tuple[np.ndarray, np.ndarray]] = []
-
-
-def _powers(n: int):
-    if not _POWERS or len(_POWERS[0][0]) < n:
-        _POWERS[:] = [_inverse_powers(max(n, 1 << 21))]
-    return _POWERS[0]
 
 
 def features(texts: list[bytes], bits: int, grams: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
@@ -51,13 +35,7 @@ def features(texts: list[bytes], bits: int, grams: tuple[int, ...]) -> tuple[np.
     owner = np.repeat(np.arange(len(texts), dtype=np.int32), [len(c) for c in canon])
     shift = np.uint32(32 - bits)
     gap = data == _SPACE
-    # Words: a polynomial prefix hash, divided down to each word's start.
-    up, down = _powers(len(data) + 1)
-    prefix = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(data * up[:len(data)], out=prefix[1:])
-    starts = np.flatnonzero(gap[:-1] & ~gap[1:]) + 1
-    ends = np.flatnonzero(~gap[:-1] & gap[1:]) + 1
-    words = (prefix[ends] - prefix[starts]) * down[starts]
+    words, starts = hashed_words(data, gap)
     words = ((words ^ (words >> np.uint64(32))) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
     rows = [owner[starts]]
     buckets = [(words * _MULT) >> shift]
@@ -96,7 +74,7 @@ class Model:
     def score(self, texts: list[bytes]) -> np.ndarray:
         """Probability of class 1; a text without words gets what the bias alone says."""
         out = np.empty(len(texts))
-        for s, e in spans([len(t) for t in texts], 1 << 20):
+        for s, e in spans([len(t) for t in texts], 1 << 19):
             buckets, rows = features(texts[s:e], self.bits, self.grams)
             total = np.bincount(rows, self.margin[buckets], e - s)
             out[s:e] = total / np.maximum(1, np.bincount(rows, minlength=e - s)) + self.bias
@@ -132,7 +110,7 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], bits: int, grams: tuple[
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "quality", held_out: tuple[int, int] = (3, 1), max_train: int = 4000, bits: int = 18,
+          label_col: str = "quality", held_out: tuple[int, int] = (3, 1), max_train: int = 2500, bits: int = 18,
           grams: tuple[int, ...] = (3, 4)) -> Model:
     """The model of at most ``max_train`` labelled rows, those of the smallest id hash.
 
@@ -149,11 +127,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def run(batches):
         for batch in batches:
             texts = raw(batch.column(1))
-            for s, e in spans([len(t) for t in texts], 1 << 20):
+            for s, e in spans([len(t) for t in texts], 1 << 19):
                 buckets, rows = features(texts[s:e], bits, grams)
                 keys, counts = np.unique(rows.astype(np.int64) << 32 | buckets, return_counts=True)
                 bounds = np.searchsorted(keys >> 32, np.arange(e - s + 1))
-                low, n = (keys & 0xFFFFFFFF).astype("<i4"), counts.astype("<f4")
+                low, n = (keys & 0xFFFFFFFF).astype("<i4"), np.minimum(counts, 65535).astype("<u2")
                 pick = list(zip(bounds, bounds[1:]))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[s:e], pa.array([low[a:b].tobytes() for a, b in pick], pa.binary()),
@@ -164,7 +142,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = []
     for r in sorted(map(tuple, found)):
         if len(r[1]):
-            n = np.frombuffer(r[2], "<f4")
+            n = np.frombuffer(r[2], "<u2").astype(np.float32)
             rows.append((r[0], np.frombuffer(r[1], "<i4"), n / n.sum()))
     return fit(rows, bits, grams)
 

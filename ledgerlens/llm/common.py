@@ -32,7 +32,12 @@ def cut(df: DataFrame, purpose: str) -> DataFrame:
 
 
 def ship(spark) -> None:
-    """Make this package importable in the Python workers (once a context)."""
+    """Make this package importable in the Python workers (once a context) and keep Arrow batches small.
+
+    A batch of texts is bounded by bytes, so long documents don't fill a worker.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     sc = spark.sparkContext
     if getattr(sc, "_ledgerlens_shipped", False):
         return
