@@ -99,14 +99,14 @@ def estimate(patterns: DataFrame, names: list[str], iterations: int = ITERATIONS
     """(P(votes good | good), P(votes bad | bad), P(good)) of ``patterns(votes..., n)`` by EM."""
     good, bad, prior = [START[0]] * len(names), [START[1]] * len(names), START[2]
     for _ in range(iterations):
-        weighed = patterns.withColumn("g", F.col("n") * _posterior(names, good, bad, prior)).withColumn(
-            "b", F.col("n") - F.col("g"))
-        parts = [F.sum("n").alias("all"), F.sum("g").alias("good")]
+        weighed = patterns.withColumn("in_good", F.col("n") * _posterior(names, good, bad, prior)).withColumn(
+            "in_bad", F.col("n") - F.col("in_good"))
+        parts = [F.sum("n").alias("all"), F.sum("in_good").alias("good")]
         for v in names:
-            parts += [F.sum(F.when(F.col(v) == 1, F.col("g")).otherwise(0.0)).alias(f"{v}_hit"),
-                      F.sum(F.when(F.col(v) != 0, F.col("g")).otherwise(0.0)).alias(f"{v}_on_good"),
-                      F.sum(F.when(F.col(v) == -1, F.col("b")).otherwise(0.0)).alias(f"{v}_miss"),
-                      F.sum(F.when(F.col(v) != 0, F.col("b")).otherwise(0.0)).alias(f"{v}_on_bad")]
+            parts += [F.sum(F.when(F.col(v) == 1, F.col("in_good")).otherwise(0.0)).alias(f"{v}_hit"),
+                      F.sum(F.when(F.col(v) != 0, F.col("in_good")).otherwise(0.0)).alias(f"{v}_on_good"),
+                      F.sum(F.when(F.col(v) == -1, F.col("in_bad")).otherwise(0.0)).alias(f"{v}_miss"),
+                      F.sum(F.when(F.col(v) != 0, F.col("in_bad")).otherwise(0.0)).alias(f"{v}_on_bad")]
         r = weighed.agg(*parts).first()
         if not r["all"]:
             break
