@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import raw, remainder, spans
+from ledgerlens.llm.common import lowest, raw, remainder, spans
 from ledgerlens.llm.words import hashed_words
 
 _MULT = np.uint32(0x9E3779B1)
@@ -118,10 +118,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     used, nor are null labels, null ids or texts; each label row counts with
     each text of its id. Without rows the model scores 0.5 throughout.
     """
-    chosen = (labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label"))
+    usable = (labels.select(F.xxhash64(id_col).alias("h"), F.col(id_col).alias("doc_id"),
+                            F.col(label_col).cast("int").alias("label"))
               .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)
-                     & (remainder(F.col("doc_id"), held_out[0]) != held_out[1]))
-              .orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(max_train))
+                     & (remainder(F.col("doc_id"), held_out[0]) != held_out[1])))
+    chosen = lowest(usable, "h", max_train).select("doc_id", "label")
     plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):

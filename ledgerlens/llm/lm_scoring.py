@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import gru
-from ledgerlens.llm.common import cut, raw, remainder
+from ledgerlens.llm.common import cut, lowest, raw, remainder
 
 HEAD = 1 << 18
 HEAD_BYTES = 64
@@ -56,7 +56,7 @@ def tokens(text: bytes) -> list[bytes]:
 
 @dataclass
 class Lexicon:
-    """The head of the counts. Row ``len(index)`` of the arrays is any other word's, row -1 the end's."""
+    """The head of the counts: all words of ``least`` occurrences or more and up to ``HEAD_BYTES``. Row ``len(index)`` of the arrays is any other word's, row -1 the end's."""
 
     index: dict[bytes, int]
     base: np.ndarray      # log10 of the smoothed unigram probability; 0 for other words, which join theirs
@@ -66,6 +66,7 @@ class Lexicon:
     bucket_log: np.ndarray
     total: int
     distinct: int
+    least: int
 
     def rows(self, words: list[bytes]) -> np.ndarray:
         """Index rows of a text's tokens, the end included."""
@@ -112,11 +113,19 @@ def lexicon(counts: DataFrame) -> tuple[Lexicon, np.ndarray]:
     whole = n + 0.1 * (v + 1)
     by_bucket = {r["bucket"]: (r["n"], r["v"]) for r in counts.where("length(word) > 0").groupBy("bucket").agg(
         F.sum("c").alias("n"), F.count("*").alias("v")).collect()}
-    head = (counts.where(F.length("word").between(1, HEAD_BYTES))
-            .orderBy(F.desc("c"), "word").limit(HEAD).select("word", "bucket", "c").toArrow())
-    words, buckets = head["word"].to_pylist(), head["bucket"].to_numpy()
-    c = head["c"].to_numpy().astype(np.float64)
-    k = len(words)
+    # the head is cut at a count: counts fall into classes a sixteenth apart, and whole classes go in while they fit
+    short = counts.where(F.length("word").between(1, HEAD_BYTES))
+    classes = short.groupBy(F.floor(F.log("c") * 16).alias("k")).agg(
+        F.count("*").alias("n"), F.min("c").alias("c")).orderBy(F.desc("k")).collect()
+    least, k = 1 << 62, 0
+    for r in classes:
+        if k + r["n"] > HEAD:
+            break
+        least, k = r["c"], k + r["n"]
+    head = short.where(F.col("c") >= least).select("word", "bucket", "c").toArrow()
+    words, c = head["word"].to_pylist(), head["c"].to_numpy().astype(np.float64)
+    order = sorted(range(k), key=lambda i: (-c[i], words[i]))
+    words, c, buckets = [words[i] for i in order], c[order], head["bucket"].to_numpy()[order]
     listed = min(k, CLASSES * CLASS_SIZE - BUCKETS - 1)
     # what the words with a unit of their own leave to their bucket, and one unseen event
     seen_n = np.array([by_bucket.get(b, (0, 0))[0] for b in range(BUCKETS)], np.float64)
@@ -139,7 +148,7 @@ def lexicon(counts: DataFrame) -> tuple[Lexicon, np.ndarray]:
     mass[1:listed + 1] = 10.0 ** base[:listed]
     mass[first:] = bucket_mass
     known = np.concatenate([np.ones(k), [0, float(ends > 0)]])
-    return Lexicon({w: i for i, w in enumerate(words)}, base, unit, within, known, np.log10(bucket_mass), n, v), mass
+    return Lexicon({w: i for i, w in enumerate(words)}, base, unit, within, known, np.log10(bucket_mass), n, v, least), mass
 
 
 def _segments(text: bytes, key: int, lex: Lexicon):
@@ -188,13 +197,12 @@ def train(docs: DataFrame, lex: Lexicon, mass: np.ndarray) -> dict[str, np.ndarr
             if found:
                 data = [units.astype("<i4").tobytes() for _, units in found]
                 yield pa.RecordBatch.from_arrays([pa.array([share for share, _ in found], pa.int32()),
-                                                  pa.array([xxhash.xxh64_intdigest(d) >> 1 for d in data], pa.int64()),
+                                                  pa.array([xxhash.xxh64_intdigest(d) - (1 << 63) for d in data], pa.int64()),
                                                   pa.array(data, pa.binary())], ["share", "h", "units"])
     picked = cut(docs.select("text_hash", "text").mapInArrow(pick, "share int, h long, units binary"), "lm-segments")
     # the start: the first START_SEGMENTS of a share of their own, in the order of their hash
-    first = (picked.where(F.col("share") == ROUNDS).orderBy("h", "units").limit(START_SEGMENTS)
-             .select("units").toArrow()["units"].to_pylist())
-    segments = sorted((np.frombuffer(x, "<i4").astype(np.int64) for x in first), key=len)
+    first = lowest(picked.where(F.col("share") == ROUNDS).select("h", "units"), "h", START_SEGMENTS).toArrow()
+    segments = sorted((np.frombuffer(x, "<i4").astype(np.int64) for x in sorted(first["units"].to_pylist())), key=len)
     rng = np.random.default_rng(5)
     for _ in range(2):
         groups = [segments[i:i + 32] for i in range(0, len(segments), 32)]
@@ -265,9 +273,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     whole = lex.total + 0.1 * (lex.distinct + 1)
     rare = (local.select("row", F.explode(F.arrays_zip("words", "times")).alias("w"))
             .select("row", F.col("w.words").alias("word"), F.col("w.times").alias("times")))
-    # every word outside the head has a count no larger than the head's last
-    least = float("inf") if len(lex.index) < HEAD else round(10 ** lex.base[HEAD - 1] * whole - 0.1)
-    tail = counts.where((F.col("c") <= least) | (F.length("word") > HEAD_BYTES)).select("word", "c")
+    tail = counts.where((F.col("c") < lex.least) | (F.length("word") > HEAD_BYTES)).select("word", "c")
     found = rare.join(tail, "word", "left").select(
         "row", "times", F.coalesce("c", F.lit(0)).alias("c"))
     per_row = found.groupBy("row").agg(
