@@ -1,58 +1,26 @@
-"""Keyed upsert and as-of reads as DataFrame algebra.
+"""Keyed upsert as DataFrame algebra.
 
-``upsert`` is MERGE with "matched -> replace every column, not matched ->
-insert" and no delete branch: the target rows whose key is not in the
-source, plus all source rows. ``as_of`` reads a change log (one row per
-version of a key) as of a point in time: the latest version per key among
-those at or before it.
+MERGE with "matched -> replace every column, not matched -> insert" and no
+delete branch: the target rows whose key is not in the source, plus all source
+rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.contracts import Sort
-from .quality import duplicate_keys, keep_first
-
 
 class DuplicateSourceKey(ValueError):
     """The upsert source holds two rows for one key (MERGE would be ambiguous)."""
 
 
-def assert_unique(source: DataFrame, key: str) -> None:
-    """Fail fast when a source key repeats; reads one offending key at most."""
-    dup = duplicate_keys(source, key).limit(1).collect()
-    if dup:
-        raise DuplicateSourceKey(f"upsert source repeats {key}={dup[0][key]!r} "
-                                 f"({dup[0]['copies']} rows)")
-
-
-def upsert(target: DataFrame, source: DataFrame, key: str, check: bool = True) -> DataFrame:
+def upsert(target: DataFrame, source: DataFrame, key: str, matched: DataFrame | None = None) -> DataFrame:
     """Target rows not matched by a source key, plus every source row.
 
-    NULL keys never match, so a source row with a NULL key is inserted.
-    """
-    if check:
-        assert_unique(source, key)
-    kept = target.join(source.select(key).filter(F.col(key).isNotNull()), key, "left_anti")
-    return kept.unionByName(source.select(*target.columns))
-
-
-def latest_per_key(log: DataFrame, key: str, order: Sequence[Sort]) -> DataFrame:
-    """One row per key: the first under ``order`` (put the newest first)."""
-    return keep_first(log, key, order)
-
-
-def as_of(log: DataFrame, key: str, version_col: str, at, order: Sequence[Sort] = ()) -> DataFrame:
-    """State of a change log at ``at``: the newest version per key with version <= at.
-
-    ``order`` adds tie-breaks after the version (newest first).
+    ``matched`` gives the source keys that occur in the target where they are
+    known already. NULL keys never match, so a source row with a NULL key is
+    inserted. The source's keys must not repeat.
     """
-    newest = (Sort(version_col, descending=True),) + tuple(order)
-    at_col = F.lit(at)
-    if isinstance(at, str):
-        at_col = at_col.cast(log.schema[version_col].dataType)
-    return latest_per_key(log.filter(F.col(version_col) <= at_col), key, newest)
+    keys = (source if matched is None else matched).select(key).filter(F.col(key).isNotNull())
+    return target.join(keys, key, "left_anti").unionByName(source.select(*target.columns))

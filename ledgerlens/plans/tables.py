@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.upsert import DuplicateSourceKey
+from ..operators.upsert import DuplicateSourceKey, upsert
 from ..session import fresh_dir
 from ..sources.contracts import FACT_COLUMNS, FACT_KEY, FACT_PARTITION, FACT_SCHEMA
 
@@ -169,9 +169,9 @@ class FactTable(_Committed):
         touched = {r.part for r in pairs} | {r.was for r in pairs if r.was is not None}
         if not touched:
             return
-        kept = self._scan(commits, touched).join(met.where("was IS NOT NULL").select(self.key), self.key, "left_anti")
+        rows = upsert(self._scan(commits, touched), source, self.key, matched=met.where("was IS NOT NULL"))
         # REBALANCE packs small partitions together and splits a hot one over several tasks.
         folder = f"v{version:06d}-{uuid.uuid4().hex[:8]}"
-        (kept.unionByName(source).hint("rebalance", "part").write.mode("errorifexists")
+        (rows.hint("rebalance", "part").write.mode("errorifexists")
          .partitionBy("part").parquet(f"{self.data}/written_by={folder}"))
         self._record(version, ts, folder, sorted(touched))

@@ -5,9 +5,9 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.upsert import DuplicateSourceKey, as_of, upsert
+from ledgerlens.operators.upsert import DuplicateSourceKey, upsert
 from ledgerlens.plans.tables import FactTable, ReplaceTable
-from ledgerlens.sources.contracts import FACT_SCHEMA, Sort
+from ledgerlens.sources.contracts import FACT_SCHEMA
 
 
 def _rows(spark, rows, batch):
@@ -64,17 +64,12 @@ def test_duplicate_source_key_raises(spark, scratch):
         t.merge(_rows(spark, [("T1", 1, 10.0), ("T1", 2, 12.0)], "b1"))
 
 
-def test_pure_upsert_and_as_of(spark):
+def test_pure_upsert(spark):
     target = spark.createDataFrame([("T1", 1), ("T2", 2)], "k string, v int")
     source = spark.createDataFrame([("T2", 20), ("T3", 30), (None, 0)], "k string, v int")
-    assert sorted(upsert(target, source, "k", check=False).collect(), key=str) == \
-        sorted([("T1", 1), ("T2", 20), ("T3", 30), (None, 0)], key=str)
-    log = spark.createDataFrame([("T1", 1, "a"), ("T1", 3, "b"), ("T1", 5, "c"), ("T2", 4, "d")],
-                                "k string, ver int, v string")
-    assert sorted(as_of(log, "k", "ver", 4).collect()) == [("T1", 3, "b"), ("T2", 4, "d")]
-    assert as_of(log, "k", "ver", 0).count() == 0
-    assert sorted(as_of(log, "k", "ver", 9, (Sort("v"),)).collect()) == [("T1", 5, "c"),
-                                                                         ("T2", 4, "d")]
+    want = sorted([("T1", 1), ("T2", 20), ("T3", 30), (None, 0)], key=str)
+    assert sorted(upsert(target, source, "k").collect(), key=str) == want
+    assert sorted(upsert(target, source, "k", matched=source.where("k = 'T2'")).collect(), key=str) == want
 
 
 def test_replace_table_versions(spark, scratch):
