@@ -266,19 +266,20 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     and are rewritten alike. ``lines_col`` and ``kept_col`` name counts to add,
     of lines with a word before and after.
     """
-    mark, kept, part = (free_name(docs, n) for n in ("text_hash", "kept", "parts"))
+    mark, kept, part, blank = (free_name(docs, n) for n in ("text_hash", "kept", "parts", "blanks"))
     found = kept_lines(docs, id_col, text_col, max_bits, similarity).select(
         F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), F.col("kept").alias("_k"))
-    text = F.col(text_col).cast("string")
-    stays = F.coalesce(F.col(kept), F.array().cast("array<int>"))
+    stays = F.coalesce(F.col("_k"), F.array().cast("array<int>")).alias(kept)
     rows = docs.withColumn(mark, F.xxhash64(text_col)).alias("rows")
-    joined = rows.join(found, F.col(f"rows.{id_col}").eqNullSafe(F.col("_d")) & (F.col(f"rows.{mark}") == F.col("_h")),
-                       "left").select("rows.*", F.col("_k").alias(kept)).withColumn(part, F.split(text, "\n", -1))
-    out = joined.withColumn(text_col, F.array_join(F.filter(
-        part, lambda line, i: ~line.rlike(NOT_BLANK) | F.array_contains(stays, i)), "\n"))
+    match = F.col(f"rows.{id_col}").eqNullSafe(F.col("_d")) & (F.col(f"rows.{mark}") == F.col("_h"))
+    joined = rows.join(found, match, "left").select("rows.*", stays).withColumn(
+        part, F.split(F.col(text_col).cast("string"), "\n", -1))
+    blanks = F.filter(F.transform(part, lambda line, i: F.when(~line.rlike(NOT_BLANK), i)), lambda i: i.isNotNull())
+    # the lines are picked by their sorted numbers, which stays cheap for a text of very many lines
+    out = joined.withColumn(blank, blanks).withColumn(text_col, F.array_join(F.transform(
+        F.array_sort(F.concat(kept, blank)), lambda i: F.get(part, i)), "\n"))
     if lines_col:
-        out = out.withColumn(lines_col, F.coalesce(
-            F.size(F.filter(part, lambda line: line.rlike(NOT_BLANK))), F.lit(0)).cast("long"))
+        out = out.withColumn(lines_col, F.coalesce(F.size(part) - F.size(blank), F.lit(0)).cast("long"))
     if kept_col:
-        out = out.withColumn(kept_col, F.size(stays).cast("long"))
-    return out.drop(mark, kept, part)
+        out = out.withColumn(kept_col, F.size(kept).cast("long"))
+    return out.drop(mark, kept, part, blank)

@@ -69,11 +69,9 @@ def corpus(seed, docs=60):
 
 
 def test_matches_brute_force(llm):
-    for seed in (1, 2):
-        docs = corpus(seed)
-        df = llm.createDataFrame(list(docs.items()), "doc_id long, text string")
-        got = {r.doc_id: r.text for r in L.dedup_lines(df).collect()}
-        assert got == brute(docs)
+    docs = corpus(1)
+    df = llm.createDataFrame(list(docs.items()), "doc_id long, text string")
+    assert {r.doc_id: r.text for r in L.dedup_lines(df).collect()} == brute(docs)
 
 
 def test_cells_and_chunks_do_not_change_the_result(llm, monkeypatch):
