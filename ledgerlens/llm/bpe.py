@@ -148,7 +148,7 @@ class BpeAutomaton:
 
     def decode(self, ids: list[int]) -> bytes:
         labels = self.labels
-        return b"".join(labels[i] for i in ids)
+        return b"".join([labels[i] for i in ids])
 
 
 class Codec:
@@ -178,15 +178,22 @@ class Codec:
         return out
 
     def words(self, text: str) -> list[tuple]:
-        known, special = self.known, self.automaton.special
+        known, special, new = self.known.get, self.automaton.special, self._word
         out = []
         for part in self.cut(text) if self.cut and "<" in text else (text,):
             if part in special:
                 out.append((array("i", [special[part]]).tobytes(), str(special[part]), part.encode()))
             else:
-                out += [known.get(w) or self._word(w) for w in self.pieces(part)]
+                out += [known(w) or new(w) for w in self.pieces(part)]
         return out
 
+    def whole(self, text: str) -> tuple[bytes, str, str]:
+        """(packed ids, digest of the ids as text, digest of the decoded text) of a text."""
+        words = self.words(text)
+        back = b"".join([w[2] for w in words]).decode("utf-8", "replace").encode()
+        return (b"".join([w[0] for w in words]), hashlib.sha256(",".join([w[1] for w in words]).encode()).hexdigest(),
+                hashlib.sha256(back).hexdigest())
+
 
 _CODECS: dict[str, Codec] = {}
 
@@ -223,16 +230,9 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
         for batch in batches:
             texts = raw(batch.column(1))
             for s, e in spans([len(t) for t in texts], 4 << 20):
-                counts, digests, decoded, ids = [], [], [], []
-                for text in texts[s:e]:
-                    words = own.words(text.decode())
-                    packed = b"".join([w[0] for w in words])
-                    counts.append(len(packed) // 4)
-                    digests.append(hashlib.sha256(",".join([w[1] for w in words]).encode()).hexdigest())
-                    back = b"".join([w[2] for w in words]).decode("utf-8", "replace")
-                    decoded.append(hashlib.sha256(back.encode()).hexdigest())
-                    if tokens:
-                        ids.append(packed)
+                found = [own.whole(t.decode()) for t in texts[s:e]]
+                ids, digests, decoded = map(list, zip(*found))
+                counts = [len(x) // 4 for x in ids]
                 cols = [batch.column(0)[s:e], pa.array(counts, pa.int64()), pa.array(digests, pa.string()),
                         pa.array(decoded, pa.string())]
                 if tokens:
