@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import cut, free_name
+from ledgerlens.llm.common import cut
 
 ROLES = ("system", "user", "assistant")
 START = 0
@@ -235,10 +235,11 @@ def repair(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str =
     states = cut(matrices.repartition("conv_id").sortWithinPartitions(*_KEY)
                  .mapInArrow(place, key + ", first long, last long, turns long, before long, final boolean"), "chat-cuts")
     # Each chunk's states go ahead of its rows, in the same shuffle.
+    none = lambda names: [F.lit(None).cast("long").alias(n) for n in names]
     nothing = {"turn": "long", "role": "string", "hash": "long", "text": "string", "code": "int"}
     ahead = states.select(*_KEY, *[F.lit(None).cast(t).alias(n) for n, t in nothing.items()],
                           "first", "last", "turns", "before", "final", F.lit(0).alias("kind"))
-    body = rows.select(*_KEY, *_ORDER, "code", *[F.lit(None).cast("long").alias(n) for n in ("first", "last", "turns", "before")],
+    body = rows.select(*_KEY, *_ORDER, "code", *none(("first", "last", "turns", "before")),
                        F.lit(None).cast("boolean").alias("final"), F.lit(1).alias("kind"))
     result = pa.schema([pa.field("conv_id", arrow), pa.field("seq", pa.int64()), pa.field("row_no", pa.int64()),
                         pa.field("role", pa.string()), pa.field("source_turn", pa.int64()),

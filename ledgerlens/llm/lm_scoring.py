@@ -56,7 +56,10 @@ def tokens(text: bytes) -> list[bytes]:
 
 @dataclass
 class Lexicon:
-    """The head of the counts: all words of ``least`` occurrences or more and up to ``HEAD_BYTES``. Row ``len(index)`` of the arrays is any other word's, row -1 the end's."""
+    """The head of the counts: all words of ``least`` occurrences or more and up to ``HEAD_BYTES``.
+
+    Row ``len(index)`` of the arrays is any other word's, row -1 the end's.
+    """
 
     index: dict[bytes, int]
     base: np.ndarray      # log10 of the smoothed unigram probability; 0 for other words, which join theirs
@@ -169,9 +172,8 @@ def _segments(text: bytes, key: int, lex: Lexicon):
         yield share, units if j else np.concatenate([[0], units])
 
 
-def _pack(p, state, tokens_: int) -> bytes:
-    return np.concatenate([p[k].ravel() for k in gru.NAMES] + [state[k].ravel() for k in gru.NAMES]
-                          ).astype("<f4").tobytes() if tokens_ else b""
+def _pack(p, state) -> bytes:
+    return np.concatenate([part[k].ravel() for part in (p, state) for k in gru.NAMES]).astype("<f4").tobytes()
 
 
 def _unpack(data: np.ndarray, like):
@@ -196,9 +198,10 @@ def train(docs: DataFrame, lex: Lexicon, mass: np.ndarray) -> dict[str, np.ndarr
                      for x in _segments(text, key, shared_lex.value)]
             if found:
                 data = [units.astype("<i4").tobytes() for _, units in found]
-                yield pa.RecordBatch.from_arrays([pa.array([share for share, _ in found], pa.int32()),
-                                                  pa.array([xxhash.xxh64_intdigest(d) - (1 << 63) for d in data], pa.int64()),
-                                                  pa.array(data, pa.binary())], ["share", "h", "units"])
+                hashes = [xxhash.xxh64_intdigest(d) - (1 << 63) for d in data]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([share for share, _ in found], pa.int32()), pa.array(hashes, pa.int64()),
+                     pa.array(data, pa.binary())], ["share", "h", "units"])
     picked = cut(docs.select("text_hash", "text").mapInArrow(pick, "share int, h long, units binary"), "lm-segments")
     # the start: the first START_SEGMENTS of a share of their own, in the order of their hash
     first = lowest(picked.where(F.col("share") == ROUNDS).select("h", "units"), "h", START_SEGMENTS).toArrow()
@@ -220,7 +223,7 @@ def train(docs: DataFrame, lex: Lexicon, mass: np.ndarray) -> dict[str, np.ndarr
                 for g in np.random.default_rng(r).permutation(-(-len(found) // 32)):
                     seen += gru.train_segments(own, sums, CLASS_SIZE, found[32 * g:32 * g + 32], 0.05)[1]
             if seen:
-                yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([_pack(own, sums, seen)])],
+                yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([_pack(own, sums)])],
                                                  ["seen", "data"])
 
         def add(batches):
