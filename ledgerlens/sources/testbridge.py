@@ -2,10 +2,11 @@
 
 The banking feed has no public sample, so each raw dataset is a projection
 of a test table (customer -> customers and accounts, supplier -> merchants,
-nation -> branches, lineitem x orders -> transactions, orders -> loan applications). The derivation deliberately injects what real feeds carry and
-the test tables lack: NULLs in required and optional columns, duplicate keys,
-orphan references and idle dimension rows. The same derivation, written as
-SQL, is the prefix of every oracle query (``plans/oracle.py``).
+nation -> branches, lineitem x orders -> transactions, orders -> loan
+applications). The derivation deliberately injects what real feeds carry and the
+test tables lack: NULLs in required and optional columns, duplicate keys, orphan
+references and idle dimension rows. The same derivation, written as SQL, is the
+prefix of every oracle query (``plans/oracle.py``).
 """
 
 from __future__ import annotations
