@@ -38,7 +38,7 @@ from ledgerlens.llm.common import raw, spans
 # Fixed value: the pre-token pattern of byte-level BPE vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _NEVER = 1 << 62
-_CACHE_ROWS = 160_000
+_CACHE_ROWS = 110_000
 _CACHE_BYTES = 64
 
 
@@ -229,7 +229,7 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
         own = codec(shared.value)
         for batch in batches:
             texts = raw(batch.column(1))
-            for s, e in spans([len(t) for t in texts], 4 << 20):
+            for s, e in spans([len(t) for t in texts], 1 << 20):
                 found = [own.whole(t.decode()) for t in texts[s:e]]
                 ids, digests, decoded = map(list, zip(*found))
                 counts = [len(x) // 4 for x in ids]

@@ -74,7 +74,7 @@ class Model:
     def score(self, texts: list[bytes]) -> np.ndarray:
         """Probability of class 1; a text without words gets what the bias alone says."""
         out = np.empty(len(texts))
-        for s, e in spans([len(t) for t in texts], 1 << 19):
+        for s, e in spans([len(t) for t in texts], 1 << 18):
             buckets, rows = features(texts[s:e], self.bits, self.grams)
             total = np.bincount(rows, self.margin[buckets], e - s)
             out[s:e] = total / np.maximum(1, np.bincount(rows, minlength=e - s)) + self.bias
@@ -128,7 +128,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def run(batches):
         for batch in batches:
             texts = raw(batch.column(1))
-            for s, e in spans([len(t) for t in texts], 1 << 19):
+            for s, e in spans([len(t) for t in texts], 1 << 18):
                 buckets, rows = features(texts[s:e], bits, grams)
                 keys, counts = np.unique(rows.astype(np.int64) << 32 | buckets, return_counts=True)
                 bounds = np.searchsorted(keys >> 32, np.arange(e - s + 1))

@@ -47,7 +47,7 @@ def normal_line(line: bytes) -> bytes:
 def line_prints(forms: list[bytes]) -> np.ndarray:
     """SimHash of each normal form (none empty) over its set of words."""
     out = np.empty(len(forms), np.uint64)
-    for s, e in spans([len(f) + 1 for f in forms], 1 << 20):
+    for s, e in spans([len(f) + 1 for f in forms], 1 << 18):
         data = np.frombuffer(b"\n".join(forms[s:e]), np.uint8)
         breaks = data == 10
         hashes, starts = hashed_words(data, breaks | (data == 32))
@@ -120,7 +120,7 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     def run(batches):
         for batch in batches:
             texts = raw(batch.column(2))
-            for s, e in spans([len(t) for t in texts], 4 << 20):
+            for s, e in spans([len(t) for t in texts], 1 << 20):
                 rows, numbers, forms = [], [], []
                 for i in range(s, e):
                     for n, line in enumerate(texts[i].split(b"\n")):

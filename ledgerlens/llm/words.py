@@ -13,7 +13,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if not _POWERS or len(_POWERS[0][0]) < n:
         both = []
         for base in (_STEP, pow(_STEP, -1, 1 << 64)):
-            x = np.full(max(n, 1 << 20), base, np.uint64)
+            x = np.full(max(n, 1 << 18), base, np.uint64)
             x[0] = 1
             both.append(np.cumprod(x))
         _POWERS[:] = [tuple(both)]
