@@ -38,7 +38,7 @@ from ledgerlens.llm.common import raw, spans
 # Fixed value: the pre-token pattern of byte-level BPE vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _NEVER = 1 << 62
-_CACHE_ROWS = 110_000
+_CACHE_ROWS = 180_000
 _CACHE_BYTES = 64
 
 
