@@ -26,7 +26,8 @@ def fuzzy_line_dedup(spark, docs, sf_dir):
     """Lines that an earlier place has go; a document that loses all its lines stays with an empty rest."""
     ship(spark)
     kind = docs.schema["n_chars"].dataType
-    return line_dedup.dedup_lines(docs).withColumn("n_chars", F.length("text").cast(kind))
+    out = line_dedup.dedup_lines(docs, max_bits=line_dedup.NEAR_BITS, bands=line_dedup.BANDS)
+    return out.withColumn("n_chars", F.length("text").cast(kind))
 
 
 def simhash_near_dedup(spark, docs, sf_dir):

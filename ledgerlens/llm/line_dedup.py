@@ -9,8 +9,16 @@ connected group, and of equal lines, the occurrence of the smallest (document
 id, text hash, line number) stays; all others go.
 
 Two fingerprints at ``max_bits`` or fewer agree in at least two of
-``max_bits + 2`` blocks, so they meet under the key of some pair of blocks. The
-fingerprints first fall into classes that are connected by distance alone;
+``max_bits + 2`` blocks, so they meet under the key of some pair of blocks. A
+few bits are far stricter than the edit similarity: most pairs that reach 0.8
+lie further apart. With ``bands`` the candidates are chosen for the similarity
+instead: ``max_bits`` is wide (``NEAR_BITS``), and as no blocks can serve it, the
+lines meet under ``bands`` keys, each of two min-hashes of the same features.
+Short lines, whose words are too few, take their byte pairs as features; lines
+of ``SHORT`` up to ``SHORT / 0.8`` characters are in both kinds, so that every
+similar pair shares one.
+
+The fingerprints first fall into classes that are connected by distance alone;
 every link lies within one. Only lines of classes with two or more lines have
 their text fetched and verified, in cells of bounded size, where a pair that
 is already connected needs no second proof. So a group of n near copies costs
@@ -36,6 +44,12 @@ from ledgerlens.llm.words import hashed_words, mixed
 _FOLD = bytes(32 if chr(b) in string.punctuation else 48 if 48 <= b <= 57 else b | 32 if 65 <= b <= 90 else b
               for b in range(256))
 _SAMPLE = 16
+#: Candidates for an edit similarity of 0.8: bits that may differ (of words, of byte pairs) and keys of two min-hashes.
+#: Wider bits chain unlike lines: over 404,175 distinct lines 14 put 50,854 and 12 at most 468 into one class.
+NEAR_BITS, SHORT_BITS, BANDS = 10, 6, 8
+#: Below so many characters a line's features are its byte pairs.
+SHORT = 64
+_ODD = mixed(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
 NOT_BLANK = r"[^\x20\x09-\x0D]"
 
 
@@ -60,6 +74,41 @@ def line_prints(forms: list[bytes]) -> np.ndarray:
     return out
 
 
+def _band_keys(hashes: np.ndarray, counts: np.ndarray, bands: int) -> np.ndarray:
+    """(lists, bands) int32 keys of lists of hashes (none empty), each from two min-hashes."""
+    starts = np.cumsum(counts) - counts
+    least = [np.minimum.reduceat((hashes ^ odd) * odd >> np.uint64(32), starts) for odd in _ODD[:2 * bands]]
+    keys = [mixed(a << np.uint64(32) | b) >> np.uint64(32) for a, b in zip(least[::2], least[1::2])]
+    return np.stack(keys, 1).astype(np.uint32).view(np.int32)
+
+
+def line_sketches(forms: list[bytes], bands: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(form, short, SimHash, band keys) of normal forms (none empty): one row for each kind of features a form has."""
+    out = []
+    for s, e in spans([len(f) + 1 for f in forms], 1 << 18):
+        data = np.frombuffer(b"\n" + b"\n".join(forms[s:e]) + b"\n", np.uint8)
+        breaks = data == 10
+        line = np.cumsum(breaks[:-1]) - 1
+        chars = np.bincount(line, (data[:-1] & 0xC0) != 0x80, e - s) - 1
+        hashes, starts = hashed_words(data, breaks | (data == 32))
+        pairs = data[:-1].astype(np.uint64) << np.uint64(8) | data[1:]
+        for short, wanted, owner, found in (
+                (False, chars >= SHORT, line[starts], mixed(hashes) >> np.uint64(24)),
+                (True, 0.8 * chars < SHORT, line, pairs)):
+            use = wanted[owner]
+            rows = np.sort(owner[use].astype(np.uint64) << np.uint64(40) | found[use])
+            if len(rows):
+                rows = rows[np.append(True, rows[1:] != rows[:-1])]
+                counts = np.bincount((rows >> np.uint64(40)).astype(np.int64), minlength=e - s)
+                counts, hashed = counts[wanted], mixed(rows & np.uint64((1 << 40) - 1))
+                out.append((np.flatnonzero(wanted) + s, np.full(len(counts), short), majority(hashed, counts), _band_keys(hashed, counts, bands)))
+    if not out:
+        return np.empty(0, np.int64), np.empty(0, bool), np.empty(0, np.uint64), np.empty((0, bands), np.int32)
+    at, short, fps, keys = (np.concatenate(x) for x in zip(*out))
+    order = np.argsort(at, kind="stable")
+    return at[order], short[order], fps[order], keys[order]
+
+
 def edit_distance(a: str, b: str) -> int:
     """Levenshtein distance by Myers' bit vectors, the common ends cut off first."""
     n = _common(a, b)
@@ -115,8 +164,21 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.col(text_col).cast("string").alias("text"))
 
 
-def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text_hash, line_no, k1, k2, fp) of each line with a word; k1, k2: 128-bit hash of its normal form."""
+def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands: int = 0) -> DataFrame:
+    """(doc_id, text_hash, line_no, k1, k2, fp) of each line with a word; k1, k2: 128-bit hash of its normal form.
+
+    With ``bands`` the column ``fp`` is an array of (fp, short, keys), one for each kind of features.
+    """
+    def prints(forms):
+        if not bands:
+            return pa.array(line_prints(forms).view(np.int64))
+        at, short, fps, keys = line_sketches(forms, bands)
+        lists = pa.ListArray.from_arrays(np.arange(len(at) + 1, dtype=np.int32) * bands, pa.array(keys.ravel()))
+        return pa.ListArray.from_arrays(np.searchsorted(at, np.arange(len(forms) + 1)).astype(np.int32),
+                                        pa.StructArray.from_arrays(
+                                            [pa.array(fps.view(np.int64)), pa.array(short), lists],
+                                            ["fp", "short", "keys"]))
+
     def run(batches):
         for batch in batches:
             texts = raw(batch.column(2))
@@ -134,11 +196,12 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 at = pa.array(rows, pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(at), batch.column(1).take(at), pa.array(numbers, pa.int32()),
-                     pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(line_prints(forms).view(np.int64))],
+                     pa.array(halves[:, 0]), pa.array(halves[:, 1]), prints(forms)],
                     ["doc_id", "text_hash", "line_no", "k1", "k2", "fp"])
     kind = docs.schema[id_col].dataType.simpleString()
+    fp = "array<struct<fp:long,short:boolean,keys:array<int>>>" if bands else "long"
     return _keyed(docs, id_col, text_col).mapInArrow(
-        run, f"doc_id {kind}, text_hash long, line_no int, k1 long, k2 long, fp long")
+        run, f"doc_id {kind}, text_hash long, line_no int, k1 long, k2 long, fp {fp}")
 
 
 def block_links(fps: DataFrame, max_bits: int, cell_rows: int = 4096) -> DataFrame:
@@ -152,7 +215,18 @@ def block_links(fps: DataFrame, max_bits: int, cell_rows: int = 4096) -> DataFra
         for j in range(i + 1, parts):
             (a, _), (b, width) = blocks[i], blocks[j]
             keys.append(F.lit(len(keys) << 56) + F.shiftleft(a, width) + b)
-    rows = fps.select("fp", F.explode(F.array(*keys)).alias("key")).withColumn("role", F.lit(BOTH))
+    return _linked(fps.select("fp", F.explode(F.array(*keys)).alias("key")), max_bits, cell_rows)
+
+
+def band_links(prints: DataFrame, max_bits: int, cell_rows: int = 4096) -> DataFrame:
+    """Edges that connect ``prints(fp, keys)`` of a common key of the same band at ``max_bits`` or fewer."""
+    key = F.shiftleft(F.col("band").cast("long"), 32) + F.col("part").bitwiseAND(F.lit(0xFFFFFFFF))
+    return _linked(prints.select("fp", F.posexplode("keys").alias("band", "part")).select("fp", key.alias("key")),
+                   max_bits, cell_rows)
+
+
+def _linked(rows: DataFrame, max_bits: int, cell_rows: int) -> DataFrame:
+    rows = rows.withColumn("role", F.lit(BOTH))
     # How a hot key is cut does not change the result, so its size may be estimated from some fingerprints.
     heavy = (rows.where(F.pmod(F.xxhash64("fp"), F.lit(_SAMPLE)) == 0).groupBy("key").count()
              .where(F.col("count") * _SAMPLE > cell_rows)
@@ -200,10 +274,17 @@ def _verify(max_bits: int, similarity: float):
 
 
 def verified_links(docs: DataFrame, lines: DataFrame, id_col: str, text_col: str, max_bits: int, similarity: float,
-                   cell_rows: int = 256) -> DataFrame:
+                   bands: int = 0, cell_rows: int = 256) -> DataFrame:
     """Edges (a, b) between line keys (struct k1, k2) whose components are those of all verified links."""
-    fps = cut(lines.groupBy("fp").agg(F.count("*").alias("n")), "line-prints")
-    closed = components(block_links(fps.select("fp"), max_bits))
+    if bands:
+        lines = lines.select(*[c for c in lines.columns if c != "fp"], F.inline("fp"))
+        prints = cut(lines.groupBy("fp", "short", "keys").agg(F.count("*").alias("n")), "line-prints")
+        fps = prints.groupBy("fp").agg(F.sum("n").alias("n"))
+        closed = components(band_links(prints.where(~F.col("short")), max_bits)
+                            .unionByName(band_links(prints.where("short"), min(max_bits, SHORT_BITS))))
+    else:
+        fps = cut(lines.groupBy("fp").agg(F.count("*").alias("n")), "line-prints")
+        closed = components(block_links(fps.select("fp"), max_bits))
     classed = fps.join(closed.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "n", F.coalesce("root", "fp").alias("class"))
     sizes = classed.groupBy("class").agg(F.sum("n").alias("size")).where("size > 1")
@@ -240,13 +321,13 @@ def verified_links(docs: DataFrame, lines: DataFrame, id_col: str, text_col: str
 
 
 def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = 3,
-               similarity: float = 0.8) -> DataFrame:
+               similarity: float = 0.8, bands: int = 0) -> DataFrame:
     """(doc_id, text_hash, kept): the numbers of the lines that stay, for each document with any."""
     place = F.struct("doc_id", "text_hash", "line_no")
-    lines = cut(occurrences(docs, id_col, text_col).groupBy("k1", "k2")
+    lines = cut(occurrences(docs, id_col, text_col, bands).groupBy("k1", "k2")
                 .agg(F.min(place).alias("at"), F.first("fp").alias("fp"))
                 .select("k1", "k2", "fp", "at.doc_id", "at.text_hash", "at.line_no"), "lines")
-    closed = components(verified_links(docs, lines, id_col, text_col, max_bits, similarity))
+    closed = components(verified_links(docs, lines, id_col, text_col, max_bits, similarity, bands))
     member = (closed.select("node.k1", "node.k2", "root").join(lines, ["k1", "k2"])
               .select("root", F.struct("doc_id", "text_hash", "line_no").alias("at"), "k1", "k2"))
     member = cut(member, "line-groups")
@@ -257,17 +338,19 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = 3,
-                similarity: float = 0.8, lines_col: str | None = None, kept_col: str | None = None) -> DataFrame:
+                similarity: float = 0.8, lines_col: str | None = None, kept_col: str | None = None,
+                bands: int = 0) -> DataFrame:
     """``docs`` with the lines removed that a smaller place has already, all columns and rows kept.
 
     Lines are parts between ``\\n``; one without a word is no duplicate and
     stays. A null text stays null; a text whose lines are all elsewhere is left
     with its blank lines only. Rows equal in id and text count as one document
     and are rewritten alike. ``lines_col`` and ``kept_col`` name counts to add,
-    of lines with a word before and after.
+    of lines with a word before and after. ``bands`` takes candidates by min-hash
+    bands (with ``max_bits=NEAR_BITS``) instead of pairs of blocks.
     """
     mark, kept, part, blank = (free_name(docs, n) for n in ("text_hash", "kept", "parts", "blanks"))
-    found = kept_lines(docs, id_col, text_col, max_bits, similarity).select(
+    found = kept_lines(docs, id_col, text_col, max_bits, similarity, bands).select(
         F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), F.col("kept").alias("_k"))
     stays = F.coalesce(F.col("_k"), F.array().cast("array<int>")).alias(kept)
     rows = docs.withColumn(mark, F.xxhash64(text_col)).alias("rows")

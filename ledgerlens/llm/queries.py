@@ -21,7 +21,8 @@ from ledgerlens.llm.common import documents, remainder, ship
 
 
 def op1_line_dedup(spark, sf_dir):
-    return line_dedup.dedup_lines(documents(spark, sf_dir), lines_col="n_lines", kept_col="n_kept").select(
+    return line_dedup.dedup_lines(documents(spark, sf_dir), max_bits=line_dedup.NEAR_BITS, bands=line_dedup.BANDS,
+                                  lines_col="n_lines", kept_col="n_kept").select(
         "doc_id", "n_lines", "n_kept", "text")
 
 

@@ -114,3 +114,42 @@ def test_edge_rows(llm, edge, none):
     assert [r.text for r in rows[5]] == ["Repeated row."] * 2 and rows[10][0].n_kept == 0
     assert rows[None][0].n_kept == 1 or rows[None][1].n_kept == 1 or rows[None][2].n_kept == 1
     assert L.dedup_lines(none).count() == 0
+
+
+def test_bands_find_what_is_similar(llm):
+    """Against all pairs of lines by edit similarity alone: short and long lines with a word or a letter changed."""
+    rng = random.Random(5)
+    vocab = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 8))) for _ in range(400)]
+    docs = {}
+    for i in range(120):
+        words = [rng.choice(vocab) for _ in range(rng.choice([4, 8, 10, 12, 15, 20, 30, 50]))]
+        other = list(words)
+        at = rng.randrange(len(words))
+        other[at] = rng.choice(vocab) if len(words) > 8 else other[at][:-1] + "z"
+        docs[i], docs[200 + i] = " ".join(words), " ".join(other)
+    df = llm.createDataFrame(list(docs.items()), "doc_id long, text string")
+    label = {i: i for i in docs}
+    for i in sorted(docs):
+        for j in sorted(docs):
+            if i < j and label[i] != label[j] and L.similar(docs[i], docs[j], 0.8):
+                low, high = sorted((label[i], label[j]))
+                label = {k: low if x == high else x for k, x in label.items()}
+    gone = {i for i in docs if label[i] != i}
+    got = {r.doc_id: r.text for r in L.dedup_lines(df, max_bits=L.NEAR_BITS, bands=L.BANDS).collect()}
+    assert len(gone) > 100 and not {i for i, t in got.items() if not t} - gone
+    few = {r.doc_id for r in L.dedup_lines(df).collect() if not r.text}
+    for low, high, least in ((0, L.SHORT, 0.1), (L.SHORT, 1000, 0.8)):
+        own = {i for i in gone if low <= len(docs[i]) < high}
+        found = sum(not got[i] for i in own)
+        assert own and found >= least * len(own) and found > len(few & own), (low, found, len(few & own), len(own))
+
+
+def test_sketches_of_both_kinds():
+    forms = [b"a", b"word " * 12 + b"tail", b"other " * 11 + b"tail", b"x y " * 200 + b"end", "é".encode() * 70]
+    at, short, fps, keys = L.line_sketches(forms, 4)
+    chars = [len(f.decode()) for f in forms]
+    assert at.tolist() == sorted(i for i, n in enumerate(chars) for k in (n >= L.SHORT, 0.8 * n < L.SHORT) if k)
+    again = L.line_sketches(forms[::-1], 4)
+    assert sorted(zip((4 - again[0]).tolist(), *(x.tolist() for x in again[1:]))) == sorted(
+        zip(at.tolist(), short.tolist(), fps.tolist(), keys.tolist()))
+    assert len(L.line_sketches([], 4)[0]) == 0
