@@ -11,10 +11,10 @@ within a bucket a word has its share of the bucket's smoothed count, where the
 words never seen share one more event. So a text's probability is over all
 texts, with no token left out.
 
-Training: a fixed share of all segments of all training texts, picked by hash,
-so it grows with the corpus. A start is trained on the driver on a bounded
-number of segments, then in rounds every partition continues on its own
-segments and the parameters are averaged by tokens.
+Training: all segments of all training texts, each in one of ``ROUNDS`` rounds by
+its hash. A start is trained on the driver on a bounded number of segments of the
+last round, then in each round every partition continues on its own segments and
+the parameters are averaged by tokens; the start's segments are in their round too.
 """
 
 from __future__ import annotations
@@ -37,8 +37,8 @@ HEAD = 1 << 18
 HEAD_BYTES = 64
 CLASSES, CLASS_SIZE, HIDDEN, BUCKETS = 64, 128, 16, 64
 SEGMENT = 256
-#: One segment in so many is trained on in each round.
-SHARE, ROUNDS = 32, 2
+#: The segments are dealt over so many rounds.
+ROUNDS = 4
 START_SEGMENTS = 3000
 _FLUSH = 400_000
 _GROUP_TOKENS = 6_000_000
@@ -155,21 +155,15 @@ def lexicon(counts: DataFrame) -> tuple[Lexicon, np.ndarray]:
 
 
 def _segments(text: bytes, key: int, lex: Lexicon):
-    """(share, units) of the text's segments of a used share; each is led by the unit before it."""
-    words = None
-    for j in range(len(text) // (SEGMENT * 2) + 1):
-        share = xxhash.xxh64_intdigest(b"%d:%d" % (key, j), 7) % SHARE
-        if share > ROUNDS:
-            continue
-        words = tokens(text) if words is None else words
+    """(round, units) of all segments of the text; each is led by the unit before it."""
+    words = tokens(text)
+    for j in range(len(words) // SEGMENT + 1):
         part = words[max(0, j * SEGMENT - 1):(j + 1) * SEGMENT]
-        if j and len(part) < 2:
-            continue
         closes = len(words) < (j + 1) * SEGMENT
         rows = lex.rows(part)
         units = lex.units(rows, [w for w, r in zip(part, rows) if r == len(lex.index)])
         units = units if closes else units[:-1]
-        yield share, units if j else np.concatenate([[0], units])
+        yield xxhash.xxh64_intdigest(b"%d:%d" % (key, j), 7) % ROUNDS, units if j else np.concatenate([[0], units])
 
 
 def _pack(p, state) -> bytes:
@@ -197,15 +191,15 @@ def train(docs: DataFrame, lex: Lexicon, mass: np.ndarray) -> dict[str, np.ndarr
             found = [x for text, key in zip(raw(batch.column(1)), batch.column(0).to_pylist())
                      for x in _segments(text, key, shared_lex.value)]
             if found:
-                data = [units.astype("<i4").tobytes() for _, units in found]
+                data = [units.astype("<u2").tobytes() for _, units in found]
                 hashes = [xxhash.xxh64_intdigest(d) - (1 << 63) for d in data]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([share for share, _ in found], pa.int32()), pa.array(hashes, pa.int64()),
-                     pa.array(data, pa.binary())], ["share", "h", "units"])
-    picked = cut(docs.select("text_hash", "text").mapInArrow(pick, "share int, h long, units binary"), "lm-segments")
-    # the start: the first START_SEGMENTS of a share of their own, in the order of their hash
-    first = lowest(picked.where(F.col("share") == ROUNDS).select("h", "units"), "h", START_SEGMENTS).toArrow()
-    segments = sorted((np.frombuffer(x, "<i4").astype(np.int64) for x in sorted(first["units"].to_pylist())), key=len)
+                    [pa.array([turn for turn, _ in found], pa.int32()), pa.array(hashes, pa.int64()),
+                     pa.array(data, pa.binary())], ["turn", "h", "units"])
+    picked = cut(docs.select("text_hash", "text").mapInArrow(pick, "turn int, h long, units binary"), "lm-segments")
+    # the start: the first START_SEGMENTS of the last round, in the order of their hash
+    first = lowest(picked.where(F.col("turn") == ROUNDS - 1).select("h", "units"), "h", START_SEGMENTS).toArrow()
+    segments = sorted((np.frombuffer(x, "<u2").astype(np.int64) for x in sorted(first["units"].to_pylist())), key=len)
     rng = np.random.default_rng(5)
     for _ in range(2):
         groups = [segments[i:i + 32] for i in range(0, len(segments), 32)]
@@ -218,7 +212,7 @@ def train(docs: DataFrame, lex: Lexicon, mass: np.ndarray) -> dict[str, np.ndarr
             own, sums = ({k: v.copy() for k, v in x.items()} for x in begin.value)
             seen = 0
             for batch in batches:
-                found = [np.frombuffer(x, "<i4").astype(np.int64) for x in batch.column(0).to_pylist()]
+                found = [np.frombuffer(x, "<u2").astype(np.int64) for x in batch.column(0).to_pylist()]
                 found.sort(key=len)
                 for g in np.random.default_rng(r).permutation(-(-len(found) // 32)):
                     seen += gru.train_segments(own, sums, CLASS_SIZE, found[32 * g:32 * g + 32], 0.05)[1]
@@ -238,7 +232,7 @@ def train(docs: DataFrame, lex: Lexicon, mass: np.ndarray) -> dict[str, np.ndarr
                     [pa.array([weight], pa.int64()), pa.array([(total / weight).astype("<f4").tobytes()])],
                     ["seen", "data"])
         # at most 8 sums of one model's size each come to the driver
-        parts = (picked.where(F.col("share") == r).select("units").mapInArrow(learn, "seen long, data binary")
+        parts = (picked.where(F.col("turn") == r).select("units").mapInArrow(learn, "seen long, data binary")
                  .repartition(8)
                  .mapInArrow(add, "seen long, data binary").collect())
         weight = sum(x["seen"] for x in parts)

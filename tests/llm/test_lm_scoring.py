@@ -113,3 +113,19 @@ def test_edge_rows(llm, edge, none):
     assert M.score(none).count() == 0
     alone = M.score(llm.createDataFrame([(None, "nothing to learn from")], "doc_id long, text string")).first()
     assert alone.train_tokens == 0 and alone.n_known == 0 and alone.n_tokens == 5 and math.isfinite(alone.score)
+
+
+def test_every_training_token_is_in_one_round(llm):
+    """All segments of a text, joined, are its units: none is left out and none stands in two rounds."""
+    counts = M.count_words(llm.createDataFrame([("a b c d e f g",)], "text string"))
+    lex, _ = M.lexicon(counts)
+    for n in (0, 1, 255, 256, 257, 511, 512, 513, 5000):
+        text = " ".join("abcdefgh"[(k * k) % 8] for k in range(n)).encode()
+        words = M.tokens(text)
+        rows = lex.rows(words)
+        whole = lex.units(rows, [w for w, r in zip(words, rows) if r == len(lex.index)])
+        parts = list(M._segments(text, 17, lex))
+        assert np.concatenate([units[1:] for _, units in parts]).tolist() == whole.tolist(), n
+        assert all(0 <= r < M.ROUNDS for r, _ in parts)
+        assert all(b[0] == a[-1] for (_, a), (_, b) in zip(parts, parts[1:]))
+    assert len({r for key in range(50) for r, _ in M._segments(b"a " * 2000, key, lex)}) == M.ROUNDS
