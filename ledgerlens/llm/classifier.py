@@ -132,7 +132,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 buckets, rows = features(texts[s:e], bits, grams)
                 keys, counts = np.unique(rows.astype(np.int64) << 32 | buckets, return_counts=True)
                 bounds = np.searchsorted(keys >> 32, np.arange(e - s + 1))
-                low, n = (keys & 0xFFFFFFFF).astype("<i4"), np.minimum(counts, 65535).astype("<u2")
+                low, n = (keys & 0xFFFFFFFF).astype("<i4"), counts.astype("<u4")
                 pick = list(zip(bounds, bounds[1:]))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[s:e], pa.array([low[a:b].tobytes() for a, b in pick], pa.binary()),
@@ -143,7 +143,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = []
     for r in sorted(map(tuple, found)):
         if len(r[1]):
-            n = np.frombuffer(r[2], "<u2").astype(np.float32)
+            n = np.frombuffer(r[2], "<u4").astype(np.float32)
             rows.append((r[0], np.frombuffer(r[1], "<i4"), n / n.sum()))
     return fit(rows, bits, grams)
 

@@ -59,3 +59,16 @@ def test_edge_rows(llm, edge, none):
     assert C.score(none, model).count() == 0 and C.keep_accepted(none, model).count() == 0
     one_kind = C.train(edge, labels.where("quality = 1"))
     assert all(r.score > 0.5 for r in C.score(edge, one_kind).collect())
+
+
+def test_a_word_of_many_occurrences_is_learned_as_it_is_scored(llm, monkeypatch):
+    seen = []
+    monkeypatch.setattr(C, "fit", lambda rows, bits, grams: seen.extend(rows))
+    text = "ab " * 140_000 + "cdefg"
+    docs = llm.createDataFrame([(i, text) for i in range(3)], "doc_id long, text string")
+    labels = llm.createDataFrame([(i, 1) for i in range(3)], "doc_id long, quality int")
+    C.train(docs, labels)
+    buckets, _ = C.features([text.encode()], 18, (3, 4))
+    counts = np.unique(buckets, return_counts=True)[1]
+    assert seen and counts.max() > 65535
+    assert all(np.allclose(w, counts / counts.sum()) for _, _, w in seen)
