@@ -10,12 +10,14 @@ from ledgerlens.llm import (
     chat,
     classifier,
     decontaminate,
+    filter_audit,
     line_dedup,
     lm_scoring,
     near_dedup,
     quality_rules,
     sharding,
     token_counts,
+    vector_codes,
 )
 from ledgerlens.llm.common import documents, remainder, ship
 
@@ -79,8 +81,21 @@ def op10_sharding(spark, sf_dir):
     return sharding.place(documents(spark, sf_dir).select("doc_id"), ["doc_id"], SHARDS, SLOTS)
 
 
+def op12_vector_codes(spark, sf_dir):
+    coded, book = vector_codes.encode(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return vector_codes.with_label_error(coded).select(
+        "vec_id", "code", "error", "label_error", F.lit(vector_codes.codebook_digest(book)).alias("codebooks_sha256"))
+
+
+def op13_filter_audit(spark, sf_dir):
+    return filter_audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES = {fn.__name__: _shipped(fn) for fn in (
     op1_line_dedup, op2_chat_formatting, op3_quality_classifier, op4_quality_rules, op5_lm_scoring, op6_token_counts,
-    op7_bpe_automaton, op8_simhash_near_dedup, op9_benchmark_decontamination, op10_sharding)}
+    op7_bpe_automaton, op8_simhash_near_dedup, op9_benchmark_decontamination, op10_sharding, op12_vector_codes,
+    op13_filter_audit)}
 ORACLE_SQL: dict[str, str] = {"op4_quality_rules": quality_rules.oracle_sql(),
-                              "op10_sharding": sharding.oracle_sql(SHARDS, SLOTS)}
+                              "op10_sharding": sharding.oracle_sql(SHARDS, SLOTS),
+                              "op12_vector_codes": vector_codes.oracle_sql(),
+                              "op13_filter_audit": filter_audit.oracle_sql()}
