@@ -11,6 +11,7 @@ from ledgerlens.llm import (
     classifier,
     decontaminate,
     filter_audit,
+    language_id,
     line_dedup,
     lm_scoring,
     near_dedup,
@@ -81,6 +82,10 @@ def op10_sharding(spark, sf_dir):
     return sharding.place(documents(spark, sf_dir).select("doc_id"), ["doc_id"], SHARDS, SLOTS)
 
 
+def op11_language_id(spark, sf_dir):
+    return language_id.identify(documents(spark, sf_dir))
+
+
 def op12_vector_codes(spark, sf_dir):
     coded, book = vector_codes.encode(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
     return vector_codes.with_label_error(coded).select(
@@ -93,8 +98,8 @@ def op13_filter_audit(spark, sf_dir):
 
 QUERIES = {fn.__name__: _shipped(fn) for fn in (
     op1_line_dedup, op2_chat_formatting, op3_quality_classifier, op4_quality_rules, op5_lm_scoring, op6_token_counts,
-    op7_bpe_automaton, op8_simhash_near_dedup, op9_benchmark_decontamination, op10_sharding, op12_vector_codes,
-    op13_filter_audit)}
+    op7_bpe_automaton, op8_simhash_near_dedup, op9_benchmark_decontamination, op10_sharding, op11_language_id,
+    op12_vector_codes, op13_filter_audit)}
 ORACLE_SQL: dict[str, str] = {"op4_quality_rules": quality_rules.oracle_sql(),
                               "op10_sharding": sharding.oracle_sql(SHARDS, SLOTS),
                               "op12_vector_codes": vector_codes.oracle_sql(),

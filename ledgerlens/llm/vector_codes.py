@@ -27,10 +27,11 @@ from pyspark.sql import functions as F
 from ledgerlens.llm.common import cut, free_name
 
 PARTS, ENTRIES, ROUNDS, SCALE = 16, 64, 2, 256
-BLOCK = 64
+BLOCK = 32
 #: Components in a chunk, which bounds its memory whatever the vectors' length.
 CHUNK = 1 << 20
 _KEY_BITS = 62
+_LARGEST = 1 << 30
 
 
 def hilbert_keys(points: np.ndarray) -> np.ndarray:
@@ -113,7 +114,6 @@ def nearest(rows: np.ndarray, near: np.ndarray, book: np.ndarray) -> tuple[np.nd
 
 def _chunks(dims: int, parts: int, scale: int):
     """Arrow function: (vec_id, label, embedding) to chunks of packed vectors."""
-    limit = 1 << 30
     rows_in_chunk = max(1, CHUNK // max(1, dims))
 
     def run(batches):
@@ -135,8 +135,8 @@ def _chunks(dims: int, parts: int, scale: int):
         lists = table.column(2).chunk(0)
         lengths = lists.value_lengths().to_numpy()
         flat = np.floor(scale * lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64))
-        if len(flat) and np.abs(flat).max() * np.sqrt(max(1, dims)) >= limit:
-            raise ArithmeticError(f"components beyond {limit / scale / np.sqrt(dims):.0f}: squared distances pass a long")
+        if len(flat) and np.abs(flat).max() * np.sqrt(max(1, dims)) >= _LARGEST:
+            raise ArithmeticError(f"components beyond {_LARGEST / scale / np.sqrt(dims):.0f}: squared distances pass a long")
         vectors = np.zeros((table.num_rows, dims), np.int64)
         if dims:
             row = np.repeat(np.arange(table.num_rows), lengths)
@@ -256,7 +256,8 @@ def encode(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
     first = kept.select("vec_id", "embedding").orderBy(F.asc_nulls_last("vec_id"), "embedding").limit(entries).collect()
     start = np.zeros((len(first), dims), np.int64)
     for k, r in enumerate(first):
-        start[k, :len(r["embedding"])] = np.floor(scale * np.array(r["embedding"], np.float64))
+        wide = np.floor(scale * np.array(r["embedding"], np.float64))
+        start[k, :len(wide)] = np.clip(wide, -_LARGEST, _LARGEST)   # a component beyond that fails in its chunk
     book = np.ascontiguousarray(start.reshape(len(first), parts, dims // parts).swapaxes(0, 1))
     kinds = {f.name: f.dataType.simpleString() for f in kept.schema}
     chunks = cut(kept.mapInArrow(

@@ -1,0 +1,150 @@
+"""The models against a plain dictionary version, the identification against all its parts, held-out accuracy."""
+
+from collections import Counter, defaultdict
+from math import log2
+from unicodedata import category
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerlens.llm import language_id as L
+from ledgerlens.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.01"
+
+
+def plain_codes(text):
+    out = []
+    for c in text + " ":
+        if c.isalpha() or category(c)[0] == "M":
+            low = ord(c.lower()[0])
+            out.append(low if low < 1 << 16 else 4096 + low % 61440)
+        elif out and out[-1] != L.GAP:
+            out.append(L.GAP)
+    return out
+
+
+def windows(text):
+    codes = [L.GAP] * 3 + plain_codes(text)
+    return [tuple(codes[i - 3:i + 1]) for i in range(3, len(codes))]
+
+
+class Plain:
+    """Interpolated Kneser-Ney with dictionaries."""
+
+    def __init__(self, texts, letters):
+        self.letters = letters
+        self.counts = {4: Counter(w for t in texts for w in windows(t))}
+        for n in (3, 2, 1):
+            self.counts[n] = Counter(g[1:] for g in self.counts[n + 1])
+        self.whole, self.kinds, self.d = defaultdict(Counter), defaultdict(Counter), {}
+        for n, table in self.counts.items():
+            once, twice = (sum(c == k for c in table.values()) for k in (1, 2))
+            self.d[n] = max(0.1, min(0.9, once / (once + 2 * twice) if once + twice else 0.5))
+            for g, c in table.items():
+                self.whole[n][g[:-1]] += c
+                self.kinds[n][g[:-1]] += 1
+
+    def p(self, g):
+        n = len(g)
+        if not n:
+            return 1 / self.letters
+        below = self.p(g[1:])
+        if not self.whole[n][g[:-1]]:
+            return below
+        c, whole, d = self.counts[n][g], self.whole[n][g[:-1]], self.d[n]
+        return max(0, c - d) / whole + d * self.kinds[n][g[:-1]] / whole * below
+
+
+TEXTS = {"aa": ["The quick brown fox, the lazy dog. The end", "then there was the thing"],
+         "bb": ["Der schnelle braune Fuchs, über den Hund 12 Ende.", "dann war das Ding Straße", "Der Hund"],
+         "cc": ["漢字 かな 漢字 かな", "𐐀𐐁 é é 漢"]}
+
+
+def packed(g):
+    return sum(c << 16 * (len(g) - 1 - k) for k, c in enumerate(g))
+
+
+def test_models_equal_plain_kneser_ney(llm):
+    languages = sorted(TEXTS)
+    rows = llm.createDataFrame([(k, False, t) for k in languages for t in TEXTS[k]], "lang string, calibrates boolean, text string")
+    counts = L.count_strings(rows, languages).select(F.col("m").alias("k"), "g", "c")
+    models = L.store(L.estimate(counts), languages, 0)
+    alphabet = {w[-1] for ts in TEXTS.values() for t in ts for w in windows(t)}
+    plain = [Plain(TEXTS[k], len(alphabet) + 1) for k in languages]
+    asked = sorted({w for ts in TEXTS.values() for t in [*ts, "unseen Wörter there"] for w in windows(t)})
+    got = models.log_chances(np.array([packed(g) for g in asked], np.uint64))
+    want = np.array([[log2(m.p(g)) for m in plain] for g in asked])
+    assert np.abs(got - want).max() < 1e-4
+    # chances of all letters and of one unseen letter add up to one
+    for history in (asked[3][:3], asked[20][:3]):
+        every = np.array([packed((*history, x)) for x in [*sorted(alphabet), 9999]], np.uint64)
+        assert np.allclose((2.0 ** models.log_chances(every)).sum(0), 1, atol=1e-4)
+    texts = ["The lazy Hund 漢", "x", "", "12 | 3", "Straße\n\n über"]
+    entropy, length, letters = models.entropies([t.encode() for t in texts])
+    for k, t in enumerate(texts):
+        w = windows(t)
+        assert length[k] == len(w) and letters[k] == any(c.isalpha() for c in t)
+        for i, m in enumerate(plain):
+            assert abs(entropy[k, i] - -sum(log2(m.p(g)) for g in w) / max(1, len(w))) < 1e-4
+
+
+def test_store_is_bounded_by_its_slots():
+    for n in (1, 2, 4, 30, 1000):
+        bits = L.slot_bits(n)
+        assert 2 * L.ORDER * 2 ** bits * (4 + 4 * n) <= L.STORE_BYTES < 2 * L.ORDER * 2 ** (bits + 1) * (4 + 4 * n)
+
+
+def test_stretches_keep_the_text(monkeypatch):
+    monkeypatch.setattr(L, "_STRETCH", 50)
+    for text in ("word " * 40, "ä" * 333, "", "漢字" * 60 + " x " * 30):
+        parts = L._stretches(text.encode())
+        assert b"".join(parts).decode() == text and max(map(len, parts)) <= 50
+        assert "".join(p.decode() for p in parts) == text
+
+
+def test_monotone():
+    got = L.monotone(np.array([0.5, 0.9, 0.7, 0.8, 1.0]), np.array([1.0, 1, 3, 2, 1]))
+    assert np.allclose(got, [0.5, 0.75, 0.75, 0.8, 1.0]) and (np.diff(got) >= 0).all()
+
+
+@pytest.fixture(scope="module")
+def found(llm):
+    return QUERIES["op11_language_id"](llm, SF).join(
+        llm.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang"), "doc_id").collect()
+
+
+def test_held_out_accuracy_and_calibration(found):
+    held = [r for r in found if r.held_out]
+    assert len(found) == 1000 and len(held) > 150
+    right = sum(r.lang == r.lang_pred for r in held) / len(held)
+    assert right >= 0.98 and abs(sum(r.score for r in held) / len(held) - right) < 0.02
+    assert sum(r.accepted for r in held) / len(held) > 0.95
+    assert all(0 <= r.score <= 1 for r in found)
+
+
+def test_unknown_language_is_not_accepted(llm):
+    docs = llm.read.parquet(f"{SF}/documents.parquet").where("lang <> 'de'").select("doc_id", "text", "lang")
+    other = llm.read.parquet(f"{SF}/documents.parquet").where("lang = 'de'").select(
+        (F.col("doc_id") + 10_000_000).alias("doc_id"), "text", F.lit(None).cast("string").alias("lang"))
+    got = L.identify(docs.unionByName(other)).collect()
+    share = lambda rows: sum(r.accepted for r in rows) / len(rows)
+    assert share([r for r in got if r.doc_id >= 10_000_000]) < 0.1
+    assert share([r for r in got if r.doc_id < 10_000_000]) > 0.97
+
+
+def test_edge_rows(llm, edge, none):
+    docs = edge.selectExpr("*", "case when doc_id % 2 = 0 then 'en' when doc_id > 8 then 'fr' end AS lang",
+                           "1 AS lang_pred", "true AS held_out", "'q' AS k", "'q' AS g")
+    got = L.identify(docs).collect()
+    assert len(got) == docs.count()
+    by = {(r.doc_id, r.lang_pred) for r in got}
+    assert (2, "und") in by and (3, "und") in by and (4, "und") in by
+    assert {r.score for r in got if r.lang_pred == "und"} == {0.0}
+    assert all(r.lang_pred in ("en", "fr") for r in got if r.doc_id in (1, 5, 6, 7, 8, 10))
+    assert L.identify(none.selectExpr("*", "'en' AS lang")).count() == 0
+    # nothing to learn from
+    assert {r.lang_pred for r in L.identify(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
+    # one language only
+    assert {r.lang_pred for r in L.identify(docs.withColumn("lang", F.lit("xx"))).collect()} == {"xx", "und"}
