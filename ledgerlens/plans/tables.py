@@ -8,8 +8,8 @@ the newest one at or before a timestamp.
 * ``ReplaceTable``: every commit is a complete copy.
 * ``FactTable``: keyed upsert. A merge rewrites the date partitions it touches,
   those of the source rows and those a matched target row leaves; the others
-  stay where earlier commits wrote them. Reading is one scan with a filter on
-  the partition columns ``written_by`` and ``part``.
+  stay where earlier commits wrote them. Reading is one scan of the live
+  partitions' folders.
 
 One writer at a time, as the daily batch runs; merging a source again gives the
 same rows, so a replay needs no guard.
@@ -18,24 +18,31 @@ same rows, so a replay needs no guard.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import uuid
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.upsert import DuplicateSourceKey, upsert
 from ..session import fresh_dir
-from ..sources.contracts import FACT_COLUMNS, FACT_KEY, FACT_PARTITION, FACT_SCHEMA
+from ..sources.contracts import FACT_COLUMNS, FACT_KEY, FACT_PARTITION, FACT_SCHEMA, Sort
 
 RECORD_SCHEMA = T.StructType([
     T.StructField("version", T.LongType()),
     T.StructField("commit_ts", T.TimestampType()),
     T.StructField("folder", T.StringType()),
     T.StructField("touched", T.ArrayType(T.StringType())),
+    T.StructField("emptied", T.ArrayType(T.StringType())),
+    T.StructField("columns", T.StringType()),
 ])
+#: Bytes of keys (with what a hash table adds a row) up to which a merge sends its keys to the target's tasks.
+SMALL_KEYS, ROW_BYTES = 128 << 20, 64
 
 
 def as_utc(at) -> _dt.datetime:
@@ -52,7 +59,9 @@ class Commit:
     version: int
     commit_ts: _dt.datetime
     folder: str
-    touched: tuple[str, ...]
+    touched: tuple[str, ...] = ()
+    emptied: tuple[str, ...] = ()
+    columns: str | None = None
 
 
 class _Committed:
@@ -68,14 +77,14 @@ class _Committed:
         """All commits, oldest first (one small record a batch)."""
         try:
             rows = self.spark.read.schema(RECORD_SCHEMA).json(f"{self.path}/_commits").select(
-                "version", F.unix_micros("commit_ts").alias("micros"), "folder", "touched").collect()
+                "version", F.unix_micros("commit_ts").alias("micros"), "folder", "touched", "emptied", "columns").collect()
         except AnalysisException as err:
             if err.getCondition() != "PATH_NOT_FOUND":
                 raise
             return []
         epoch = _dt.datetime(1970, 1, 1, tzinfo=_dt.timezone.utc)
         return sorted((Commit(r.version, epoch + _dt.timedelta(microseconds=r.micros), r.folder,
-                              tuple(r.touched or ())) for r in rows), key=lambda c: c.version)
+                              tuple(r.touched or ()), tuple(r.emptied or ()), r.columns) for r in rows), key=lambda c: c.version)
 
     def _upto(self, at) -> list[Commit]:
         commits = self.commits()
@@ -91,87 +100,158 @@ class _Committed:
             raise ValueError(f"commit time {ts} is before the last commit's {commits[-1].commit_ts}")
         return (commits[-1].version + 1 if commits else 1), ts
 
-    def _record(self, version: int, ts: _dt.datetime, folder: str, touched=()) -> None:
-        row = self.spark.createDataFrame([(version, ts.isoformat(), folder, list(touched))],
-                                         "version long, commit_ts string, folder string, touched array<string>")
+    def _record(self, version: int, ts: _dt.datetime, folder: str, touched=(), emptied=(), columns=None) -> None:
+        row = self.spark.createDataFrame(
+            [(version, ts.isoformat(), folder, list(touched), list(emptied), columns)],
+            "version long, commit_ts string, folder string, touched array<string>, emptied array<string>, columns string")
         (row.withColumn("commit_ts", F.col("commit_ts").cast("timestamp")).coalesce(1)
          .write.mode("errorifexists").json(f"{self.path}/_commits/v={version:06d}"))
 
 
 class ReplaceTable(_Committed):
-    """Full refresh: ``replace(df)`` writes a complete new copy."""
+    """Full refresh: ``replace(df)`` writes a complete new copy. The record holds its schema, so reading infers none."""
 
     def replace(self, df: DataFrame, commit_ts=None) -> None:
         version, ts = self._next(self.commits(), commit_ts)
         folder = f"v{version:06d}-{uuid.uuid4().hex[:8]}"
         df.write.mode("errorifexists").parquet(f"{self.data}/{folder}")
-        self._record(version, ts, folder)
+        self._record(version, ts, folder, columns=df.schema.json())
 
-    def read(self, at=None) -> DataFrame:
+    def live(self, at=None) -> tuple[str, T.StructType]:
+        """Folder and schema of the newest copy, or of the one as of ``at``."""
         commits = self._upto(at)
         if not commits:
             raise LookupError(f"table {self.path} has no version" + ("" if at is None else f" at {at}"))
-        return self.spark.read.parquet(f"{self.data}/{commits[-1].folder}")
+        return f"{self.data}/{commits[-1].folder}", T.StructType.fromJson(json.loads(commits[-1].columns))
+
+    def read(self, at=None) -> DataFrame:
+        folder, schema = self.live(at)
+        return self.spark.read.schema(schema).parquet(folder)
+
+
+def _ahead(c: Sort, a, b):
+    """Whether value ``a`` sorts before ``b``, as in an ORDER BY of this entry."""
+    low, high = (b, a) if c.descending else (a, b)
+    null_first = a.isNull() if not c.nulls_go_last else b.isNull()
+    null_other = b.isNull() if not c.nulls_go_last else a.isNull()
+    return F.when(a.isNull() & b.isNull(), False).when(null_first, True).when(null_other, False).otherwise(low < high)
+
+
+def precedes(order: Sequence[Sort], a: Callable[[str], Column], b: Callable[[str], Column]) -> Column:
+    """Whether row ``a`` comes strictly before row ``b`` under ``order``."""
+    out = F.lit(False)
+    for c in reversed(order):
+        x, y = a(c.column), b(c.column)
+        out = _ahead(c, x, y) | (x.eqNullSafe(y) & out)
+    return out
 
 
 class FactTable(_Committed):
-    """The transaction fact. ``part_format`` is the date pattern of its partitions, days unless given."""
+    """The transaction fact. ``part_format`` is the date pattern of its partitions, days unless given.
+
+    ``extras`` (name -> type) are further columns that are stored but not read
+    back: what an ordered merge compares beyond the fact's own columns.
+    """
 
     key = FACT_KEY
 
-    def __init__(self, spark: SparkSession, path: str, part_format: str = "yyyy-MM-dd"):
+    def __init__(self, spark: SparkSession, path: str, part_format: str = "yyyy-MM-dd",
+                 extras: dict[str, str] | None = None):
         super().__init__(spark, path)
         self.part_format = part_format
+        self.extras = dict(extras or {})
+        self.stored = T.StructType([*FACT_SCHEMA, *(T.StructField(c, T.DataType.fromDDL(t))
+                                                    for c, t in self.extras.items())])
 
     def _part(self):
         return F.coalesce(F.date_format(FACT_PARTITION, self.part_format), F.lit("none"))
 
+    def live(self, at=None) -> dict[str, str]:
+        """Partition -> folder of its current rows, or of those as of ``at``."""
+        return self._live(self._upto(at))
+
+    def _live(self, commits: list[Commit]) -> dict[str, str]:
+        owner = {}
+        for c in commits:
+            for part in c.touched:
+                owner[part] = c.folder
+            for part in c.emptied:
+                del owner[part]
+        return {part: f"{self.data}/written_by={folder}/part={quote(part, safe=' ,;@!&()+~$-_.')}"
+                for part, folder in owner.items()}
+
     def _scan(self, commits: list[Commit], only: set[str] | None = None) -> DataFrame:
-        """The live rows of ``commits`` with their partition column, of the partitions ``only`` if given."""
-        owner = {part: c.folder for c in commits for part in c.touched}
-        by_folder: dict[str, list[str]] = {}
-        for part, folder in owner.items():
-            if only is None or part in only:
-                by_folder.setdefault(folder, []).append(part)
-        schema = T.StructType([*FACT_SCHEMA, T.StructField("written_by", T.StringType()),
-                               T.StructField("part", T.StringType())])
-        if not by_folder:
-            return self.spark.createDataFrame([], schema).drop("written_by")
-        live = F.lit(False)
-        for folder, parts in by_folder.items():
-            live = live | ((F.col("written_by") == folder) & F.col("part").isin(parts))
-        return self.spark.read.schema(schema).parquet(self.data).where(live).drop("written_by")
+        """The stored rows of ``commits`` with their partition column, of the partitions ``only`` if given.
+
+        Only the folders of live partitions are listed, however often they were written before.
+        """
+        schema = T.StructType([*self.stored, T.StructField("part", T.StringType())])
+        paths = [path for part, path in self._live(commits).items() if only is None or part in only]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", self.data).parquet(*paths).select(*schema.names)
 
     def read(self, at=None) -> DataFrame:
         """Current rows, or the rows as of timestamp ``at`` (empty before the first commit)."""
-        return self._scan(self._upto(at)).drop("part")
+        return self._scan(self._upto(at)).select(*FACT_COLUMNS)
+
+    def matches(self, target: DataFrame, keys: DataFrame, small: bool, order: Sequence[Sort] = ()) -> DataFrame:
+        """(key, was, stays) of the target rows whose key is among ``keys``.
 
-    def merge(self, source: DataFrame, commit_ts=None) -> None:
+        A small set of keys goes to the target's tasks, so no key of the target
+        is shuffled; ``stays`` is whether the target row precedes its source row.
+        """
+        renamed = keys.select(*[F.col(c).alias(f"new_{c}") for c in keys.columns])
+        if small:
+            renamed = F.broadcast(renamed)
+        stays = precedes(order, F.col, lambda c: F.col(f"new_{c}"))
+        columns = [self.key, "part", *(s.column for s in order)]
+        return (target.select(*dict.fromkeys(columns)).join(renamed, F.col(self.key) == F.col(f"new_{self.key}"))
+                .select(self.key, F.col("part").alias("was"), stays.alias("stays")))
+
+    def merge(self, source: DataFrame, commit_ts=None, order: Sequence[Sort] = ()) -> None:
         """Upsert ``source`` on the key: matched rows are replaced, others inserted. A key that repeats is an error.
 
-        The source is read twice: for its keys and partitions, joined to those
-        of the target and stored, and to be written.
+        With ``order`` a matched row is replaced only by one that does not come
+        after it, so the table does not depend on how rows are dealt over merges. Null
+        keys match nothing and are inserted. The source is read three times: for
+        its keys (stored), their partitions and its rows.
         """
-        source = source.select(*FACT_COLUMNS).withColumn("part", self._part())
+        missing = [c for c in self.extras if c not in source.columns]
+        source = source.select(*FACT_COLUMNS, *[c for c in self.extras if c not in missing],
+                               *[F.lit(None).cast(self.extras[c]).alias(c) for c in missing])
+        source = source.select(*self.stored.names).withColumn("part", self._part())
         commits = self.commits()
         version, ts = self._next(commits, commit_ts)
         target = self._scan(commits)
-        keys = source.groupBy(self.key).agg(F.count(F.lit(1)).alias("copies"), F.min("part").alias("part"))
-        met = keys.join(target.select(self.key, F.col("part").alias("was")), self.key, "left")
-        path = fresh_dir(self.spark, "merge-keys")
-        met.write.parquet(path)
-        met = self.spark.read.schema(met.schema).parquet(path)
-        pairs = met.groupBy("part", "was").agg(F.max("copies").alias("copies"),
-                                               F.max_by(self.key, "copies").alias("example")).collect()
-        for r in pairs:
-            if r.copies > 1:
-                raise DuplicateSourceKey(f"upsert source repeats {self.key}={r.example!r} ({r.copies} rows)")
-        touched = {r.part for r in pairs} | {r.was for r in pairs if r.was is not None}
+        known = source.where(F.col(self.key).isNotNull())
+        names = list(dict.fromkeys([self.key, *(s.column for s in order)]))
+        keys = self._stored(known.select(*names), "merge-keys")
+        twice = keys.groupBy(self.key).count().where("count > 1").first()
+        if twice is not None:
+            raise DuplicateSourceKey(f"upsert source repeats {self.key}={twice[0]!r} ({twice[1]} rows)")
+        size = keys.agg(F.count("*"), F.coalesce(F.sum(F.length(self.key)), F.lit(0))).first()
+        small = size[0] * ROW_BYTES * len(names) + size[1] <= SMALL_KEYS
+        met = self._stored(self.matches(target, keys, small, order), "merge-matches")
+        if order:
+            kept = met.where("stays").select(self.key)
+            source = source.join(F.broadcast(kept) if small else kept, self.key, "left_anti").select(*source.columns)
+        moved = met.where("NOT stays")
+        # names of partitions only, each set once
+        touched = {r[0] for r in source.select("part").distinct().collect()} | {
+            r[0] for r in moved.select("was").distinct().collect()}
         if not touched:
             return
-        rows = upsert(self._scan(commits, touched), source, self.key, matched=met.where("was IS NOT NULL"))
+        rows = upsert(self._scan(commits, touched), source, self.key, matched=F.broadcast(moved) if small else moved)
         # REBALANCE packs small partitions together and splits a hot one over several tasks.
         folder = f"v{version:06d}-{uuid.uuid4().hex[:8]}"
-        (rows.hint("rebalance", "part").write.mode("errorifexists")
-         .partitionBy("part").parquet(f"{self.data}/written_by={folder}"))
-        self._record(version, ts, folder, sorted(touched))
+        path = f"{self.data}/written_by={folder}"
+        rows.hint("rebalance", "part").write.mode("errorifexists").partitionBy("part").parquet(path)
+        schema = T.StructType([T.StructField("part", T.StringType())])
+        filled = {r[0] for r in self.spark.read.schema(schema).parquet(path).distinct().collect()}
+        self._record(version, ts, folder, sorted(touched), sorted(touched - filled))
+
+    def _stored(self, df: DataFrame, purpose: str) -> DataFrame:
+        path = fresh_dir(self.spark, purpose)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
