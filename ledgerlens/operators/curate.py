@@ -31,14 +31,16 @@ def curate_accounts(validated: DataFrame) -> DataFrame:
 
 def _as_timestamp(df: DataFrame, name: str):
     dtype = df.schema[name].dataType
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.col(name)
-    return F.col(name).try_cast("timestamp_ntz")
+    if isinstance(dtype, T.StringType):
+        return F.try_to_timestamp(name)
+    return F.col(name) if isinstance(dtype, T.TimestampType) else F.col(name).try_cast("timestamp")
 
 
-def curate_transactions(validated: DataFrame, merchants: DataFrame) -> DataFrame:
+def curate_transactions(validated: DataFrame, merchants: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Transaction events: merchant risk looked up (unknown merchant kept), date, band.
 
+    ``keep`` names further columns of ``validated`` that stay.
+
     The merchant dimension is pruned to (merchant_id, risk_level); whether it is
     broadcast is left to AQE, which knows its size in bytes when the join runs.
     """
@@ -48,4 +50,4 @@ def curate_transactions(validated: DataFrame, merchants: DataFrame) -> DataFrame
             .withColumn("transaction_date", F.to_date("transaction_ts"))
             .withColumn("amount", F.col("amount").try_cast("double"))
             .withColumn("transaction_risk_band", transaction_risk_band())
-            .select(*FACT_COLUMNS))
+            .select(*FACT_COLUMNS, *keep))

@@ -29,8 +29,13 @@ def require_not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def parse_column(df: DataFrame, name: str, target: str) -> Column:
     """``name`` as ``target`` type; unparsable text becomes NULL, never an error."""
-    source = df.schema[name].dataType
-    return F.col(name) if source.simpleString() == target else F.col(name).try_cast(target)
+    source = df.schema[name].dataType.simpleString()
+    if source == target:
+        return F.col(name)
+    if target == "timestamp" and source == "string":
+        # text without a zone is in the session's, which the library fixes to UTC
+        return F.try_to_timestamp(name)
+    return F.col(name).try_cast(target)
 
 
 def _ordering(s: Sort) -> Column:
@@ -48,20 +53,20 @@ def keep_first(df: DataFrame, key: str | Sequence[str], order: Sequence[Sort]) -
 
 
 def validate(raw: DataFrame, contract: Contract, batch_date: str,
-             order: Sequence[Sort] | None = None, stamp: bool = True) -> DataFrame:
+             order: Sequence[Sort] | None = None, stamp: bool = True, keep: Sequence[str] = ()) -> DataFrame:
     """Validated dataset: required filter, parse, one row per key, batch columns.
 
     The NOT NULL test runs on the raw values before parsing and before the
     dedupe, as the feed does; a value that does not parse passes the test
     and turns into NULL. ``order`` defaults to the contract's total order and
-    may name extra raw columns as further tie-breaks.
+    may name extra raw columns as further tie-breaks; ``keep`` names those that stay.
     """
     checked = require_not_null(raw, contract.required)
     extras = [c for c in raw.columns if c not in contract.names]
     typed = checked.select(*[parse_column(checked, c, t).alias(c) for c, t in contract.columns],
                            *extras)
     one = keep_first(typed, contract.key, order or contract.total_order)
-    out = one.select(*contract.names).withColumn("batch_date", F.lit(batch_date))
+    out = one.select(*contract.names, *keep).withColumn("batch_date", F.lit(batch_date))
     if stamp:
         out = out.withColumn("validated_at", F.current_timestamp())
     return out

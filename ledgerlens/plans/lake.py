@@ -18,6 +18,7 @@ from ..operators import curate, summaries
 from ..operators.quality import validate
 from ..sources.contracts import CONTRACTS, DATASETS, DIM_SCHEMAS, Sort
 from ..sources.zones import Zones, read_raw_csv, require_schema, write_parquet
+from . import catalog
 from .tables import FactTable, ReplaceTable
 
 DIMENSIONS = tuple(DIM_SCHEMAS)
@@ -130,17 +131,14 @@ class Lake:
         self.merge_fact(batch_date, commit_ts)
         self.build_summaries()
 
-    def register(self, database: str = "ledgerlens") -> str:
-        """SQL access (S6, S7, S14): the database is created if absent, every built table becomes a temp view.
+    def register(self, database: str = "ledgerlens", at=None) -> str:
+        """SQL access (S6, S7, S14): every built table as ``database.table``, now or as of ``at``.
 
-        Views have the tables' names and show the rows as they are now; the
-        fact's view stays one scan with its partition filter.
+        The database is created if absent. Lakes registered under different
+        names stand side by side; see ``catalog`` for what is created.
         """
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-        if self.fact.exists():
-            self.fact.read().createOrReplaceTempView("fact_transactions")
+        catalog.create_database(self.spark, database)
+        catalog.put_fact(self.spark, database, "fact_transactions", self.fact, at)
         for name in (*DIMENSIONS, *summaries.SUMMARIES):
-            table = self.table(name)
-            if table.exists():
-                table.read().createOrReplaceTempView(name)
+            catalog.put_table(self.spark, database, name, self.table(name), at)
         return database

@@ -146,6 +146,7 @@ from val_transactions v join (select transaction_id, count(*) as copies from raw
 from fact_merged group by transaction_date""",
     "merge_corrected_rerun": f"select {FACT_SELECT} from fact_rerun",
     "incremental_upsert": f"select {FACT_SELECT} from fact_merged",
+    "incremental_upsert_split": f"select {FACT_SELECT} from fact_merged",
     "asof_fact": f"select {FACT_SELECT} from fact_a",
     "asof_forms": "\nunion all ".join(
         f"select '{at}' as as_of, " + (f"(select count(*) from {table})" if table else "cast(0 as bigint)")
@@ -217,7 +218,8 @@ union all select 'cards', true, count(*) from raw_cards
 union all select 'transactions', true, count(*) from raw_transactions
 union all select 'loan_applications', true, count(*) from raw_loan_applications""",
 }
-BODIES["sql_daily_channel_volume"] = BODIES["daily_channel_volume"]
+for _report in ("daily_channel_volume", "high_risk_merchants", "top_branch_regions", "customer_risk_ranked", "asof_count"):
+    BODIES[f"sql_{_report}"] = BODIES[_report]
 BODIES["export_roundtrip"] = BODIES["customer_risk_ranked"]
 BODIES["partial_batch_completeness"] = """select 'branches' as dataset, true as file_present, count(*) as row_count from raw_branches
 union all select 'merchants', false, 0

@@ -21,7 +21,7 @@ from ..sources.testbridge import BATCH_DATE, dedupe_order, raw_dataset
 from ..sources import landing, synth
 from ..sources.zones import export_result, write_raw_csv
 from ..session import fresh_dir
-from . import scenarios
+from . import catalog, scenarios
 from .lake import Lake
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -122,14 +122,41 @@ def asof_forms(spark, sf_dir):
     return out
 
 
-def sql_daily_channel_volume(spark, sf_dir):
-    """The channel report as SQL over the registered tables."""
-    scenarios.lake_for(spark, sf_dir).register()
-    return spark.sql("""
-        SELECT transaction_date, channel, count(*) AS transaction_count,
-               CAST(sum(CAST(amount AS DECIMAL(28,6))) AS DOUBLE) AS total_amount
-        FROM fact_transactions GROUP BY transaction_date, channel
-        ORDER BY transaction_date DESC, total_amount DESC""")
+# The business questions as SQL over the registered tables; {total} is an exact sum of the amounts.
+SQL_REPORTS = {
+    "sql_daily_channel_volume": """
+        SELECT transaction_date, channel, count(*) AS transaction_count, {total} AS total_amount
+        FROM {db}.fact_transactions GROUP BY transaction_date, channel
+        ORDER BY transaction_date DESC, total_amount DESC""",
+    "sql_high_risk_merchants": """
+        SELECT m.merchant_category, m.risk_level, count(f.transaction_id) AS transaction_count, {total} AS total_amount
+        FROM {db}.fact_transactions f JOIN {db}.dim_merchants m ON f.merchant_id = m.merchant_id
+        WHERE f.transaction_risk_band = 'HIGH' GROUP BY m.merchant_category, m.risk_level ORDER BY total_amount DESC""",
+    "sql_top_branch_regions": """
+        SELECT b.region, b.state, b.city, count(*) AS transaction_count, {total} AS total_amount
+        FROM {db}.fact_transactions f JOIN {db}.dim_accounts a ON f.account_id = a.account_id
+        JOIN {db}.dim_branches b ON a.branch_id = b.branch_id GROUP BY b.region, b.state, b.city
+        ORDER BY total_amount DESC NULLS LAST, region NULLS LAST, state NULLS LAST, city NULLS LAST LIMIT 20""",
+    "sql_customer_risk_ranked": """
+        SELECT customer_segment, customer_risk_band, customer_count, transaction_count, total_transaction_amount
+        FROM {db}.customer_risk_summary ORDER BY total_transaction_amount DESC""",
+}
+TOTAL = "CAST(sum(CAST(amount AS DECIMAL(28,6))) AS DOUBLE)"
+
+
+def _sql_report(name: str) -> Query:
+    def run(spark, sf_dir):
+        database = scenarios.lake_for(spark, sf_dir).register()
+        return spark.sql(SQL_REPORTS[name].format(db=database, total=TOTAL))
+    return run
+
+
+def sql_asof_count(spark, sf_dir):
+    """Rows of the two-batch fact as of a time, asked in SQL of a database registered as of it."""
+    catalog.create_database(spark, "ledgerlens_asof")
+    catalog.put_fact(spark, "ledgerlens_asof", "fact_transactions", scenarios.two_batch_fact(spark, sf_dir),
+                     at=scenarios.ASOF_TS)
+    return spark.sql("SELECT count(*) AS transaction_count FROM ledgerlens_asof.fact_transactions")
 
 
 def export_roundtrip(spark, sf_dir):
@@ -152,6 +179,11 @@ def incremental_upsert(spark, sf_dir):
     return scenarios.streamed_fact(spark, sf_dir).read().select(*FACT_COLUMNS)
 
 
+def incremental_upsert_split(spark, sf_dir):
+    """The same days in files that arrive in the wrong order, one a micro-batch."""
+    return scenarios.streamed_fact(spark, sf_dir, split=True).read().select(*FACT_COLUMNS)
+
+
 def daily_channel_volume(spark, sf_dir):
     return reports.daily_channel_volume(_fact(spark, sf_dir))
 
@@ -223,6 +255,7 @@ QUERIES: dict[str, Query] = {
     "merge_partition_move": merge_partition_move,
     "merge_corrected_rerun": merge_corrected_rerun,
     "incremental_upsert": incremental_upsert,
+    "incremental_upsert_split": incremental_upsert_split,
     "asof_fact": asof_fact,
     "asof_count": asof_count,
     "asof_forms": asof_forms,
@@ -241,7 +274,8 @@ QUERIES: dict[str, Query] = {
     "quality_report": quality_report,
     "batch_completeness": batch_completeness,
     "partial_batch_completeness": partial_batch_completeness,
-    "sql_daily_channel_volume": sql_daily_channel_volume,
+    **{name: _sql_report(name) for name in SQL_REPORTS},
+    "sql_asof_count": sql_asof_count,
     "export_roundtrip": export_roundtrip,
     **synth.QUERIES,
 }

@@ -39,6 +39,9 @@ ASOF_TS = "2026-04-25 10:00:00"
 ASOF_FORMS = ("2026-04-25", "2026-04-25 05:59", "2026-04-25 06:00", "2026-04-25T11:29:00+05:30",
               "2026-04-25T11:30:00+05:30", "2026-04-25T06:00:00Z", "2026-04-26", "2026-04-26 06:00:00.000001")
 
+# Files of each day where a stream takes one at a time.
+SPLIT_FILES = 3
+
 # The derived batches hold about seven years of dates each, where a daily
 # feed holds one; month partitions keep their files from being tiny.
 FACT_PARTS = "yyyy-MM"
@@ -85,7 +88,7 @@ def batch_events(spark: SparkSession, sf_dir: str, lake: Lake, which: str) -> Da
     """Curated transaction events of batch A (before the cutoff) or B (from it)."""
     raw = raw_transactions(spark, sf_dir)
     ts = F.col("transaction_ts")
-    cut = F.lit(f"{CUTOFF} 00:00:00").cast("timestamp_ntz")
+    cut = F.lit(f"{CUTOFF} 00:00:00").cast("timestamp")
     part, batch = (raw.filter(ts < cut), BATCH_A) if which == "A" else (raw.filter(ts >= cut), BATCH_B)
     valid = validate(part, CONTRACTS["transactions"], batch, order=TXN_ORDER, stamp=False)
     return curate_transactions(valid, lake.table("dim_merchants").read())
@@ -116,26 +119,35 @@ def two_batch_fact(spark: SparkSession, sf_dir: str, repeat_b: bool = False) ->
     return _once(spark, sf_dir, f"two-batch-{repeat_b}", build)
 
 
-def streamed_fact(spark: SparkSession, sf_dir: str) -> FactTable:
-    """The two batches landed as CSV one after the other, each picked up by the stream."""
+def streamed_fact(spark: SparkSession, sf_dir: str, split: bool = False) -> FactTable:
+    """The two batches landed as CSV one after the other, each picked up by the stream.
+
+    With ``split`` both land first, the later day before the earlier one, their
+    duplicates spread over several files, and a micro-batch takes one file.
+    """
     from ..streaming.ingest import TransactionIngest
 
     def build() -> FactTable:
         lake = lake_for(spark, sf_dir)
-        root = f"{lake.root}/scenario/stream"
+        root = f"{lake.root}/scenario/stream{'-split' if split else ''}"
         ingest = TransactionIngest(spark, landing=f"{root}/landing/transactions",
                                    checkpoint=f"{root}/checkpoint",
-                                   fact=FactTable(spark, f"{root}/fact", FACT_PARTS),
+                                   fact=FactTable(spark, f"{root}/fact", FACT_PARTS, TXN_EXTRAS),
                                    merchants=lambda: lake.table("dim_merchants").read(),
-                                   order=TXN_ORDER, extras=TXN_EXTRAS)
+                                   order=TXN_ORDER, extras=TXN_EXTRAS, max_files=1 if split else 1000)
         raw = raw_transactions(spark, sf_dir)
-        cut = F.lit(f"{CUTOFF} 00:00:00").cast("timestamp_ntz")
-        for batch, rows in ((BATCH_A, raw.filter(F.col("transaction_ts") < cut)),
-                            (BATCH_B, raw.filter(F.col("transaction_ts") >= cut))):
+        cut = F.lit(f"{CUTOFF} 00:00:00").cast("timestamp")
+        batches = [(BATCH_A, raw.filter(F.col("transaction_ts") < cut)), (BATCH_B, raw.filter(F.col("transaction_ts") >= cut))]
+        for batch, rows in reversed(batches) if split else batches:
+            if split:
+                rows = rows.repartition(SPLIT_FILES, "l_partkey")
             write_raw_csv(rows, f"{ingest.landing}/batch_date={batch}")
+            if not split:
+                ingest.run_available()
+        if split:
             ingest.run_available()
         return ingest.fact
-    return _once(spark, sf_dir, "stream", build)
+    return _once(spark, sf_dir, f"stream-{split}", build)
 
 
 def corrected_fact(spark: SparkSession, sf_dir: str) -> FactTable:

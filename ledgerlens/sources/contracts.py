@@ -47,7 +47,7 @@ class Contract:
         return self.order + tuple(Sort(c) for c in self.names if c not in named)
 
 
-S, D, TS, DT, BOOL = "string", "double", "timestamp_ntz", "date", "boolean"
+S, D, TS, DT, BOOL = "string", "double", "timestamp", "date", "boolean"
 
 # Columns and types of each dataset, then its required columns,
 # the first of them the unique key.
@@ -99,7 +99,7 @@ CONTRACTS: dict[str, Contract] = {
 DATASETS = tuple(CONTRACTS)
 
 _TYPES = {"string": T.StringType(), "double": T.DoubleType(), "boolean": T.BooleanType(), "date": T.DateType(),
-          "timestamp": T.TimestampType(), "timestamp_ntz": T.TimestampNTZType()}
+          "timestamp": T.TimestampType()}
 
 
 def _struct(columns: str) -> T.StructType:
@@ -124,7 +124,7 @@ BRANCH_SCHEMA = _struct(
     "batch_date string, validated_at timestamp")
 FACT_SCHEMA = _struct(
     "transaction_id string, account_id string, customer_id string, merchant_id string, "
-    "transaction_ts timestamp_ntz, transaction_date date, transaction_type string, channel string, "
+    "transaction_ts timestamp, transaction_date date, transaction_type string, channel string, "
     "category string, amount double, currency string, status string, is_suspected_fraud boolean, "
     "transaction_risk_band string, batch_date string")
 DIM_SCHEMAS = {"dim_customers": CUSTOMER_SCHEMA, "dim_accounts": ACCOUNT_SCHEMA,

@@ -22,12 +22,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .contracts import DATASETS
+from ..operators.quality import parse_column
+from ..session import fresh_dir
+from .contracts import CONTRACTS, DATASETS
 from .domains import (ACCOUNT_STATUS, ACCOUNT_TYPES, CARD_SHARE, CARD_STATUS, CARD_TYPES, CATEGORIES, CHANNELS, CITIES,
                       FIRST_NAMES, FRAUD_ONE_IN, KYC_STATUS, LAST_NAMES, LOAN_STATUS, LOAN_TYPES, REGIONS, RISK_LEVELS,
                       SEGMENTS, STATES, TXN_STATUS, TXN_TYPES)
 from .testbridge import read_table
-from .zones import Zones, write_raw_csv
+from .zones import Zones, read_raw_csv, write_raw_csv
 
 SEED = 42
 BATCH = "2026-04-25"
@@ -79,7 +81,7 @@ def between_sql(lo: int, hi: int, row: str, salt: int) -> str:
 
 
 def money_sql(lo: int, hi: int, row: str, salt: int) -> str:
-    return f"(cast({h_sql(row, salt)} % {(hi - lo) * 100 + 1} + {lo * 100} as double) / 100)"
+    return f"round({lo}::double + {hi - lo}::double * (cast({h_sql(row, salt)} as double) / {P}::double), 2)"
 
 
 def padded(prefix: str, width: int, n: Column) -> Column:
@@ -99,11 +101,14 @@ def days_after_sql(start: str, n: str) -> str:
 
 
 class Generator:
-    """The datasets over given row numbers: ``rows[dataset]`` has a column ``i``, ``sizes`` counts them."""
+    """The datasets over given row numbers: ``rows(dataset)`` has a column ``i``, ``sizes`` counts them.
+
+    Where it also has a column ``batch_date`` (text), each row is dated by its own;
+    one run may so span any number of days. Else all rows are of ``batch``.
+    """
 
     def __init__(self, rows: Callable[[str], DataFrame], sizes: dict[str, int], seed: int = SEED, batch: str = BATCH):
         self.rows, self.sizes, self.seed, self.batch = rows, sizes, seed, batch
-        self.digits = batch.replace("-", "")
 
     def _pick(self, values: list[str], row: Column, salt: int) -> Column:
         index = (h(row, salt, self.seed) % len(values) + 1).cast("int")
@@ -113,8 +118,13 @@ class Generator:
         return h(row, salt, self.seed) % (hi - lo + 1) + lo
 
     def _money(self, lo: int, hi: int, row: Column, salt: int) -> Column:
-        """Uniform amount in [lo, hi] with two decimals (whole cents, exact)."""
-        return (h(row, salt, self.seed) % ((hi - lo) * 100 + 1) + lo * 100).cast("double") / 100
+        """A uniform real in [lo, hi), rounded half up to two decimals."""
+        share = h(row, salt, self.seed).cast("double") / F.lit(float(P))
+        return F.round(F.lit(float(lo)) + F.lit(float(hi - lo)) * share, 2)
+
+    def _dated(self, dataset: str) -> DataFrame:
+        rows = self.rows(dataset)
+        return rows if "batch_date" in rows.columns else rows.withColumn("batch_date", F.lit(self.batch))
 
     def _ref(self, dataset: str, row: Column, salt: int) -> Column:
         return below(self.sizes[dataset], row, salt, self.seed)
@@ -172,9 +182,10 @@ class Generator:
     def transactions(self) -> DataFrame:
         i = F.col("i")
         account = self._ref("accounts", i, 31)
-        start = F.lit(f"{self.batch} 00:00:00").cast("timestamp_ntz")
-        return self.rows("transactions").select(
-            F.concat(F.lit("T" + self.digits), F.format_string("%010d", i)).alias("transaction_id"),
+        day = F.to_date("batch_date")
+        start = day.cast("timestamp")
+        return self._dated("transactions").select(
+            F.concat(F.lit("T"), F.date_format(day, "yyyyMMdd"), F.format_string("%010d", i)).alias("transaction_id"),
             padded("A", 9, account).alias("account_id"), self._account_customer(account).alias("customer_id"),
             padded("M", 6, self._ref("merchants", i, 32)).alias("merchant_id"),
             F.timestamp_add("SECOND", self._between(0, 86399, i, 33), start).alias("transaction_ts"),
@@ -185,10 +196,11 @@ class Generator:
 
     def loan_applications(self) -> DataFrame:
         i = F.col("i")
-        return self.rows("loan_applications").select(
-            F.concat(F.lit("L" + self.digits), F.format_string("%08d", i)).alias("application_id"),
+        digits = F.replace(F.col("batch_date"), F.lit("-"), F.lit(""))
+        return self._dated("loan_applications").select(
+            F.concat(F.lit("L"), digits, F.format_string("%08d", i)).alias("application_id"),
             padded("C", 8, self._ref("customers", i, 41)).alias("customer_id"),
-            F.lit(self.batch).cast("date").alias("application_date"),
+            F.to_date("batch_date").alias("application_date"),
             self._pick(LOAN_TYPES, i, 42).alias("loan_type"),
             self._money(50_000, 10_000_000, i, 43).alias("requested_amount"),
             self._pick(LOAN_STATUS, i, 44).alias("application_status"))
@@ -217,25 +229,35 @@ DRIVERS = {                      # dataset -> (test table, key column)
     "loan_applications": ("orders", "o_orderkey"),
     "transactions": ("orders", "o_orderkey"),
 }
-BATCH_DIGITS = BATCH.replace("-", "")
+DAYS = (BATCH, "2026-05-01")       # of the queries that span two days
 REFERRED = ("branches", "merchants", "customers", "accounts")
 
 
-def _of_tables(spark: SparkSession, sf_dir: str, needs: tuple[str, ...]) -> Generator:
+def _of_tables(spark: SparkSession, sf_dir: str, needs: tuple[str, ...], days: tuple[str, ...] = ()) -> Generator:
     def rows(dataset: str) -> DataFrame:
         table, key = DRIVERS[dataset]
         df = read_table(spark, sf_dir, table).select(F.col(key).alias("i"))
         if dataset == "transactions":
             lines = F.array(*[F.col("i") * LINES + k for k in range(LINES)])
             df = df.select(F.explode(lines).alias("i"))
-        return df
+        return df.withColumn("batch_date", F.explode(F.array(*map(F.lit, days)))) if days else df
     # how many rows the referred datasets have: a few numbers, sent with the plan
     sizes = {d: read_table(spark, sf_dir, DRIVERS[d][0]).count() for d in needs}
     return Generator(rows, sizes)
 
 
-def _query(dataset: str, needs: tuple[str, ...]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: getattr(_of_tables(spark, sf_dir, needs), dataset)()
+def _query(dataset: str, needs: tuple[str, ...], days: tuple[str, ...] = ()) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: getattr(_of_tables(spark, sf_dir, needs, days), dataset)()
+
+
+def synth_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions of a batch as big as the test tables, landed as CSV with all other datasets and read back."""
+    sizes = {d: read_table(spark, sf_dir, DRIVERS[d][0]).count() * (LINES if d == "transactions" else 1) for d in SIZES}
+    root = fresh_dir(spark, "synth")
+    synthesize(spark, root, sizes)
+    contract = CONTRACTS["transactions"]
+    raw = read_raw_csv(spark, Zones(root).raw("transactions", BATCH), contract)
+    return raw.select(*[parse_column(raw, name, kind).alias(name) for name, kind in contract.columns])
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -246,6 +268,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "synth_cards": _query("cards", ("branches", "customers")),
     "synth_transactions": _query("transactions", ("accounts", "customers", "merchants")),
     "synth_loan_applications": _query("loan_applications", ("customers",)),
+    "synth_transactions_days": _query("transactions", ("accounts", "customers", "merchants"), DAYS),
+    "synth_loans_days": _query("loan_applications", ("customers",), DAYS),
+    "synth_landed": synth_landed,
 }
 
 
@@ -263,6 +288,30 @@ def _sql() -> dict[str, str]:
   {days_after_sql('2017-01-01', between_sql(0, 3200, 'i', 15))} as open_date,
   {money_sql(500, 2_000_000, 'i', 16)} as current_balance
 from (select o_orderkey as i from orders) r"""
+    orders = "select o_orderkey as i from orders"
+    lines = f"select o_orderkey * {LINES} + k as i from orders, (select unnest(range({LINES})) as k) l"
+    days = "(values " + ", ".join(f"('{d}')" for d in DAYS) + ") d(batch_date)"
+    one_day = f"(select '{BATCH}' as batch_date) d"
+
+    def transactions(numbers: str, dates: str) -> str:
+        return f"""select 'T' || strftime(cast(batch_date as date), '%Y%m%d') || printf('%010d', i) as transaction_id,
+  {padded_sql('A', 9, 'acct')} as account_id,
+  {padded_sql('C', 8, acct_cust('acct'))} as customer_id,
+  {padded_sql('M', 6, below_sql(n_m, 'i', 32))} as merchant_id,
+  cast(batch_date as timestamp) + to_seconds({between_sql(0, 86399, 'i', 33)}) as transaction_ts,
+  {pick_sql(TXN_TYPES, 'i', 34)} as transaction_type, {pick_sql(CHANNELS, 'i', 35)} as channel,
+  {pick_sql(CATEGORIES, 'i', 36)} as category, {money_sql(10, 250_000, 'i', 37)} as amount,
+  'INR' as currency, {pick_sql(TXN_STATUS, 'i', 38)} as status,
+  ({h_sql('i', 39)} % {FRAUD_ONE_IN} = {FRAUD_ONE_IN - 1}) as is_suspected_fraud
+from (select *, {below_sql(n_a, 'i', 31)} as acct from ({numbers}) n) r, {dates}"""
+
+    def loans(dates: str) -> str:
+        return f"""select 'L' || replace(batch_date, '-', '') || printf('%08d', i) as application_id,
+  {padded_sql('C', 8, below_sql(n_c, 'i', 41))} as customer_id,
+  cast(batch_date as date) as application_date, {pick_sql(LOAN_TYPES, 'i', 42)} as loan_type,
+  {money_sql(50_000, 10_000_000, 'i', 43)} as requested_amount,
+  {pick_sql(LOAN_STATUS, 'i', 44)} as application_status
+from ({orders}) r, {dates}"""
     return {
         "synth_branches": f"""select {padded_sql('BR', 5, 'i')} as branch_id,
   {pick_sql(CITIES, 'i', 1)} || ' Main Branch ' || cast(i as varchar) as branch_name,
@@ -286,23 +335,11 @@ from (select c_custkey as i from customer) r""",
   {pick_sql(CARD_TYPES, 'i', 22)} as card_type, {pick_sql(CARD_STATUS, 'i', 23)} as card_status,
   open_date as issued_date
 from ({accounts}) a where {h_sql('i', 21)} % 10 < {CARD_SHARE}""",
-        "synth_transactions": f"""select 'T{BATCH_DIGITS}' || printf('%010d', i) as transaction_id,
-  {padded_sql('A', 9, 'acct')} as account_id,
-  {padded_sql('C', 8, acct_cust('acct'))} as customer_id,
-  {padded_sql('M', 6, below_sql(n_m, 'i', 32))} as merchant_id,
-  timestamp '{BATCH} 00:00:00' + to_seconds({between_sql(0, 86399, 'i', 33)}) as transaction_ts,
-  {pick_sql(TXN_TYPES, 'i', 34)} as transaction_type, {pick_sql(CHANNELS, 'i', 35)} as channel,
-  {pick_sql(CATEGORIES, 'i', 36)} as category, {money_sql(10, 250_000, 'i', 37)} as amount,
-  'INR' as currency, {pick_sql(TXN_STATUS, 'i', 38)} as status,
-  ({h_sql('i', 39)} % {FRAUD_ONE_IN} = {FRAUD_ONE_IN - 1}) as is_suspected_fraud
-from (select *, {below_sql(n_a, 'i', 31)} as acct from (select o_orderkey * {LINES} + k as i
-  from orders, (select unnest(range({LINES})) as k) l) n) r""",
-        "synth_loan_applications": f"""select 'L{BATCH_DIGITS}' || printf('%08d', i) as application_id,
-  {padded_sql('C', 8, below_sql(n_c, 'i', 41))} as customer_id,
-  date '{BATCH}' as application_date, {pick_sql(LOAN_TYPES, 'i', 42)} as loan_type,
-  {money_sql(50_000, 10_000_000, 'i', 43)} as requested_amount,
-  {pick_sql(LOAN_STATUS, 'i', 44)} as application_status
-from (select o_orderkey as i from orders) r""",
+        "synth_transactions": transactions(lines, one_day),
+        "synth_loan_applications": loans(one_day),
+        "synth_transactions_days": transactions(lines, days),
+        "synth_loans_days": loans(days),
+        "synth_landed": transactions(f"select unnest(range((select {LINES} * count(*) from orders))) as i", one_day),
     }
 
 

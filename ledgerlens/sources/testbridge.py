@@ -146,7 +146,7 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
                     _padded("A", F.col("o_custkey"), 9).alias("account_id"),
                     _padded("C", F.col("o_custkey"), 8).alias("customer_id"),
                     _padded("M", F.col("l_suppkey"), 6).alias("merchant_id"),
-                    F.col("l_shipdate").alias("transaction_ts"),
+                    F.col("l_shipdate").cast("timestamp").alias("transaction_ts"),
                     F.when(F.col("l_returnflag") == "R", "CREDIT").otherwise("DEBIT")
                     .alias("transaction_type"),
                     _pick(CHANNELS, ln % 6).alias("channel"),

@@ -134,4 +134,56 @@ def test_sql_by_table_name(spark, scratch):
     lake.table("dim_branches").replace(spark.createDataFrame([("B1", 2)], "branch_id string, n int"))
     assert lake.register("ledgerlens_test") == "ledgerlens_test"
     assert spark.sql("SHOW DATABASES LIKE 'ledgerlens_test'").count() == 1
-    assert spark.sql("SELECT sum(n) AS n FROM dim_branches").first().n == 2
+    assert spark.sql("SELECT sum(n) AS n FROM ledgerlens_test.dim_branches").first().n == 2
+
+
+def test_micro_batches_of_any_size_give_one_table(spark, scratch):
+    """Duplicates over several files of two days: one file a micro-batch, or all, in any order of arrival."""
+    from ledgerlens.sources.contracts import Sort
+    files = {("2026-04-25", "a"): [_line("T1", 5), _line("T2", 1)], ("2026-04-25", "b"): [_line("T1", 3), _line("T3", 9)],
+             ("2026-04-26", "a"): [_line("T3", 4), _line("T4", 2)], ("2026-04-26", "b"): [_line("T4", 8)]}
+    order = (Sort("amount", descending=True),)
+    tables = []
+    for k, (names, max_files) in enumerate(((sorted(files), 1000), (sorted(files), 1), (sorted(files, reverse=True), 1))):
+        fact = FactTable(spark, f"{scratch}/fact{k}")
+        ingest = _ingest(spark, scratch, f"feed{k}", fact, max_files=max_files, order=order)
+        for day, name in names:
+            _csv(f"{scratch}/feed{k}/batch_date={day}/{name}.csv", files[day, name])
+            if max_files == 1:
+                ingest.run_available()
+        ingest.run_available()
+        tables.append(_amounts(fact))
+    assert tables == [{"T1": 5.0, "T2": 1.0, "T3": 4.0, "T4": 8.0}] * 3
+    with pytest.raises(ValueError, match="order columns"):
+        _ingest(spark, scratch, "none", FactTable(spark, f"{scratch}/other"), order=(Sort("l_partkey"),))
+
+
+def test_times_with_a_zone(spark, scratch):
+    texts = {"T1": "2026-04-25 10:00:00", "T2": "2026-04-25T10:00:00+05:30", "T3": "2026-04-25T23:30:00-02:00",
+             "T4": "2026-04-25T10:00:00Z", "T5": "no time", "T6": ""}
+    lake = Lake(spark, scratch)
+    _csv(f"{scratch}/raw/batch_date={DAY}/merchants.csv", ["M1,Shop,FUEL,LOW"],
+         "merchant_id,merchant_name,merchant_category,risk_level")
+    _csv(f"{scratch}/raw/batch_date={DAY}/transactions.csv", [
+        _line(t, 1).replace("2026-04-25 10:00:00", text) for t, text in texts.items()])
+    lake.validate_raw(DAY, datasets=("merchants", "transactions"))
+    lake.curate(DAY, ("transaction_events",))
+    lake.merge_fact(DAY)
+    assert dict(lake.fact.read().dtypes)["transaction_ts"] == "timestamp"
+    got = {r.transaction_id: (r.t, r.d) for r in lake.fact.read().selectExpr(
+        "transaction_id", "cast(transaction_ts AS string) t", "cast(transaction_date AS string) d").collect()}
+    assert got == {"T1": ("2026-04-25 10:00:00", "2026-04-25"), "T2": ("2026-04-25 04:30:00", "2026-04-25"),
+                   "T3": ("2026-04-26 01:30:00", "2026-04-26"), "T4": ("2026-04-25 10:00:00", "2026-04-25"),
+                   "T5": (None, None), "T6": (None, None)}
+
+
+def test_synthesis_over_days_and_rounding(spark):
+    rows = lambda d: spark.createDataFrame([(i, day) for i in range(50) for day in ("2026-04-25", "2027-01-01")],
+                                           "i long, batch_date string")
+    made = synth.Generator(rows, {"accounts": 5, "customers": 5, "merchants": 5})
+    got = made.transactions().selectExpr("transaction_id", "cast(to_date(transaction_ts) AS string) AS d", "amount").collect()
+    assert len({r.transaction_id for r in got}) == 100
+    assert all(r.transaction_id[1:9] == r.d.replace("-", "") for r in got) and {r.d for r in got} == {"2026-04-25", "2027-01-01"}
+    assert all(round(r.amount, 2) == r.amount and 10 <= r.amount <= 250_000 for r in got)
+    loans = made.loan_applications().collect()
+    assert {(r.application_id[1:9], str(r.application_date)) for r in loans} == {("20260425", "2026-04-25"), ("20270101", "2027-01-01")}
