@@ -214,8 +214,8 @@ class FactTable(_Committed):
 
         With ``order`` a matched row is replaced only by one that does not come
         after it, so the table does not depend on how rows are dealt over merges. Null
-        keys match nothing and are inserted. The source is read three times: for
-        its keys (stored), their partitions and its rows.
+        keys match nothing and are inserted. The source is read twice: for its keys
+        and partitions, which are stored, and for its rows.
         """
         missing = [c for c in self.extras if c not in source.columns]
         source = source.select(*FACT_COLUMNS, *[c for c in self.extras if c not in missing],
@@ -223,26 +223,29 @@ class FactTable(_Committed):
         source = source.select(*self.stored.names).withColumn("part", self._part())
         commits = self.commits()
         version, ts = self._next(commits, commit_ts)
-        target = self._scan(commits)
-        known = source.where(F.col(self.key).isNotNull())
         names = list(dict.fromkeys([self.key, *(s.column for s in order)]))
-        keys = self._stored(known.select(*names), "merge-keys")
-        twice = keys.groupBy(self.key).count().where("count > 1").first()
-        if twice is not None:
-            raise DuplicateSourceKey(f"upsert source repeats {self.key}={twice[0]!r} ({twice[1]} rows)")
-        size = keys.agg(F.count("*"), F.coalesce(F.sum(F.length(self.key)), F.lit(0))).first()
-        small = size[0] * ROW_BYTES * len(names) + size[1] <= SMALL_KEYS
-        met = self._stored(self.matches(target, keys, small, order), "merge-matches")
-        if order:
-            kept = met.where("stays").select(self.key)
-            source = source.join(F.broadcast(kept) if small else kept, self.key, "left_anti").select(*source.columns)
-        moved = met.where("NOT stays")
+        keys = self._stored(source.select(*names, "part"), "merge-keys")
+        counted = keys.where(F.col(self.key).isNotNull()).groupBy(self.key).count()
+        size = counted.agg(F.max("count"), F.max_by(self.key, "count"), F.count("*"), F.sum(F.length(self.key))).first()
+        if (size[0] or 0) > 1:
+            raise DuplicateSourceKey(f"upsert source repeats {self.key}={size[1]!r} ({size[0]} rows)")
+        small = size[2] * ROW_BYTES * len(names) + (size[3] or 0) <= SMALL_KEYS
+        sent = F.broadcast if small else (lambda df: df)
+        moved, left = None, set()
+        if self._live(commits):
+            met = self._stored(self.matches(self._scan(commits), keys.select(*names), small, order), "merge-matches")
+            moved = met.where("NOT stays")
+            left = {r[0] for r in moved.select("was").distinct().collect()}
+            if order:
+                kept = sent(met.where("stays").select(self.key))
+                keys, source = (df.join(kept, self.key, "left_anti").select(*df.columns) for df in (keys, source))
         # names of partitions only, each set once
-        touched = {r[0] for r in source.select("part").distinct().collect()} | {
-            r[0] for r in moved.select("was").distinct().collect()}
+        touched = left | {r[0] for r in keys.select("part").distinct().collect()}
         if not touched:
             return
-        rows = upsert(self._scan(commits, touched), source, self.key, matched=F.broadcast(moved) if small else moved)
+        rows = source
+        if moved is not None:
+            rows = upsert(self._scan(commits, touched), source, self.key, matched=sent(moved))
         # REBALANCE packs small partitions together and splits a hot one over several tasks.
         folder = f"v{version:06d}-{uuid.uuid4().hex[:8]}"
         path = f"{self.data}/written_by={folder}"
