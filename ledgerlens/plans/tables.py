@@ -101,10 +101,10 @@ class _Committed:
         return (commits[-1].version + 1 if commits else 1), ts
 
     def _record(self, version: int, ts: _dt.datetime, folder: str, touched=(), emptied=(), columns=None) -> None:
-        row = self.spark.createDataFrame(
-            [(version, ts.isoformat(), folder, list(touched), list(emptied), columns)],
-            "version long, commit_ts string, folder string, touched array<string>, emptied array<string>, columns string")
-        (row.withColumn("commit_ts", F.col("commit_ts").cast("timestamp")).coalesce(1)
+        names = lambda parts: F.array(*map(F.lit, parts)).cast("array<string>")
+        values = (F.lit(version), F.lit(ts.isoformat()).cast("timestamp"), F.lit(folder), names(touched), names(emptied),
+                  F.lit(columns).cast("string"))
+        (self.spark.range(1).select(*[v.alias(f.name) for v, f in zip(values, RECORD_SCHEMA)]).coalesce(1)
          .write.mode("errorifexists").json(f"{self.path}/_commits/v={version:06d}"))
 
 
