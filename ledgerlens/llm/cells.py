@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BOTH, TABLE, PROBE = 0, 1, 2
+#: Buckets of so many rows are compared together, by comparing rows some places apart.
+SMALL_RUN = 48
 EDGE = "a long, b long"
 
 
@@ -50,7 +52,7 @@ def linked(fps: np.ndarray, table: np.ndarray, probe: np.ndarray, max_bits: int,
         yield part[i], probe[j]
 
 
-def _small_runs(fps, run, role, max_bits, widest):
+def small_runs(fps, run, role, max_bits, widest):
     """Pairs (i, j) of runs of up to ``widest`` rows, by comparing rows d apart."""
     a, b = [], []
     for d in range(1, widest):
@@ -73,12 +75,11 @@ def _edges(fps: np.ndarray, key: np.ndarray, cell: np.ndarray, role: np.ndarray,
     sizes = np.diff(np.append(starts, n))
     run = np.repeat(np.arange(len(starts)), sizes)
     label = np.arange(n)
-    wide = 48
-    small = np.flatnonzero((sizes[run] > 1) & (sizes[run] <= wide))
+    small = np.flatnonzero((sizes[run] > 1) & (sizes[run] <= SMALL_RUN))
     if len(small):
-        i, j = _small_runs(fps[small], run[small], role[small], max_bits, wide)
+        i, j = small_runs(fps[small], run[small], role[small], max_bits, SMALL_RUN)
         label = unite(label, small[i], small[j])
-    for r in np.flatnonzero(sizes > wide):
+    for r in np.flatnonzero(sizes > SMALL_RUN):
         own = np.arange(starts[r], starts[r] + sizes[r])
         table, probe = own[role[own] != PROBE], own[role[own] != TABLE]
         sub = np.arange(len(own))
@@ -123,14 +124,14 @@ def bucket_edges(rows: DataFrame, heavy: DataFrame, max_bits: int) -> DataFrame:
     """
     spread = rows.select("key", F.lit(0).cast("long").alias("cell"), "role", "fp")
     if not heavy.isEmpty():
-        spread = _cut_up(rows, heavy)
+        spread = cut_up(rows, heavy)
     return (spread.repartition("key", "cell").sortWithinPartitions("key", "cell", "role")
             .mapInArrow(_sorted_cells(max_bits), EDGE))
 
 
-def _cut_up(rows: DataFrame, heavy: DataFrame) -> DataFrame:
-    """(key, cell, role, fp) with the rows of heavy buckets copied to the cells of their chunk."""
-    chunk = F.pmod(F.xxhash64("fp"), F.col("ways"))
+def cut_up(rows: DataFrame, heavy: DataFrame, *more: str) -> DataFrame:
+    """(key, cell, role, fp, *more) with the rows of heavy buckets copied to the cells of their chunk."""
+    chunk = F.pmod(F.xxhash64("fp", *more), F.col("ways"))
     span = F.sequence(F.lit(0).cast("long"), F.col("ways") - 1)
     one = F.array(F.struct(F.lit(0).cast("long").alias("cell"), F.col("role").cast("int").alias("role")))
     as_probe = F.transform(span, lambda y: F.struct((chunk * F.col("ways") + y).alias("cell"),
@@ -142,5 +143,5 @@ def _cut_up(rows: DataFrame, heavy: DataFrame) -> DataFrame:
               .when(F.col("role") == TABLE, as_table)
               .otherwise(F.concat(as_probe, as_table)))
     return (rows.join(heavy, "key", "left")
-            .select("key", "fp", F.explode(placed).alias("p"))
-            .select("key", "p.cell", "p.role", "fp"))
+            .select("key", "fp", *more, F.explode(placed).alias("p"))
+            .select("key", "p.cell", "p.role", "fp", *more))

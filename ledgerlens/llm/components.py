@@ -3,7 +3,8 @@
 Each round maps every node two steps along "smallest neighbour" pointers and
 relabels the edges; the edges left over shrink by at least half. A hub's edges
 meet in a ``min`` aggregate (combined map-side) and in equi-joins that AQE can
-split, never in one task's memory. Rounds are cut through the shared folder.
+split, never in one task's memory. Rounds are cut through the shared folder;
+their maps are composed from the last, smallest one.
 """
 
 from __future__ import annotations
@@ -39,8 +40,9 @@ def components(edges: DataFrame) -> DataFrame:
                    .distinct(), "edges")
     if not maps:
         return live.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    out = maps[0]
-    for step in maps[1:]:
-        out = (out.join(step.select(F.col("node").alias("root"), F.col("root").alias("next")), "root", "left")
+    # from the last round to the first: each join is of a round's nodes with the fewer ones of the rounds after it
+    out = maps[-1]
+    for step in reversed(maps[:-1]):
+        out = (step.join(out.select(F.col("node").alias("root"), F.col("root").alias("next")), "root", "left")
                .select("node", F.coalesce("next", "root").alias("root")))
-    return out
+    return cut(out, "components") if len(maps) > 1 else out

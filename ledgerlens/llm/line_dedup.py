@@ -1,28 +1,30 @@
 """Fuzzy line dedup over a whole corpus.
 
 Lines are normalised (A-Z folded, digits as 0, ASCII punctuation as space) and
-equal ones become one row, its first place kept. Each distinct line gets a
-SimHash of its set of words. Lines are linked if their fingerprints differ in
-``max_bits`` or fewer and their edit similarity, ``1 - distance / longer
-length`` over the normalised characters, reaches ``similarity``. Of each
-connected group, and of equal lines, the occurrence of the smallest (document
-id, text hash, line number) stays; all others go.
-
-Two fingerprints at ``max_bits`` or fewer agree in at least two of
-``max_bits + 2`` blocks, so they meet under the key of some pair of blocks. A
-few bits are far stricter than the edit similarity: most pairs that reach 0.8
-lie further apart. With ``bands`` the candidates are chosen for the similarity
-instead: ``max_bits`` is wide (``NEAR_BITS``), and as no blocks can serve it, the
-lines meet under ``bands`` keys, each of two min-hashes of the same features.
-Short lines, whose words are too few, take their byte pairs as features; lines
-of ``SHORT`` up to ``SHORT / 0.8`` characters are in both kinds, so that every
-similar pair shares one.
-
-The fingerprints first fall into classes that are connected by distance alone;
-every link lies within one. Only lines of classes with two or more lines have
-their text fetched and verified, in cells of bounded size, where a pair that
-is already connected needs no second proof. So a group of n near copies costs
-about n verifications a cell and yields n rows, not n * n.
+equal ones become one row, its first place kept. A line's features are its
+distinct words, and for short lines or lines of few words its byte triples. The
+features are dealt by their hash over blocks of about ``SHARE`` features each, and
+every block is the SimHash of its own share: changing one word touches two
+blocks at most, so of two lines that differ in k words all but 2k blocks are
+equal. That is the pigeonhole join: lines that have an equal block of at least
+``LEAST`` features are candidates if their whole SimHashes differ in ``max_bits``
+or fewer (half of what unlike lines do). How many blocks a line has follows its
+number of features on a scale of steps; near a step it has the blocks of both.
+
+Candidates are verified by edit similarity, ``1 - distance / longer length`` over
+the normalised characters, of at least ``similarity``. Of each connected group,
+and of equal lines, the occurrence of the smallest (document id, text hash, line
+number) stays; all others go. ``exhaustive=True`` takes all pairs of lines as
+candidates instead, in cells, for recall tests and small corpora.
+
+Nothing is closed over candidates: a pair is verified in a bucket that proposes
+it, and only verified links reach the components. First the buckets are compared
+by fingerprint alone, without texts; rows that have no near partner drop out, and
+buckets of the same members become one. The texts of the rest are joined to them
+once. A bucket of more than ``CELL`` lines is cut into pieces, each with the bucket's
+first line: what is similar to that line is connected by it and needs no other
+proof, so a group of n near copies costs about n verifications and rows; only the
+lines that are not like it meet the other pieces.
 """
 
 from __future__ import annotations
@@ -35,21 +37,25 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.cells import BOTH, PROBE, TABLE, bucket_edges
+from ledgerlens.llm.cells import BOTH, PROBE, SMALL_RUN, TABLE, cut_up, linked, small_runs
 from ledgerlens.llm.common import cut, free_name, raw, spans
 from ledgerlens.llm.components import components
-from ledgerlens.llm.simhash import majority
+from ledgerlens.llm.simhash import LANES
 from ledgerlens.llm.words import hashed_words, mixed
 
 _FOLD = bytes(32 if chr(b) in string.punctuation else 48 if 48 <= b <= 57 else b | 32 if 65 <= b <= 90 else b
               for b in range(256))
 _SAMPLE = 16
-#: Candidates for an edit similarity of 0.8: bits that may differ (of words, of byte pairs) and keys of two min-hashes.
-#: Wider bits chain unlike lines: over 404,175 distinct lines 14 put 50,854 and 12 at most 468 into one class.
-NEAR_BITS, SHORT_BITS, BANDS = 10, 6, 8
-#: Below so many characters a line's features are its byte pairs.
-SHORT = 64
-_ODD = mixed(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
+#: Features a block, the fewest that a joined block may have, and the ratio of the steps of the number of blocks.
+SHARE, LEAST, STEP, OVERLAP = 5, 4, 1.5, 0.35
+#: Bits of the whole fingerprints that candidates may differ in.
+MAX_BITS = 16
+#: Lines of fewer bytes or fewer distinct words have byte triples as features too.
+SHORT_BYTES, FEW_WORDS = 80, 10
+#: Lines verified together.
+CELL = 256
+#: Rows of candidate ids that are sent to all tasks, at most.
+SENT_IDS = 1 << 20
 NOT_BLANK = r"[^\x20\x09-\x0D]"
 
 
@@ -58,55 +64,81 @@ def normal_line(line: bytes) -> bytes:
     return b" ".join(line.translate(_FOLD).split()) or b"\0".join(line.split())
 
 
-def line_prints(forms: list[bytes]) -> np.ndarray:
-    """SimHash of each normal form (none empty) over its set of words."""
-    out = np.empty(len(forms), np.uint64)
-    for s, e in spans([len(f) + 1 for f in forms], 1 << 18):
-        data = np.frombuffer(b"\n".join(forms[s:e]), np.uint8)
-        breaks = data == 10
-        hashes, starts = hashed_words(data, breaks | (data == 32))
-        line = np.searchsorted(np.flatnonzero(breaks), starts).astype(np.uint64)
-        # (line, word) pairs, each once; the word as 40 bits of its hash
-        pairs = np.sort(line << np.uint64(40) | mixed(hashes) >> np.uint64(24))
-        pairs = pairs[np.append(True, pairs[1:] != pairs[:-1])]
-        counts = np.bincount((pairs >> np.uint64(40)).astype(np.int64), minlength=e - s)
-        out[s:e] = majority(mixed(pairs & np.uint64((1 << 40) - 1)), counts)
-    return out
-
-
-def _band_keys(hashes: np.ndarray, counts: np.ndarray, bands: int) -> np.ndarray:
-    """(lists, bands) int32 keys of lists of hashes (none empty), each from two min-hashes."""
-    starts = np.cumsum(counts) - counts
-    least = [np.minimum.reduceat((hashes ^ odd) * odd >> np.uint64(32), starts) for odd in _ODD[:2 * bands]]
-    keys = [mixed(a << np.uint64(32) | b) >> np.uint64(32) for a, b in zip(least[::2], least[1::2])]
-    return np.stack(keys, 1).astype(np.uint32).view(np.int32)
-
-
-def line_sketches(forms: list[bytes], bands: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(form, short, SimHash, band keys) of normal forms (none empty): one row for each kind of features a form has."""
-    out = []
+def _ones(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """(groups, 64): how many hashes of each group have bit b; a group holds at most 255 in all but made-up cases."""
+    lanes = np.add.reduceat(LANES[hashes.astype("<u8").view(np.uint8).reshape(-1, 8)], first, axis=0)
+    return lanes.astype("<u8").view(np.uint8)
+
+
+def _bits(ones: np.ndarray, size: np.ndarray) -> np.ndarray:
+    return np.packbits(2 * ones.astype(np.int64) > size[:, None], axis=1, bitorder="little").view("<u8")[:, 0]
+
+
+def _blocks(line: np.ndarray, features: np.ndarray, lines: int, salt: int):
+    """((line, key) rows, (line, fingerprint) of the lines with features) of distinct (line, 40-bit feature) rows."""
+    count = np.bincount(line, minlength=lines)
+    place = np.log(np.maximum(count, 1) / SHARE) / np.log(STEP)
+    low, high = (np.maximum(0, np.floor(place + x)).astype(np.int64) for x in (0, OVERLAP))
+    rows, keys, whole = [], [], None
+    for step, use in ((low, None), (high, high != low)):
+        pick = slice(None) if use is None else use[line]
+        own, hashed = line[pick], features[pick]
+        if not len(own):
+            continue
+        parts = np.maximum(2, np.rint(STEP ** step)).astype(np.uint64)
+        group = (mixed(hashed) >> np.uint64(32)) % parts[own]
+        # a line's features in the order of their blocks; both fit 24 bits, as a span is under a megabyte or one line
+        order = np.argsort(own.astype(np.uint64) << np.uint64(24) | group, kind="stable")
+        own, hashed, group = own[order], hashed[order], group[order]
+        new = np.append(True, (own[1:] != own[:-1]) | (group[1:] != group[:-1]))
+        first = np.flatnonzero(new)
+        size = np.diff(np.append(first, len(own)))
+        ones = _ones(mixed(hashed), first)
+        at, of = own[first], group[first]
+        if whole is None:
+            starts = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+            sums = np.add.reduceat(ones, starts, axis=0, dtype=np.int64)
+            whole = at[starts], _bits(sums, count[at[starts]])
+        ok = size >= LEAST
+        rows.append(at[ok])
+        keys.append(mixed(_bits(ones[ok], size[ok]) ^ mixed(of[ok] << np.uint64(32) | parts[at[ok]] << np.uint64(2)
+                                                            | np.uint64(salt))))
+    none = np.empty(0, np.int64), np.empty(0, np.uint64)
+    return (np.concatenate(rows), np.concatenate(keys)) if rows else none, whole or none
+
+
+def _distinct(line: np.ndarray, feature: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    rows = np.sort(line.astype(np.uint64) << np.uint64(40) | feature)
+    rows = rows[np.append(True, rows[1:] != rows[:-1])] if len(rows) else rows
+    return (rows >> np.uint64(40)).astype(np.int64), rows & np.uint64((1 << 40) - 1)
+
+
+def line_prints(forms: list[bytes]) -> tuple[list, list, list]:
+    """For each normal form (none empty) of a span: (words' fingerprint or None, triples' or None, keys of both) as arrays.
+
+    Returned as three parallel lists of (line numbers, values): fingerprints of words, of triples, and keys with
+    the kind in their lowest bit.
+    """
+    words, triples, keys = [], [], []
     for s, e in spans([len(f) + 1 for f in forms], 1 << 18):
-        data = np.frombuffer(b"\n" + b"\n".join(forms[s:e]) + b"\n", np.uint8)
+        data = np.frombuffer(b"\n".join(forms[s:e]) + b"\n", np.uint8)
         breaks = data == 10
-        line = np.cumsum(breaks[:-1]) - 1
-        chars = np.bincount(line, (data[:-1] & 0xC0) != 0x80, e - s) - 1
+        ends = np.flatnonzero(breaks)
         hashes, starts = hashed_words(data, breaks | (data == 32))
-        pairs = data[:-1].astype(np.uint64) << np.uint64(8) | data[1:]
-        for short, wanted, owner, found in (
-                (False, chars >= SHORT, line[starts], mixed(hashes) >> np.uint64(24)),
-                (True, 0.8 * chars < SHORT, line, pairs)):
-            use = wanted[owner]
-            rows = np.sort(owner[use].astype(np.uint64) << np.uint64(40) | found[use])
-            if len(rows):
-                rows = rows[np.append(True, rows[1:] != rows[:-1])]
-                counts = np.bincount((rows >> np.uint64(40)).astype(np.int64), minlength=e - s)
-                counts, hashed = counts[wanted], mixed(rows & np.uint64((1 << 40) - 1))
-                out.append((np.flatnonzero(wanted) + s, np.full(len(counts), short), majority(hashed, counts), _band_keys(hashed, counts, bands)))
-    if not out:
-        return np.empty(0, np.int64), np.empty(0, bool), np.empty(0, np.uint64), np.empty((0, bands), np.int32)
-    at, short, fps, keys = (np.concatenate(x) for x in zip(*out))
-    order = np.argsort(at, kind="stable")
-    return at[order], short[order], fps[order], keys[order]
+        line, feature = _distinct(np.searchsorted(ends, starts), mixed(hashes) >> np.uint64(24))
+        (at, key), (own, fp) = _blocks(line, feature, e - s, 1)
+        words.append((own + s, fp))
+        keys.append((at + s, key & ~np.uint64(1)))
+        few = (np.diff(np.append(-1, ends)) <= SHORT_BYTES) | (np.bincount(line, minlength=e - s) < FEW_WORDS)
+        if few.any():
+            of = np.cumsum(breaks) - breaks
+            wide = data.astype(np.uint64)
+            inside = few[of[:-2]] & ~(breaks[:-2] | breaks[1:-1] | breaks[2:])
+            code = (wide[:-2] << np.uint64(16) | wide[1:-1] << np.uint64(8) | wide[2:])[inside]
+            (at, key), (own, fp) = _blocks(*_distinct(of[:-2][inside], mixed(code) >> np.uint64(24)), e - s, 2)
+            triples.append((own + s, fp))
+            keys.append((at + s, key | np.uint64(1)))
+    return words, triples, keys
 
 
 def edit_distance(a: str, b: str) -> int:
@@ -164,20 +196,28 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.col(text_col).cast("string").alias("text"))
 
 
-def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands: int = 0) -> DataFrame:
-    """(doc_id, text_hash, line_no, k1, k2, fp) of each line with a word; k1, k2: 128-bit hash of its normal form.
+OCCURRENCE = "text_hash long, line_no int, k1 long, k2 long, line string, words long, triples long, keys array<long>"
+
+
+def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, text_hash, line_no, k1, k2, line, words, triples, keys) of each line with a word.
 
-    With ``bands`` the column ``fp`` is an array of (fp, short, keys), one for each kind of features.
+    k1, k2: 128-bit hash of the normal form ``line``; words, triples: fingerprints,
+    null where a line has none of the kind; keys: of its blocks, odd for triples.
     """
-    def prints(forms):
-        if not bands:
-            return pa.array(line_prints(forms).view(np.int64))
-        at, short, fps, keys = line_sketches(forms, bands)
-        lists = pa.ListArray.from_arrays(np.arange(len(at) + 1, dtype=np.int32) * bands, pa.array(keys.ravel()))
-        return pa.ListArray.from_arrays(np.searchsorted(at, np.arange(len(forms) + 1)).astype(np.int32),
-                                        pa.StructArray.from_arrays(
-                                            [pa.array(fps.view(np.int64)), pa.array(short), lists],
-                                            ["fp", "short", "keys"]))
+    def spread(parts, n):
+        """One value a line, null where there is none."""
+        values, there = np.zeros(n, np.uint64), np.zeros(n, bool)
+        for at, fp in parts:
+            values[at], there[at] = fp, True
+        return pa.array(values.view(np.int64), mask=~there)
+
+    def listed(parts, n):
+        at = np.concatenate([a for a, _ in parts]) if parts else np.empty(0, np.int64)
+        key = np.concatenate([k for _, k in parts]) if parts else np.empty(0, np.uint64)
+        order = np.argsort(at, kind="stable")
+        offsets = np.searchsorted(at[order], np.arange(n + 1)).astype(np.int32)
+        return pa.ListArray.from_arrays(offsets, pa.array(key[order].view(np.int64)))
 
     def run(batches):
         for batch in batches:
@@ -191,69 +231,112 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                             rows.append(i)
                             numbers.append(n)
                             forms.append(form)
-                keys = b"".join([xxhash.xxh3_128_digest(f) for f in forms])
-                halves = np.frombuffer(keys, "<i8").reshape(-1, 2)
+                halves = np.frombuffer(b"".join([xxhash.xxh3_128_digest(f) for f in forms]), "<i8").reshape(-1, 2)
                 at = pa.array(rows, pa.int64())
+                words, triples, keys = line_prints(forms)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(at), batch.column(1).take(at), pa.array(numbers, pa.int32()),
-                     pa.array(halves[:, 0]), pa.array(halves[:, 1]), prints(forms)],
-                    ["doc_id", "text_hash", "line_no", "k1", "k2", "fp"])
+                     pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(forms, pa.binary()).cast(pa.string()),
+                     spread(words, len(forms)), spread(triples, len(forms)), listed(keys, len(forms))],
+                    ["doc_id", "text_hash", "line_no", "k1", "k2", "line", "words", "triples", "keys"])
     kind = docs.schema[id_col].dataType.simpleString()
-    fp = "array<struct<fp:long,short:boolean,keys:array<int>>>" if bands else "long"
-    return _keyed(docs, id_col, text_col).mapInArrow(
-        run, f"doc_id {kind}, text_hash long, line_no int, k1 long, k2 long, fp {fp}")
-
-
-def block_links(fps: DataFrame, max_bits: int, cell_rows: int = 4096) -> DataFrame:
-    """Edges that connect ``fps(fp)`` at ``max_bits`` or fewer, joined on pairs of pigeonhole blocks."""
-    parts = max_bits + 2
-    bounds = [64 * i // parts for i in range(parts + 1)]
-    blocks = [(F.shiftrightunsigned("fp", lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1)), hi - lo)
-              for lo, hi in zip(bounds, bounds[1:])]
-    keys = []
-    for i in range(parts):
-        for j in range(i + 1, parts):
-            (a, _), (b, width) = blocks[i], blocks[j]
-            keys.append(F.lit(len(keys) << 56) + F.shiftleft(a, width) + b)
-    return _linked(fps.select("fp", F.explode(F.array(*keys)).alias("key")), max_bits, cell_rows)
-
-
-def band_links(prints: DataFrame, max_bits: int, cell_rows: int = 4096) -> DataFrame:
-    """Edges that connect ``prints(fp, keys)`` of a common key of the same band at ``max_bits`` or fewer."""
-    key = F.shiftleft(F.col("band").cast("long"), 32) + F.col("part").bitwiseAND(F.lit(0xFFFFFFFF))
-    return _linked(prints.select("fp", F.posexplode("keys").alias("band", "part")).select("fp", key.alias("key")),
-                   max_bits, cell_rows)
-
-
-def _linked(rows: DataFrame, max_bits: int, cell_rows: int) -> DataFrame:
-    rows = rows.withColumn("role", F.lit(BOTH))
-    # How a hot key is cut does not change the result, so its size may be estimated from some fingerprints.
-    heavy = (rows.where(F.pmod(F.xxhash64("fp"), F.lit(_SAMPLE)) == 0).groupBy("key").count()
+    return _keyed(docs, id_col, text_col).mapInArrow(run, f"doc_id {kind}, {OCCURRENCE}")
+
+
+def _near_rows(max_bits: int, at_once: int = 1 << 17):
+    """Arrow function over (key, cell, role, fp, k1) sorted by (key, cell, role): rows with a partner in their cell."""
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            held.append([batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)])
+            size += batch.num_rows
+            if size < at_once:
+                continue
+            cols = [np.concatenate(x) for x in zip(*held)]
+            last = np.flatnonzero((cols[0] != cols[0][-1]) | (cols[1] != cols[1][-1]))
+            last = int(last[-1]) + 1 if len(last) else 0
+            if last:
+                yield from found([x[:last] for x in cols])
+            held, size = [[x[last:] for x in cols]], len(cols[0]) - last
+        if size:
+            yield from found([np.concatenate(x) for x in zip(*held)])
+
+    def found(cols):
+        key, cell, role, fp, k1 = cols
+        new = np.append(True, (key[1:] != key[:-1]) | (cell[1:] != cell[:-1]))
+        starts = np.flatnonzero(new)
+        sizes = np.diff(np.append(starts, len(key)))
+        many = np.repeat(sizes > 1, sizes)
+        key, role, k1, run_ = key[many], role[many], k1[many], np.repeat(np.arange(len(starts)), sizes)[many]
+        fp = fp[many].astype(np.int64).view(np.uint64)
+        hit = np.zeros(len(key), bool)
+        sizes = sizes[sizes > 1]
+        starts = np.cumsum(sizes) - sizes
+        small = np.flatnonzero(np.repeat(sizes <= SMALL_RUN, sizes))
+        i, j = small_runs(fp[small], run_[small], role[small], max_bits, SMALL_RUN)
+        hit[small[i]] = hit[small[j]] = True
+        for r in np.flatnonzero(sizes > SMALL_RUN):
+            own = np.arange(starts[r], starts[r] + sizes[r])
+            for i, j in linked(fp, own[role[own] != PROBE], own[role[own] != TABLE], max_bits):
+                other = i != j
+                hit[i[other]] = hit[j[other]] = True
+        if hit.any():
+            yield pa.RecordBatch.from_arrays([pa.array(key[hit]), pa.array(k1[hit]), pa.array(fp[hit].view(np.int64))],
+                                             ["key", "k1", "fp"])
+    return run
+
+
+def near_members(lines: DataFrame, max_bits: int, cell_rows: int = 4096) -> DataFrame:
+    """(key, k1, fp): lines of each bucket that have another line at ``max_bits`` or fewer in it, each once."""
+    even = F.col("key").bitwiseAND(F.lit(1)) == 0
+    rows = (lines.select("k1", "words", "triples", F.explode("keys").alias("key"))
+            .select("key", F.when(even, F.col("words")).otherwise(F.col("triples")).alias("fp"), F.lit(BOTH).alias("role"), "k1"))
+    # How a hot key is cut does not change the result, so its size may be estimated from some lines.
+    heavy = (rows.where(F.pmod("k1", F.lit(_SAMPLE)) == 0).groupBy("key").count()
              .where(F.col("count") * _SAMPLE > cell_rows)
              .select("key", F.ceil(F.col("count") * _SAMPLE / cell_rows).alias("ways")))
-    return bucket_edges(rows, cut(heavy, "heavy"), max_bits)
+    heavy = cut(heavy, "heavy")
+    if heavy.isEmpty():
+        rows = rows.select("key", F.lit(0).cast("long").alias("cell"), "role", "fp", "k1")
+    else:
+        rows = cut_up(rows, heavy, "k1")
+    found = (rows.repartition("key", "cell").sortWithinPartitions("key", "cell", "role")
+             .mapInArrow(_near_rows(max_bits), "key long, k1 long, fp long"))
+    return cut(found if heavy.isEmpty() else found.distinct(), "line-buckets")
+
+
+def _pieces(members: DataFrame) -> DataFrame:
+    """``members(key, k1, fp)`` of the buckets to verify, with (n, first) of their bucket: buckets of the same members stand once."""
+    digest = lambda seed: F.bit_xor(F.xxhash64(F.lit(seed), "k1"))
+    buckets = members.groupBy("key").agg(F.count("*").alias("n"), F.min("k1").alias("first"),
+                                         digest(1).alias("x1"), digest(2).alias("x2"))
+    even = F.col("key").bitwiseAND(F.lit(1)).alias("kind")
+    one = buckets.groupBy("n", "x1", "x2", even).agg(F.min("key").alias("key"), F.min("first").alias("first"))
+    return members.join(one.select("key", "n", "first"), "key")
 
 
 def _verify(max_bits: int, similarity: float):
-    """Arrow function over rows sorted by (class, cell, role): edges of verified links, a forest for each cell."""
+    """Arrow function over rows (key, cell, part, role, k1, k2, fp, line) sorted by (key, cell, role).
+
+    Yields verified links a, b, a forest for each cell, and, where a bucket has
+    several pieces, its lines that its first line is not connected to (``key`` set, b null).
+    """
     def run(batches):
         held: list[tuple] = []
         place = None
         for batch in batches:
-            cols = [batch.column(i).to_pylist() for i in range(7)]
-            for row in zip(*cols):
+            for row in zip(*[batch.column(i).to_pylist() for i in range(8)]):
                 if row[:2] != place:
                     yield from forest(held)
                     held, place = [], row[:2]
-                held.append(row[2:])
+                held.append(row)
         yield from forest(held)
 
     def forest(rows):
         if len(rows) < 2:
             return
-        role = np.array([r[0] for r in rows])
-        fps = np.array([r[3] for r in rows], np.int64).view(np.uint64)
-        texts = [r[4] for r in rows]
+        role = np.array([r[3] for r in rows])
+        fps = np.array([r[6] for r in rows], np.int64).view(np.uint64)
         label = np.arange(len(rows))
         for i in range(len(rows)):
             if role[i] == PROBE:
@@ -261,96 +344,117 @@ def _verify(max_bits: int, similarity: float):
             near = np.bitwise_count(fps ^ fps[i]) <= max_bits
             near &= (role == PROBE) if role[i] == TABLE else (np.arange(len(rows)) > i)
             for j in np.flatnonzero(near & (label != label[i])):
-                if label[j] != label[i] and similar(texts[i], texts[j], similarity):
+                if label[j] != label[i] and similar(rows[i][7], rows[j][7], similarity):
                     low, high = sorted((label[i], label[j]))
                     label[label == high] = low
+        node = lambda at: pa.StructArray.from_arrays(
+            [pa.array([rows[k][4] for k in at], pa.int64()), pa.array([rows[k][5] for k in at], pa.int64())], ["k1", "k2"])
         hit = np.flatnonzero(label != np.arange(len(rows)))
         if len(hit):
-            node = lambda at: pa.StructArray.from_arrays(
-                [pa.array([rows[k][1] for k in at], pa.int64()), pa.array([rows[k][2] for k in at], pa.int64())],
-                ["k1", "k2"])
-            yield pa.RecordBatch.from_arrays([node(hit), node(label[hit])], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(hit), pa.int64()), node(hit), node(label[hit])], ["key", "a", "b"])
+        # role FIRST sorts first, so the bucket's first line has label 0
+        apart = np.flatnonzero(label != 0) if role[0] == FIRST else np.empty(0, int)
+        if len(apart):
+            key = pa.array([rows[k][0] for k in apart], pa.int64())
+            yield pa.RecordBatch.from_arrays([key, node(apart), pa.nulls(len(apart), LINK)], ["key", "a", "b"])
     return run
 
 
-def verified_links(docs: DataFrame, lines: DataFrame, id_col: str, text_col: str, max_bits: int, similarity: float,
-                   bands: int = 0, cell_rows: int = 256) -> DataFrame:
-    """Edges (a, b) between line keys (struct k1, k2) whose components are those of all verified links."""
-    if bands:
-        lines = lines.select(*[c for c in lines.columns if c != "fp"], F.inline("fp"))
-        prints = cut(lines.groupBy("fp", "short", "keys").agg(F.count("*").alias("n")), "line-prints")
-        fps = prints.groupBy("fp").agg(F.sum("n").alias("n"))
-        closed = components(band_links(prints.where(~F.col("short")), max_bits)
-                            .unionByName(band_links(prints.where("short"), min(max_bits, SHORT_BITS))))
-    else:
-        fps = cut(lines.groupBy("fp").agg(F.count("*").alias("n")), "line-prints")
-        closed = components(block_links(fps.select("fp"), max_bits))
-    classed = fps.join(closed.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "n", F.coalesce("root", "fp").alias("class"))
-    sizes = classed.groupBy("class").agg(F.sum("n").alias("size")).where("size > 1")
-    shared = cut(classed.join(sizes, "class").select("fp", "class", "size"), "line-classes")
-    wanted = (lines.join(shared, "fp")
-              .groupBy("doc_id", "text_hash")
-              .agg(F.collect_list(F.struct("line_no", "k1", "k2", "fp", "class", "size")).alias("picks")))
-
-    def texts_of(batches):
-        for batch in batches:
-            picks, numbers = batch.column(1), []
-            for text, some in zip(raw(batch.column(0)), picks.to_pylist()):
-                parts = text.split(b"\n")
-                numbers += [normal_line(parts[p["line_no"]]).decode() for p in some]
-            flat = picks.flatten()
-            yield pa.RecordBatch.from_arrays(
-                [flat.field(n) for n in ("k1", "k2", "fp", "class", "size")] + [pa.array(numbers, pa.string())],
-                ["k1", "k2", "fp", "class", "size", "text"])
-    keyed = _keyed(docs, id_col, text_col)
-    found = (keyed.join(wanted.withColumnRenamed("doc_id", "d").withColumnRenamed("text_hash", "h"),
-                        F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h")))
-             .select("text", "picks")
-             .mapInArrow(texts_of, "k1 long, k2 long, fp long, class long, size long, text string"))
-    ways = F.ceil(F.col("size") / cell_rows)
-    chunk = F.pmod(F.xxhash64("k1", "k2"), F.col("ways"))
-    cell = lambda i, j, role: F.struct((i * F.col("ways") + j).alias("cell"), role.alias("role"))
-    others = F.transform(F.sequence(F.lit(0).cast("long"), F.col("ways") - 1), lambda y: (
-        F.when(y < chunk, cell(y, chunk, F.lit(PROBE))).when(y > chunk, cell(chunk, y, F.lit(TABLE)))
-        .otherwise(cell(chunk, chunk, F.lit(BOTH)))))
-    return (found.withColumn("ways", ways).withColumn("p", F.explode(others))
-            .select("class", "p.cell", "p.role", "k1", "k2", "fp", "text")
-            .repartition("class", "cell").sortWithinPartitions("class", "cell", "role")
-            .mapInArrow(_verify(max_bits, similarity), "a struct<k1:long,k2:long>, b struct<k1:long,k2:long>"))
-
-
-def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = 3,
-               similarity: float = 0.8, bands: int = 0) -> DataFrame:
+FIRST = -1
+LINK = pa.struct([("k1", pa.int64()), ("k2", pa.int64())])
+LINKS = "key long, a struct<k1:long,k2:long>, b struct<k1:long,k2:long>"
+
+
+def verified_links(found: DataFrame, lines: DataFrame, max_bits: int, similarity: float, cell: int = CELL) -> DataFrame:
+    """Edges (a, b) between line keys (struct k1, k2) whose components are those of all verified links.
+
+    ``found`` has the lines' texts (an ``occurrences`` table), ``lines`` one row a line.
+    """
+    members = cut(_pieces(near_members(lines, max_bits)), "line-members")
+    ids = cut(members.select(F.col("k1").alias("id")).distinct(), "line-ids")
+    # an id is 8 bytes: few enough go to all tasks, more are joined by a shuffle
+    few = F.broadcast(ids) if ids.count() <= SENT_IDS else ids
+    texts = (found.select("k1", "k2", "line").join(few, F.col("k1") == F.col("id"), "left_semi")
+             .groupBy("k1", "k2").agg(F.first("line").alias("line")))
+    pieces = F.ceil(F.col("n") / cell)
+    rows = cut(members.join(texts, "k1").withColumn("pieces", pieces)
+               .withColumn("piece", F.pmod(F.xxhash64("k1", "k2"), "pieces")), "line-texts")
+    several = F.col("pieces") > 1
+    every = F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)
+    leads = several & (F.col("k1") == F.col("first"))
+    dealt = (rows.withColumn("cell", F.explode(F.when(leads, every).otherwise(F.array("piece"))))
+             .select("key", "cell", "piece", F.when(leads, FIRST).otherwise(BOTH).alias("role"), "k1", "k2", "fp", "line"))
+    verify = _verify(max_bits, similarity)
+    links = cut(dealt.repartition("key", "cell").sortWithinPartitions("key", "cell", "role", "k1", "k2").mapInArrow(verify, LINKS),
+                "line-links")
+    edges = links.where("key IS NULL").select("a", "b")
+    apart = links.where("key IS NOT NULL").select("key", "a.k1", "a.k2").distinct()
+    if apart.isEmpty():
+        return edges
+    # lines unlike their bucket's first one meet all other pieces, in cells of a chunk of them and one piece
+    sizes = apart.groupBy("key").agg(F.ceil(F.count("*") / cell).alias("chunks"))
+    asking = (rows.join(apart, ["key", "k1", "k2"]).join(sizes, "key")
+              .withColumn("other", F.explode(every)).where("other <> piece")
+              .withColumn("cell", F.col("other") * F.col("chunks") + F.pmod(F.xxhash64("k2", "k1"), "chunks"))
+              .withColumn("role", F.lit(PROBE)))
+    asked = (rows.join(sizes, "key")
+             .withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+             .withColumn("cell", F.col("piece") * F.col("chunks") + F.col("chunk")).withColumn("role", F.lit(TABLE)))
+    names = ("key", "cell", "piece", "role", "k1", "k2", "fp", "line")
+    more = (asking.select(*names).unionByName(asked.select(*names)).repartition("key", "cell")
+            .sortWithinPartitions("key", "cell", "role", "k1", "k2").mapInArrow(verify, LINKS))
+    return edges.unionByName(more.select("a", "b"))
+
+
+def exhaustive_links(found: DataFrame, similarity: float, cell: int = CELL) -> DataFrame:
+    """Verified links of all pairs of lines, whatever their fingerprints: every chunk of lines meets every other."""
+    texts = cut(found.groupBy("k1", "k2").agg(F.first("line").alias("line")), "line-texts")
+    chunks = max(1, -(-texts.count() // cell))
+    span = F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))
+    own = F.pmod(F.xxhash64("k1", "k2"), F.lit(chunks).cast("long"))
+    place = lambda i, j, role: F.struct((i * chunks + j).alias("cell"), F.lit(role).alias("role"))
+    cells = F.transform(span, lambda y: F.when(y < own, place(y, own, PROBE)).when(y > own, place(own, y, TABLE))
+                        .otherwise(place(own, own, BOTH)))
+    rows = texts.withColumn("p", F.explode(cells)).select(
+        F.lit(0).cast("long").alias("key"), "p.cell", F.lit(0).cast("long").alias("piece"), "p.role", "k1", "k2",
+        F.lit(0).cast("long").alias("fp"), "line")
+    return (rows.repartition("key", "cell").sortWithinPartitions("key", "cell", "role")
+            .mapInArrow(_verify(64, similarity), LINKS).select("a", "b"))
+
+
+def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS,
+               similarity: float = 0.8, exhaustive: bool = False) -> DataFrame:
     """(doc_id, text_hash, kept): the numbers of the lines that stay, for each document with any."""
     place = F.struct("doc_id", "text_hash", "line_no")
-    lines = cut(occurrences(docs, id_col, text_col, bands).groupBy("k1", "k2")
-                .agg(F.min(place).alias("at"), F.first("fp").alias("fp"))
-                .select("k1", "k2", "fp", "at.doc_id", "at.text_hash", "at.line_no"), "lines")
-    closed = components(verified_links(docs, lines, id_col, text_col, max_bits, similarity, bands))
+    found = cut(occurrences(docs, id_col, text_col), "occurrences")
+    prints = [] if exhaustive else [F.first(F.struct("words", "triples", "keys")).alias("p")]
+    lines = found.groupBy("k1", "k2").agg(F.min(place).alias("at"), *prints)
+    lines = cut(lines.select("k1", "k2", "at.*", *(["p.*"] if prints else [])), "lines")
+    closed = components(exhaustive_links(found, similarity) if exhaustive else verified_links(
+        found, lines, max_bits, similarity))
     member = (closed.select("node.k1", "node.k2", "root").join(lines, ["k1", "k2"])
-              .select("root", F.struct("doc_id", "text_hash", "line_no").alias("at"), "k1", "k2"))
+              .select("root", place.alias("at"), "k1", "k2"))
     member = cut(member, "line-groups")
     best = member.groupBy("root").agg(F.min("at").alias("best"))
     gone = member.join(best, "root").where(~F.col("at").eqNullSafe(F.col("best"))).select("k1", "k2")
-    return (lines.join(gone, ["k1", "k2"], "left_anti")
+    return (lines.select("k1", "k2", "doc_id", "text_hash", "line_no").join(gone, ["k1", "k2"], "left_anti")
             .groupBy("doc_id", "text_hash").agg(F.collect_list("line_no").alias("kept")))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = 3,
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS,
                 similarity: float = 0.8, lines_col: str | None = None, kept_col: str | None = None,
-                bands: int = 0) -> DataFrame:
+                exhaustive: bool = False) -> DataFrame:
     """``docs`` with the lines removed that a smaller place has already, all columns and rows kept.
 
     Lines are parts between ``\\n``; one without a word is no duplicate and
     stays. A null text stays null; a text whose lines are all elsewhere is left
     with its blank lines only. Rows equal in id and text count as one document
     and are rewritten alike. ``lines_col`` and ``kept_col`` name counts to add,
-    of lines with a word before and after. ``bands`` takes candidates by min-hash
-    bands (with ``max_bits=NEAR_BITS``) instead of pairs of blocks.
+    of lines with a word before and after. A line of so few features that it has no
+    block of ``LEAST`` is compared for equality only, unless ``exhaustive``.
     """
     mark, kept, part, blank = (free_name(docs, n) for n in ("text_hash", "kept", "parts", "blanks"))
-    found = kept_lines(docs, id_col, text_col, max_bits, similarity, bands).select(
+    found = kept_lines(docs, id_col, text_col, max_bits, similarity, exhaustive).select(
         F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), F.col("kept").alias("_k"))
     stays = F.coalesce(F.col("_k"), F.array().cast("array<int>")).alias(kept)
     rows = docs.withColumn(mark, F.xxhash64(text_col)).alias("rows")

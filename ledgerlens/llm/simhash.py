@@ -6,7 +6,7 @@ import numpy as np
 
 # Byte value -> eight 8-bit lanes, lane j holding bit j; 255 of these add up
 # without overflow.
-_LANES = np.array([sum(((v >> j) & 1) << (8 * j) for j in range(8)) for v in range(256)], np.uint64)
+LANES = np.array([sum(((v >> j) & 1) << (8 * j) for j in range(8)) for v in range(256)], np.uint64)
 _RUN = 255
 
 
@@ -28,7 +28,7 @@ def majority(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     starts = np.repeat(begin, runs) + step * _RUN
     octets = hashes.astype("<u8").view(np.uint8).reshape(-1, 8)
     for k in range(8):
-        lanes = np.add.reduceat(_LANES[octets[:, k]], starts)
+        lanes = np.add.reduceat(LANES[octets[:, k]], starts)
         ones = np.add.reduceat(lanes.astype("<u8").view(np.uint8).reshape(-1, 8).astype(np.int64), first)
         bits = ones * 2 > n[:, None]
         for j in range(8):
