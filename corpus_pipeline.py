@@ -26,7 +26,7 @@ def fuzzy_line_dedup(spark, docs, sf_dir):
     """Lines that an earlier place has go; a document that loses all its lines stays with an empty rest."""
     ship(spark)
     kind = docs.schema["n_chars"].dataType
-    out = line_dedup.dedup_lines(docs, max_bits=line_dedup.NEAR_BITS, bands=line_dedup.BANDS)
+    out = line_dedup.dedup_lines(docs)
     return out.withColumn("n_chars", F.length("text").cast(kind))
 
 
