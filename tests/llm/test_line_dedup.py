@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from ledgerlens.llm import line_dedup as L
 from ledgerlens.llm.words import mixed
@@ -18,8 +19,41 @@ def lev(a, b):
     return row[-1]
 
 
-def brute(docs, max_bits=3, similarity=0.8):
-    """The texts after removal, by comparing all pairs of lines."""
+def mix(x):
+    return int(mixed(np.array([x], np.uint64))[0])
+
+
+def plain_prints(form):
+    """{kind: (fingerprint, set of block keys)} of a normal form, feature by feature."""
+    out = {}
+    words = {mix(sum(c * pow(0x100000001B3, i, 1 << 64) for i, c in enumerate(w)) & ((1 << 64) - 1)) >> 24
+             for w in form.split(b" ")}
+    triples = {mix(form[i] << 16 | form[i + 1] << 8 | form[i + 2]) >> 24 for i in range(len(form) - 2)}
+    kinds = [(0, 1, words)]
+    if len(form) < L.SHORT_BYTES or len(words) < L.FEW_WORDS:
+        kinds.append((1, 2, triples))
+
+    def simhash(features):
+        return sum(1 << b for b in range(64) if 2 * sum(mix(f) >> b & 1 for f in features) > len(features))
+    for kind, salt, features in kinds:
+        place = np.log(max(1, len(features)) / L.SHARE) / np.log(L.STEP)
+        keys = set()
+        for step in {max(0, int(np.floor(place))), max(0, int(np.floor(place + L.OVERLAP)))}:
+            parts = max(2, int(np.rint(L.STEP ** step)))
+            for g in range(parts):
+                own = [f for f in features if (mix(f) >> 32) % parts == g]
+                if len(own) >= L.LEAST:
+                    keys.add(mix(simhash(own) ^ mix(g << 32 | parts << 2 | salt)) & ~1 | kind)
+        out[kind] = simhash(features), keys
+    return out
+
+
+def candidates(a, b, max_bits):
+    return any(k in b and a[k][1] & b[k][1] and (a[k][0] ^ b[k][0]).bit_count() <= max_bits for k in a)
+
+
+def brute(docs, max_bits=L.MAX_BITS, similarity=0.8, every_pair=False):
+    """The texts after removal, by comparing all pairs of lines that are candidates, or all."""
     first = {}
     for i, text in sorted(docs.items()):
         for n, line in enumerate(text.split("\n")):
@@ -27,20 +61,13 @@ def brute(docs, max_bits=3, similarity=0.8):
             if form:
                 first.setdefault(form, (i, n))
     forms = list(first)
-
-    def word_hash(w):
-        h = sum(c * pow(0x100000001B3, i, 1 << 64) for i, c in enumerate(w)) & ((1 << 64) - 1)
-        return int(mixed(mixed(np.array([h], np.uint64)) >> np.uint64(24))[0])
-
-    def print_of(form):
-        hs = [word_hash(w) for w in set(form.split())]
-        return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs))
-    prints = np.array([print_of(f) for f in forms], np.uint64)
+    prints = [plain_prints(f) for f in forms]
     label = list(range(len(forms)))
     for i in range(len(forms)):
-        for j in np.flatnonzero(np.bitwise_count(prints[i + 1:] ^ prints[i]) <= max_bits) + i + 1:
+        for j in range(i + 1, len(forms)):
             a, b = forms[i].decode(), forms[j].decode()
-            if lev(a, b) <= int((1 - similarity) * max(len(a), len(b)) + 1e-9):
+            if (every_pair or candidates(prints[i], prints[j], max_bits)) and label[i] != label[j] and (
+                    lev(a, b) <= int((1 - similarity) * max(len(a), len(b)) + 1e-9)):
                 old, new = label[j], label[i]
                 label = [new if x == old else x for x in label]
     best = {}
@@ -74,18 +101,84 @@ def test_matches_brute_force(llm):
     assert {r.doc_id: r.text for r in L.dedup_lines(df).collect()} == brute(docs)
 
 
-def test_cells_and_chunks_do_not_change_the_result(llm, monkeypatch):
-    base = " ".join(f"word{k}" for k in range(120))
-    docs = {i: base.replace(f"word{i} ", f"other{i} ") for i in range(1, 60)} | {100: "unlike all the rest", 101: base}
+def test_all_pairs_path(llm):
+    docs = corpus(2, 25)
+    df = llm.createDataFrame(list(docs.items()), "doc_id long, text string")
+    assert {r.doc_id: r.text for r in L.dedup_lines(df, exhaustive=True).collect()} == brute(docs, every_pair=True)
+
+
+def hot(kind):
+    """Many near copies of a line, with chains that only some of them link, and unlike lines that share blocks."""
+    rng = random.Random(7)
+    base = [f"word{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(40)]
+    docs = {}
+    for i in range(70):
+        words = list(base)
+        for _ in range(1 if kind == "copies" else rng.randint(1, 8)):
+            words[rng.randrange(len(words))] = "".join(rng.choice("qxyz") for _ in range(6))
+        if kind == "unlike" and i % 3 == 0:
+            words = words[:20] + ["".join(rng.choice("ijkl") for _ in range(rng.randint(4, 9))) for _ in range(20)]
+        docs[i] = " ".join(words)
+    return docs | {100: "unlike all the rest of the lines", 101: " ".join(base)}
+
+
+@pytest.mark.parametrize("kind", ["copies", "chains", "unlike"])
+def test_cells_and_pieces_do_not_change_the_result(llm, monkeypatch, kind):
+    docs = hot(kind)
     df = llm.createDataFrame(list(docs.items()), "doc_id long, text string")
     want = brute(docs)
-    links, verified = L.block_links, L.verified_links
-    monkeypatch.setattr(L, "block_links", lambda fps, bits: links(fps, bits, cell_rows=4))
+    near, verified = L.near_members, L.verified_links
+    monkeypatch.setattr(L, "near_members", lambda lines, bits: near(lines, bits, cell_rows=4))
     monkeypatch.setattr(L, "_SAMPLE", 1)
-    monkeypatch.setattr(L, "verified_links", lambda *a: verified(*a, cell_rows=5))
+    monkeypatch.setattr(L, "SENT_IDS", 0)
+    monkeypatch.setattr(L, "verified_links", lambda *a: verified(*a, cell=5))
     assert {r.doc_id: r.text for r in L.dedup_lines(df).collect()} == want
 
 
+def test_prints_equal_plain_version():
+    rng = random.Random(9)
+    forms = [L.normal_line(x.encode()) for t in corpus(3, 30).values() for x in t.split("\n")]
+    forms = [f for f in dict.fromkeys(forms) if f] + [b"a", b"ab", "é".encode() * 50, b"x y " * 200 + b"end", b"z" * 3000,
+                                                       " ".join(str(rng.random()) for _ in range(900)).encode()]
+    words, triples, keys = L.line_prints(forms)
+    got = [{}, {}]
+    for kind, parts in enumerate((words, triples)):
+        for at, fp in parts:
+            got[kind].update(zip(at.tolist(), fp.tolist()))
+    found = [set() for _ in forms]
+    for at, key in keys:
+        for i, k in zip(at.tolist(), key.tolist()):
+            found[i].add(k)
+    for i, f in enumerate(forms):
+        want = plain_prints(f)
+        assert got[0][i] == want[0][0] and found[i] == set().union(*(k for _, k in want.values())), f
+        if 1 in want and len(f) > 2:
+            assert got[1][i] == want[1][0]
+    assert all(len(x) == 0 for x in L.line_prints([]))
+
+
+def test_recall_on_the_documents(llm):
+    """Of the pairs that all pairs of the lines hold by edit similarity, at least nine in ten are candidates."""
+    texts = [r.text for r in llm.read.parquet("/root/testdata/sf0.01/documents.parquet").where("doc_id < 500").collect()]
+    forms = sorted({f for t in texts if t for x in t.split("\n") if (f := L.normal_line(x.encode()))}, key=len)
+    counts = np.array([np.bincount(np.frombuffer(f, np.uint8), minlength=256) for f in forms], np.int16)
+    sizes = np.array([len(f) for f in forms])
+    pairs = []
+    for i in range(len(forms)):
+        # longer or equal lines within the length bound, then the bound by letters: both are necessary
+        end = np.searchsorted(sizes, sizes[i] / 0.8 + 2, "right")
+        off = counts[i + 1:end] - counts[i]
+        apart = np.maximum(np.maximum(off, 0).sum(1), np.maximum(-off, 0).sum(1))
+        for j in np.flatnonzero(apart <= 0.2 * sizes[i + 1:end] + 1) + i + 1:
+            a, b = set(forms[i].split()), set(forms[j].split())
+            # what shares under three words in ten can be similar only if it is short
+            if (len(a & b) >= 0.3 * min(len(a), len(b)) or sizes[j] < 60) and L.similar(forms[i].decode(), forms[j].decode(), 0.8):
+                pairs.append((i, j))
+    prints = {i: plain_prints(forms[i]) for i in {k for p in pairs for k in p}}
+    found = sum(candidates(prints[i], prints[j], L.MAX_BITS) for i, j in pairs)
+    assert len(pairs) > 50 and found >= 0.9 * len(pairs), (found, len(pairs))
+
+
 def test_edit_distance():
     rng = random.Random(3)
     for _ in range(400):
@@ -114,42 +207,3 @@ def test_edge_rows(llm, edge, none):
     assert [r.text for r in rows[5]] == ["Repeated row."] * 2 and rows[10][0].n_kept == 0
     assert rows[None][0].n_kept == 1 or rows[None][1].n_kept == 1 or rows[None][2].n_kept == 1
     assert L.dedup_lines(none).count() == 0
-
-
-def test_bands_find_what_is_similar(llm):
-    """Against all pairs of lines by edit similarity alone: short and long lines with a word or a letter changed."""
-    rng = random.Random(5)
-    vocab = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 8))) for _ in range(400)]
-    docs = {}
-    for i in range(120):
-        words = [rng.choice(vocab) for _ in range(rng.choice([4, 8, 10, 12, 15, 20, 30, 50]))]
-        other = list(words)
-        at = rng.randrange(len(words))
-        other[at] = rng.choice(vocab) if len(words) > 8 else other[at][:-1] + "z"
-        docs[i], docs[200 + i] = " ".join(words), " ".join(other)
-    df = llm.createDataFrame(list(docs.items()), "doc_id long, text string")
-    label = {i: i for i in docs}
-    for i in sorted(docs):
-        for j in sorted(docs):
-            if i < j and label[i] != label[j] and L.similar(docs[i], docs[j], 0.8):
-                low, high = sorted((label[i], label[j]))
-                label = {k: low if x == high else x for k, x in label.items()}
-    gone = {i for i in docs if label[i] != i}
-    got = {r.doc_id: r.text for r in L.dedup_lines(df, max_bits=L.NEAR_BITS, bands=L.BANDS).collect()}
-    assert len(gone) > 100 and not {i for i, t in got.items() if not t} - gone
-    few = {r.doc_id for r in L.dedup_lines(df).collect() if not r.text}
-    for low, high, least in ((0, L.SHORT, 0.1), (L.SHORT, 1000, 0.8)):
-        own = {i for i in gone if low <= len(docs[i]) < high}
-        found = sum(not got[i] for i in own)
-        assert own and found >= least * len(own) and found > len(few & own), (low, found, len(few & own), len(own))
-
-
-def test_sketches_of_both_kinds():
-    forms = [b"a", b"word " * 12 + b"tail", b"other " * 11 + b"tail", b"x y " * 200 + b"end", "é".encode() * 70]
-    at, short, fps, keys = L.line_sketches(forms, 4)
-    chars = [len(f.decode()) for f in forms]
-    assert at.tolist() == sorted(i for i, n in enumerate(chars) for k in (n >= L.SHORT, 0.8 * n < L.SHORT) if k)
-    again = L.line_sketches(forms[::-1], 4)
-    assert sorted(zip((4 - again[0]).tolist(), *(x.tolist() for x in again[1:]))) == sorted(
-        zip(at.tolist(), short.tolist(), fps.tolist(), keys.tolist()))
-    assert len(L.line_sketches([], 4)[0]) == 0
