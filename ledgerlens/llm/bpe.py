@@ -73,6 +73,8 @@ class BpeAutomaton:
         for label in self.tokens:
             self.longest[label[:5]] = max(self.longest.get(label[:5], 0), len(label))
         self.text = {i: str(i) for i in labels}
+        if max([*labels, *special.values()], default=0) >= 1 << 20:
+            raise ValueError("a token id of 2^20 or more")
 
     @classmethod
     def from_json(cls, text: str) -> BpeAutomaton:
@@ -83,6 +85,9 @@ class BpeAutomaton:
             raise ValueError("not a plain byte-level BPE vocabulary")
         byte_of = _byte_of()
         spell = lambda s: bytes(byte_of[c] for c in s)
+        if any(not t["content"] or any(t.get(flag) for flag in ("lstrip", "rstrip", "single_word"))
+               for t in spec["added_tokens"]):
+            raise ValueError("an added token that is empty, takes white space with it or matches whole words only")
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         labels = {i: spell(s) for s, i in model["vocab"].items() if s not in special}
         merges = [tuple(map(spell, m.split(" ") if isinstance(m, str) else m)) for m in model["merges"]]
@@ -161,6 +166,7 @@ class Codec:
         self.aged: dict[str, tuple] = {}
         names = sorted(automaton.special, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, names)) + ")").split if names else None
+        self.heads = {name[0] for name in names}   # a text without any of these holds no special token
 
     def _word(self, word: str) -> tuple:
         """(ids packed as int32, their decimal text, decoded bytes) of one pre-token."""
@@ -180,7 +186,7 @@ class Codec:
     def words(self, text: str) -> list[tuple]:
         known, special, new = self.known.get, self.automaton.special, self._word
         out = []
-        for part in self.cut(text) if self.cut and "<" in text else (text,):
+        for part in self.cut(text) if any(c in text for c in self.heads) else (text,):
             if part in special:
                 out.append((array("i", [special[part]]).tobytes(), str(special[part]), part.encode()))
             else:

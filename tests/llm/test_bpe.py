@@ -1,6 +1,7 @@
 """The automaton against the tokenizers library, and the round trip."""
 
 import hashlib
+import json
 import random
 
 import numpy as np
@@ -88,3 +89,22 @@ def test_edge_rows(edge, none):
     assert rows[2].n_tokens == rows[3].n_tokens == 0 and rows[2].ids_sha256 == rows[3].decoded_sha256 == empty
     assert got.count() == edge.count() and 50256 in rows[9].ids
     assert bpe.encode(none, PATH, tokens=False).count() == 0
+
+
+def test_special_tokens_of_any_spelling():
+    with open(PATH, encoding="utf-8") as f:
+        spec = json.load(f)
+    add = lambda content, i, **more: {"id": i, "content": content, "single_word": False, "lstrip": False, "rstrip": False,
+                                      "normalized": False, "special": True, **more}
+    first = max(max(spec["model"]["vocab"].values()), *(t["id"] for t in spec["added_tokens"])) + 1
+    spec["added_tokens"] += [add("[PAD]", first), add("[PAD]]", first + 1), add("é!", first + 2)]
+    text = json.dumps(spec)
+    own, library = bpe.Codec(bpe.BpeAutomaton.from_json(text)), Tokenizer.from_str(text)
+    for t in ("a [PAD] b", "[PAD]]]", "x[PAD][PAD]é!é", "no special", "<|endoftext|>[PAD", ""):
+        assert ids(own, t) == library.encode(t, add_special_tokens=False).ids, t
+    for flag in ("lstrip", "rstrip", "single_word"):
+        spec["added_tokens"][-1] = add("[X]", first + 2, **{flag: True})
+        with pytest.raises(ValueError, match="added token"):
+            bpe.BpeAutomaton.from_json(json.dumps(spec))
+    with pytest.raises(ValueError, match="token id"):
+        bpe.BpeAutomaton({0: b"a"}, [], {"[X]": 1 << 20})
