@@ -27,6 +27,8 @@ from ledgerlens.llm.common import raw, spans
 
 MAX_VOCABULARY = 16 << 20
 _MAX_NODES = 700_000
+#: Words of more bytes are not put into the trie; of those, so many scores and the longest piece's are held at a time.
+_LONG, _WINDOW = 4096, 1 << 16
 
 
 def read_ranks(text: str) -> dict[bytes, int]:
@@ -47,6 +49,7 @@ class CountTrie:
         self.max_nodes = max_nodes
         # every end of a piece, with the score if it is a piece itself: a longer end is tried only if a shorter one is known
         self.ends = dict.fromkeys((p[i:] for p in scores for i in range(len(p))), -math.inf) | scores
+        self.longest = max(map(len, scores), default=0)
         self.pieces = regex.compile(PATTERN).findall
         self.child: dict[int, int] = {}
         self.best, self.count = [0.0], [0]
@@ -55,13 +58,16 @@ class CountTrie:
     def insert(self, word: str) -> int:
         """The token count of a pre-token, stored at its end; new prefixes get their forward scores.
 
-        A full trie is read on but not added to: the pre-tokens met first, so
-        all frequent ones, stay shared, and memory stays bounded.
+        A trie without room for the whole word is read on but not added to: the
+        pre-tokens met first, so all frequent ones, stay shared, and memory stays
+        bounded. A word of more than ``_LONG`` bytes is read by itself.
         """
         data = word.encode()
+        if len(data) > _LONG:
+            return self.read(data)
         child, known = self.child, self.ends.get
         best, count = [0.0], [0]
-        node, open_ = 0, len(self.best) < self.max_nodes
+        node, open_ = 0, len(self.best) + len(data) <= self.max_nodes
         for d in range(1, len(data) + 1):
             key = node << 8 | data[d - 1]
             node = child.get(key, -1) if node >= 0 else -1
@@ -89,6 +95,30 @@ class CountTrie:
             self.terminal[word] = count[-1]
         return count[-1]
 
+    def read(self, data: bytes) -> int:
+        """The token count of a word without the trie, in memory that doesn't grow with the word."""
+        known = self.ends.get
+        best, count, base = [0.0], [0], 0
+        for d in range(1, len(data) + 1):
+            top, tokens = -math.inf, 0
+            for at in range(d - 1, -1, -1):
+                score = known(data[at:d])
+                if score is None:
+                    break
+                total = best[at - base] + score
+                if total > top:
+                    top, tokens = total, count[at - base] + 1
+                elif total == top and count[at - base] + 1 < tokens:
+                    tokens = count[at - base] + 1
+            best.append(top)
+            count.append(tokens)
+            if len(best) > _WINDOW + self.longest:
+                # no piece reaches further back than the longest one
+                old = len(best) - self.longest - 1
+                del best[:old], count[:old]
+                base += old
+        return count[-1]
+
     def counts(self, text: str) -> tuple[int, int]:
         """(pre-tokens, tokens) of a text."""
         known, insert = self.terminal.get, self.insert

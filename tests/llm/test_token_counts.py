@@ -1,5 +1,7 @@
 """Token counts against a segmentation of each pre-token on its own."""
 
+import tracemalloc
+
 import public_tokenizers
 import pytest
 
@@ -55,3 +57,18 @@ def test_edge_rows(edge, none):
     assert all((r.n_pretokens, r.n_tokens) == (0, 0) for r in rows if r.doc_id in (2, 3))
     assert all(r.n_tokens > 0 for r in rows if r.doc_id in (1, 4, 6, 9))
     assert T.count_tokens(none, PATH).count() == 0
+
+
+def test_a_very_long_word_needs_bounded_memory(scores):
+    trie = T.CountTrie(scores, max_nodes=50_000)
+    for word in (" thing" * 3, "a" * 1500, "theretofore" * 300):
+        assert trie.read(word.encode()) == brute(scores, word) if len(word) < 2000 else trie.insert(word)
+    before = len(trie.best)
+    tracemalloc.start()
+    tokens = trie.insert("the" * 400_000)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert tokens == 400_000 and len(trie.best) == before and peak < 24 << 20
+    # a word that does not fit the rest of the trie is counted and not added
+    full = T.CountTrie(scores, max_nodes=100)
+    assert full.insert("y" * 150) == brute(scores, "y" * 150) and len(full.best) == 1 and not full.terminal
