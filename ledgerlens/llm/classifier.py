@@ -5,8 +5,9 @@ A text is its words, its word bigrams and the character n-grams of each word
 vector is the mean over all its features, and a softmax layer reads the class.
 Vectors and layer are learned together by stochastic gradient descent in numpy.
 
-Training uses a bounded sample of labelled rows (``max_train``, chosen by a
-hash of the id), reduced to bucket counts by Spark tasks. Scoring covers every
+Training uses a bounded sample of labelled texts (``max_train`` of them and
+``max_chars`` characters, chosen by hashes), reduced to bucket counts by Spark
+tasks. Scoring covers every
 whole text, in tasks that get the model as one float per bucket: the softmax of
 two classes depends only on the difference of their scores, which is linear in
 the bucket vectors. Features are made for megabytes of text at once.
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import lowest, raw, remainder, spans
+from ledgerlens.llm.common import cut, lowest, raw, remainder, spans
 from ledgerlens.llm.words import hashed_words
 
 _MULT = np.uint32(0x9E3779B1)
@@ -111,22 +112,38 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], bits: int, grams: tuple[
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality", held_out: tuple[int, int] = (3, 1), max_train: int = 2500, bits: int = 18,
-          grams: tuple[int, ...] = (3, 4)) -> Model:
-    """The model of at most ``max_train`` labelled rows, those of the smallest id hash.
+          grams: tuple[int, ...] = (3, 4), max_chars: int = 1 << 24) -> Model:
+    """The model of at most ``max_train`` labelled texts, those of the smallest hashes.
 
     Rows whose crc32(id) modulo ``held_out[0]`` is ``held_out[1]`` are never
-    used, nor are null labels, null ids or texts; each label row counts with
-    each text of its id. Without rows the model scores 0.5 throughout.
+    used, nor are null labels, null ids or texts. Each label of an id goes with
+    each text of the id, once however often the rows repeat: first ``max_train``
+    (id, label) pairs are chosen, then as many of their texts, until those hold
+    ``max_chars`` characters. So what reaches the driver is bounded in rows and
+    bytes. Without rows the model scores 0.5 throughout.
     """
     usable = (labels.select(F.xxhash64(id_col).alias("h"), F.col(id_col).alias("doc_id"),
                             F.col(label_col).cast("int").alias("label"))
               .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)
-                     & (remainder(F.col("doc_id"), held_out[0]) != held_out[1])))
-    chosen = lowest(usable, "h", max_train).select("doc_id", "label")
-    plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+                     & (remainder(F.col("doc_id"), held_out[0]) != held_out[1])).distinct())
+    # chosen has at most max_train rows of two numbers: small enough to broadcast, like what is taken from it
+    chosen = F.broadcast(lowest(usable, "h", max_train).select("doc_id", "label"))
+    plain = docs.where(F.col(text_col).isNotNull()).select(
+        F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).cast("string").alias("text"))
+    named = plain.select("doc_id", "text_hash", F.length("text").alias("chars")).join(chosen, "doc_id").select(
+        F.xxhash64("doc_id", "label", "text_hash").alias("h"), "doc_id", "label", "text_hash", "chars").distinct()
+    found = sorted(map(tuple, lowest(cut(named, "labelled-texts"), "h", max_train).collect()))
+    room = np.cumsum([r[4] for r in found]) <= max_chars
+    taken = [r[1:4] for r, fits in zip(found, room) if fits] or [r[1:4] for r in found[:1]]
+    kind = docs.schema[id_col].dataType.simpleString()
+    wanted = F.broadcast(docs.sparkSession.createDataFrame(taken, f"doc_id {kind}, label int, text_hash long"))
 
     def run(batches):
+        done = set()   # at most max_train names; a text that stands again in this task is not made twice
         for batch in batches:
+            names = list(zip(*(batch.column(k).to_pylist() for k in (2, 0, 3))))
+            new = [i for i, name in enumerate(names) if name not in done and not done.add(name)]
+            batch = batch.take(pa.array(new, pa.int64()))
             texts = raw(batch.column(1))
             for s, e in spans([len(t) for t in texts], 1 << 18):
                 buckets, rows = features(texts[s:e], bits, grams)
@@ -136,12 +153,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 pick = list(zip(bounds, bounds[1:]))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[s:e], pa.array([low[a:b].tobytes() for a, b in pick], pa.binary()),
-                     pa.array([n[a:b].tobytes() for a, b in pick], pa.binary())], ["label", "buckets", "counts"])
-    # chosen has at most max_train rows of two numbers: small enough to broadcast
-    found = plain.where("text is not null").join(F.broadcast(chosen), "doc_id").select("label", "text").mapInArrow(
-        run, "label int, buckets binary, counts binary").collect()
+                     pa.array([n[a:b].tobytes() for a, b in pick], pa.binary()), batch.column(2)[s:e],
+                     batch.column(3)[s:e]], ["label", "buckets", "counts", "doc_id", "text_hash"])
+    made = (plain.join(wanted, ["doc_id", "text_hash"]).select("label", "text", "doc_id", "text_hash").mapInArrow(
+        run, f"label int, buckets binary, counts binary, doc_id {kind}, text_hash long")
+            .groupBy("doc_id", "label", "text_hash").agg(F.first("buckets").alias("buckets"), F.first("counts").alias("counts"))
+            .select("label", "buckets", "counts").collect())
     rows = []
-    for r in sorted(map(tuple, found)):
+    for r in sorted(map(tuple, made)):
         if len(r[1]):
             n = np.frombuffer(r[2], "<u4").astype(np.float32)
             rows.append((r[0], np.frombuffer(r[1], "<i4"), n / n.sum()))

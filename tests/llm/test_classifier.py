@@ -1,5 +1,8 @@
 """Held-out accuracy, features against a plain version, edge rows."""
 
+import math
+import zlib
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -72,3 +75,59 @@ def test_a_word_of_many_occurrences_is_learned_as_it_is_scored(llm, monkeypatch)
     counts = np.unique(buckets, return_counts=True)[1]
     assert seen and counts.max() > 65535
     assert all(np.allclose(w, counts / counts.sum()) for _, _, w in seen)
+
+
+def test_an_id_that_repeats_does_not_fill_the_driver(llm, monkeypatch):
+    seen = []
+    monkeypatch.setattr(C, "fit", lambda rows, bits, grams: seen.append(list(rows)))
+    ids = [i for i in range(1, 30) if zlib.crc32(str(i).encode()) % 3 != 1][:4]
+    labels = llm.createDataFrame([(i, i % 2) for i in ids for _ in range(50)], "doc_id long, quality int")
+    other = llm.range(20_000).selectExpr(f"element_at(array({','.join(map(str, ids))}), cast(id % 4 + 1 AS int)) AS doc_id",
+                                         "concat('text number ', id) AS text")
+    C.train(other, labels, max_train=7)
+    same = other.withColumn("text", F.concat(F.lit("same text of "), F.col("doc_id").cast("string")))
+    C.train(same, labels, max_train=7)
+    C.train(other, labels, max_train=7, max_chars=40)
+    assert [len(x) for x in seen] == [7, 4, 2]
+
+
+def test_fit_and_score_equal_plain_loops():
+    """Gradient descent and scores, one feature at a time."""
+    texts = [b"good words here", b"bad bad noise 123", b"good good here now", b"noise of bad", b"", b"ab"]
+    truth = [1, 0, 1, 0, 1, 0]
+    bits, grams, dim, epochs, rate = 8, (3,), 3, 4, 0.5
+    rows = []
+    for y, t in zip(truth, texts):
+        buckets, _ = C.features([t], bits, grams)
+        keys, n = np.unique(buckets, return_counts=True)
+        if len(keys):
+            rows.append((y, keys.astype(np.int32), (n / n.sum()).astype(np.float32)))
+    model = C.fit(rows, bits, grams, dim, epochs, rate, seed=5)
+    rng = np.random.default_rng(5)
+    vectors = [[0.0] * dim for _ in range(1 << bits)]
+    layer = rng.normal(0, 1, (2, dim)).astype(np.float32).tolist()
+    share = sum(y for y, _, _ in rows) / len(rows)
+    bias, done = [math.log(1 - share), math.log(share)], 0
+    for _ in range(epochs):
+        for k in rng.permutation(len(rows)):
+            y, buckets, weights = rows[k]
+            lr = rate * (1 - done / (epochs * len(rows)))
+            done += 1
+            mean = [sum(float(w) * vectors[b][d] for b, w in zip(buckets, weights)) for d in range(dim)]
+            z = [sum(layer[c][d] * mean[d] for d in range(dim)) + bias[c] for c in range(2)]
+            e = [math.exp(x - max(z)) for x in z]
+            p = [x / sum(e) - (c == y) for c, x in enumerate(e)]
+            back = [sum(p[c] * layer[c][d] for c in range(2)) for d in range(dim)]
+            for c in range(2):
+                bias[c] -= lr * 0.1 * p[c]
+                for d in range(dim):
+                    layer[c][d] -= lr * p[c] * mean[d]
+            scale = lr / sum(float(w) ** 2 for w in weights)
+            for b, w in zip(buckets, weights):
+                for d in range(dim):
+                    vectors[b][d] -= scale * float(w) * back[d]
+    for text, got in zip(texts, model.score(texts)):
+        buckets, _ = C.features([text], bits, grams)
+        mean = [sum(vectors[b][d] for b in buckets) / max(1, len(buckets)) for d in range(dim)]
+        z = [sum(layer[c][d] * mean[d] for d in range(dim)) + bias[c] for c in range(2)]
+        assert abs(got - 1 / (1 + math.exp(z[0] - z[1]))) < 1e-4, text
