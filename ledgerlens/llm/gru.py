@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import numpy as np
 
+#: Segments trained side by side.
+BATCH = 128
 NAMES = ("embed", "wx", "bx", "u", "wc", "bc", "wo", "bo")
 
 
@@ -36,7 +38,7 @@ def initial(mass: np.ndarray, size: int, hidden: int, seed: int = 3) -> dict[str
 def _steps(p, gates, h):
     """States after each step; ``gates`` (T, B, 3H) is the input's part."""
     n = h.shape[1]
-    out, kept = np.empty((len(gates), *h.shape), np.float32), []
+    out, kept = np.empty((len(gates), *h.shape), h.dtype), []
     for t, g in enumerate(gates):
         a = h @ p["u"]
         zr = _sigmoid(g[:, :2 * n] + a[:, :2 * n])
@@ -48,11 +50,59 @@ def _steps(p, gates, h):
     return out, kept
 
 
-def _log_softmax(x):
-    x = x - x.max(1, keepdims=True)
-    e = np.exp(x)
-    total = e.sum(1, keepdims=True)
-    return x - np.log(total), e / total
+def _exps(x: np.ndarray, w: np.ndarray, small: bool) -> np.ndarray:
+    """exp of each row of ``x @ w`` up to a factor of its own; ``small`` says that no logit is too large as it is."""
+    e = x @ w
+    if not small:
+        e -= e.max(1, keepdims=True)
+    return np.exp(e, out=e)
+
+
+def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(values, starts) of the runs of a sorted array."""
+    starts = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
+    return values[starts], starts
+
+
+def _outputs(p, flat: np.ndarray, want: np.ndarray, size: int):
+    """(log-likelihood, gradient to the states, gradients of wc, bc, wo, bo) of the two factors of the softmax.
+
+    Rows are put in the order of their unit, so a class is a slice and what a
+    unit was wanted for is a run. A softmax's gradient is its weighted
+    exponentials less those wanted rows; the exponentials are never normalised themselves.
+    """
+    n = flat.shape[1]
+    order = np.argsort(want, kind="stable")
+    want = want[order]
+    states = np.concatenate([flat[order], np.ones((len(order), 1), flat.dtype)], 1)
+    wc = np.concatenate([p["wc"], p["bc"][None]])
+    wo = np.concatenate([p["wo"], p["bo"][:, None]], 1)
+    # states lie in (-1, 1), which bounds every logit
+    small = max(np.abs(wc).sum(0).max(), np.abs(wo).sum(1).max()) < 80
+    cls = want // size
+    present, first = _runs(cls)
+    e = _exps(states, wc, small)
+    rows = np.arange(len(want))
+    total = e @ np.ones(e.shape[1], e.dtype)
+    log = float(np.log(e[rows, cls] / total).sum())
+    share = states / total[:, None]
+    gc = share.T @ e
+    gc[:, present] -= np.add.reduceat(states, first).T
+    back = (e @ wc.T) / total[:, None] - wc.T[cls]
+    go = np.zeros_like(wo)
+    for c, s, t in zip(present, first, [*first[1:], len(want)]):
+        own, block = states[s:t], wo[c * size:(c + 1) * size]
+        e = _exps(own, block.T, small)
+        total = e @ np.ones(size, e.dtype)
+        log += float(np.log(e[np.arange(t - s), want[s:t] - c * size] / total).sum())
+        go[c * size:(c + 1) * size] = e.T @ (own / total[:, None])
+        back[s:t] += (e @ block) / total[:, None]
+    units, first = _runs(want)
+    go[units] -= np.add.reduceat(states, first)
+    back -= wo[want]
+    out = np.empty((len(want), n), flat.dtype)
+    out[order] = back[:, :n]
+    return log, out, {"wc": gc[:n], "bc": gc[n], "wo": go[:, :n], "bo": go[:, n]}
 
 
 def train_window(p, state, size, inputs, targets, rate, h):
@@ -62,61 +112,42 @@ def train_window(p, state, size, inputs, targets, rate, h):
     x = p["embed"][inputs]
     hs, kept = _steps(p, x @ p["wx"] + p["bx"], h)
     live = targets.ravel() >= 0
-    flat, want = hs.reshape(-1, n)[live], targets.ravel()[live]
-    if not len(want):
+    if not live.any():
         return hs[-1], 0.0
-    cls = want // size
-    logs, pc = _log_softmax(flat @ p["wc"] + p["bc"])
-    rows = np.arange(len(want))
-    total = float(logs[rows, cls].sum())
-    pc[rows, cls] -= 1
-    grads = {"wc": flat.T @ pc, "bc": pc.sum(0)}
-    back = pc @ p["wc"].T
-    wo, bo = p["wo"].reshape(-1, size, n), p["bo"].reshape(-1, size)
-    order = np.argsort(cls, kind="stable")
-    present, first = np.unique(cls[order], return_index=True)
-    for c, own in zip(present, np.split(order, first[1:])):
-        f = flat[own]
-        logs, pw = _log_softmax(f @ wo[c].T + bo[c])
-        at = want[own] - c * size
-        k = np.arange(len(own))
-        total += float(logs[k, at].sum())
-        pw[k, at] -= 1
-        back[own] += pw @ wo[c]
-        for name, block, g in (("wo", wo[c], pw.T @ f), ("bo", bo[c], pw.sum(0))):
-            s = state[name].reshape(-1, *block.shape)[c]
-            g = g / batch
-            s += g * g
-            block -= rate * g / np.sqrt(s)
-    into = np.zeros((length * batch, n), np.float32)
+    total, back, outer = _outputs(p, hs.reshape(-1, n)[live], targets.ravel()[live], size)
+    into = np.zeros((length * batch, n), hs.dtype)
     into[live] = back
     into = into.reshape(length, batch, n)
-    dgates = np.empty((length, batch, 3 * n), np.float32)
-    du = np.zeros_like(p["u"])
-    carry = np.zeros_like(h)
+    dgates, da = np.empty((2, length, batch, 3 * n), hs.dtype)
+    carry, turned = np.zeros_like(h), np.ascontiguousarray(p["u"].T)
     for t in range(length - 1, -1, -1):
         before, z, r, c, a = kept[t]
         d = carry + into[t]
         dc = d * (1 - z) * (1 - c * c)
-        dz = d * (before - c) * z * (1 - z)
-        dr = dc * a * r * (1 - r)
-        dgates[t, :, :n], dgates[t, :, n:2 * n], dgates[t, :, 2 * n:] = dz, dr, dc
-        da = np.concatenate([dz, dr, dc * r], 1)
-        du += before.T @ da
-        carry = d * z + da @ p["u"].T
-    flat_gates = dgates.reshape(-1, 3 * n)
-    grads |= {"u": du, "wx": x.reshape(-1, n).T @ flat_gates, "bx": flat_gates.sum(0)}
+        np.multiply(d, (before - c) * z * (1 - z), out=dgates[t, :, :n])
+        np.multiply(dc, a * r * (1 - r), out=dgates[t, :, n:2 * n])
+        dgates[t, :, 2 * n:] = dc
+        da[t] = dgates[t]
+        da[t, :, 2 * n:] *= r
+        carry = d * z + da[t] @ turned
+    flat = dgates.reshape(-1, 3 * n)
+    befores = np.stack([k[0] for k in kept]).reshape(-1, n)
+    grads = {"wc": outer["wc"], "bc": outer["bc"], "u": befores.T @ da.reshape(-1, 3 * n), "wx": x.reshape(-1, n).T @ flat,
+             "bx": flat.sum(0)}
+    dx = flat @ p["wx"].T
+    for name in ("wo", "bo"):
+        g = outer[name] / batch
+        state[name] += g * g
+        p[name] -= rate * g / np.sqrt(state[name])
     for name, g in grads.items():
         g = g / batch
         norm = float(np.sqrt((g * g).sum()))
         g = g if norm < 5 else g * (5 / norm)
         state[name] += g * g
         p[name] -= rate * g / np.sqrt(state[name])
-    dx = flat_gates @ p["wx"].T
-    ids, place = np.unique(inputs.ravel(), return_inverse=True)
-    g = np.zeros((len(ids), n), np.float32)
-    np.add.at(g, place, dx)
-    g /= batch
+    order = np.argsort(inputs.ravel(), kind="stable")
+    ids, first = _runs(inputs.ravel()[order])
+    g = np.add.reduceat(dx[order], first) / batch
     state["embed"][ids] += g * g
     p["embed"][ids] -= rate * g / np.sqrt(state["embed"][ids])
     return hs[-1], total
@@ -127,7 +158,7 @@ def fresh_state(p) -> dict[str, np.ndarray]:
     return {k: np.full_like(v, 1e-3) for k, v in p.items()}
 
 
-def train_segments(p, state, size, segments, rate, window=32, batch=32) -> tuple[float, int]:
+def train_segments(p, state, size, segments, rate, window=32, batch=BATCH) -> tuple[float, int]:
     """Train on unit sequences (each begins with what precedes its first target). Returns (log-likelihood, tokens)."""
     total, tokens = 0.0, 0
     hidden = p["u"].shape[0]
@@ -137,7 +168,7 @@ def train_segments(p, state, size, segments, rate, window=32, batch=32) -> tuple
         grid = np.full((longest + 1, len(part)), -1, np.int64)
         for k, x in enumerate(part):
             grid[:len(x), k] = x
-        h = np.zeros((len(part), hidden), np.float32)
+        h = np.zeros((len(part), hidden), p["u"].dtype)
         for t in range(0, longest, window):
             inputs, targets = grid[t:t + window + 1][:-1], grid[t:t + window + 1][1:]
             h, ll = train_window(p, state, size, np.maximum(inputs, 0), targets, rate, h)
