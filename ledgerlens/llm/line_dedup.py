@@ -54,6 +54,8 @@ MAX_BITS = 16
 SHORT_BYTES, FEW_WORDS = 80, 10
 #: Lines verified together.
 CELL = 256
+#: Lines that a task remembers so as not to fingerprint them again.
+_REMEMBERED = 1 << 18
 #: Rows of candidate ids that are sent to all tasks, at most.
 SENT_IDS = 1 << 20
 NOT_BLANK = r"[^\x20\x09-\x0D]"
@@ -141,8 +143,8 @@ def line_prints(forms: list[bytes]) -> tuple[list, list, list]:
     return words, triples, keys
 
 
-def edit_distance(a: str, b: str) -> int:
-    """Levenshtein distance by Myers' bit vectors, the common ends cut off first."""
+def edit_distance(a: str, b: str, limit: int | None = None) -> int:
+    """Levenshtein distance by Myers' bit vectors, the common ends cut off first; may stop at any number over ``limit``."""
     n = _common(a, b)
     a, b = a[n:], b[n:]
     n = _common(a[::-1], b[::-1])
@@ -157,7 +159,12 @@ def edit_distance(a: str, b: str) -> int:
         masks[c] = masks.get(c, 0) | 1 << i
     full, top = (1 << m) - 1, 1 << (m - 1)
     up, down, score = full, 0, m
+    # a letter changes the score by one at most
+    spare = (len(a) + len(b) if limit is None else limit) + len(b)
     for c in b:
+        if score > spare:
+            return score
+        spare -= 1
         eq = masks.get(c, 0)
         across = (((eq & up) + up) ^ up) | eq
         eq |= down
@@ -185,10 +192,37 @@ def _common(a: str, b: str) -> int:
     return low
 
 
+def edited_words(a: str, b: str, limit: int) -> bool:
+    """Whether an alignment word by word, found greedily, turns ``a`` into ``b`` in at most ``limit`` edits.
+
+    True proves the distance; False says nothing.
+    """
+    x, y = a.split(" "), b.split(" ")
+    i = j = spent = 0
+    while i < len(x) and j < len(y):
+        if x[i] == y[j]:
+            i, j = i + 1, j + 1
+            continue
+        for p, q in _SKIPS:
+            if i + p < len(x) and j + q < len(y) and x[i + p] == y[j + q]:
+                break
+        else:
+            p = q = 1
+        spent += max(sum(map(len, x[i:i + p])) + p, sum(map(len, y[j:j + q])) + q) - (1 if p and q else 0)
+        if spent > limit:
+            return False
+        i, j = i + p, j + q
+    return spent + sum(map(len, x[i:])) + len(x) - i + sum(map(len, y[j:])) + len(y) - j <= limit
+
+
+#: Words left out on either side up to the next equal pair, fewest first.
+_SKIPS = sorted(((p, q) for p in range(4) for q in range(4) if p or q), key=lambda s: (s[0] + s[1], abs(s[0] - s[1])))
+
+
 def similar(a: str, b: str, similarity: float) -> bool:
     longer = max(len(a), len(b))
     allowed = int((1 - similarity) * longer + 1e-9)
-    return abs(len(a) - len(b)) <= allowed and edit_distance(a, b) <= allowed
+    return abs(len(a) - len(b)) <= allowed and (edited_words(a, b, allowed) or edit_distance(a, b, allowed) <= allowed)
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -204,6 +238,8 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     k1, k2: 128-bit hash of the normal form ``line``; words, triples: fingerprints,
     null where a line has none of the kind; keys: of its blocks, odd for triples.
+    Fingerprints and keys are given where a line stands first among the lines that the
+    task remembers, so a line of very many places has them about once a task.
     """
     def spread(parts, n):
         """One value a line, null where there is none."""
@@ -220,6 +256,7 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         return pa.ListArray.from_arrays(offsets, pa.array(key[order].view(np.int64)))
 
     def run(batches):
+        met: set[bytes] = set()
         for batch in batches:
             texts = raw(batch.column(2))
             for s, e in spans([len(t) for t in texts], 1 << 20):
@@ -231,9 +268,13 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                             rows.append(i)
                             numbers.append(n)
                             forms.append(form)
-                halves = np.frombuffer(b"".join([xxhash.xxh3_128_digest(f) for f in forms]), "<i8").reshape(-1, 2)
+                digests = [xxhash.xxh3_128_digest(f) for f in forms]
+                halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
                 at = pa.array(rows, pa.int64())
-                words, triples, keys = line_prints(forms)
+                if len(met) > _REMEMBERED:
+                    met.clear()
+                new = np.array([k for k, d in enumerate(digests) if d not in met and not met.add(d)], np.int64)
+                words, triples, keys = ([(new[own], x) for own, x in part] for part in line_prints([forms[k] for k in new]))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(at), batch.column(1).take(at), pa.array(numbers, pa.int32()),
                      pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(forms, pa.binary()).cast(pa.string()),
@@ -244,7 +285,10 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def _near_rows(max_bits: int, at_once: int = 1 << 17):
-    """Arrow function over (key, cell, role, fp, k1) sorted by (key, cell, role): rows with a partner in their cell."""
+    """Arrow function over (key, cell, role, fp, k1) sorted by (key, cell, role): rows with a partner in their cell.
+
+    Rows of the same k1 are one line, not partners.
+    """
     def run(batches):
         held, size = [], 0
         for batch in batches:
@@ -274,11 +318,12 @@ def _near_rows(max_bits: int, at_once: int = 1 << 17):
         starts = np.cumsum(sizes) - sizes
         small = np.flatnonzero(np.repeat(sizes <= SMALL_RUN, sizes))
         i, j = small_runs(fp[small], run_[small], role[small], max_bits, SMALL_RUN)
-        hit[small[i]] = hit[small[j]] = True
+        other = k1[small[i]] != k1[small[j]]
+        hit[small[i[other]]] = hit[small[j[other]]] = True
         for r in np.flatnonzero(sizes > SMALL_RUN):
             own = np.arange(starts[r], starts[r] + sizes[r])
             for i, j in linked(fp, own[role[own] != PROBE], own[role[own] != TABLE], max_bits):
-                other = i != j
+                other = k1[i] != k1[j]
                 hit[i[other]] = hit[j[other]] = True
         if hit.any():
             yield pa.RecordBatch.from_arrays([pa.array(key[hit]), pa.array(k1[hit]), pa.array(fp[hit].view(np.int64))],
@@ -286,10 +331,10 @@ def _near_rows(max_bits: int, at_once: int = 1 << 17):
     return run
 
 
-def near_members(lines: DataFrame, max_bits: int, cell_rows: int = 4096) -> DataFrame:
+def near_members(found: DataFrame, max_bits: int, cell_rows: int = 4096) -> DataFrame:
     """(key, k1, fp): lines of each bucket that have another line at ``max_bits`` or fewer in it, each once."""
     even = F.col("key").bitwiseAND(F.lit(1)) == 0
-    rows = (lines.select("k1", "words", "triples", F.explode("keys").alias("key"))
+    rows = (found.select("k1", "words", "triples", F.explode("keys").alias("key"))
             .select("key", F.when(even, F.col("words")).otherwise(F.col("triples")).alias("fp"), F.lit(BOTH).alias("role"), "k1"))
     # How a hot key is cut does not change the result, so its size may be estimated from some lines.
     heavy = (rows.where(F.pmod("k1", F.lit(_SAMPLE)) == 0).groupBy("key").count()
@@ -300,9 +345,9 @@ def near_members(lines: DataFrame, max_bits: int, cell_rows: int = 4096) -> Data
         rows = rows.select("key", F.lit(0).cast("long").alias("cell"), "role", "fp", "k1")
     else:
         rows = cut_up(rows, heavy, "k1")
-    found = (rows.repartition("key", "cell").sortWithinPartitions("key", "cell", "role")
-             .mapInArrow(_near_rows(max_bits), "key long, k1 long, fp long"))
-    return cut(found if heavy.isEmpty() else found.distinct(), "line-buckets")
+    near = (rows.repartition("key", "cell").sortWithinPartitions("key", "cell", "role")
+            .mapInArrow(_near_rows(max_bits), "key long, k1 long, fp long"))
+    return cut(near.distinct(), "line-buckets")
 
 
 def _pieces(members: DataFrame) -> DataFrame:
@@ -365,12 +410,9 @@ LINK = pa.struct([("k1", pa.int64()), ("k2", pa.int64())])
 LINKS = "key long, a struct<k1:long,k2:long>, b struct<k1:long,k2:long>"
 
 
-def verified_links(found: DataFrame, lines: DataFrame, max_bits: int, similarity: float, cell: int = CELL) -> DataFrame:
-    """Edges (a, b) between line keys (struct k1, k2) whose components are those of all verified links.
-
-    ``found`` has the lines' texts (an ``occurrences`` table), ``lines`` one row a line.
-    """
-    members = cut(_pieces(near_members(lines, max_bits)), "line-members")
+def verified_links(found: DataFrame, max_bits: int, similarity: float, cell: int = CELL) -> DataFrame:
+    """Edges (a, b) between line keys (struct k1, k2) whose components are those of all verified links of ``occurrences``."""
+    members = cut(_pieces(near_members(found, max_bits)), "line-members")
     ids = cut(members.select(F.col("k1").alias("id")).distinct(), "line-ids")
     # an id is 8 bytes: few enough go to all tasks, more are joined by a shuffle
     few = F.broadcast(ids) if ids.count() <= SENT_IDS else ids
@@ -427,11 +469,8 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """(doc_id, text_hash, kept): the numbers of the lines that stay, for each document with any."""
     place = F.struct("doc_id", "text_hash", "line_no")
     found = cut(occurrences(docs, id_col, text_col), "occurrences")
-    prints = [] if exhaustive else [F.first(F.struct("words", "triples", "keys")).alias("p")]
-    lines = found.groupBy("k1", "k2").agg(F.min(place).alias("at"), *prints)
-    lines = cut(lines.select("k1", "k2", "at.*", *(["p.*"] if prints else [])), "lines")
-    closed = components(exhaustive_links(found, similarity) if exhaustive else verified_links(
-        found, lines, max_bits, similarity))
+    lines = cut(found.groupBy("k1", "k2").agg(F.min(place).alias("at")).select("k1", "k2", "at.*"), "lines")
+    closed = components(exhaustive_links(found, similarity) if exhaustive else verified_links(found, max_bits, similarity))
     member = (closed.select("node.k1", "node.k2", "root").join(lines, ["k1", "k2"])
               .select("root", place.alias("at"), "k1", "k2"))
     member = cut(member, "line-groups")

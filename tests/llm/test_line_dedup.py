@@ -128,7 +128,8 @@ def test_cells_and_pieces_do_not_change_the_result(llm, monkeypatch, kind):
     df = llm.createDataFrame(list(docs.items()), "doc_id long, text string")
     want = brute(docs)
     near, verified = L.near_members, L.verified_links
-    monkeypatch.setattr(L, "near_members", lambda lines, bits: near(lines, bits, cell_rows=4))
+    monkeypatch.setattr(L, "near_members", lambda found, bits: near(found, bits, cell_rows=4))
+    monkeypatch.setattr(L, "_REMEMBERED", 3)
     monkeypatch.setattr(L, "_SAMPLE", 1)
     monkeypatch.setattr(L, "SENT_IDS", 0)
     monkeypatch.setattr(L, "verified_links", lambda *a: verified(*a, cell=5))
@@ -186,7 +187,23 @@ def test_edit_distance():
         b = list(a)
         for _ in range(rng.randint(0, 8)):
             b[rng.randrange(len(b) + 1):rng.randrange(len(b) + 1)] = rng.choice(["", "x", "ab"])
-        assert L.edit_distance(a, "".join(b)) == lev(a, "".join(b))
+        b = "".join(b)
+        want = lev(a, b)
+        assert L.edit_distance(a, b) == want
+        for limit in range(0, 12, 3):
+            assert (L.edit_distance(a, b, limit) <= limit) == (want <= limit)
+    vocab = ["a", "bb", "ccc", "dddd", "ee"]
+    proved = 0
+    for _ in range(2000):
+        x = [rng.choice(vocab) for _ in range(rng.randint(0, 12))]
+        y = [w if rng.random() < 0.8 else rng.choice([*vocab, "x y", ""]) for w in x]
+        a, b = " ".join(x), " ".join(w for w in y if w)
+        want = lev(a, b)
+        for limit in (0, want - 1, want, want + 3):
+            if L.edited_words(a, b, limit):
+                proved += 1
+                assert want <= limit, (a, b, limit)
+    assert proved > 1000
     assert L.similar("", "", 0.8) and not L.similar("", "a", 0.8) and L.similar("abcde", "abcdx", 0.8)
 
 
