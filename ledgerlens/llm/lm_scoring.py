@@ -11,10 +11,15 @@ within a bucket a word has its share of the bucket's smoothed count, where the
 words never seen share one more event. So a text's probability is over all
 texts, with no token left out.
 
-Training: all segments of all training texts, each in one of ``ROUNDS`` rounds by
-its hash. A start is trained on the driver on a bounded number of segments of the
-last round, then in each round every partition continues on its own segments and
-the parameters are averaged by tokens; the start's segments are in their round too.
+Texts are split and looked up once: a stored table holds every text as its units
+with what the words add, and training and scoring read that.
+
+Training: all segments of all training texts, each in one of ``ROUNDS`` rounds and
+one group by its hash. The segments of a group are packed into shards of
+``SHARD_TOKENS``, a stored row each. A start is trained on the driver on a bounded
+number of segments of the last round; then in each round every shard of it
+continues from the common parameters by itself and the results are averaged by
+tokens. So what is learned does not depend on how tasks share the shards.
 """
 
 from __future__ import annotations
@@ -31,17 +36,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import gru
-from ledgerlens.llm.common import cut, lowest, raw, remainder
+from ledgerlens.llm.common import cut, raw, remainder, spans
 
 HEAD = 1 << 18
 HEAD_BYTES = 64
 CLASSES, CLASS_SIZE, HIDDEN, BUCKETS = 64, 128, 16, 64
 SEGMENT = 256
-#: The segments are dealt over so many rounds.
-ROUNDS = 4
+#: The segments are dealt over so many rounds, and in a round over shards of so many tokens.
+ROUNDS, SHARD_TOKENS = 4, 1 << 20
 START_SEGMENTS = 3000
+#: Step sizes and segments side by side, of the start and of the rounds.
+START_RATE, START_BATCH, RATE, BATCH = 0.1, 32, 0.1, 256
 _FLUSH = 400_000
-_GROUP_TOKENS = 6_000_000
+_GROUP_TOKENS = 4_000_000
 END = b""
 
 
@@ -154,16 +161,57 @@ def lexicon(counts: DataFrame) -> tuple[Lexicon, np.ndarray]:
     return Lexicon({w: i for i, w in enumerate(words)}, base, unit, within, known, np.log10(bucket_mass), n, v, least), mass
 
 
-def _segments(text: bytes, key: int, lex: Lexicon):
-    """(round, units) of all segments of the text; each is led by the unit before it."""
-    words = tokens(text)
-    for j in range(len(words) // SEGMENT + 1):
-        part = words[max(0, j * SEGMENT - 1):(j + 1) * SEGMENT]
-        closes = len(words) < (j + 1) * SEGMENT
-        rows = lex.rows(part)
-        units = lex.units(rows, [w for w, r in zip(part, rows) if r == len(lex.index)])
-        units = units if closes else units[:-1]
-        yield xxhash.xxh64_intdigest(b"%d:%d" % (key, j), 7) % ROUNDS, units if j else np.concatenate([[0], units])
+def segments(units: np.ndarray, key: int):
+    """(hash, units) of all segments of a text's units; each is led by the unit before it, the first by the end."""
+    led = np.concatenate([[0], units])
+    for j in range(-(-len(units) // SEGMENT)):
+        yield xxhash.xxh64_intdigest(b"%d:%d" % (key, j), 7), led[j * SEGMENT:(j + 1) * SEGMENT + 1]
+
+
+def shards(prepared: DataFrame, tokens_in_all: int) -> DataFrame:
+    """(turn, part, lengths, units) of ``prepared(key, units)``: every segment once, in shards of bounded size."""
+    groups = max(1, -(-tokens_in_all // (ROUNDS * SHARD_TOKENS)))
+
+    def pick(batches):
+        for batch in batches:
+            found = [x for key, data in zip(batch.column(0).to_pylist(), raw_units(batch.column(1)))
+                     for x in segments(data, key)]
+            if found:
+                h = np.array([x for x, _ in found], np.uint64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array((h % np.uint64(ROUNDS)).astype(np.int32)),
+                     pa.array((h // np.uint64(ROUNDS) % np.uint64(groups)).astype(np.int64)), pa.array(h.view(np.int64)),
+                     pa.array([units.astype("<u2").tobytes() for _, units in found], pa.binary())],
+                    ["turn", "part", "h", "units"])
+
+    def pack(batches):
+        held, place, size = [], None, 0
+        for batch in batches:
+            for turn, part, data in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                if place != (turn, part) or size >= SHARD_TOKENS:
+                    yield from one(place, held)
+                    held, place, size = [], (turn, part), 0
+                held.append(data)
+                size += len(data) // 2
+        yield from one(place, held)
+
+    def one(place, held):
+        if held:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([place[0]], pa.int32()), pa.array([place[1]], pa.int64()),
+                 pa.array([np.array([len(x) // 2 for x in held], "<i4").tobytes()]), pa.array([b"".join(held)])],
+                ["turn", "part", "lengths", "units"])
+    dealt = prepared.select("key", "units").mapInArrow(pick, "turn int, part long, h long, units binary")
+    return (dealt.repartition("turn", "part").sortWithinPartitions("turn", "part", "h", "units").select("turn", "part", "units")
+            .mapInArrow(pack, "turn int, part long, lengths binary, units binary"))
+
+
+def raw_units(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(x, "<u2").astype(np.int64) for x in column.to_pylist()]
+
+
+def _unshard(lengths: bytes, units: bytes) -> list[np.ndarray]:
+    return np.split(np.frombuffer(units, "<u2").astype(np.int64), np.cumsum(np.frombuffer(lengths, "<i4"))[:-1])
 
 
 def _pack(p, state) -> bytes:
@@ -179,46 +227,40 @@ def _unpack(data: np.ndarray, like):
     return out
 
 
-def train(docs: DataFrame, lex: Lexicon, mass: np.ndarray) -> dict[str, np.ndarray]:
-    """The network's parameters from ``docs(text_hash, text)``."""
-    spark = docs.sparkSession
-    shared_lex = spark.sparkContext.broadcast(lex)
+def _learn(p, state, found: list[np.ndarray], seed: int, rate: float, batch: int) -> int:
+    """One pass over segments of like length side by side, in a drawn order; returns the tokens."""
+    found.sort(key=len)
+    seen = 0
+    for g in np.random.default_rng(seed).permutation(-(-len(found) // batch)):
+        seen += gru.train_segments(p, state, CLASS_SIZE, found[batch * g:batch * (g + 1)], rate, batch=batch)[1]
+    return seen
+
+
+def train(stored: DataFrame, mass: np.ndarray) -> dict[str, np.ndarray]:
+    """The network's parameters from a stored ``shards`` table."""
+    spark = stored.sparkSession
     p = gru.initial(mass, CLASS_SIZE, HIDDEN)
     state = gru.fresh_state(p)
-
-    def pick(batches):
-        for batch in batches:
-            found = [x for text, key in zip(raw(batch.column(1)), batch.column(0).to_pylist())
-                     for x in _segments(text, key, shared_lex.value)]
-            if found:
-                data = [units.astype("<u2").tobytes() for _, units in found]
-                hashes = [xxhash.xxh64_intdigest(d) - (1 << 63) for d in data]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([turn for turn, _ in found], pa.int32()), pa.array(hashes, pa.int64()),
-                     pa.array(data, pa.binary())], ["turn", "h", "units"])
-    picked = cut(docs.select("text_hash", "text").mapInArrow(pick, "turn int, h long, units binary"), "lm-segments")
-    # the start: the first START_SEGMENTS of the last round, in the order of their hash
-    first = lowest(picked.where(F.col("turn") == ROUNDS - 1).select("h", "units"), "h", START_SEGMENTS).toArrow()
-    segments = sorted((np.frombuffer(x, "<u2").astype(np.int64) for x in sorted(first["units"].to_pylist())), key=len)
-    rng = np.random.default_rng(5)
-    for _ in range(2):
-        groups = [segments[i:i + 32] for i in range(0, len(segments), 32)]
-        for g in rng.permutation(len(groups)):
-            gru.train_segments(p, state, CLASS_SIZE, groups[g], 0.1)
+    # the start: the first segments of the last round's first shard, one row
+    first = stored.where((F.col("turn") == ROUNDS - 1)).orderBy("part", F.desc(F.length("units")), "units").select(
+        "lengths", "units").first()
+    for epoch in range(2 if first else 0):
+        _learn(p, state, _unshard(*first)[:START_SEGMENTS], epoch, START_RATE, START_BATCH)
+    # results are added up in a tree: of n tasks' results, about sqrt(n) sums come to the driver
+    fan = max(1, int(np.sqrt(stored.rdd.getNumPartitions())))
     for r in range(ROUNDS):
         begin = spark.sparkContext.broadcast((p, state))
 
         def learn(batches, begin=begin, r=r):
-            own, sums = ({k: v.copy() for k, v in x.items()} for x in begin.value)
-            seen = 0
+            total, weight = None, 0
             for batch in batches:
-                found = [np.frombuffer(x, "<u2").astype(np.int64) for x in batch.column(0).to_pylist()]
-                found.sort(key=len)
-                for g in np.random.default_rng(r).permutation(-(-len(found) // 32)):
-                    seen += gru.train_segments(own, sums, CLASS_SIZE, found[32 * g:32 * g + 32], 0.05)[1]
-            if seen:
-                yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([_pack(own, sums)])],
-                                                 ["seen", "data"])
+                for lengths, units in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    own, sums = ({k: v.copy() for k, v in x.items()} for x in begin.value)
+                    seen = _learn(own, sums, _unshard(lengths, units), r, RATE, BATCH)
+                    part = np.frombuffer(_pack(own, sums), "<f4").astype(np.float64) * seen
+                    total = part if total is None else total + part
+                    weight += seen
+            yield from summed(total, weight)
 
         def add(batches):
             total, weight = None, 0
@@ -227,14 +269,15 @@ def train(docs: DataFrame, lex: Lexicon, mass: np.ndarray) -> dict[str, np.ndarr
                     part = np.frombuffer(data, "<f4").astype(np.float64) * seen
                     total = part if total is None else total + part
                     weight += seen
+            yield from summed(total, weight)
+
+        def summed(total, weight):
             if weight:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([weight], pa.int64()), pa.array([(total / weight).astype("<f4").tobytes()])],
                     ["seen", "data"])
-        # at most 8 sums of one model's size each come to the driver
-        parts = (picked.where(F.col("turn") == r).select("units").mapInArrow(learn, "seen long, data binary")
-                 .repartition(8)
-                 .mapInArrow(add, "seen long, data binary").collect())
+        parts = (stored.where(F.col("turn") == r).select("lengths", "units").mapInArrow(learn, "seen long, data binary")
+                 .repartition(fan).mapInArrow(add, "seen long, data binary").collect())
         weight = sum(x["seen"] for x in parts)
         if weight:
             mean = sum(np.frombuffer(x["data"], "<f4").astype(np.float64) * (x["seen"] / weight) for x in parts)
@@ -259,14 +302,16 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     learning = plain.where(~F.col("held_out"))
     counts = cut(count_words(learning), "lm-counts")
     lex, mass = lexicon(counts)
-    model = spark.sparkContext.broadcast(train(learning, lex, mass) if lex.total else gru.initial(
-        mass, CLASS_SIZE, HIDDEN))
-    shared = spark.sparkContext.broadcast(lex)
     kind = docs.schema[id_col].dataType.simpleString()
-    local = cut(plain.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text").mapInArrow(
-        _scorer(shared, model),
-        f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double, "
-        "words array<binary>, times array<int>"), "lm-local")
+    shared = spark.sparkContext.broadcast(lex)
+    local = cut(plain.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text",
+                             F.xxhash64("doc_id", "text_hash").alias("key")).mapInArrow(
+        _prepared(shared), f"row long, doc_id {kind}, held_out boolean, key long, n_tokens long, n_known long, base double, "
+        "log double, words array<binary>, times array<int>, units binary"), "lm-local")
+    model = gru.initial(mass, CLASS_SIZE, HIDDEN)
+    if lex.total:
+        model = train(cut(shards(local.where(~F.col("held_out")), lex.total), "lm-shards"), mass)
+    model = spark.sparkContext.broadcast(model)
     whole = lex.total + 0.1 * (lex.distinct + 1)
     rare = (local.select("row", F.explode(F.arrays_zip("words", "times")).alias("w"))
             .select("row", F.col("w.words").alias("word"), F.col("w.times").alias("times")))
@@ -277,44 +322,61 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.sum(F.col("times") * F.log10((F.col("c") + 0.1) / whole)).alias("more"),
         F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("known"))
     more = F.coalesce("more", F.lit(0.0))
-    return local.drop("words", "times").join(per_row, "row", "left").select(
+    scored = local.select("row", "doc_id", "held_out", "n_tokens", "n_known", "base", "log", "units").mapInArrow(
+        _scorer(model), f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double")
+    return scored.join(per_row, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
         F.lit(lex.total).cast("long").alias("train_tokens"), (F.col("base") + more).alias("base_score"),
         (F.col("score") + more).alias("score"))
 
 
-def _scorer(shared, model):
+def _prepared(shared):
+    """Arrow function: each text's units, the sums of its listed words, and its other words with their numbers."""
     def run(batches):
         lex = shared.value
-        network = gru.Scorer(model.value, CLASS_SIZE, 0)
         other = len(lex.index)
-        held, size = [], 0
         for batch in batches:
-            for row, key, out, text in zip(batch.column(0).to_pylist(), batch.column(1),
-                                           batch.column(2).to_pylist(), raw(batch.column(3))):
-                words = tokens(text)
-                rows = lex.rows(words)
-                rest = [words[i] for i in np.flatnonzero(rows == other)]
-                units = lex.units(rows, rest)
-                log = lex.within[rows].sum() - sum(lex.bucket_log[units[rows == other] - CLASSES * CLASS_SIZE + BUCKETS])
-                held.append((row, key, out, len(rows), int(lex.counted[rows].sum()), float(lex.base[rows].sum()),
-                             float(log), Counter(rest), units.astype(np.int32)))
-                size += len(rows)
-                if size > _GROUP_TOKENS:
-                    yield finish(network, held, batch.schema.field(1).type)
-                    held, size = [], 0
-            kind = batch.schema.field(1).type
-        if held:
-            yield finish(network, held, kind)
+            texts = raw(batch.column(3))
+            for s, e in spans([len(t) for t in texts], 1 << 20):
+                out = []
+                for text in texts[s:e]:
+                    words = tokens(text)
+                    rows = lex.rows(words)
+                    rest = [words[i] for i in np.flatnonzero(rows == other)]
+                    units = lex.units(rows, rest)
+                    log = lex.within[rows].sum() - lex.bucket_log[
+                        units[rows == other] - CLASSES * CLASS_SIZE + BUCKETS].sum()
+                    out.append((len(rows), int(lex.counted[rows].sum()), float(lex.base[rows].sum()), float(log), Counter(rest),
+                                units.astype("<u2").tobytes()))
+                size, known, base, log, rest, units = zip(*out)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0)[s:e], batch.column(1)[s:e], batch.column(2)[s:e], batch.column(4)[s:e],
+                     pa.array(size, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()),
+                     pa.array(log, pa.float64()), pa.array([list(c) for c in rest], pa.list_(pa.binary())),
+                     pa.array([list(c.values()) for c in rest], pa.list_(pa.int32())), pa.array(units, pa.binary())],
+                    ["row", "doc_id", "held_out", "key", "n_tokens", "n_known", "base", "log", "words", "times", "units"])
+    return run
 
-    def finish(network, held, kind):
-        logs = network.score([h[8] for h in held]) / np.log(10)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([h[0] for h in held], pa.int64()), pa.array([h[1].as_py() for h in held], kind),
-             pa.array([h[2] for h in held], pa.bool_()), pa.array([h[3] for h in held], pa.int64()),
-             pa.array([h[4] for h in held], pa.int64()), pa.array([h[5] for h in held], pa.float64()),
-             pa.array([h[6] for h in held] + logs, pa.float64()),
-             pa.array([list(h[7]) for h in held], pa.list_(pa.binary())),
-             pa.array([list(h[7].values()) for h in held], pa.list_(pa.int32()))],
-            ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "words", "times"])
+
+def _scorer(model):
+    """Arrow function: the network's log10 probability of each text's units, added to ``log``."""
+    def run(batches):
+        network = gru.Scorer(model.value, CLASS_SIZE, 0)
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += sum(len(x) // 2 for x in batch.column(7).to_pylist())
+            if size > _GROUP_TOKENS:
+                yield from finish(network, held)
+                held, size = [], 0
+        yield from finish(network, held)
+
+    def finish(network, held):
+        logs = network.score([u for b in held for u in raw_units(b.column(7))]) / np.log(10)
+        at = 0
+        for b in held:
+            score = b.column(6).to_numpy() + logs[at:at + b.num_rows]
+            at += b.num_rows
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in range(6)), pa.array(score)],
+                                             ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score"])
     return run

@@ -115,17 +115,28 @@ def test_edge_rows(llm, edge, none):
     assert alone.train_tokens == 0 and alone.n_known == 0 and alone.n_tokens == 5 and math.isfinite(alone.score)
 
 
-def test_every_training_token_is_in_one_round(llm):
-    """All segments of a text, joined, are its units: none is left out and none stands in two rounds."""
-    counts = M.count_words(llm.createDataFrame([("a b c d e f g",)], "text string"))
-    lex, _ = M.lexicon(counts)
-    for n in (0, 1, 255, 256, 257, 511, 512, 513, 5000):
-        text = " ".join("abcdefgh"[(k * k) % 8] for k in range(n)).encode()
-        words = M.tokens(text)
-        rows = lex.rows(words)
-        whole = lex.units(rows, [w for w, r in zip(words, rows) if r == len(lex.index)])
-        parts = list(M._segments(text, 17, lex))
-        assert np.concatenate([units[1:] for _, units in parts]).tolist() == whole.tolist(), n
-        assert all(0 <= r < M.ROUNDS for r, _ in parts)
-        assert all(b[0] == a[-1] for (_, a), (_, b) in zip(parts, parts[1:]))
-    assert len({r for key in range(50) for r, _ in M._segments(b"a " * 2000, key, lex)}) == M.ROUNDS
+def test_every_training_token_is_in_one_shard(llm, monkeypatch):
+    """Segments, joined, are a text's units; shards hold every segment once, whatever the partitions."""
+    rng = np.random.default_rng(1)
+    texts = [rng.integers(0, 9, n) for n in (1, 255, 256, 257, 511, 512, 513, 5000)]
+    for units in texts:
+        parts = [x for _, x in M.segments(units, 17)]
+        assert np.concatenate([x[1:] for x in parts]).tolist() == units.tolist()
+        assert parts[0][0] == 0 and all(b[0] == a[-1] for a, b in zip(parts, parts[1:]))
+    monkeypatch.setattr(M, "SHARD_TOKENS", 700)
+    rows = [(k, u.astype("<u2").tobytes()) for k, u in enumerate(texts * 3)]
+    found = []
+    for n in (1, 5):
+        df = llm.createDataFrame(rows, "key long, units binary").repartition(n)
+        got = M.shards(df, sum(len(u) for u in texts) * 3).collect()
+        found.append(sorted((r.turn, r.part, bytes(r.lengths), bytes(r.units)) for r in got))
+        assert {r.turn for r in got} == set(range(M.ROUNDS)) and all(len(r.units) < 2 * (700 + 258) for r in got)
+    assert found[0] == found[1] and len(found[0]) > M.ROUNDS
+    whole = sorted(x.tolist() for r in found[0] for x in M._unshard(r[2], r[3]))
+    assert whole == sorted(x.tolist() for k, u in enumerate(texts * 3) for _, x in M.segments(u, k))
+
+
+def test_scores_do_not_depend_on_partitions(llm):
+    docs = llm.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    a, b = ({r.doc_id: r.score for r in M.score(docs.repartition(n)).collect()} for n in (2, 7))
+    assert max(abs(a[k] - b[k]) / max(1, abs(a[k])) for k in a) < 1e-4
