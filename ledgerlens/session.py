@@ -12,6 +12,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 # Settings every session of the library relies on. AQE re-plans joins from
@@ -52,8 +53,9 @@ def apply_session_conf(spark: SparkSession) -> None:
     for key, value in SESSION_CONF.items():
         try:
             spark.conf.set(key, value)
-        except Exception:  # a static conf on a running session: keep the caller's value
-            pass
+        except AnalysisException as err:  # a static conf on a running session: keep the caller's value
+            if not (err.getCondition() or "").startswith("CANNOT_MODIFY"):
+                raise
 
 
 def work_root(spark: SparkSession) -> str:

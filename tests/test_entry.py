@@ -36,7 +36,7 @@ def _norm(rows):
 def test_oracle_parity(spark, name):
     con = duckdb.connect()
     for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-              "documents", "benchmark", "labels", "conversations"):
+              "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
         con.execute(f"create view {t} as select * from read_parquet('{SF}/{t}.parquet')")
     df = E.queries()[name](spark, SF)
     res = con.execute(E.oracle_sql()[name])
@@ -45,3 +45,23 @@ def test_oracle_parity(spark, name):
     idx = [df.columns.index(c) for c in ocols]
     got = [tuple(r[i] for i in idx) for r in df.collect()]
     assert _norm(got) == _norm(res.fetchall())
+
+
+def test_bank_queries_stand_without_the_corpus_packages(tmp_path):
+    """A fresh interpreter that cannot import a corpus package still has the bank's queries."""
+    import subprocess
+    import sys
+    code = ("import sys; sys.modules['xxhash'] = None\n"
+            "import __spark_entry__ as E\nprint(len(E.queries()), 'daily_branch_summary' in E.queries())")
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True,
+                         cwd=os.path.dirname(E.__file__)).stdout.split()
+    assert int(out[0]) == len(E.QUERIES) and out[1] == "True"
+
+
+def test_a_wrong_setting_is_not_hidden(spark, monkeypatch):
+    from ledgerlens import session
+    monkeypatch.setattr(session, "SESSION_CONF", {"spark.sql.warehouse.dir": "/nowhere"})
+    session.apply_session_conf(spark)
+    monkeypatch.setattr(session, "SESSION_CONF", {"spark.sql.session.timeZone": "no such zone"})
+    with pytest.raises(Exception, match="(?i)zone"):
+        session.apply_session_conf(spark)
