@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import raw
 
+#: Items of fewer characters are no evidence that a document holds them on purpose.
+LEAST_CHARS = 24
 BLOCK_CHARS = 4 << 20
 
 
@@ -126,6 +128,16 @@ def _joined(ranges: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
     yield a, b
 
 
+def short_items(benchmark: DataFrame, least_chars: int = LEAST_CHARS, item_col: str = "item_id",
+                item_text_col: str = "text") -> DataFrame:
+    """The rows of ``benchmark`` whose lower-cased, single-spaced text is not blank and has under ``least_chars`` characters."""
+    def run(batches):
+        for batch in batches:
+            sizes = [len(normal(t.decode())) for t in raw(batch.column(item_text_col))]
+            yield batch.filter(pa.array([0 < n < least_chars for n in sizes], pa.bool_()))
+    return benchmark.select(item_col, item_text_col).mapInArrow(run, benchmark.select(item_col, item_text_col).schema)
+
+
 def blocks(benchmark: DataFrame, item_col: str, text_col: str, chars: int = BLOCK_CHARS) -> Iterator[list[tuple]]:
     """The items in blocks of about ``chars`` characters; null and blank texts are left out."""
     rows = benchmark.select(F.col(item_col).alias("item_id"), F.col(text_col).cast("string").alias("text"))
@@ -178,10 +190,14 @@ def find_items(docs: DataFrame, benchmark: DataFrame, rate: float = 0.05, id_col
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = 0.05, text_col: str = "text",
-                      item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns kept, whose text holds no item within its edit budget."""
+                      item_col: str = "item_id", item_text_col: str = "text", least_chars: int = 0) -> DataFrame:
+    """The rows of ``docs``, all columns kept, whose text holds no item within its edit budget.
+
+    An item of under ``least_chars`` characters, such as a single common word, is
+    no evidence and removes nothing; ``short_items`` reports those. By default every item counts.
+    """
     for block in blocks(benchmark, item_col, item_text_col):
-        shared = docs.sparkSession.sparkContext.broadcast(block)
+        shared = docs.sparkSession.sparkContext.broadcast([x for x in block if len(normal(x[1])) >= least_chars])
 
         def run(batches, shared=shared):
             matcher = Matcher(shared.value, rate)

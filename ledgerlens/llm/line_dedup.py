@@ -56,8 +56,8 @@ SHORT_BYTES, FEW_WORDS = 80, 10
 CELL = 256
 #: Lines that a task remembers so as not to fingerprint them again.
 _REMEMBERED = 1 << 18
-#: Rows of candidate ids that are sent to all tasks, at most.
-SENT_IDS = 1 << 20
+#: Rows of candidate ids, and bytes of kept line numbers, that are sent to all tasks at most; more are shuffled.
+SENT_IDS, SENT_BYTES = 1 << 20, 64 << 20
 NOT_BLANK = r"[^\x20\x09-\x0D]"
 
 
@@ -230,13 +230,13 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.col(text_col).cast("string").alias("text"))
 
 
-OCCURRENCE = "text_hash long, line_no int, k1 long, k2 long, line string, words long, triples long, keys array<long>"
+OCCURRENCE = "text_hash long, line_no int, of int, k1 long, k2 long, line string, words long, triples long, keys array<long>"
 
 
 def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text_hash, line_no, k1, k2, line, words, triples, keys) of each line with a word.
+    """(doc_id, text_hash, line_no, of, k1, k2, line, words, triples, keys) of each line with a word.
 
-    k1, k2: 128-bit hash of the normal form ``line``; words, triples: fingerprints,
+    of: how many such lines its text has; k1, k2: 128-bit hash of the normal form ``line``; words, triples: fingerprints,
     null where a line has none of the kind; keys: of its blocks, odd for triples.
     Fingerprints and keys are given where a line stands first among the lines that the
     task remembers, so a line of very many places has them about once a task.
@@ -260,14 +260,16 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         for batch in batches:
             texts = raw(batch.column(2))
             for s, e in spans([len(t) for t in texts], 1 << 20):
-                rows, numbers, forms = [], [], []
+                rows, numbers, forms, of = [], [], [], []
                 for i in range(s, e):
+                    before = len(forms)
                     for n, line in enumerate(texts[i].split(b"\n")):
                         form = normal_line(line)
                         if form:
                             rows.append(i)
                             numbers.append(n)
                             forms.append(form)
+                    of += [len(forms) - before] * (len(forms) - before)
                 digests = [xxhash.xxh3_128_digest(f) for f in forms]
                 halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
                 at = pa.array(rows, pa.int64())
@@ -277,27 +279,28 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 words, triples, keys = ([(new[own], x) for own, x in part] for part in line_prints([forms[k] for k in new]))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(at), batch.column(1).take(at), pa.array(numbers, pa.int32()),
-                     pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(forms, pa.binary()).cast(pa.string()),
+                     pa.array(of, pa.int32()), pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(forms, pa.binary()).cast(pa.string()),
                      spread(words, len(forms)), spread(triples, len(forms)), listed(keys, len(forms))],
-                    ["doc_id", "text_hash", "line_no", "k1", "k2", "line", "words", "triples", "keys"])
+                    ["doc_id", "text_hash", "line_no", "of", "k1", "k2", "line", "words", "triples", "keys"])
     kind = docs.schema[id_col].dataType.simpleString()
     return _keyed(docs, id_col, text_col).mapInArrow(run, f"doc_id {kind}, {OCCURRENCE}")
 
 
 def _near_rows(max_bits: int, at_once: int = 1 << 17):
-    """Arrow function over (key, cell, role, fp, k1) sorted by (key, cell, role): rows with a partner in their cell.
+    """Arrow function over (key, fp, k1[, cell, role]) sorted by (key[, cell, role]): rows with a partner in their cell.
 
     Rows of the same k1 are one line, not partners.
     """
     def run(batches):
         held, size = [], 0
         for batch in batches:
-            held.append([batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)])
+            cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            held.append(cols if len(cols) == 5 else [*cols, *np.zeros((2, batch.num_rows), np.int64)])
             size += batch.num_rows
             if size < at_once:
                 continue
             cols = [np.concatenate(x) for x in zip(*held)]
-            last = np.flatnonzero((cols[0] != cols[0][-1]) | (cols[1] != cols[1][-1]))
+            last = np.flatnonzero((cols[0] != cols[0][-1]) | (cols[3] != cols[3][-1]))
             last = int(last[-1]) + 1 if len(last) else 0
             if last:
                 yield from found([x[:last] for x in cols])
@@ -306,7 +309,7 @@ def _near_rows(max_bits: int, at_once: int = 1 << 17):
             yield from found([np.concatenate(x) for x in zip(*held)])
 
     def found(cols):
-        key, cell, role, fp, k1 = cols
+        key, fp, k1, cell, role = cols
         new = np.append(True, (key[1:] != key[:-1]) | (cell[1:] != cell[:-1]))
         starts = np.flatnonzero(new)
         sizes = np.diff(np.append(starts, len(key)))
@@ -342,11 +345,12 @@ def near_members(found: DataFrame, max_bits: int, cell_rows: int = 4096) -> Data
              .select("key", F.ceil(F.col("count") * _SAMPLE / cell_rows).alias("ways")))
     heavy = cut(heavy, "heavy")
     if heavy.isEmpty():
-        rows = rows.select("key", F.lit(0).cast("long").alias("cell"), "role", "fp", "k1")
+        # one number to sort by, which Spark does by its digits
+        rows = rows.select("key", "fp", "k1").repartition("key").sortWithinPartitions("key")
     else:
-        rows = cut_up(rows, heavy, "k1")
-    near = (rows.repartition("key", "cell").sortWithinPartitions("key", "cell", "role")
-            .mapInArrow(_near_rows(max_bits), "key long, k1 long, fp long"))
+        rows = (cut_up(rows, heavy, "k1").select("key", "fp", "k1", "cell", "role")
+                .repartition("key", "cell").sortWithinPartitions("key", "cell", "role"))
+    near = rows.mapInArrow(_near_rows(max_bits), "key long, k1 long, fp long")
     return cut(near.distinct(), "line-buckets")
 
 
@@ -368,43 +372,50 @@ def _verify(max_bits: int, similarity: float):
     """
     def run(batches):
         held: list[tuple] = []
-        place = None
+        place, links, apart = None, [], []
         for batch in batches:
             for row in zip(*[batch.column(i).to_pylist() for i in range(8)]):
                 if row[:2] != place:
-                    yield from forest(held)
+                    forest(held, links, apart)
                     held, place = [], row[:2]
                 held.append(row)
-        yield from forest(held)
-
-    def forest(rows):
-        if len(rows) < 2:
+            if len(links) + len(apart) > 5000:
+                yield found(links, apart)
+                links, apart = [], []
+        forest(held, links, apart)
+        if links or apart:
+            yield found(links, apart)
+
+    def forest(rows, links, apart):
+        """Adds (a, b) of the cell's forest to ``links``, and the lines not connected to its first one to ``apart``."""
+        n = len(rows)
+        if n < 2:
             return
-        role = np.array([r[3] for r in rows])
-        fps = np.array([r[6] for r in rows], np.int64).view(np.uint64)
-        label = np.arange(len(rows))
-        for i in range(len(rows)):
-            if role[i] == PROBE:
+        label = list(range(n))
+        prints = [r[6] & _WHOLE for r in rows]
+        probes = [k for k in range(n) if rows[k][3] == PROBE]
+        for i, row in enumerate(rows):
+            if row[3] == PROBE:
                 break
-            near = np.bitwise_count(fps ^ fps[i]) <= max_bits
-            near &= (role == PROBE) if role[i] == TABLE else (np.arange(len(rows)) > i)
-            for j in np.flatnonzero(near & (label != label[i])):
-                if label[j] != label[i] and similar(rows[i][7], rows[j][7], similarity):
+            for j in probes if row[3] == TABLE else range(i + 1, n):
+                if label[i] != label[j] and (prints[i] ^ prints[j]).bit_count() <= max_bits and similar(
+                        row[7], rows[j][7], similarity):
                     low, high = sorted((label[i], label[j]))
-                    label[label == high] = low
-        node = lambda at: pa.StructArray.from_arrays(
-            [pa.array([rows[k][4] for k in at], pa.int64()), pa.array([rows[k][5] for k in at], pa.int64())], ["k1", "k2"])
-        hit = np.flatnonzero(label != np.arange(len(rows)))
-        if len(hit):
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(hit), pa.int64()), node(hit), node(label[hit])], ["key", "a", "b"])
-        # role FIRST sorts first, so the bucket's first line has label 0
-        apart = np.flatnonzero(label != 0) if role[0] == FIRST else np.empty(0, int)
-        if len(apart):
-            key = pa.array([rows[k][0] for k in apart], pa.int64())
-            yield pa.RecordBatch.from_arrays([key, node(apart), pa.nulls(len(apart), LINK)], ["key", "a", "b"])
+                    label = [low if x == high else x for x in label]
+        links += [(rows[k][4:6], rows[x][4:6]) for k, x in enumerate(label) if x != k]
+        if rows[0][3] == FIRST:
+            apart += [(r[0], r[4:6]) for r, x in zip(rows, label) if x]
+
+    def found(links, apart):
+        node = lambda ids: pa.StructArray.from_arrays(
+            [pa.array([x for x, _ in ids], pa.int64()), pa.array([y for _, y in ids], pa.int64())], ["k1", "k2"])
+        linked_to = pa.concat_arrays([node([b for _, b in links]), pa.nulls(len(apart), LINK)])
+        key = pa.concat_arrays([pa.nulls(len(links), pa.int64()), pa.array([k for k, _ in apart], pa.int64())])
+        return pa.RecordBatch.from_arrays([key, node([a for a, _ in links] + [a for _, a in apart]), linked_to], ["key", "a", "b"])
     return run
 
 
+_WHOLE = (1 << 64) - 1
 FIRST = -1
 LINK = pa.struct([("k1", pa.int64()), ("k2", pa.int64())])
 LINKS = "key long, a struct<k1:long,k2:long>, b struct<k1:long,k2:long>"
@@ -466,8 +477,11 @@ def exhaustive_links(found: DataFrame, similarity: float, cell: int = CELL) -> D
 
 def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS,
                similarity: float = 0.8, exhaustive: bool = False) -> DataFrame:
-    """(doc_id, text_hash, kept): the numbers of the lines that stay, for each document with any."""
-    place = F.struct("doc_id", "text_hash", "line_no")
+    """(doc_id, text_hash, of, stay, kept) of each document that keeps any of its ``of`` lines with a word.
+
+    stay: how many it keeps; kept: their numbers, null if all stay.
+    """
+    place = F.struct("doc_id", "text_hash", "line_no", "of")
     found = cut(occurrences(docs, id_col, text_col), "occurrences")
     lines = cut(found.groupBy("k1", "k2").agg(F.min(place).alias("at")).select("k1", "k2", "at.*"), "lines")
     closed = components(exhaustive_links(found, similarity) if exhaustive else verified_links(found, max_bits, similarity))
@@ -476,8 +490,9 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     member = cut(member, "line-groups")
     best = member.groupBy("root").agg(F.min("at").alias("best"))
     gone = member.join(best, "root").where(~F.col("at").eqNullSafe(F.col("best"))).select("k1", "k2")
-    return (lines.select("k1", "k2", "doc_id", "text_hash", "line_no").join(gone, ["k1", "k2"], "left_anti")
-            .groupBy("doc_id", "text_hash").agg(F.collect_list("line_no").alias("kept")))
+    by_text = (lines.join(gone, ["k1", "k2"], "left_anti").groupBy("doc_id", "text_hash")
+               .agg(F.max("of").alias("of"), F.count("*").cast("int").alias("stay"), F.collect_list("line_no").alias("kept")))
+    return by_text.withColumn("kept", F.when(F.col("stay") < F.col("of"), F.col("kept")))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS,
@@ -492,20 +507,30 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     of lines with a word before and after. A line of so few features that it has no
     block of ``LEAST`` is compared for equality only, unless ``exhaustive``.
     """
-    mark, kept, part, blank = (free_name(docs, n) for n in ("text_hash", "kept", "parts", "blanks"))
-    found = kept_lines(docs, id_col, text_col, max_bits, similarity, exhaustive).select(
-        F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), F.col("kept").alias("_k"))
-    stays = F.coalesce(F.col("_k"), F.array().cast("array<int>")).alias(kept)
+    mark, kept, of, stay = (free_name(docs, n) for n in ("text_hash", "kept", "of", "stay"))
+    found = cut(kept_lines(docs, id_col, text_col, max_bits, similarity, exhaustive).select(
+        F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), F.col("of").alias("_o"), F.col("stay").alias("_s"),
+        F.col("kept").alias("_k")), "kept-lines")
+    size = found.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size(F.coalesce("_k", F.array().cast("array<int>")))),
+                                                         F.lit(0)).alias("m")).first()
+    if 64 * size["n"] + 4 * size["m"] <= SENT_BYTES:
+        found = F.broadcast(found)
     rows = docs.withColumn(mark, F.xxhash64(text_col)).alias("rows")
     match = F.col(f"rows.{id_col}").eqNullSafe(F.col("_d")) & (F.col(f"rows.{mark}") == F.col("_h"))
-    joined = rows.join(found, match, "left").select("rows.*", stays).withColumn(
-        part, F.split(F.col(text_col).cast("string"), "\n", -1))
-    blanks = F.filter(F.transform(part, lambda line, i: F.when(~line.rlike(NOT_BLANK), i)), lambda i: i.isNotNull())
+    joined = rows.join(found, match, "left").select("rows.*", F.col("_o").alias(of), F.col("_s").alias(stay), F.col("_k").alias(kept))
+    text = F.col(text_col).cast("string")
+    parts = F.split(text, "\n", -1)
+    blanks = F.filter(F.transform(parts, lambda line, i: F.when(~line.rlike(NOT_BLANK), i)), lambda i: i.isNotNull())
+    stays = F.coalesce(F.col(kept), F.array().cast("array<int>"))
     # the lines are picked by their sorted numbers, which stays cheap for a text of very many lines
-    out = joined.withColumn(blank, blanks).withColumn(text_col, F.array_join(F.transform(
-        F.array_sort(F.concat(kept, blank)), lambda i: F.get(part, i)), "\n"))
+    picked = F.array_join(F.transform(F.array_sort(F.concat(stays, blanks)), lambda i: F.get(parts, i)), "\n")
+    whole = F.coalesce(F.col(of) == F.col(stay), F.lit(False))
+    # a match is the rest of a line from its first word on, so there are as many as lines with a word
+    counted = F.coalesce(F.col(of), F.regexp_count(text, F.lit(NOT_BLANK + r"[^\n]*")), F.lit(0))
+    more = {}
     if lines_col:
-        out = out.withColumn(lines_col, F.coalesce(F.size(part) - F.size(blank), F.lit(0)).cast("long"))
+        more[lines_col] = counted.cast("long")
     if kept_col:
-        out = out.withColumn(kept_col, F.size(kept).cast("long"))
-    return out.drop(mark, kept, part, blank)
+        more[kept_col] = F.coalesce(stay, F.lit(0)).cast("long")
+    return (joined.withColumns(more) if more else joined).withColumn(
+        text_col, F.when(whole, text).otherwise(picked)).drop(mark, kept, of, stay)

@@ -82,3 +82,13 @@ def test_edge_rows(llm, edge, none):
     assert kept.columns == edge.columns and kept.count() == edge.count() - 3
     assert D.find_items(none, items).count() == 0 and D.find_items(edge, items.limit(0)).count() == 0
     assert D.drop_contaminated(edge, items.limit(0)).count() == edge.count()
+
+
+def test_items_too_short_to_be_evidence(llm):
+    docs = llm.createDataFrame([(1, "the cat sat"), (2, "what a passage of some length this is, the end"), (3, "none")],
+                               "doc_id long, text string")
+    items = llm.createDataFrame([(1, "the"), (2, "A passage  of some length this is"), (3, None), (4, " ")],
+                                "item_id long, text string")
+    assert [r.doc_id for r in D.drop_contaminated(docs, items, least_chars=D.LEAST_CHARS).orderBy("doc_id").collect()] == [1, 3]
+    assert [r.item_id for r in D.short_items(items).collect()] == [1]
+    assert [r.doc_id for r in D.drop_contaminated(docs, items).collect()] == [3]
