@@ -37,9 +37,10 @@ def simhash_near_dedup(spark, docs, sf_dir):
 
 
 def benchmark_decontamination(spark, docs, sf_dir):
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go; items too short to be evidence (``short_items``) count for nothing."""
     ship(spark)
-    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"),
+                                           least_chars=decontaminate.LEAST_CHARS)
 
 
 def bpe_encoding(spark, docs, sf_dir):
