@@ -56,8 +56,8 @@ SHORT_BYTES, FEW_WORDS = 80, 10
 CELL = 256
 #: Lines that a task remembers so as not to fingerprint them again.
 _REMEMBERED = 1 << 18
-#: Rows of candidate ids, and bytes of kept line numbers, that are sent to all tasks at most; more are shuffled.
-SENT_IDS, SENT_BYTES = 1 << 20, 64 << 20
+#: Rows of candidate ids that are sent to all tasks at most; more are shuffled.
+SENT_IDS = 1 << 20
 NOT_BLANK = r"[^\x20\x09-\x0D]"
 
 
@@ -488,8 +488,12 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     member = (closed.select("node.k1", "node.k2", "root").join(lines, ["k1", "k2"])
               .select("root", place.alias("at"), "k1", "k2"))
     member = cut(member, "line-groups")
-    best = member.groupBy("root").agg(F.min("at").alias("best"))
-    gone = member.join(best, "root").where(~F.col("at").eqNullSafe(F.col("best"))).select("k1", "k2")
+    # joined by place, of which each stands once, not by the group, which may be large
+    best = member.groupBy("root").agg(F.min("at").alias("b")).select(*[F.col(f"b.{c}").alias(f"best_{c}") for c in (
+        "doc_id", "text_hash", "line_no")])
+    first = (F.col("at.doc_id").eqNullSafe(F.col("best_doc_id")) & (F.col("at.text_hash") == F.col("best_text_hash"))
+             & (F.col("at.line_no") == F.col("best_line_no")))
+    gone = member.join(best, first, "left_anti").select("k1", "k2")
     by_text = (lines.join(gone, ["k1", "k2"], "left_anti").groupBy("doc_id", "text_hash")
                .agg(F.max("of").alias("of"), F.count("*").cast("int").alias("stay"), F.collect_list("line_no").alias("kept")))
     return by_text.withColumn("kept", F.when(F.col("stay") < F.col("of"), F.col("kept")))
@@ -507,30 +511,25 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     of lines with a word before and after. A line of so few features that it has no
     block of ``LEAST`` is compared for equality only, unless ``exhaustive``.
     """
-    mark, kept, of, stay = (free_name(docs, n) for n in ("text_hash", "kept", "of", "stay"))
-    found = cut(kept_lines(docs, id_col, text_col, max_bits, similarity, exhaustive).select(
+    mark, kept, of, stay, part, blank = (free_name(docs, n) for n in ("text_hash", "kept", "of", "stay", "parts", "blanks"))
+    found = kept_lines(docs, id_col, text_col, max_bits, similarity, exhaustive).select(
         F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), F.col("of").alias("_o"), F.col("stay").alias("_s"),
-        F.col("kept").alias("_k")), "kept-lines")
-    size = found.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size(F.coalesce("_k", F.array().cast("array<int>")))),
-                                                         F.lit(0)).alias("m")).first()
-    if 64 * size["n"] + 4 * size["m"] <= SENT_BYTES:
-        found = F.broadcast(found)
+        F.col("kept").alias("_k"))
     rows = docs.withColumn(mark, F.xxhash64(text_col)).alias("rows")
     match = F.col(f"rows.{id_col}").eqNullSafe(F.col("_d")) & (F.col(f"rows.{mark}") == F.col("_h"))
     joined = rows.join(found, match, "left").select("rows.*", F.col("_o").alias(of), F.col("_s").alias(stay), F.col("_k").alias(kept))
     text = F.col(text_col).cast("string")
-    parts = F.split(text, "\n", -1)
-    blanks = F.filter(F.transform(parts, lambda line, i: F.when(~line.rlike(NOT_BLANK), i)), lambda i: i.isNotNull())
+    whole = F.coalesce(F.col(of) == F.col(stay), F.lit(False))
+    # a text that loses nothing is not even split; the parts are a column, as an expression would be made anew for every line
+    split = joined.withColumn(part, F.when(~whole, F.split(text, "\n", -1)))
+    split = split.withColumn(blank, F.filter(F.transform(part, lambda line, i: F.when(~line.rlike(NOT_BLANK), i)),
+                                             lambda i: i.isNotNull()))
     stays = F.coalesce(F.col(kept), F.array().cast("array<int>"))
     # the lines are picked by their sorted numbers, which stays cheap for a text of very many lines
-    picked = F.array_join(F.transform(F.array_sort(F.concat(stays, blanks)), lambda i: F.get(parts, i)), "\n")
-    whole = F.coalesce(F.col(of) == F.col(stay), F.lit(False))
-    # a match is the rest of a line from its first word on, so there are as many as lines with a word
-    counted = F.coalesce(F.col(of), F.regexp_count(text, F.lit(NOT_BLANK + r"[^\n]*")), F.lit(0))
-    more = {}
+    picked = F.array_join(F.transform(F.array_sort(F.concat(stays, blank)), lambda i: F.get(part, i)), "\n")
+    more = {text_col: F.when(whole, text).otherwise(picked)}
     if lines_col:
-        more[lines_col] = counted.cast("long")
+        more[lines_col] = F.coalesce(F.col(of), F.size(part) - F.size(blank), F.lit(0)).cast("long")
     if kept_col:
         more[kept_col] = F.coalesce(stay, F.lit(0)).cast("long")
-    return (joined.withColumns(more) if more else joined).withColumn(
-        text_col, F.when(whole, text).otherwise(picked)).drop(mark, kept, of, stay)
+    return split.withColumns(more).drop(mark, kept, of, stay, part, blank)
