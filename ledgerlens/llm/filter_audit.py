@@ -11,7 +11,7 @@ difference of the worths with and without it, and every other count of a step
 is such a difference too.
 
 Texts are read in one pass without a shuffle. What is shuffled is one row of
-about 60 bytes a document: to the least id of its text's digest and to its
+about 60 bytes a document: to the place of its text's least id and to its
 label. Histograms are combined map-side, so parts and failure sets may be as
 uneven as they like.
 """
@@ -81,11 +81,11 @@ def failures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pa
                            F.coalesce(F.col(part_col).cast("string"), F.lit("")).alias("part"),
                            F.col(text_col).cast("string").alias("text")).mapInArrow(
         run, f"doc_id {kind}, part string, own int, digest binary"), "filter-failures")
-    # texts that stand at one id only need no row here
-    first = (rows.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-             .where("first < last").select("digest", "first"))
-    later = F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False))
-    return rows.join(first, "digest", "left").select(
+    # a text's least id is found map-side and joined by text and id together, so a text of very many rows is no hot key
+    first = rows.groupBy("digest").agg(F.min("doc_id").alias("first")).withColumnRenamed("digest", "of")
+    own = (F.col("digest") == F.col("of")) & (F.col("doc_id") == F.col("first"))
+    later = F.col("doc_id").isNotNull() & F.col("first").isNull()
+    return rows.join(first, own, "left").select(
         "doc_id", "part", F.col("own").bitwiseOR(F.when(later, 16).otherwise(0)).alias("fails"))
 
 
