@@ -141,7 +141,9 @@ def streamed_fact(spark: SparkSession, sf_dir: str, split: bool = False) -> Fact
         for batch, rows in reversed(batches) if split else batches:
             if split:
                 rows = rows.repartition(SPLIT_FILES, "l_partkey")
-            write_raw_csv(rows, f"{ingest.landing}/batch_date={batch}")
+            # what is dealt over few large files stays readable in pieces, and a file stays one micro-batch
+            plain = {"compression": "none", "max_rows": 0} if split else {}
+            write_raw_csv(rows, f"{ingest.landing}/batch_date={batch}", **plain)
             if not split:
                 ingest.run_available()
         if split:

@@ -28,6 +28,15 @@ SESSION_CONF = {
     "spark.sql.parquet.compression.codec": "zstd",
 }
 
+# Further settings of the bank queries. Their rows are some hundred bytes in memory
+# for about twenty in Parquet or gzip, so scans and shuffles are cut so that what one
+# task sorts stays in its share of memory.
+BANK_CONF = {
+    "spark.sql.files.maxPartitionBytes": "16m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m",
+}
+_CALLERS: dict[tuple[str, str], str | None] = {}
+
 
 def build_session(master: str = "local[*]", shuffle_partitions: int | None = None,
                   app_name: str = "ledgerlens", extra: dict | None = None) -> SparkSession:
@@ -48,8 +57,18 @@ def build_session(master: str = "local[*]", shuffle_partitions: int | None = Non
     return spark
 
 
-def apply_session_conf(spark: SparkSession) -> None:
-    """Apply the runtime SQL settings to a session the caller created."""
+def apply_session_conf(spark: SparkSession, bank: bool = False) -> None:
+    """Apply the runtime SQL settings to a session the caller created.
+
+    ``bank`` adds ``BANK_CONF``; without it the caller's own values of those stand again.
+    """
+    for key, value in BANK_CONF.items():
+        was = (spark.sparkContext.applicationId, key)
+        if bank:
+            _CALLERS.setdefault(was, spark.conf.get(key, None))
+            spark.conf.set(key, value)
+        elif was in _CALLERS:
+            spark.conf.unset(key) if _CALLERS[was] is None else spark.conf.set(key, _CALLERS[was])
     for key, value in SESSION_CONF.items():
         try:
             spark.conf.set(key, value)

@@ -14,6 +14,9 @@ from pyspark.sql import types as T
 
 from .contracts import Contract
 
+#: Rows of a landed part file, at most.
+FILE_ROWS = 500_000
+
 
 class Zones:
     def __init__(self, root: str):
@@ -55,10 +58,14 @@ def read_raw_csv(spark: SparkSession, path: str, contract: Contract,
                      *[F.col(c).try_cast(t).alias(c) for c, t in (extras or {}).items()])
 
 
-def write_raw_csv(df: DataFrame, path: str) -> None:
-    """A feed file as the generator writes it: header, one dataset per path."""
+def write_raw_csv(df: DataFrame, path: str, compression: str = "gzip", max_rows: int = FILE_ROWS) -> None:
+    """A feed file as the generator writes it: header, one dataset per path.
+
+    A compressed part is read by one task, so it holds at most ``max_rows`` rows (0: any number).
+    """
     out = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
-    out.write.mode("overwrite").option("header", True).csv(path)
+    (out.write.mode("overwrite").option("header", True).option("compression", compression)
+     .option("maxRecordsPerFile", max_rows).csv(path))
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
