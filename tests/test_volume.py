@@ -1,10 +1,15 @@
 """What the bank queries write and shuffle: landed files, merged rows, what a task sorts."""
 
+import datetime as dt
 import glob
 import gzip
 
+from pyspark.sql import functions as F
+
 from ledgerlens import session
-from ledgerlens.sources.contracts import CONTRACTS
+from ledgerlens.plans import tables
+from ledgerlens.plans.tables import FactTable
+from ledgerlens.sources.contracts import CONTRACTS, FACT_COLUMNS, FACT_SCHEMA
 from ledgerlens.sources.zones import read_raw_csv, write_raw_csv
 
 
@@ -23,6 +28,46 @@ def test_landed_files_are_compressed_and_bounded(spark, scratch):
     assert len(glob.glob(f"{scratch}/one.csv/*.csv")) == 1
 
 
+def _events(spark, n, days, first=0):
+    ids = spark.range(first, first + n, 1, 5).select(
+        F.concat(F.lit("T"), "id").alias("transaction_id"),
+        F.expr(f"date_add(date'2026-04-01', cast(id % {days} as int))").alias("transaction_date"),
+        F.col("id").cast("double").alias("amount"))
+    kinds = {f.name: f.dataType for f in FACT_SCHEMA}
+    return ids.select(*[F.col(c) if c in ids.columns else F.lit(None).cast(kinds[c]).alias(c) for c in FACT_COLUMNS])
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rows_of_few_partitions_are_not_shuffled_by_a_merge(spark, scratch, monkeypatch):
+    fact = FactTable(spark, f"{scratch}/fact")
+    source = _events(spark, 40, 4).withColumn("part", fact._part())
+    assert "Rebalance" not in _plan(fact._dealt(source, 40, 4))
+    monkeypatch.setattr(tables, "TASK_ROWS", 20)
+    monkeypatch.setattr(tables, "LEAST_ROWS", 5)
+    monkeypatch.setattr(tables, "FILE_ROWS", 3)
+    few, many = fact._dealt(source, 40, 4), fact._dealt(source, 40, 10)
+    assert "Rebalance" not in _plan(few) and few.rdd.getNumPartitions() == 3
+    assert "Rebalance" in _plan(many)
+
+
+def test_merges_of_dealt_and_rebalanced_rows_agree(spark, scratch, monkeypatch):
+    def state(path):
+        fact = FactTable(spark, path)
+        fact.merge(_events(spark, 60, 6))
+        fact.merge(_events(spark, 30, 4, 20).withColumn("amount", F.lit(1.0)))
+        fact.merge(spark.createDataFrame([], FACT_SCHEMA))
+        return sorted((r.transaction_id, r.transaction_date, r.amount) for r in fact.read().collect())
+
+    want = {f"T{i}": (dt.date(2026, 4, 1 + i % (4 if 20 <= i < 50 else 6)), 1.0 if 20 <= i < 50 else float(i)) for i in range(60)}
+    dealt = state(f"{scratch}/dealt")
+    monkeypatch.setattr(tables, "TASK_ROWS", 0)
+    monkeypatch.setattr(tables, "SMALL_KEYS", 0)
+    assert dealt == state(f"{scratch}/rebalanced") == sorted((k, *v) for k, v in want.items())
+
+
 def test_bank_settings_end_where_the_corpus_begins(spark):
     key = "spark.sql.files.maxPartitionBytes"
     session.apply_session_conf(spark)
