@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from ledgerlens import session
 from ledgerlens.plans import tables
 from ledgerlens.plans.tables import FactTable
-from ledgerlens.sources.contracts import CONTRACTS, FACT_COLUMNS, FACT_SCHEMA
+from ledgerlens.sources.contracts import CONTRACTS, FACT_COLUMNS, FACT_SCHEMA, Sort
+from ledgerlens.sources.testbridge import raw_transactions
 from ledgerlens.sources.zones import read_raw_csv, write_raw_csv
 
 
@@ -76,3 +77,44 @@ def test_bank_settings_end_where_the_corpus_begins(spark):
     assert {k: spark.conf.get(k) for k in session.BANK_CONF} == session.BANK_CONF
     session.apply_session_conf(spark)
     assert spark.conf.get(key) == before
+
+
+def test_a_large_batch_with_few_matches_shuffles_no_whole_row(spark, scratch, monkeypatch):
+    """The batch's keys are too many to send, those it has in common with the target are not."""
+    monkeypatch.setattr(tables, "SMALL_KEYS", 40 * (tables.ROW_BYTES + 4))
+    monkeypatch.setattr(tables, "TASK_ROWS", 0)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    plans, real = [], tables.upsert
+
+    def spied(*args, **named):
+        out = real(*args, **named)
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+    monkeypatch.setattr(tables, "upsert", spied)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = FactTable(spark, f"{scratch}/fact")
+        order = (Sort("amount", descending=True),)
+        fact.merge(_events(spark, 100, 4), order=order)
+        # of 100 rows the first ten come after their target row, ten before it, the others are new
+        later = _events(spark, 100, 5, 80).withColumn("amount", F.col("amount") + F.when(F.col("amount") < 90, -1.0).otherwise(1.0))
+        fact.merge(later, order=order)
+        got = {r.transaction_id: (r.transaction_date.day, r.amount) for r in fact.read().collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert got == {f"T{i}": (1 + i % 4, float(i)) if i < 90 else (1 + i % 5, i + 1.0) for i in range(180)}
+    assert "BroadcastHashJoin" in plans[-1] and "SortMergeJoin" not in plans[-1]
+
+
+def test_feed_is_dealt_over_files_before_its_numbers_are_text(spark, scratch):
+    spark.range(60).selectExpr(
+        "id % 20 l_orderkey", "id % 7 l_partkey", "id % 3 l_suppkey", "cast(id % 4 AS int) l_linenumber", "1.5D l_quantity",
+        "id * 2.5D l_extendedprice", "0.1D l_discount", "0.2D l_tax", "'R' l_returnflag", "'O' l_linestatus",
+        "timestamp'1998-01-01' + make_interval(0, 0, 0, cast(id AS int)) l_shipdate").write.parquet(f"{scratch}/lineitem.parquet")
+    spark.range(18).selectExpr("id o_orderkey", "id o_custkey", "'F' o_orderstatus").write.parquet(f"{scratch}/orders.parquet")
+    dealt = raw_transactions(spark, scratch, 3)
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, raw_transactions(spark, scratch).collect()))
+    places = dealt.select("l_partkey", F.spark_partition_id().alias("p")).distinct().collect()
+    assert dealt.rdd.getNumPartitions() == 3 and len({r.l_partkey for r in places}) == len(places) == 7
+    plan = dealt._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("AS transaction_id") < plan.index("RepartitionByExpression")
