@@ -15,7 +15,11 @@ NAMES = ("embed", "wx", "bx", "u", "wc", "bc", "wo", "bo")
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+    """Overwrites ``x``."""
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 def initial(mass: np.ndarray, size: int, hidden: int, seed: int = 3) -> dict[str, np.ndarray]:
@@ -34,18 +38,23 @@ def initial(mass: np.ndarray, size: int, hidden: int, seed: int = 3) -> dict[str
 
 
 def _steps(p, gates, h):
-    """States after each step; ``gates`` (T, B, 3H) is the input's part."""
+    """(states before the first step and after each, z, r, c, the state's part of c) of all steps; ``gates`` (T, B, 3H) is the input's part."""
     n = h.shape[1]
-    out, kept = np.empty((len(gates), *h.shape), h.dtype), []
+    states = np.empty((len(gates) + 1, *h.shape), h.dtype)
+    z, r, c, own = (np.empty_like(states[1:]) for _ in range(4))
+    states[0] = h
     for t, g in enumerate(gates):
-        a = h @ p["u"]
-        zr = _sigmoid(g[:, :2 * n] + a[:, :2 * n])
-        z, r = zr[:, :n], zr[:, n:]
-        c = np.tanh(g[:, 2 * n:] + r * a[:, 2 * n:])
-        kept.append((h, z, r, c, a[:, 2 * n:]))
-        h = c + z * (h - c)
-        out[t] = h
-    return out, kept
+        a = states[t] @ p["u"]
+        own[t] = a[:, 2 * n:]
+        x = _sigmoid(np.add(a[:, :2 * n], g[:, :2 * n]))
+        z[t], r[t] = x[:, :n], x[:, n:]
+        y = np.multiply(r[t], own[t], out=c[t])
+        y += g[:, 2 * n:]
+        np.tanh(y, out=y)
+        new = np.subtract(states[t], y, out=states[t + 1])
+        new *= z[t]
+        new += y
+    return states, z, r, c, own
 
 
 def _exps(x: np.ndarray, w: np.ndarray, small: bool) -> np.ndarray:
@@ -56,6 +65,11 @@ def _exps(x: np.ndarray, w: np.ndarray, small: bool) -> np.ndarray:
     return np.exp(e, out=e)
 
 
+def _short(units: np.ndarray) -> np.ndarray:
+    """Units as 16-bit numbers where they are, which are sorted by their digits."""
+    return units.astype(np.uint16) if len(units) and units.max() < 1 << 16 else units
+
+
 def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(values, starts) of the runs of a sorted array."""
     starts = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
@@ -65,92 +79,110 @@ def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _outputs(p, flat: np.ndarray, want: np.ndarray, size: int):
     """(log-likelihood, gradient to the states, gradients of wc, bc, wo, bo) of the two factors of the softmax.
 
-    Rows are put in the order of their unit, so a class is a slice and what a
-    unit was wanted for is a run. A softmax's gradient is its weighted
-    exponentials less those wanted rows; the exponentials are never normalised themselves.
+    Rows are put in the order of their unit, so a class is a slice. A softmax's
+    gradient is its probabilities less one at what was wanted.
     """
     n = flat.shape[1]
-    order = np.argsort(want, kind="stable")
+    order = np.argsort(_short(want), kind="stable")
     want = want[order]
-    states = np.concatenate([flat[order], np.ones((len(order), 1), flat.dtype)], 1)
+    states = np.empty((len(order), n + 1), flat.dtype)
+    states[:, :n] = flat.take(order, axis=0)
+    states[:, n] = 1
     wc = np.concatenate([p["wc"], p["bc"][None]])
     wo = np.concatenate([p["wo"], p["bo"][:, None]], 1)
     # states lie in (-1, 1), which bounds every logit
-    small = max(np.abs(wc).sum(0).max(), np.abs(wo).sum(1).max()) < 80
+    small = max(np.abs(wc).sum(0).max(), (np.abs(wo) @ np.ones(n + 1, wo.dtype)).max()) < 80
     cls = want // size
+    within = want - cls * size
     present, first = _runs(cls)
-    e = _exps(states, wc, small)
-    rows = np.arange(len(want))
-    total = e @ np.ones(e.shape[1], e.dtype)
-    log = float(np.log(e[rows, cls] / total).sum())
-    share = states / total[:, None]
-    gc = share.T @ e
-    gc[:, present] -= np.add.reduceat(states, first).T
-    back = (e @ wc.T) / total[:, None] - wc.T[cls]
+    rows, ones = np.arange(len(want)), np.ones(max(size, wc.shape[1]), flat.dtype)
+    got = np.empty((2, len(want)), flat.dtype)
+
+    def error(e, at, own, out):
+        """Turns exponentials into probabilities less one where wanted; the wanted probabilities go to ``out``."""
+        e *= (1 / (e @ ones[:e.shape[1]]))[:, None]
+        hit = e[own, at]
+        out[:] = hit
+        e[own, at] = hit - 1
+        return e
+
+    e = error(_exps(states, wc, small), cls, rows, got[0])
+    gc = states.T @ e
+    back = e @ np.ascontiguousarray(wc.T)
     go = np.zeros_like(wo)
     for c, s, t in zip(present, first, [*first[1:], len(want)]):
         own, block = states[s:t], wo[c * size:(c + 1) * size]
-        e = _exps(own, block.T, small)
-        total = e @ np.ones(size, e.dtype)
-        log += float(np.log(e[np.arange(t - s), want[s:t] - c * size] / total).sum())
-        go[c * size:(c + 1) * size] = e.T @ (own / total[:, None])
-        back[s:t] += (e @ block) / total[:, None]
-    units, first = _runs(want)
-    go[units] -= np.add.reduceat(states, first)
-    back -= wo[want]
+        e = error(_exps(own, block.T, small), within[s:t], rows[:t - s], got[1, s:t])
+        np.matmul(e.T, own, out=go[c * size:(c + 1) * size])
+        back[s:t] += e @ block
     out = np.empty((len(want), n), flat.dtype)
     out[order] = back[:, :n]
-    return log, out, {"wc": gc[:n], "bc": gc[n], "wo": go[:, :n], "bo": go[:, n]}
+    return float(np.log(got).sum()), out, {"wc": gc[:n], "bc": gc[n], "wo": go[:, :n], "bo": go[:, n]}
 
 
 def train_window(p, state, size, inputs, targets, rate, h):
     """One update on a window; ``inputs``, ``targets`` (T, B), target -1 is none. Returns (state, log-likelihood)."""
     length, batch = inputs.shape
     n = h.shape[1]
-    x = p["embed"][inputs]
-    hs, kept = _steps(p, x @ p["wx"] + p["bx"], h)
+    x = p["embed"].take(inputs, axis=0)
+    states, z, r, c, own = _steps(p, x @ p["wx"] + p["bx"], h)
+    hs, befores = states[1:], states[:-1]
     live = targets.ravel() >= 0
     if not live.any():
         return hs[-1], 0.0
-    total, back, outer = _outputs(p, hs.reshape(-1, n)[live], targets.ravel()[live], size)
-    into = np.zeros((length * batch, n), hs.dtype)
-    into[live] = back
-    into = into.reshape(length, batch, n)
-    dgates, da = np.empty((2, length, batch, 3 * n), hs.dtype)
-    carry, turned = np.zeros_like(h), np.ascontiguousarray(p["u"].T)
+    whole = live.all()
+    total, back, outer = _outputs(p, hs.reshape(-1, n) if whole else hs.reshape(-1, n)[live], targets.ravel()[live], size)
+    into = back
+    if not whole:
+        into = np.zeros((length * batch, n), hs.dtype)
+        into[live] = back
+    into = into.reshape(length, batch, 1, n)
+    # what a state's gradient is multiplied by on its way to z, r and c, for all steps at once
+    ways = np.empty((length, batch, 3, n), hs.dtype)
+    to_c = (1 - z) * (1 - c * c)
+    np.multiply(befores - c, z * (1 - z), out=ways[:, :, 0])
+    np.multiply(to_c, own * r * (1 - r), out=ways[:, :, 1])
+    np.multiply(to_c, r, out=ways[:, :, 2])
+    carry, turned = np.zeros((batch, n), hs.dtype), np.ascontiguousarray(p["u"].T)
     for t in range(length - 1, -1, -1):
-        before, z, r, c, a = kept[t]
-        d = carry + into[t]
-        dc = d * (1 - z) * (1 - c * c)
-        np.multiply(d, (before - c) * z * (1 - z), out=dgates[t, :, :n])
-        np.multiply(dc, a * r * (1 - r), out=dgates[t, :, n:2 * n])
-        dgates[t, :, 2 * n:] = dc
-        da[t] = dgates[t]
-        da[t, :, 2 * n:] *= r
-        carry = d * z + da[t] @ turned
-    flat = dgates.reshape(-1, 3 * n)
-    befores = np.stack([k[0] for k in kept]).reshape(-1, n)
-    grads = {"wc": outer["wc"], "bc": outer["bc"], "u": befores.T @ da.reshape(-1, 3 * n), "wx": x.reshape(-1, n).T @ flat,
-             "bx": flat.sum(0)}
-    dx = flat @ p["wx"].T
+        d = into[t]
+        d[:, 0] += carry
+        ways[t] *= d
+        carry = ways[t].reshape(batch, 3 * n) @ turned
+        z[t] *= d[:, 0]
+        carry += z[t]
+    da = ways.reshape(-1, 3 * n)
+    grads = {"wc": outer["wc"], "bc": outer["bc"], "u": befores.reshape(-1, n).T @ da}
+    # the input's part of c is not scaled by r
+    np.multiply(into[:, :, 0], to_c, out=ways[:, :, 2])
+    grads |= {"wx": x.reshape(-1, n).T @ da, "bx": np.ones(len(da), da.dtype) @ da}
+    dx = da @ p["wx"].T
     for name in ("wo", "bo"):
-        g = outer[name] / batch
-        state[name] += g * g
-        p[name] -= rate * g / np.sqrt(state[name])
+        _adapt(p[name], state[name], outer[name] / batch, rate)
     for name, g in grads.items():
         g = g / batch
         norm = float(np.sqrt((g * g).sum()))
-        g = g if norm < 5 else g * (5 / norm)
-        state[name] += g * g
-        p[name] -= rate * g / np.sqrt(state[name])
-    order = np.argsort(inputs.ravel(), kind="stable")
+        _adapt(p[name], state[name], g if norm < 5 else g * (5 / norm), rate)
+    order = np.argsort(_short(inputs.ravel()), kind="stable")
     ids, first = _runs(inputs.ravel()[order])
-    g = np.add.reduceat(dx[order], first) / batch
-    state["embed"][ids] += g * g
-    p["embed"][ids] -= rate * g / np.sqrt(state["embed"][ids])
+    g = np.add.reduceat(dx.take(order, axis=0), first) / batch
+    sums = state["embed"].take(ids, axis=0)
+    sums += g * g
+    state["embed"][ids] = sums
+    p["embed"][ids] -= rate * g / np.sqrt(sums)
     return hs[-1], total
 
 
+def _adapt(p: np.ndarray, state: np.ndarray, g: np.ndarray, rate: float) -> None:
+    """One step of ``p`` against ``g``, by the sums of squares ``state``; all in place, ``g`` too."""
+    root = g * g
+    state += root
+    np.sqrt(state, out=root)
+    g *= rate
+    g /= root
+    p -= g
+
+
 def fresh_state(p) -> dict[str, np.ndarray]:
     """Sums of squared gradients for the step sizes, before any."""
     return {k: np.full_like(v, 1e-3) for k, v in p.items()}
@@ -193,14 +225,15 @@ class Scorer:
         out = x[np.arange(len(want)), cls]
         out -= self._log_sum(x)
         wo, bo = p["wo"].reshape(-1, size, n), p["bo"].reshape(-1, size)
-        order = np.argsort(cls, kind="stable")
-        present, first = np.unique(cls[order], return_index=True)
-        states, at = states[order], (want - cls * size)[order]
+        order = np.argsort(_short(cls), kind="stable")
+        present, first = _runs(cls[order])
+        states, at = states.take(order, axis=0), (want - cls * size)[order]
         part = np.empty(len(want), np.float32)
+        rows = np.arange(len(want))
         for c, s, e in zip(present, first, [*first[1:], len(want)]):
             x = states[s:e] @ wo[c].T
             x += bo[c]
-            part[s:e] = x[np.arange(e - s), at[s:e]]
+            part[s:e] = x[rows[:e - s], at[s:e]]
             part[s:e] -= self._log_sum(x)
         out[order] += part
         return out
@@ -239,12 +272,12 @@ class Scorer:
             state = h[:live]
             for t in range(steps):
                 a = state @ self.p["u"]
-                g = self.gates[inputs[t]]
-                a[:, :2 * n] += g[:, :2 * n]
-                zr = _sigmoid(a[:, :2 * n])
+                g = self.gates.take(inputs[t], axis=0)
+                zr = _sigmoid(np.add(a[:, :2 * n], g[:, :2 * n], out=g[:, :2 * n]))
                 c = np.tanh(g[:, 2 * n:] + zr[:, n:] * a[:, 2 * n:])
-                state = c + zr[:, :n] * (state - c)
-                hs[t] = state
+                state = np.subtract(state, c, out=hs[t])
+                state *= zr[:, :n]
+                state += c
             own = np.nonzero(valid)
             logs = np.empty(len(own[0]))
             states, want = hs[own], targets[own]

@@ -62,6 +62,21 @@ def test_gradients():
         assert abs(g[at] - (loss(up) - loss(down)) / 2e-5) < 1e-3 * max(1, abs(g[at])), k
 
 
+def test_steps_are_kept_as_arrays_of_all_steps():
+    p, rng = net(), np.random.default_rng(5)
+    n = p["u"].shape[0]
+    gates, h = rng.normal(size=(6, 3, 3 * n)), rng.normal(size=(3, n))
+    states, z, r, c, own = gru._steps(p, gates, h)
+    assert states.shape == (7, 3, n) and all(x.shape == (6, 3, n) and x.flags.c_contiguous for x in (z, r, c, own))
+    for t in range(6):
+        a = h @ p["u"]
+        zt, rt = (1 / (1 + np.exp(-gates[t, :, k * n:(k + 1) * n] - a[:, k * n:(k + 1) * n])) for k in range(2))
+        ct = np.tanh(gates[t, :, 2 * n:] + rt * a[:, 2 * n:])
+        h = ct + zt * (h - ct)
+        for got, want in ((states[t + 1], h), (z[t], zt), (r[t], rt), (c[t], ct), (own[t], a[:, 2 * n:])):
+            assert np.abs(got - want).max() < 1e-5
+
+
 def words(text):
     return (text or "").encode().lower().split() + [b""]
 
