@@ -12,7 +12,8 @@ or fewer (half of what unlike lines do). How many blocks a line has follows its
 number of features on a scale of steps; near a step it has the blocks of both.
 
 Candidates are verified by edit similarity, ``1 - distance / longer length`` over
-the normalised characters, of at least ``similarity``. Of each connected group,
+the normalised characters, of at least ``similarity``; those that an alignment word by
+word does not prove are computed many side by side. Of each connected group,
 and of equal lines, the occurrence of the smallest (document id, text hash, line
 number) stays; all others go. ``exhaustive=True`` takes all pairs of lines as
 candidates instead, in cells, for recall tests and small corpora.
@@ -54,11 +55,15 @@ MAX_BITS = 16
 SHORT_BYTES, FEW_WORDS = 80, 10
 #: Lines verified together.
 CELL = 256
+#: Characters of lines whose cells are verified side by side.
+_AT_ONCE = 1 << 25
 #: Lines that a task remembers so as not to fingerprint them again.
 _REMEMBERED = 1 << 18
+#: Keys of a part, on average, and of a packed batch.
+PART_KEYS = 1 << 19
 #: Rows of candidate ids that are sent to all tasks at most; more are shuffled.
 SENT_IDS = 1 << 20
-NOT_BLANK = r"[^\x20\x09-\x0D]"
+BLANKS = " \t\n\x0b\x0c\r"
 
 
 def normal_line(line: bytes) -> bytes:
@@ -66,6 +71,25 @@ def normal_line(line: bytes) -> bytes:
     return b" ".join(line.translate(_FOLD).split()) or b"\0".join(line.split())
 
 
+_FOLD_LINES = bytes(10 if b == 10 else 32 if chr(b).isspace() and b < 128 and b not in range(28, 32) else x for b, x in enumerate(_FOLD))
+
+
+def normal_lines(texts: list[bytes]) -> list[bytes]:
+    """``normal_line`` of every line of the texts, one text after the other."""
+    whole = b"\n".join(texts)
+    data = np.frombuffer(whole.translate(_FOLD_LINES) + b"\n", np.uint8)
+    space = data == 32
+    # of a run of spaces its last stays, unless a line's end follows
+    stays = ~(space[:-1] & (space | (data == 10))[1:])
+    forms = data[:-1][stays].tobytes().replace(b"\n ", b"\n").removeprefix(b" ").split(b"\n")
+    empty = [k for k, form in enumerate(forms) if not form]
+    if empty:
+        lines = whole.split(b"\n")
+        for k in empty:
+            forms[k] = normal_line(lines[k])
+    return forms
+
+
 def _ones(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     """(groups, 64): how many hashes of each group have bit b; a group holds at most 255 in all but made-up cases."""
     lanes = np.add.reduceat(LANES[hashes.astype("<u8").view(np.uint8).reshape(-1, 8)], first, axis=0)
@@ -73,7 +97,8 @@ def _ones(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def _bits(ones: np.ndarray, size: np.ndarray) -> np.ndarray:
-    return np.packbits(2 * ones.astype(np.int64) > size[:, None], axis=1, bitorder="little").view("<u8")[:, 0]
+    half = np.minimum(size // 2, np.iinfo(ones.dtype).max).astype(ones.dtype)
+    return np.packbits(ones > half[:, None], axis=1, bitorder="little").view("<u8")[:, 0]
 
 
 def _blocks(line: np.ndarray, features: np.ndarray, lines: int, salt: int):
@@ -90,7 +115,7 @@ def _blocks(line: np.ndarray, features: np.ndarray, lines: int, salt: int):
         parts = np.maximum(2, np.rint(STEP ** step)).astype(np.uint64)
         group = (mixed(hashed) >> np.uint64(32)) % parts[own]
         # a line's features in the order of their blocks; both fit 24 bits, as a span is under a megabyte or one line
-        order = np.argsort(own.astype(np.uint64) << np.uint64(24) | group, kind="stable")
+        order = np.argsort(own.astype(np.uint64) << np.uint64(24) | group)
         own, hashed, group = own[order], hashed[order], group[order]
         new = np.append(True, (own[1:] != own[:-1]) | (group[1:] != group[:-1]))
         first = np.flatnonzero(new)
@@ -99,7 +124,8 @@ def _blocks(line: np.ndarray, features: np.ndarray, lines: int, salt: int):
         at, of = own[first], group[first]
         if whole is None:
             starts = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-            sums = np.add.reduceat(ones, starts, axis=0, dtype=np.int64)
+            kind = np.uint16 if count.max() < 1 << 16 else np.int64
+            sums = np.add.reduceat(ones.astype(kind), starts, axis=0, dtype=kind)
             whole = at[starts], _bits(sums, count[at[starts]])
         ok = size >= LEAST
         rows.append(at[ok])
@@ -131,11 +157,13 @@ def line_prints(forms: list[bytes]) -> tuple[list, list, list]:
         (at, key), (own, fp) = _blocks(line, feature, e - s, 1)
         words.append((own + s, fp))
         keys.append((at + s, key & ~np.uint64(1)))
-        few = (np.diff(np.append(-1, ends)) <= SHORT_BYTES) | (np.bincount(line, minlength=e - s) < FEW_WORDS)
+        size = np.diff(np.append(-1, ends))
+        few = (size <= SHORT_BYTES) | (np.bincount(line, minlength=e - s) < FEW_WORDS)
         if few.any():
-            of = np.cumsum(breaks) - breaks
-            wide = data.astype(np.uint64)
-            inside = few[of[:-2]] & ~(breaks[:-2] | breaks[1:-1] | breaks[2:])
+            pick = np.repeat(few, size)
+            wide, breaks = data[pick].astype(np.uint64), breaks[pick]
+            of = np.repeat(np.flatnonzero(few), size[few])
+            inside = ~(breaks[:-2] | breaks[1:-1] | breaks[2:])
             code = (wide[:-2] << np.uint64(16) | wide[1:-1] << np.uint64(8) | wide[2:])[inside]
             (at, key), (own, fp) = _blocks(*_distinct(of[:-2][inside], mixed(code) >> np.uint64(24)), e - s, 2)
             triples.append((own + s, fp))
@@ -181,6 +209,130 @@ def edit_distance(a: str, b: str, limit: int | None = None) -> int:
     return score
 
 
+def within_edits(pairs: list[tuple[str, str, int]]) -> list[bool]:
+    """Whether the Levenshtein distance of each (a, b, limit) is ``limit`` or less; pairs of like length side by side."""
+    out = [False] * len(pairs)
+    short: list[tuple[str, str, int, int]] = []
+    for k, (a, b, limit) in enumerate(pairs):
+        n = _common(a, b)
+        a, b = a[n:], b[n:]
+        n = _common(a[::-1], b[::-1])
+        a, b = sorted((a[:len(a) - n], b[:len(b) - n]), key=len)
+        # no more than the longer text's letters change
+        limit = min(limit, len(b))
+        if a and len(b) - len(a) <= limit:
+            short.append((a, b, limit, k))
+        else:
+            out[k] = len(b) - len(a) <= limit and len(b) <= limit
+    short.sort(key=lambda x: (-len(x[1]), x[3]))
+    s = 0
+    while s < len(short):
+        # a band is as wide as its widest, so texts of like length go together
+        size, e = len(short[s][1]), s + 1
+        while e < len(short) and e - s < _SIDE_BY_SIDE and (3 * len(short[e][1]) > size or size < 64):
+            e += 1
+        part, s = short[s:e], e
+        letters = {c for a, b, _, _ in part for c in a}
+        if len(part) < _FEWEST or len(letters) * len(part) * len(part[0][1]) > _MASKS:
+            found = [edit_distance(a, b, limit) <= limit for a, b, limit, _ in part]
+        else:
+            found = _side_by_side(part)
+        for x, near in zip(part, found):
+            out[x[3]] = bool(near)
+    return out
+
+
+#: Most pairs side by side, the fewest that are worth it, bits of all their letters' masks.
+_SIDE_BY_SIDE, _FEWEST, _MASKS = 1 << 11, 24, 1 << 28
+
+
+def _letters(texts: list[str]) -> np.ndarray:
+    return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")
+
+
+def _side_by_side(pairs: list[tuple]) -> np.ndarray:
+    """``within_edits`` of (a, b, limit, ...), a not empty nor longer than b, the longest b first.
+
+    Myers' bit vectors over a band that moves down a letter a step (Hyyro), for all pairs at once, words of 64 bits.
+    What leaves the band costs more than any limit, and no score in it is too low.
+    """
+    m, n, limit = (np.array(x) for x in zip(*[(len(a), len(b), limit) for a, b, limit, *_ in pairs]))
+    apart, count, steps = n - m, len(pairs), int(n[0])
+    # rows of the band above and below the diagonal that starts in the corner
+    above, below = int(((limit + apart) // 2).max()), int(((limit - apart) // 2).max())
+    words, front = (above + below) // 64 + 1, -(-above // 64) * 64
+    wide, long = (_letters([p[k] for p in pairs]) for k in range(2))
+    kinds, code = np.unique(np.concatenate([wide, long]), return_inverse=True)
+    pair, place = _places(m)
+    place += front
+    masks = np.zeros(((steps + front) // 64 + words + 2, count * len(kinds)), np.uint64)
+    np.add.at(masks, (place >> 6, pair * len(kinds) + code[:len(wide)]), np.uint64(1) << (place & 63).astype(np.uint64))
+    pair, place = _places(n)
+    rows = np.zeros((steps, count), np.int64)
+    rows[place, pair] = pair * len(kinds) + code[len(wide):]
+    bit = lambda k: np.uint64(k % 64)
+    up, down = np.zeros((words, count), np.uint64), np.zeros((words, count), np.uint64)
+    up[above // 64:] = ~np.uint64(0)
+    up[above // 64] <<= bit(above)
+    one, top, corner = np.uint64(1), np.uint64(63), bit(above)
+    equal = np.zeros(count, np.uint64)
+    live = np.searchsorted(-n, -np.arange(steps), "left")
+    for t, (row, k) in enumerate(zip(rows, live)):
+        p, d = up[:, :k], down[:, :k]
+        first = t - above + front
+        eq = masks[first // 64:first // 64 + words + 1].take(row[:k], axis=1)
+        if first % 64:
+            high = eq[1:] << bit(64 - first % 64)
+            eq = eq[:-1]
+            eq >>= bit(first)
+            eq |= high
+        else:
+            eq = eq[:-1]
+        same = eq & p
+        same += p
+        if words > 1:
+            over = same < p
+            for w in range(1, words):
+                same[w] += over[w - 1]
+                over[w] |= over[w - 1] & (same[w] == 0)
+        same ^= p
+        same |= eq
+        same |= d
+        equal[:k] += same[above // 64] >> corner & one
+        more = same | p
+        np.invert(more, out=more)
+        more |= d
+        p &= same
+        if words > 1:
+            high = same[1:] << top
+        same >>= one
+        if words > 1:
+            same[:-1] |= high
+        np.bitwise_and(same, more, out=d)
+        same |= more
+        np.invert(same, out=same)
+        p |= same
+    # from the diagonal up to the first text's last letter
+    score = n - equal.astype(np.int64)
+    for w in range(words):
+        low, high = (np.clip(x - 64 * w, 0, 64) for x in (above - apart, above))
+        own = _below(high) & ~_below(low)
+        score -= np.bitwise_count(up[w] & own).astype(np.int64) - np.bitwise_count(down[w] & own)
+    return score <= limit
+
+
+def _below(bits) -> np.ndarray:
+    """The lowest ``bits`` bits, 64 at most."""
+    bits = np.asarray(bits).astype(np.uint64)
+    return np.where(bits < 64, (np.uint64(1) << (bits & np.uint64(63))) - np.uint64(1), ~np.uint64(0))
+
+
+def _places(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text, place) of each letter of texts one after the other."""
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    return text, np.arange(len(text)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
 def _common(a: str, b: str) -> int:
     low, high = 0, min(len(a), len(b))
     while low < high:
@@ -198,13 +350,19 @@ def edited_words(a: str, b: str, limit: int) -> bool:
     True proves the distance; False says nothing.
     """
     x, y = a.split(" "), b.split(" ")
+    m, n = len(x), len(y)
+    # past the ends stand things that equal nothing
+    x += _PAST[0]
+    y += _PAST[1]
     i = j = spent = 0
-    while i < len(x) and j < len(y):
-        if x[i] == y[j]:
-            i, j = i + 1, j + 1
-            continue
+    while True:
+        while x[i] == y[j]:
+            i += 1
+            j += 1
+        if i >= m or j >= n:
+            break
         for p, q in _SKIPS:
-            if i + p < len(x) and j + q < len(y) and x[i + p] == y[j + q]:
+            if x[i + p] == y[j + q]:
                 break
         else:
             p = q = 1
@@ -212,17 +370,23 @@ def edited_words(a: str, b: str, limit: int) -> bool:
         if spent > limit:
             return False
         i, j = i + p, j + q
-    return spent + sum(map(len, x[i:])) + len(x) - i + sum(map(len, y[j:])) + len(y) - j <= limit
+    return spent + sum(map(len, x[i:m])) + m - i + sum(map(len, y[j:n])) + n - j <= limit
 
 
+_PAST = [0] * 4, [1] * 4
 #: Words left out on either side up to the next equal pair, fewest first.
 _SKIPS = sorted(((p, q) for p in range(4) for q in range(4) if p or q), key=lambda s: (s[0] + s[1], abs(s[0] - s[1])))
 
 
+def allowed_edits(a: str, b: str, similarity: float) -> int:
+    """How many edits two lines may differ in; -1 if their lengths alone are too far apart."""
+    allowed = int((1 - similarity) * max(len(a), len(b)) + 1e-9)
+    return allowed if abs(len(a) - len(b)) <= allowed else -1
+
+
 def similar(a: str, b: str, similarity: float) -> bool:
-    longer = max(len(a), len(b))
-    allowed = int((1 - similarity) * longer + 1e-9)
-    return abs(len(a) - len(b)) <= allowed and (edited_words(a, b, allowed) or edit_distance(a, b, allowed) <= allowed)
+    allowed = allowed_edits(a, b, similarity)
+    return allowed >= 0 and (edited_words(a, b, allowed) or edit_distance(a, b, allowed) <= allowed)
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -260,19 +424,16 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         for batch in batches:
             texts = raw(batch.column(2))
             for s, e in spans([len(t) for t in texts], 1 << 20):
-                rows, numbers, forms, of = [], [], [], []
-                for i in range(s, e):
-                    before = len(forms)
-                    for n, line in enumerate(texts[i].split(b"\n")):
-                        form = normal_line(line)
-                        if form:
-                            rows.append(i)
-                            numbers.append(n)
-                            forms.append(form)
-                    of += [len(forms) - before] * (len(forms) - before)
+                part = texts[s:e]
+                forms = normal_lines(part)
+                count = np.array([t.count(b"\n") + 1 for t in part])
+                there = np.array([bool(f) for f in forms])
+                text, numbers = (x[there] for x in _places(count))
+                of = np.bincount(text, minlength=e - s)[text]
+                forms = [f for f in forms if f]
                 digests = [xxhash.xxh3_128_digest(f) for f in forms]
                 halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-                at = pa.array(rows, pa.int64())
+                at = pa.array(text + s, pa.int64())
                 if len(met) > _REMEMBERED:
                     met.clear()
                 new = np.array([k for k, d in enumerate(digests) if d not in met and not met.add(d)], np.int64)
@@ -303,39 +464,110 @@ def _near_rows(max_bits: int, at_once: int = 1 << 17):
             last = np.flatnonzero((cols[0] != cols[0][-1]) | (cols[3] != cols[3][-1]))
             last = int(last[-1]) + 1 if len(last) else 0
             if last:
-                yield from found([x[:last] for x in cols])
+                yield from _partners([x[:last] for x in cols], max_bits)
             held, size = [[x[last:] for x in cols]], len(cols[0]) - last
         if size:
-            yield from found([np.concatenate(x) for x in zip(*held)])
-
-    def found(cols):
-        key, fp, k1, cell, role = cols
-        new = np.append(True, (key[1:] != key[:-1]) | (cell[1:] != cell[:-1]))
-        starts = np.flatnonzero(new)
-        sizes = np.diff(np.append(starts, len(key)))
-        many = np.repeat(sizes > 1, sizes)
-        key, role, k1, run_ = key[many], role[many], k1[many], np.repeat(np.arange(len(starts)), sizes)[many]
-        fp = fp[many].astype(np.int64).view(np.uint64)
-        hit = np.zeros(len(key), bool)
-        sizes = sizes[sizes > 1]
-        starts = np.cumsum(sizes) - sizes
-        small = np.flatnonzero(np.repeat(sizes <= SMALL_RUN, sizes))
-        i, j = small_runs(fp[small], run_[small], role[small], max_bits, SMALL_RUN)
-        other = k1[small[i]] != k1[small[j]]
-        hit[small[i[other]]] = hit[small[j[other]]] = True
-        for r in np.flatnonzero(sizes > SMALL_RUN):
-            own = np.arange(starts[r], starts[r] + sizes[r])
-            for i, j in linked(fp, own[role[own] != PROBE], own[role[own] != TABLE], max_bits):
-                other = k1[i] != k1[j]
-                hit[i[other]] = hit[j[other]] = True
-        if hit.any():
-            yield pa.RecordBatch.from_arrays([pa.array(key[hit]), pa.array(k1[hit]), pa.array(fp[hit].view(np.int64))],
-                                             ["key", "k1", "fp"])
+            yield from _partners([np.concatenate(x) for x in zip(*held)], max_bits)
+    return run
+
+
+def _partners(cols: list[np.ndarray], max_bits: int):
+    """Rows (key, k1, fp) of whole buckets, (key, fp, k1, cell, role) in their order, that have a partner in their cell."""
+    key, fp, k1, cell, role = cols
+    new = np.append(True, (key[1:] != key[:-1]) | (cell[1:] != cell[:-1]))
+    starts = np.flatnonzero(new)
+    sizes = np.diff(np.append(starts, len(key)))
+    many = np.repeat(sizes > 1, sizes)
+    key, role, k1, run_ = key[many], role[many], k1[many], np.repeat(np.arange(len(starts)), sizes)[many]
+    fp = fp[many].astype(np.int64).view(np.uint64)
+    hit = np.zeros(len(key), bool)
+    sizes = sizes[sizes > 1]
+    starts = np.cumsum(sizes) - sizes
+    small = np.flatnonzero(np.repeat(sizes <= SMALL_RUN, sizes))
+    i, j = small_runs(fp[small], run_[small], role[small], max_bits, SMALL_RUN)
+    other = k1[small[i]] != k1[small[j]]
+    hit[small[i[other]]] = hit[small[j[other]]] = True
+    for r in np.flatnonzero(sizes > SMALL_RUN):
+        own = np.arange(starts[r], starts[r] + sizes[r])
+        for i, j in linked(fp, own[role[own] != PROBE], own[role[own] != TABLE], max_bits):
+            other = k1[i] != k1[j]
+            hit[i[other]] = hit[j[other]] = True
+    if hit.any():
+        yield pa.RecordBatch.from_arrays([pa.array(key[hit]), pa.array(k1[hit]), pa.array(fp[hit].view(np.int64))],
+                                         ["key", "k1", "fp"])
+
+
+def _packed(parts: int, hot: np.ndarray | None):
+    """Arrow function: the keys of lines (k1, words, triples, keys), those of ``hot`` (sorted) left out, as rows (part, rows).
+
+    All of a key's lines are in one part; rows: (key, fp, k1) of many lines of the part, as bytes.
+    """
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += len(batch.column(3).flatten())
+            if size >= PART_KEYS:
+                yield packed(held)
+                held, size = [], 0
+        if size:
+            yield packed(held)
+
+    def packed(held):
+        table = pa.Table.from_batches(held).combine_chunks()
+        k1, words, triples, keys = (table.column(k).combine_chunks() for k in range(4))
+        number = lambda x: x.fill_null(0).to_numpy(zero_copy_only=False)
+        line = np.repeat(np.arange(len(keys)), number(keys.value_lengths()))
+        key = keys.flatten().to_numpy(zero_copy_only=False)
+        if hot is not None:
+            cold = hot[np.minimum(np.searchsorted(hot, key), len(hot) - 1)] != key
+            key, line = key[cold], line[cold]
+        rows = np.stack([key, np.where(key & 1, number(triples)[line], number(words)[line]), number(k1)[line]], axis=1)
+        part = (key.view(np.uint64) >> np.uint64(16)) % np.uint64(parts)
+        order = np.argsort(part)
+        ids, first = np.unique(part[order], return_index=True)
+        offsets = np.append(first, len(part)).astype(np.int32) * 24
+        data = pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(offsets), pa.py_buffer(rows[order])])
+        return pa.RecordBatch.from_arrays([pa.array(ids.astype(np.int64)), data], ["part", "rows"])
+    return run
+
+
+def _near_packed(max_bits: int, at_once: int = 1 << 17):
+    """Arrow function over (part, rows) of ``_packed`` sorted by part: rows with a partner in their bucket."""
+    def run(batches):
+        place, held = None, []
+        for batch in batches:
+            for part, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if part != place:
+                    yield from found(held)
+                    place, held = part, []
+                held.append(data)
+        yield from found(held)
+
+    def found(held):
+        if not held:
+            return
+        rows = np.frombuffer(b"".join(held), "<i8").reshape(-1, 3)
+        order = np.argsort(rows[:, 0])
+        key = rows[order, 0]
+        again = np.append(False, key[1:] == key[:-1])
+        # lines alone in their bucket go at once
+        many = again | np.append(again[1:], False)
+        order, key = order[many], key[many]
+        s = 0
+        while s < len(key):
+            e = int(np.searchsorted(key, key[min(s + at_once, len(key)) - 1], "right"))
+            none = np.zeros(e - s, np.int64)
+            yield from _partners([key[s:e], rows[order[s:e], 1], rows[order[s:e], 2], none, none], max_bits)
+            s = e
     return run
 
 
 def near_members(found: DataFrame, max_bits: int, cell_rows: int = 4096) -> DataFrame:
-    """(key, k1, fp): lines of each bucket that have another line at ``max_bits`` or fewer in it, each once."""
+    """(key, k1, fp): lines of each bucket that have another line at ``max_bits`` or fewer in it, each once.
+
+    Most buckets are one line, so rows of many keys are packed and go by parts; buckets of very many lines go by cells.
+    """
     even = F.col("key").bitwiseAND(F.lit(1)) == 0
     rows = (found.select("k1", "words", "triples", F.explode("keys").alias("key"))
             .select("key", F.when(even, F.col("words")).otherwise(F.col("triples")).alias("fp"), F.lit(BOTH).alias("role"), "k1"))
@@ -344,16 +576,26 @@ def near_members(found: DataFrame, max_bits: int, cell_rows: int = 4096) -> Data
              .where(F.col("count") * _SAMPLE > cell_rows)
              .select("key", F.ceil(F.col("count") * _SAMPLE / cell_rows).alias("ways")))
     heavy = cut(heavy, "heavy")
-    if heavy.isEmpty():
-        # one number to sort by, which Spark does by its digits
-        rows = rows.select("key", "fp", "k1").repartition("key").sortWithinPartitions("key")
-    else:
-        rows = (cut_up(rows, heavy, "k1").select("key", "fp", "k1", "cell", "role")
-                .repartition("key", "cell").sortWithinPartitions("key", "cell", "role"))
-    near = rows.mapInArrow(_near_rows(max_bits), "key long, k1 long, fp long")
+    number = heavy.count()
+    near = []
+    if number:
+        some = rows if number > SENT_IDS else rows.join(F.broadcast(heavy.select("key")), "key", "left_semi")
+        cells = (cut_up(some, heavy, "k1").select("key", "fp", "k1", "cell", "role")
+                 .repartition("key", "cell").sortWithinPartitions("key", "cell", "role"))
+        near.append(cells.mapInArrow(_near_rows(max_bits), NEAR))
+    if number <= SENT_IDS:
+        hot = np.sort(heavy.select("key").toArrow()["key"].to_numpy()) if number else None
+        keys = found.agg(F.coalesce(F.sum(F.size("keys")), F.lit(0)).alias("n")).first()["n"]
+        parts = (found.where(F.size("keys") > 0).select("k1", "words", "triples", "keys")
+                 .mapInArrow(_packed(keys // PART_KEYS + 1, hot), "part long, rows binary"))
+        near.append(parts.repartition("part").sortWithinPartitions("part").mapInArrow(_near_packed(max_bits), NEAR))
+    near = near[0] if len(near) == 1 else near[0].unionByName(near[1])
     return cut(near.distinct(), "line-buckets")
 
 
+NEAR = "key long, k1 long, fp long"
+
+
 def _pieces(members: DataFrame) -> DataFrame:
     """``members(key, k1, fp)`` of the buckets to verify, with (n, first) of their bucket: buckets of the same members stand once."""
     digest = lambda seed: F.bit_xor(F.xxhash64(F.lit(seed), "k1"))
@@ -372,39 +614,82 @@ def _verify(max_bits: int, similarity: float):
     """
     def run(batches):
         held: list[tuple] = []
-        place, links, apart = None, [], []
+        cells: list[tuple] = []
+        place, size = None, 0
         for batch in batches:
             for row in zip(*[batch.column(i).to_pylist() for i in range(8)]):
                 if row[:2] != place:
-                    forest(held, links, apart)
+                    add(cells, held)
+                    if size > _AT_ONCE:
+                        yield from settled(cells)
+                        cells, size = [], 0
                     held, place = [], row[:2]
                 held.append(row)
-            if len(links) + len(apart) > 5000:
-                yield found(links, apart)
-                links, apart = [], []
-        forest(held, links, apart)
-        if links or apart:
-            yield found(links, apart)
+                size += len(row[7]) + 64
+        add(cells, held)
+        yield from settled(cells)
 
-    def forest(rows, links, apart):
-        """Adds (a, b) of the cell's forest to ``links``, and the lines not connected to its first one to ``apart``."""
+    def add(cells, rows):
+        """Adds (rows, their labels, the pairs to verify) of a cell."""
         n = len(rows)
         if n < 2:
             return
-        label = list(range(n))
         prints = [r[6] & _WHOLE for r in rows]
         probes = [k for k in range(n) if rows[k][3] == PROBE]
+        pairs = []
         for i, row in enumerate(rows):
             if row[3] == PROBE:
                 break
-            for j in probes if row[3] == TABLE else range(i + 1, n):
-                if label[i] != label[j] and (prints[i] ^ prints[j]).bit_count() <= max_bits and similar(
-                        row[7], rows[j][7], similarity):
-                    low, high = sorted((label[i], label[j]))
-                    label = [low if x == high else x for x in label]
-        links += [(rows[k][4:6], rows[x][4:6]) for k, x in enumerate(label) if x != k]
-        if rows[0][3] == FIRST:
-            apart += [(r[0], r[4:6]) for r, x in zip(rows, label) if x]
+            own = prints[i]
+            pairs += [(i, j) for j in (probes if row[3] == TABLE else range(i + 1, n))
+                      if (own ^ prints[j]).bit_count() <= max_bits]
+        cells.append((rows, list(range(n)), pairs))
+
+    def settled(cells):
+        """Verifies in turns: first the pairs that those before them would not connect if they were all similar.
+
+        Of the others, which are left out where the first ones were, a turn takes more than the one before it.
+        """
+        links, apart = [], []
+        work, turn = [cell for cell in cells if cell[2]], 0
+        while work:
+            asked, left = [], []
+            for rows, label, pairs in work:
+                guess, rest, spare = label[:], [], turn * len(rows)
+                for i, j in pairs:
+                    if label[i] == label[j]:
+                        continue
+                    if guess[i] == guess[j]:
+                        spare -= 1
+                        if spare < 0:
+                            rest.append((i, j))
+                            continue
+                    a, b = rows[i][7], rows[j][7]
+                    allowed = allowed_edits(a, b, similarity)
+                    if allowed < 0:
+                        continue
+                    if edited_words(a, b, allowed):
+                        unite(label, i, j)
+                    else:
+                        asked.append((label, i, j, (a, b, allowed)))
+                    unite(guess, i, j)
+                if rest:
+                    left.append((rows, label, rest))
+            for (label, i, j, _), near in zip(asked, within_edits([x[3] for x in asked])):
+                if near:
+                    unite(label, i, j)
+            work, turn = left, 2 * turn + 1
+        for rows, label, _ in cells:
+            links += [(rows[k][4:6], rows[x][4:6]) for k, x in enumerate(label) if x != k]
+            if rows[0][3] == FIRST:
+                apart += [(r[0], r[4:6]) for r, x in zip(rows, label) if x]
+        if links or apart:
+            yield found(links, apart)
+
+    def unite(label, i, j):
+        low, high = sorted((label[i], label[j]))
+        if low != high:
+            label[:] = [low if x == high else x for x in label]
 
     def found(links, apart):
         node = lambda ids: pa.StructArray.from_arrays(
@@ -522,7 +807,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     whole = F.coalesce(F.col(of) == F.col(stay), F.lit(False))
     # a text that loses nothing is not even split; the parts are a column, as an expression would be made anew for every line
     split = joined.withColumn(part, F.when(~whole, F.split(text, "\n", -1)))
-    split = split.withColumn(blank, F.filter(F.transform(part, lambda line, i: F.when(~line.rlike(NOT_BLANK), i)),
+    split = split.withColumn(blank, F.filter(F.transform(part, lambda line, i: F.when(F.ltrim(line, F.lit(BLANKS)) == "", i)),
                                              lambda i: i.isNotNull()))
     stays = F.coalesce(F.col(kept), F.array().cast("array<int>"))
     # the lines are picked by their sorted numbers, which stays cheap for a text of very many lines

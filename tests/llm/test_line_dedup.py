@@ -224,3 +224,51 @@ def test_edge_rows(llm, edge, none):
     assert [r.text for r in rows[5]] == ["Repeated row."] * 2 and rows[10][0].n_kept == 0
     assert rows[None][0].n_kept == 1 or rows[None][1].n_kept == 1 or rows[None][2].n_kept == 1
     assert L.dedup_lines(none).count() == 0
+
+
+def test_limits_side_by_side_agree_with_single_distances():
+    rng, pairs = random.Random(8), [("", "", 0), ("", "ab", 2), ("", "ab", 1), ("abc", "", 5), ("a" * 200, "b" * 200, 199)]
+    for _ in range(900):
+        a = [rng.choice("ab cdé漢😀") for _ in range(rng.choice((1, 5, 63, 64, 65, 128, 129, 300, 700)))]
+        b = list(a)
+        for _ in range(rng.randint(0, len(a) // 3 + 1)):
+            k = rng.randint(0, len(b))
+            b[k:k + rng.randint(0, 1)] = rng.choices("abx ", k=rng.randint(0, 2))
+        a, b = "".join(a), "".join(b)
+        d = L.edit_distance(a, b)
+        pairs.append((a, b, max(0, d + rng.randint(-2, 2) if rng.random() < 0.7 else rng.randint(0, len(a) + len(b)))))
+    want = [L.edit_distance(a, b) <= limit for a, b, limit in pairs]
+    assert 0.2 < sum(want) / len(want) < 0.8
+    assert L.within_edits(pairs) == want and L.within_edits(pairs[:7]) == want[:7] and L.within_edits([]) == []
+
+
+def test_forms_of_many_lines_are_those_of_each():
+    rng = random.Random(2)
+    for _ in range(2000):
+        texts = [bytes(rng.choice(b"aB7 \t\r\n\x0b\x0c.,-\x1c\x85\xc3") for _ in range(rng.randint(0, 12))) for _ in range(3)]
+        assert L.normal_lines(texts) == [L.normal_line(x) for t in texts for x in t.split(b"\n")]
+
+
+@pytest.mark.parametrize("sent", [0, 1 << 20])
+def test_keys_are_packed_by_parts_and_none_is_lost(llm, monkeypatch, sent):
+    """Few rows for many keys, each key in one part; the same partners, whichever way a bucket goes."""
+    monkeypatch.setattr(L, "PART_KEYS", 300)
+    monkeypatch.setattr(L, "SENT_IDS", sent)
+    rng = random.Random(4)
+    rows = []
+    for k in range(600):
+        keys = [2 * rng.randint(0, 200) + kind for kind in (0, 0, 1) if rng.random() < 0.8] + [1000 + 2 * (k % 2)] * (k < 400)
+        rows.append((k * 16, rng.choice((0, 7, 1 << 40, -1)), None if all(x % 2 == 0 for x in keys) else rng.choice((5, -2)), keys))
+    found = llm.createDataFrame(rows, "k1 long, words long, triples long, keys array<long>").repartition(3)
+    parts = found.mapInArrow(L._packed(6, None), "part long, rows binary").collect()
+    whole = [(r.part, *x) for r in parts for x in np.frombuffer(bytes(r.rows), "<i8").reshape(-1, 3).tolist()]
+    assert len(parts) <= 40 and sorted((key, k1) for _, key, _, k1 in whole) == sorted((key, k1) for k1, _, _, ks in rows for key in ks)
+    assert len({(part, key) for part, key, _, _ in whole}) == len({key for _, key, _, _ in whole})
+    buckets, want = {}, set()
+    for k1, words, triples, keys in rows:
+        for key in keys:
+            buckets.setdefault(key, set()).add((k1, triples if key % 2 else words))
+    for key, own in buckets.items():
+        want |= {(key, *x) for x in own for y in own if x[0] != y[0] and ((x[1] ^ y[1]) & L._WHOLE).bit_count() <= 3}
+    for cell_rows in (4096, 150):
+        assert {tuple(r) for r in L.near_members(found, 3, cell_rows).collect()} == want
