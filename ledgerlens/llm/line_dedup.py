@@ -56,7 +56,9 @@ SHORT_BYTES, FEW_WORDS = 80, 10
 #: Lines verified together.
 CELL = 256
 #: Characters of lines whose cells are verified side by side.
-_AT_ONCE = 1 << 25
+_AT_ONCE = 1 << 23
+#: Pairs of joined buckets after which no more are joined.
+_JOINED = 1 << 13
 #: Lines that a task remembers so as not to fingerprint them again.
 _REMEMBERED = 1 << 18
 #: Keys of a part, on average, and of a packed batch.
@@ -232,7 +234,7 @@ def within_edits(pairs: list[tuple[str, str, int]]) -> list[bool]:
         while e < len(short) and e - s < _SIDE_BY_SIDE and (3 * len(short[e][1]) > size or size < 64):
             e += 1
         part, s = short[s:e], e
-        letters = {c for a, b, _, _ in part for c in a}
+        letters = set().union(*(x[0] for x in part), *(x[1] for x in part))
         if len(part) < _FEWEST or len(letters) * len(part) * len(part[0][1]) > _MASKS:
             found = [edit_distance(a, b, limit) <= limit for a, b, limit, _ in part]
         else:
@@ -262,14 +264,16 @@ def _side_by_side(pairs: list[tuple]) -> np.ndarray:
     above, below = int(((limit + apart) // 2).max()), int(((limit - apart) // 2).max())
     words, front = (above + below) // 64 + 1, -(-above // 64) * 64
     wide, long = (_letters([p[k] for p in pairs]) for k in range(2))
-    kinds, code = np.unique(np.concatenate([wide, long]), return_inverse=True)
+    there = np.zeros(int(max(wide.max(), long.max())) + 1, np.int64)
+    there[wide] = there[long] = 1
+    kinds, code = int(there.sum()), np.cumsum(there) - 1
     pair, place = _places(m)
     place += front
-    masks = np.zeros(((steps + front) // 64 + words + 2, count * len(kinds)), np.uint64)
-    np.add.at(masks, (place >> 6, pair * len(kinds) + code[:len(wide)]), np.uint64(1) << (place & 63).astype(np.uint64))
+    masks = np.zeros(((steps + front) // 64 + words + 2, count * kinds), np.uint64)
+    np.add.at(masks, (place >> 6, pair * kinds + code[wide]), np.uint64(1) << (place & 63).astype(np.uint64))
     pair, place = _places(n)
-    rows = np.zeros((steps, count), np.int64)
-    rows[place, pair] = pair * len(kinds) + code[len(wide):]
+    rows = np.zeros((steps, count), np.int32)
+    rows[place, pair] = pair * kinds + code[long]
     bit = lambda k: np.uint64(k % 64)
     up, down = np.zeros((words, count), np.uint64), np.zeros((words, count), np.uint64)
     up[above // 64:] = ~np.uint64(0)
@@ -615,25 +619,53 @@ def _verify(max_bits: int, similarity: float):
     def run(batches):
         held: list[tuple] = []
         cells: list[tuple] = []
+        met: dict = {}
         place, size = None, 0
         for batch in batches:
             for row in zip(*[batch.column(i).to_pylist() for i in range(8)]):
                 if row[:2] != place:
-                    add(cells, held)
+                    met = add(cells, held, met)
                     if size > _AT_ONCE:
                         yield from settled(cells)
-                        cells, size = [], 0
+                        cells, met, size = [], {}, 0
                     held, place = [], row[:2]
                 held.append(row)
                 size += len(row[7]) + 64
-        add(cells, held)
+        add(cells, held, met)
         yield from settled(cells)
 
-    def add(cells, rows):
-        """Adds (rows, their labels, the pairs to verify) of a cell."""
+    def add(cells, rows, met):
+        """Adds (rows, their labels, the pairs to verify) of a cell; a bucket in one piece joins the one before it with its first line.
+
+        So lines that meet in many buckets are verified once. ``met`` and the value: places of the joined buckets' lines.
+        """
         n = len(rows)
         if n < 2:
-            return
+            return met
+        if rows[0][3] == BOTH:
+            if rows[0][4:6] not in met or len(cells[-1][2]) > _JOINED:
+                met = {}
+                cells.append(([], [], []))
+            lines, label, pairs = cells[-1]
+            at = []
+            for row in rows:
+                k = met.setdefault(row[4:6], len(met))
+                if k == len(lines):
+                    lines.append(row)
+                    label.append(k)
+                at.append(k)
+            prints = [r[6] & _WHOLE for r in rows]
+            seen = set(pairs)
+            for i, own in enumerate(prints):
+                a = at[i]
+                for j in range(i + 1, n):
+                    if (own ^ prints[j]).bit_count() <= max_bits:
+                        b = at[j]
+                        pair = (a, b) if a < b else (b, a)
+                        if pair not in seen:
+                            seen.add(pair)
+                            pairs.append(pair)
+            return met
         prints = [r[6] & _WHOLE for r in rows]
         probes = [k for k in range(n) if rows[k][3] == PROBE]
         pairs = []
@@ -644,6 +676,7 @@ def _verify(max_bits: int, similarity: float):
             pairs += [(i, j) for j in (probes if row[3] == TABLE else range(i + 1, n))
                       if (own ^ prints[j]).bit_count() <= max_bits]
         cells.append((rows, list(range(n)), pairs))
+        return {}
 
     def settled(cells):
         """Verifies in turns: first the pairs that those before them would not connect if they were all similar.
@@ -721,10 +754,12 @@ def verified_links(found: DataFrame, max_bits: int, similarity: float, cell: int
     every = F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)
     leads = several & (F.col("k1") == F.col("first"))
     dealt = (rows.withColumn("cell", F.explode(F.when(leads, every).otherwise(F.array("piece"))))
-             .select("key", "cell", "piece", F.when(leads, FIRST).otherwise(BOTH).alias("role"), "k1", "k2", "fp", "line"))
+             .select("key", "cell", "piece", F.when(leads, FIRST).otherwise(BOTH).alias("role"), "k1", "k2", "fp", "line",
+                     F.when(several, F.col("key")).otherwise(F.col("first")).alias("by")))
     verify = _verify(max_bits, similarity)
-    links = cut(dealt.repartition("key", "cell").sortWithinPartitions("key", "cell", "role", "k1", "k2").mapInArrow(verify, LINKS),
-                "line-links")
+    # buckets in one piece that share their first line share most others, and go together
+    links = cut(dealt.repartition("by", "cell").sortWithinPartitions("by", "key", "cell", "role", "k1", "k2").drop("by")
+                .mapInArrow(verify, LINKS), "line-links")
     edges = links.where("key IS NULL").select("a", "b")
     apart = links.where("key IS NOT NULL").select("key", "a.k1", "a.k2").distinct()
     if apart.isEmpty():

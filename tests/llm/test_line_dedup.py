@@ -272,3 +272,23 @@ def test_keys_are_packed_by_parts_and_none_is_lost(llm, monkeypatch, sent):
         want |= {(key, *x) for x in own for y in own if x[0] != y[0] and ((x[1] ^ y[1]) & L._WHOLE).bit_count() <= 3}
     for cell_rows in (4096, 150):
         assert {tuple(r) for r in L.near_members(found, 3, cell_rows).collect()} == want
+
+
+def test_lines_that_meet_in_many_buckets_are_verified_once(monkeypatch):
+    import pyarrow as pa
+    rng = random.Random(6)
+    lines = ["".join(rng.choice("abcdef ") for _ in range(60)) for _ in range(4)]
+    lines += [x[:-3] + "xyz" for x in lines]
+    asked = []
+    own = L.allowed_edits
+    monkeypatch.setattr(L, "allowed_edits", lambda a, b, s: asked.append((a, b)) or own(a, b, s))
+    rows = [(key, 0, 0, L.BOTH, k, -k, 0, x) for key in range(5) for k, x in enumerate(lines) if k != key + 2]
+    rows += [(9, 0, 0, L.FIRST, 0, 0, 0, lines[0]), (9, 0, 0, L.BOTH, 3, -3, 0, lines[3]), (9, 0, 0, L.BOTH, 4, -4, 0, lines[4])]
+    batch = pa.RecordBatch.from_arrays([pa.array(list(c)) for c in zip(*rows)], names=list("abcdefgh"))
+    for n in (1, 7, 100):
+        found = [r for x in L._verify(64, 0.8)([batch.slice(s, n) for s in range(0, len(rows), n)]) for r in x.to_pylist()]
+        links = sorted(tuple(sorted((r["a"]["k1"], r["b"]["k1"]))) for r in found if r["b"])
+        assert links == [(0, 4), (0, 4), (1, 5), (2, 6), (3, 7)]
+        assert [(r["key"], r["a"]["k1"]) for r in found if not r["b"]] == [(9, 3)]
+    # of the joined buckets every pair once a run, and the pairs of the cell with a leading line
+    assert len(asked) <= 3 * (28 + 3)
