@@ -10,7 +10,7 @@ from ledgerlens import session
 from ledgerlens.plans import tables
 from ledgerlens.plans.tables import FactTable
 from ledgerlens.sources.contracts import CONTRACTS, FACT_COLUMNS, FACT_SCHEMA, Sort
-from ledgerlens.sources.testbridge import raw_transactions
+from ledgerlens.sources.testbridge import _padded, raw_transactions
 from ledgerlens.sources.zones import read_raw_csv, write_raw_csv
 
 
@@ -118,3 +118,60 @@ def test_feed_is_dealt_over_files_before_its_numbers_are_text(spark, scratch):
     assert dealt.rdd.getNumPartitions() == 3 and len({r.l_partkey for r in places}) == len(places) == 7
     plan = dealt._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("AS transaction_id") < plan.index("RepartitionByExpression")
+
+
+def _spied(monkeypatch):
+    """Plans of the kept rows of the merges that follow."""
+    plans, real = [], tables.upsert
+
+    def spied(*args, **named):
+        out = real(*args, **named)
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+    monkeypatch.setattr(tables, "upsert", spied)
+    return plans
+
+
+def test_many_matches_are_sent_some_partitions_at_a_time(spark, scratch, monkeypatch):
+    """The keys of all matches are too many to send, those of two partitions are not: no whole row is shuffled."""
+    monkeypatch.setattr(tables, "SMALL_KEYS", 30 * (tables.ROW_BYTES + 4))
+    plans, groups, real = _spied(monkeypatch), [], FactTable._groups
+    monkeypatch.setattr(FactTable, "_groups", lambda self, met: groups.append(real(self, met)) or groups[-1])
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for order in ((), (Sort("amount", descending=True),)):
+            fact = FactTable(spark, f"{scratch}/fact{len(order)}")
+            fact.merge(_events(spark, 150, 6), order=order)
+            # six partitions of 25 rows; 90 of the 150 rows are replaced, all those of the second day among them
+            later = (_events(spark, 150, 6).where("amount < 75 OR cast(amount AS int) % 6 = 1")
+                     .withColumn("transaction_date", F.expr("date_add(transaction_date, 10)"))
+                     .withColumn("amount", F.col("amount") + 1000))
+            del plans[:], groups[:]
+            fact.merge(later, order=order)
+            got = {r.transaction_id: (r.transaction_date.day, r.amount) for r in fact.read().collect()}
+            moved = lambda i: i < 75 or i % 6 == 1
+            assert got == {f"T{i}": (1 + i % 6 + 10 * moved(i), i + 1000.0 * moved(i)) for i in range(150)}
+            assert fact.read().count() == 150 and len(groups[-1]) > 1
+            # the second day, all of whose rows moved, is read by none
+            assert plans and not any("SortMergeJoin" in p or "2026-04-02" in p for p in plans)
+            assert "2026-04-02" not in fact.live() and "2026-04-12" in fact.live()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_a_partition_of_too_many_matches_and_null_keys(spark, scratch, monkeypatch):
+    monkeypatch.setattr(tables, "SMALL_KEYS", 0)
+    nameless = _events(spark, 4, 2).withColumn("transaction_id", F.lit(None).cast("string"))
+    for order in ((), (Sort("amount", descending=True),)):
+        fact = FactTable(spark, f"{scratch}/fact{len(order)}")
+        fact.merge(_events(spark, 40, 2).unionByName(nameless), order=order)
+        fact.merge(_events(spark, 30, 2, 20).withColumn("amount", F.lit(99.0)).unionByName(nameless), order=order)
+        got = sorted((r.transaction_id or "", r.amount) for r in fact.read().collect())
+        assert got == sorted([("", float(i)) for i in range(4)] * 2 + [(f"T{i}", 99.0 if i >= 20 else float(i)) for i in range(50)])
+
+
+def test_padded_keys_are_as_a_formatter_writes_them(spark):
+    keys = spark.createDataFrame([(k,) for k in (0, 7, 99999, 100000, 12345678901, -3, -1234567, None)], "k long")
+    rows = keys.select(_padded("M", F.col("k"), 6).alias("got"), F.concat(F.lit("M"), F.format_string("%06d", "k")).alias("want")).collect()
+    assert all(r.got == r.want for r in rows) and rows[1].got == "M000007"
