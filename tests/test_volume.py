@@ -3,6 +3,7 @@
 import datetime as dt
 import glob
 import gzip
+import os
 
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from ledgerlens.plans.tables import FactTable
 from ledgerlens.sources.contracts import CONTRACTS, FACT_COLUMNS, FACT_SCHEMA, Sort
 from ledgerlens.sources.testbridge import _padded, raw_transactions
 from ledgerlens.sources.zones import read_raw_csv, write_raw_csv
+from ledgerlens.streaming.ingest import TransactionIngest
 
 
 def test_landed_files_are_compressed_and_bounded(spark, scratch):
@@ -171,6 +173,38 @@ def test_a_partition_of_too_many_matches_and_null_keys(spark, scratch, monkeypat
         assert got == sorted([("", float(i)) for i in range(4)] * 2 + [(f"T{i}", 99.0 if i >= 20 else float(i)) for i in range(50)])
 
 
+def test_a_merge_and_an_ingest_leave_no_step_folders(spark, scratch):
+    held = lambda: {f for f in os.listdir(session.work_root(spark)) if f.startswith(("merge", "ingest"))}
+    before, fact = held(), FactTable(spark, f"{scratch}/fact")
+    for i in range(2):
+        fact.merge(_events(spark, 20, 2, 10 * i), order=(Sort("amount"),))
+    fact.merge(spark.createDataFrame([], FACT_SCHEMA))
+    os.makedirs(f"{scratch}/feed/batch_date=2026-04-25")
+    with open(f"{scratch}/feed/batch_date=2026-04-25/a.csv", "w") as fh:
+        fh.write(",".join(CONTRACTS["transactions"].names) + "\nT7,A1,C1,M1,2026-04-25 10:00:00,DEBIT,UPI,FUEL,5,INR,SUCCESS,False\n")
+    merchants = spark.createDataFrame([("M1", "LOW")], "merchant_id string, risk_level string")
+    TransactionIngest(spark, f"{scratch}/feed", f"{scratch}/checkpoint", fact, lambda: merchants).run_available()
+    assert fact.read().count() == 30 and held() == before
+
+
+def test_what_a_bank_step_shuffled_goes_when_it_ends(spark, scratch):
+    session.apply_session_conf(spark, bank=True)
+    try:
+        local = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        held = lambda: {f.toString() for f in _listed(local.getAllFiles()) if "shuffle_" in f.toString()}
+        before = held()
+        rows = spark.range(1000).repartition(5, "id")
+        rows.write.parquet(f"{scratch}/rows")
+        assert held() <= before and spark.read.parquet(f"{scratch}/rows").count() == 1000
+        assert rows.count() == 1000 == len(rows.collect()) == len(rows.collect())
+    finally:
+        session.apply_session_conf(spark)
+
+
+def _listed(files):
+    return [files.apply(i) for i in range(files.size())]
+
+
 def test_padded_keys_are_as_a_formatter_writes_them(spark):
     keys = spark.createDataFrame([(k,) for k in (0, 7, 99999, 100000, 12345678901, -3, -1234567, None)], "k long")
     rows = keys.select(_padded("M", F.col("k"), 6).alias("got"), F.concat(F.lit("M"), F.format_string("%06d", "k")).alias("want")).collect()
