@@ -173,6 +173,18 @@ def test_a_partition_of_too_many_matches_and_null_keys(spark, scratch, monkeypat
         assert got == sorted([("", float(i)) for i in range(4)] * 2 + [(f"T{i}", 99.0 if i >= 20 else float(i)) for i in range(50)])
 
 
+def test_a_busy_cluster_writes_many_partitions_unshuffled(spark, scratch, monkeypatch):
+    monkeypatch.setattr(tables, "TASK_ROWS", 20)
+    monkeypatch.setattr(tables, "LEAST_ROWS", 5)
+    monkeypatch.setattr(tables, "FILE_ROWS", 3)
+    fact = FactTable(spark, f"{scratch}/fact")
+    source = _events(spark, 60, 6).withColumn("part", fact._part())
+    # 30 rows a task: with 400 rows each of the four cores has one, with 100 it has not
+    assert "Rebalance" not in _plan(fact._dealt(source, 400, 10)) and "Rebalance" in _plan(fact._dealt(source, 100, 10))
+    monkeypatch.setattr(tables, "MOST_ROWS", 29)
+    assert "Rebalance" in _plan(fact._dealt(source, 400, 10))
+
+
 def test_a_merge_and_an_ingest_leave_no_step_folders(spark, scratch):
     held = lambda: {f for f in os.listdir(session.work_root(spark)) if f.startswith(("merge", "ingest"))}
     before, fact = held(), FactTable(spark, f"{scratch}/fact")
